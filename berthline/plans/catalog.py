@@ -6,128 +6,7 @@ decimals on both sides so that value hashes do not depend on summation order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import q_events, q_history, q_rows  # noqa: F401  (registration side effects)
+from .registry import ORACLES, QUERIES, register
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import history, quality
-from ..operators.columns import create_binary_feature
-from .tables import SHIPMENT_ORDER_SQL, SHIPMENT_TIEBREAK, SHIPMENTS_SQL, rounded, shipments
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------- history features
-
-def _picked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = shipments(spark, sf_dir).transform(
-        lambda d: quality.remove_negative_values(d, ["arrival_to_pickup_time"]))
-    return create_binary_feature(s, "arrival_to_pickup_time", 24, "one_day_pickup")
-
-
-_PICKED_SQL = f"""
-WITH s AS ({SHIPMENTS_SQL}),
-f AS (SELECT *, CAST(coalesce(arrival_to_pickup_time < 24, false) AS INTEGER) AS one_day_pickup
-      FROM s WHERE arrival_to_pickup_time >= 0)
-"""
-_W = f"PARTITION BY consignee ORDER BY {SHIPMENT_ORDER_SQL}"
-_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, consignee, arrival_time"
-_KEYS_SPARK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "consignee", "arrival_time"]
-
-HISTORY_COLS = ["arrival_to_pickup_time", "one_day_pickup", "consignee_history_count",
-                "low_history_flag", "lifetime_avg_pickup", "lifetime_std_pickup",
-                "recent_5_avg_pickup", "recent_10_avg_pickup", "recent_5_24h_rate",
-                "last_one_day_pickup", "arrival_hour", "arrival_weekday", "is_weekend"]
-
-
-def _history(spark, sf_dir, **kw) -> DataFrame:
-    return history.engineer_customer_pickup_features(
-        _picked_up(spark, sf_dir), group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), **kw)
-
-
-@register("history_features", _PICKED_SQL + f"""
-SELECT {_KEYS},
-  round(arrival_to_pickup_time, 4) AS arrival_to_pickup_time, one_day_pickup,
-  CAST(row_number() OVER w - 1 AS BIGINT) AS consignee_history_count,
-  (row_number() OVER w - 1) < 5 AS low_history_flag,
-  round(coalesce(avg(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_avg_pickup,
-  round(coalesce(stddev_samp(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_std_pickup,
-  round(coalesce(CASE WHEN count(arrival_to_pickup_time) OVER r5 = 5
-                      THEN avg(arrival_to_pickup_time) OVER r5 END, -1), 4) AS recent_5_avg_pickup,
-  round(coalesce(CASE WHEN count(arrival_to_pickup_time) OVER r10 = 10
-                      THEN avg(arrival_to_pickup_time) OVER r10 END, -1), 4) AS recent_10_avg_pickup,
-  round(coalesce(CASE WHEN count(one_day_pickup) OVER r5 = 5
-                      THEN avg(one_day_pickup) OVER r5 END, -1), 4) AS recent_5_24h_rate,
-  round(coalesce(CAST(lag(one_day_pickup) OVER w AS DOUBLE), -1), 4) AS last_one_day_pickup,
-  CAST(hour(arrival_time) AS INTEGER) AS arrival_hour,
-  CAST(isodow(arrival_time) - 1 AS INTEGER) AS arrival_weekday,
-  isodow(arrival_time) IN (6, 7) AS is_weekend
-FROM f
-WINDOW w AS ({_W}),
-       p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-       r5 AS ({_W} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
-       r10 AS ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)
-""")
-def q_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: leakage-free consignee history for every picked-up shipment."""
-    out = _history(spark, sf_dir, median=False, decayed=False)
-    return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
-
-
-@register("history_median", _PICKED_SQL + f"""
-SELECT {_KEYS},
-  round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup
-FROM f WINDOW p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-""")
-def q_history_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _history(spark, sf_dir, median=True, decayed=False)
-    return rounded(out.select(*_KEYS_SPARK, "lifetime_median_pickup"))
-
-
-@register("history_decayed", _PICKED_SQL + f"""
-, l AS (SELECT {_KEYS}, list(arrival_to_pickup_time) OVER p AS xs FROM f
-        WINDOW p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT {_KEYS},
-  round(coalesce(
-    list_sum(list_transform(xs, lambda v, i: v * pow(0.9, len(xs) - i)))
-    / nullif(list_sum(list_transform(xs, lambda v, i: pow(0.9, len(xs) - i))), 0), -1), 4)
-    AS weighted_avg_pickup
-FROM l
-""")
-def q_history_decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _history(spark, sf_dir, median=False, decayed=True)
-    return rounded(out.select(*_KEYS_SPARK, "weighted_avg_pickup"))
-
-
-@register("history_carry_over", _PICKED_SQL + f"""
-, fin AS (SELECT consignee, avg(arrival_to_pickup_time) AS a,
-                 stddev_samp(arrival_to_pickup_time) AS sd, median(arrival_to_pickup_time) AS md
-          FROM f GROUP BY consignee),
-prev AS (SELECT consignee, lag(a) OVER o AS pa, lag(sd) OVER o AS psd, lag(md) OVER o AS pmd
-         FROM fin WINDOW o AS (ORDER BY consignee)),
-h AS (SELECT {_KEYS}, row_number() OVER w AS rn,
-             avg(arrival_to_pickup_time) OVER p AS a, stddev_samp(arrival_to_pickup_time) OVER p AS sd,
-             median(arrival_to_pickup_time) OVER p AS md
-      FROM f WINDOW w AS ({_W}), p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT h.l_orderkey, h.l_linenumber, h.l_partkey, h.l_suppkey, h.consignee, h.arrival_time,
-  round(coalesce(CASE WHEN rn = 1 THEN pa ELSE a END, -1), 4) AS lifetime_avg_pickup,
-  round(coalesce(CASE WHEN rn = 1 THEN psd ELSE sd END, -1), 4) AS lifetime_std_pickup,
-  round(coalesce(CASE WHEN rn = 1 THEN pmd ELSE md END, -1), 4) AS lifetime_median_pickup
-FROM h JOIN prev USING (consignee)
-""")
-def q_history_carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _history(spark, sf_dir, median=True, decayed=False, carry_over=True)
-    return rounded(out.select(*_KEYS_SPARK, "lifetime_avg_pickup", "lifetime_std_pickup",
-                              "lifetime_median_pickup"))
+__all__ = ["ORACLES", "QUERIES", "register"]
