@@ -18,9 +18,13 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def standardize_column_names(df: DataFrame) -> DataFrame:
-    """Normalise every header; empty or colliding results are an error, not a silent merge."""
-    names = [normalise_header(c) for c in df.columns]
+def standardize_column_names(df: DataFrame, keep: Iterable[str] = ("_ord",)) -> DataFrame:
+    """Normalise every header; empty or colliding results are an error, not a silent merge.
+
+    Internal columns named in ``keep`` (the row order) are left as they are.
+    """
+    keep = set(keep)
+    names = [c if c in keep else normalise_header(c) for c in df.columns]
     if any(not n for n in names):
         raise ValueError(f"header normalises to an empty name: {df.columns}")
     if len(set(names)) != len(names):
@@ -52,28 +56,35 @@ def create_key_feature(df: DataFrame) -> DataFrame:
                                          key_part(F.col("booking_number"), integer=True)))
 
 
-def _code_part(df: DataFrame, name: str) -> Column:
-    """A code column as text; integral numbers (also when typed double) render without '.0'."""
+def _code_part(df: DataFrame, name: str, number: bool = False) -> Column:
+    """A code column as text.
+
+    With ``number`` (voyage numbers) an integral value renders as a plain integer
+    whatever its type or text (``12``, ``12.0`` and ``'12.0'`` all give ``12``), so
+    codes built from text and from integers agree; other values keep their text.
+    """
     dt = dtype_of(df, name)
+    c = F.col(name)
     if isinstance(dt, T.IntegralType):
-        return key_part(F.col(name), integer=False)
-    if isinstance(dt, T.NumericType):
-        return key_part(coerce_long(F.col(name), dt))
-    return key_part(F.col(name))
+        return key_part(c)
+    if not number:
+        return key_part(c)
+    return F.coalesce(coerce_long(c, dt).cast("string"), c.cast("string"), F.lit(NULL_TEXT))
 
 
 def create_voyage_code(df: DataFrame, vessel_col: str, voyage_col: str,
                        new_feature_name: str = "voyage_code", direction: str = "E") -> DataFrame:
     """``vessel_voyage_E``: the direction is fixed."""
     return df.withColumn(new_feature_name, F.concat(
-        _code_part(df, vessel_col), F.lit("_"), _code_part(df, voyage_col), F.lit("_" + direction)))
+        _code_part(df, vessel_col), F.lit("_"), _code_part(df, voyage_col, number=True),
+        F.lit("_" + direction)))
 
 
 def create_voyage_code_1(df: DataFrame, vessel_col: str, voyage_col: str, direction_col: str,
                          new_feature_name: str = "voyage_code") -> DataFrame:
     """``vessel_voyage_direction``; an integer voyage renders as ``<NA>`` when missing."""
     voy = (key_part(F.col(voyage_col), integer=True)
-           if isinstance(dtype_of(df, voyage_col), T.IntegralType) else _code_part(df, voyage_col))
+           if isinstance(dtype_of(df, voyage_col), T.IntegralType) else _code_part(df, voyage_col, number=True))
     return df.withColumn(new_feature_name, F.concat(
         _code_part(df, vessel_col), F.lit("_"), voy, F.lit("_"), _code_part(df, direction_col)))
 

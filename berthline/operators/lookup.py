@@ -40,7 +40,8 @@ def _pick(df, key, order, fn, keep_order):
     return out.select(*[c for c in df.columns if c in out.columns])
 
 
-def map_on_key(df1: DataFrame, df2: DataFrame, key_col: str, order: str = ORD) -> DataFrame:
+def map_on_key(df1: DataFrame, df2: DataFrame, key_col: str, order: str = ORD,
+               deduplicated: bool = False) -> DataFrame:
     """Left lookup of every ``df2`` column onto ``df1`` by ``key_col``.
 
     ``df2`` is reduced to its first row per key; its columns **overwrite** same-named
@@ -49,7 +50,12 @@ def map_on_key(df1: DataFrame, df2: DataFrame, key_col: str, order: str = ORD) -
     below the broadcast threshold, otherwise the join is a shuffle join with skew
     splitting.
     """
-    dim = first_per_key(df2, key_col, order) if order in df2.columns else df2.dropDuplicates([key_col])
+    if deduplicated:
+        dim = df2.drop(order) if order in df2.columns else df2
+    elif order in df2.columns:
+        dim = first_per_key(df2, key_col, order)
+    else:
+        dim = df2.dropDuplicates([key_col])
     values = [c for c in dim.columns if c != key_col]
     left = df1.drop(*[c for c in values if c in df1.columns])
     out = left.join(dim, on=key_col, how="left")

@@ -36,6 +36,16 @@ def with_input_order(df: DataFrame, name: str = ORD) -> DataFrame:
         F.monotonically_increasing_id().alias("row")))
 
 
+def ensure_order(df: DataFrame, name: str = ORD) -> DataFrame:
+    """Keep an existing order column; else order by file position, else by in-memory position."""
+    if name in df.columns:
+        return df
+    try:
+        return with_input_order(df, name)
+    except Exception:  # noqa: BLE001 - not a file scan: no _metadata column
+        return df.withColumn(name, F.struct(F.monotonically_increasing_id().alias("row")))
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions

@@ -45,7 +45,18 @@ SHIPMENTS_SQL = """
 SHIPMENT_ORDER_SQL = "arrival_time, " + ", ".join(SHIPMENT_TIEBREAK)
 
 
+def round_half_up(c, digits: int = 4):
+    """``floor(x * 10^d + 0.5) / 10^d`` in double arithmetic.
+
+    Spark's ``round`` rounds the exact binary value while DuckDB's rounds the
+    scaled float, so exact halves (0.11625) can split; this formula is computed
+    identically by both engines.
+    """
+    scale = float(10 ** digits)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every double column (order-insensitive value hashes need stable last digits)."""
-    return df.withColumns({f.name: F.round(F.col(f.name), digits) for f in df.schema.fields
+    return df.withColumns({f.name: round_half_up(F.col(f.name), digits) for f in df.schema.fields
                            if f.dataType.typeName() == "double"})
