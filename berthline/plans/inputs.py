@@ -1,12 +1,15 @@
 """Shipment-domain inputs derived from the driver's tables (for the cleaning job and streams).
 
-* event log  <- ``lineitem``: one container event per line item; the line number
-  picks the event type, the ship date is the event date (as text), the supplier
-  picks the yard location.
-* manifest   <- ``orders`` ⋈ ``customer``: one booking per order; the customer name
-  is the consignee; priority/status/segment give the categorical columns.
-* schedule   <- ``orders``: one sailing per (vessel, year) arriving at the first
-  order date of that vessel-year.
+* event log  <- ``lineitem`` ⋈ ``orders``: one container event per line item; the line
+  number picks the event type; the event time is the order date plus a per-type
+  offset (unload 1 h, AVP 2 h, pickup 2 h + quantity hours, HLP 5 h, load -24 h),
+  except for returned items (flag ``R``), whose raw ship date is used; the
+  supplier picks the yard location.
+* manifest   <- ``orders`` ⋈ ``customer``: one booking per order on the voyage before
+  the order's week; the customer name is the consignee; priority/status/segment
+  give the categorical columns.
+* schedule   <- ``orders``: one sailing per (vessel, year-week) arriving at the first
+  order date of that vessel-week.
 
 All three are text tables, like the CSV uploads they stand for.
 """
@@ -28,19 +31,35 @@ def _txt(c):
     return c.cast("string")
 
 
+# event type -> hours after the order date (fixed offsets of this derivation)
+_OFFSET_HOURS = {"DFV": 1, "AVP": 2, "OGT": 2, "HLP": 5, "LTV": -24}
+
+
+def _voyage(ts):
+    return F.year(ts) * 100 + F.weekofyear(ts)
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
     ln = F.col("l_linenumber")
     ev = F.lit("HLP")
     for k, v in sorted(_EVENT_BY_LINE.items(), reverse=True):
         ev = F.when(ln == k, F.lit(v)).otherwise(ev)
+    hours = F.lit(0)
+    for k, v in _OFFSET_HOURS.items():
+        hours = F.when(ev == k, F.lit(v)).otherwise(hours)
+    hours = hours + F.when(ev == "OGT", F.col("l_quantity").cast("int")).otherwise(F.lit(0))
+    when = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).otherwise(
+        F.col("o_orderdate") + F.make_dt_interval(hours=hours))
     li = with_order(li, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                     "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     return li.select(
         F.concat(F.lit("EQ"), _txt(F.col("l_orderkey"))).alias("Equipment ID"),
         _txt(F.col("l_orderkey")).alias("Booking Number"),
         ev.alias("Event Type"),
-        F.date_format("l_shipdate", _TS).alias("Event Date"),
+        F.date_format(when, _TS).alias("Event Date"),
         F.concat(F.lit("STE"), _txt(F.col("l_suppkey") % 3)).alias("Inventory Location Code"),
         _txt(F.col("l_linenumber")).alias("Check Digit"),
         "_ord")
@@ -55,7 +74,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("EQ"), _txt(ok)).alias("Equipment ID"),
         _txt(ok).alias("Booking Number"),
         F.concat(F.lit("V"), _txt(F.col("o_custkey") % 5)).alias("Vessel Code"),
-        _txt(F.year("o_orderdate") - 1).alias("Voyage"),
+        _txt(_voyage(F.col("o_orderdate")) - 1).alias("Voyage"),
         F.when(F.col("o_orderpriority") < "4", "E").otherwise("W").alias("Direction Seq"),
         F.col("c_name").alias("Consignee Name"),
         F.col("o_orderpriority").alias("Shipper Name"),
@@ -77,7 +96,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     vy = o.groupBy(F.concat(F.lit("V"), _txt(F.col("o_custkey") % 5)).alias("Vessel Code"),
-                   F.year("o_orderdate").alias("Voyage Number")) \
+                   _voyage(F.col("o_orderdate")).alias("Voyage Number")) \
           .agg(F.min("o_orderdate").alias("_arrival"))
     s = with_order(vy, "Vessel Code", "Voyage Number")
     return s.select("Vessel Code", _txt(F.col("Voyage Number")).alias("Voyage Number"),
