@@ -8,30 +8,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted text layouts, tried in order; the first that parses wins.
+# Accepted text layouts beyond ISO-8601, tried in order; the first that parses wins.
+# Each has a shape test so that a parse is attempted only where it can succeed
+# (a failed pattern parse costs an exception inside the JVM).
 DEFAULT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
+    ("MM/dd/yyyy HH:mm:ss", r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$"),
+    ("MM/dd/yyyy HH:mm", r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$"),
+    ("MM/dd/yyyy", r"^\d{2}/\d{2}/\d{4}$"),
+    ("dd-MMM-yyyy HH:mm:ss", r"^\d{2}-[A-Za-z]{3}-\d{4} \d{2}:\d{2}:\d{2}$"),
+    ("dd-MMM-yyyy", r"^\d{2}-[A-Za-z]{3}-\d{4}$"),
 )
 
 
 def coerce_timestamp(c: Column, dtype: T.DataType | None = None,
-                     formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """Anything -> zone-less timestamp; unparsable -> NULL. Idempotent on timestamps."""
+                     formats: Sequence[tuple[str, str]] = DEFAULT_FORMATS) -> Column:
+    """Anything -> zone-less timestamp; unparsable -> NULL. Idempotent on timestamps.
+
+    ISO-8601 text (``2024-01-02``, ``2024-01-02 03:04:05[.ffffff]``, ``T`` separator)
+    goes through the exception-free cast; other layouts are tried in order.
+    """
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
-    s = c.cast("string")
-    parsed = [F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*parsed, s.try_cast("timestamp_ntz"))
+    s = F.trim(c.cast("string"))
+    parsed = [F.when(s.rlike(rx), F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz"))
+              for f, rx in formats]
+    return F.coalesce(s.try_cast("timestamp_ntz"), *parsed)
 
 
 def hours_between(start: Column, end: Column) -> Column:

@@ -50,13 +50,32 @@ def engineer_customer_pickup_features(
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
         decay_frame: int | None = 400, carry_over: bool = False,
-        partitions: int | None = None) -> DataFrame:
+        partitions: int | None = None, strategy: str = "window", hot_rows: int = 2_000_000,
+        chunk_rows: int | None = None) -> DataFrame:
     """Add the history features to every row.
 
     ``decay_frame`` bounds the decayed mean to the last N rows: weights below
     ``0.9**400 ~ 5e-19`` cannot change a double sum of comparable values, so
     400 is exact for such data; ``None`` uses the whole history (quadratic).
+
+    ``strategy="split"`` bounds the task size: consignees with more than
+    ``hot_rows`` rows are processed as ordered chunks of ``chunk_rows`` rows with
+    exact carry-ins (see :mod:`history_split`); ``"window"`` is one window per
+    consignee (one exchange, fastest when no consignee is huge).
     """
+    if strategy == "split":
+        from .history_split import engineer_customer_pickup_features_split
+        out = engineer_customer_pickup_features_split(
+            df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
+            decay_frame=decay_frame or 400, hot_rows=hot_rows, chunk_rows=chunk_rows)
+        if carry_over:
+            x = nan_to_null(F.col(value).cast("double"))
+            out = _carry_over(out, df, group, x, median, partitions)
+            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(SENTINEL)) for c in CARRIED
+                                   if c in out.columns})
+        return out
+    if strategy != "window":
+        raise ValueError(f"unknown strategy {strategy!r}")
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
     df = df.withColumn(time, coerce_timestamp(F.col(time), df.schema[time].dataType))

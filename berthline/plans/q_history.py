@@ -37,7 +37,7 @@ def _history(spark, sf_dir, **kw) -> DataFrame:
         _picked_up(spark, sf_dir), group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), **kw)
 
 
-@register("history_features", _PICKED_SQL + f"""
+_FLAGSHIP_SQL = _PICKED_SQL + f"""
 SELECT {_KEYS},
   round(arrival_to_pickup_time, 4) AS arrival_to_pickup_time, one_day_pickup,
   CAST(row_number() OVER w - 1 AS BIGINT) AS consignee_history_count,
@@ -59,13 +59,26 @@ WINDOW w AS ({_W}),
        p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
        r5 AS ({_W} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
        r10 AS ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)
-""")
+"""
+
+
+@register("history_features", _FLAGSHIP_SQL)
 def q_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: leakage-free consignee history for every picked-up shipment."""
     out = _history(spark, sf_dir, median=False, decayed=False)
     return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
 
 
+def q_history_features_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship features through the skew-safe path: every consignee with more than
+    16 rows is processed as ordered chunks of about 8 rows with exact carry-ins."""
+    out = _history(spark, sf_dir, median=False, decayed=False, strategy="split", hot_rows=16, chunk_rows=8)
+    return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
+
+
+register("history_features_split", _FLAGSHIP_SQL)(q_history_features_split)
+
+
 @register("history_median", _PICKED_SQL + f"""
 SELECT {_KEYS},
   round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup
