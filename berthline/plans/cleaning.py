@@ -40,7 +40,9 @@ from ..session import ensure_checkpoint_dir
 def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                          one_hot_categories: dict[str, list[str]] | None = None,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
-                         carry_over: bool = False, keep_order: bool = False) -> DataFrame:
+                         carry_over: bool = False, keep_order: bool = False,
+                         history_strategy: str = "split", hot_rows: int = 2_000_000,
+                         chunk_rows: int | None = None) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for the one-hot fit).
 
     ``one_hot_categories`` pins the dummy columns (required for streams, and it
@@ -54,6 +56,10 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     required-column filter (the lookup overwrites ``booking_number`` with the
     manifest's, NULL on a miss) and per-key features never mix keys, so the
     result is unchanged; it removes the hot ``nan_<NA>`` key early.
+
+    ``history_strategy="split"`` (default) processes consignees with more than
+    ``hot_rows`` rows as ordered chunks, so no task holds a whole huge consignee
+    (except for the running median, see :mod:`berthline.operators.history_split`).
     """
     event_df = ensure_order(event_df)
     vessel_df = ensure_order(vessel_df)
@@ -110,5 +116,6 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     # i
     df = Q.remove_duplicates(df, ORD)
     df = Q.keep_last_per_key(df, "key", ORD)
-    df = H.engineer_customer_pickup_features(df, carry_over=carry_over)
+    df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
+                                             hot_rows=hot_rows, chunk_rows=chunk_rows)
     return df if keep_order else df.drop(ORD)

@@ -34,7 +34,9 @@ def score_cleaned_files(spark: SparkSession, uploads: str, cleaned: str, predict
                           .json(cleaned).schema)
 
     def stage2(batch: DataFrame) -> DataFrame:
-        name = F.concat(F.lit("cleaned/"), F.regexp_extract(F.col("source_file"), r"cleaned_file=cleaned%2F([^/]+)/", 1))
+        # the partition folder holds the cleaned name URL-encoded (and the file URI encodes it again)
+        raw = F.url_decode(F.regexp_extract(F.col("source_file"), r"cleaned_file=([^/]+)/", 1))
+        name = F.when(raw.contains("%2F"), F.url_decode(raw)).otherwise(raw)
         scored = score_batch(batch.withColumn("prediction_file", prediction_path(name)), model_factory,
                              project=None)
         return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns], "prediction_file")
