@@ -21,7 +21,7 @@ def test_path_rules(spark):
 
 
 def _uploads(spark, root):
-    rows = [(i, f"C{i % 3}", float(i)) for i in range(30)]
+    rows = [(i, f"C{i % 4}", float(i)) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, consignee string, hours double")
     for part in range(3):
         write_csv(df.where(F.col("id") % 3 == part).coalesce(1), f"{root}/in", mode="append")
@@ -39,7 +39,7 @@ def test_stream_is_per_file_and_restartable(spark):
     run_once(spark, f"{root}/in", f"{root}/out", per_file, checkpoint=ckpt, sink_format="parquet")
     out = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/out")
     assert out.select("source_file").distinct().count() == 3
-    assert out.count() == 9 and out.agg(F.sum("n")).first()[0] == 30
+    assert out.count() == 12 and out.agg(F.sum("n")).first()[0] == 30
     before = out.count()
     run_once(spark, f"{root}/in", f"{root}/out", per_file, checkpoint=ckpt, sink_format="parquet")
     again = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/out")
