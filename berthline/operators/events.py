@@ -131,11 +131,13 @@ def calculate_journey_length(df: DataFrame, start: str = "sail_date", end: str =
 def key_event_features(df: DataFrame, key: str = "key", order: str = ORD,
                        event_col: str = "event_type", date_col: str = "event_date",
                        location_col: str = "inventory_location_code",
-                       arrival_col: str = "arrival_time") -> DataFrame:
+                       arrival_col: str = "arrival_time", with_load_date: bool = False) -> DataFrame:
     """All pre-filter per-key features of the cleaning job in one aggregate and one join.
 
     hlp_count, pickup_date, avp_date, storage_time, time_til_avp, avp_day_of_week,
-    dfv_event_date, time_to_unload, arrival_to_pickup_time, port_to_ste_time.
+    dfv_event_date, time_to_unload, arrival_to_pickup_time, port_to_ste_time
+    (and ``load_date`` with ``with_load_date``, valid when the later filter keeps
+    or drops whole keys).
     """
     df = df.withColumns({date_col: _date(df, date_col), arrival_col: _date(df, arrival_col)})
     ev = F.col(event_col)
@@ -145,6 +147,8 @@ def key_event_features(df: DataFrame, key: str = "key", order: str = ORD,
         avp_spec(event_col, date_col=date_col),
         EventStat("dfv_event_date", ev == EVENT_DFV, "max", date_col),
     ]
+    if with_load_date:
+        specs.append(EventStat("load_date", ev == EVENT_LTV, "max", date_col))
     df = event_pivot(df, key, specs, order)
     a = F.col(arrival_col)
     return (df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))

@@ -11,8 +11,10 @@ an exact *carry-in* from all earlier chunks of its consignee:
 * the last 10 values of the pickup time and last 5 one-day flags (for the
   rolling means and the previous flag).
 
-The carry table has one row per (hot consignee, chunk) -- at most
-``total_rows / hot_rows * max_chunks`` rows -- and is broadcast. Consignees
+The bounds and carry tables have one row per (hot consignee, chunk) -- at most
+``total_rows / chunk_rows`` rows -- and are broadcast. When no consignee is hot
+the plain window plan runs unchanged; otherwise the input is checkpointed once
+so the chunk-end and row branches do not recompute the upstream job. Consignees
 below the bound form a single chunk and take the plain window values, so the
 result equals :func:`history.engineer_customer_pickup_features` (to floating
 rounding for combined means/deviations of hot consignees).
@@ -32,6 +34,7 @@ from ..constants import (DECAY, LOW_HISTORY_BELOW, RATE_WINDOW, RECENT_WINDOWS,
                          WEEKEND_DAYS)
 from ..functions.numeric import nan_to_null
 from ..functions.time import coerce_timestamp
+from ..session import ensure_checkpoint_dir
 from .ordering import ORD
 
 GRID = 1024  # quantile grid for chunk boundaries; at most GRID chunks per consignee
@@ -109,7 +112,18 @@ def engineer_customer_pickup_features_split(
     chunk_rows = chunk_rows or hot_rows
     df = df.withColumn(time, coerce_timestamp(F.col(time), df.schema[time].dataType))
     if bounds is None:
-        bounds = chunk_bounds(df, group, time, hot_rows, chunk_rows)
+        # one pass over (group, time); the result has at most total_rows / chunk_rows
+        # boundaries, so it is small, and it is materialized so it is computed once
+        ensure_checkpoint_dir(df.sparkSession)
+        bounds = chunk_bounds(df, group, time, hot_rows, chunk_rows).checkpoint(eager=True)
+        if bounds.isEmpty():
+            from .history import engineer_customer_pickup_features
+            return engineer_customer_pickup_features(
+                df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
+                decay_frame=decay_frame, strategy="window")
+        # the split plan reads its input several times (bounds join, chunk ends, rows):
+        # materialize it once instead of recomputing the upstream job in every branch
+        df = df.checkpoint(eager=True)
     t = _epoch(F.col(time))
     rows = (df.join(F.broadcast(bounds), group, "left")
               .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0))

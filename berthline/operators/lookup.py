@@ -41,7 +41,7 @@ def _pick(df, key, order, fn, keep_order):
 
 
 def map_on_key(df1: DataFrame, df2: DataFrame, key_col: str, order: str = ORD,
-               deduplicated: bool = False) -> DataFrame:
+               deduplicated: bool = False, how: str = "left") -> DataFrame:
     """Left lookup of every ``df2`` column onto ``df1`` by ``key_col``.
 
     ``df2`` is reduced to its first row per key; its columns **overwrite** same-named
@@ -58,7 +58,7 @@ def map_on_key(df1: DataFrame, df2: DataFrame, key_col: str, order: str = ORD,
         dim = df2.dropDuplicates([key_col])
     values = [c for c in dim.columns if c != key_col]
     left = df1.drop(*[c for c in values if c in df1.columns])
-    out = left.join(dim, on=key_col, how="left")
+    out = left.join(dim, on=key_col, how=how)
     ordered = [c for c in df1.columns] + [c for c in values if c not in df1.columns]
     return out.select(*ordered)
 

@@ -75,9 +75,11 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     # b
     manifest = L.first_per_key(vessel_df, "key", ORD)
     if early_prune and "booking_number" in manifest.columns:
-        live = manifest.where(F.col("booking_number").isNotNull()).select("key")
-        event_df = event_df.join(live, "key", "left_semi")
-    df = L.map_on_key(event_df, manifest, "key", deduplicated=True)
+        # lookup and prune in one join: only keys whose manifest row has a booking number live
+        live = manifest.where(F.col("booking_number").isNotNull())
+        df = L.map_on_key(event_df, live, "key", deduplicated=True, how="inner")
+    else:
+        df = L.map_on_key(event_df, manifest, "key", deduplicated=True)
 
     # c
     schedule_df = C.create_voyage_code(schedule_df, "vessel_code", "voyage_number")
@@ -89,14 +91,20 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     df = C.remove_columns(df, DROP_COLUMNS)
     df = C.standardize_datetime_columns(df, DATE_COLUMNS)
 
-    # e
-    df = EV.key_event_features(df)
+    # e (+ g's load date when it cannot depend on the filter)
+    # The sailing code, hence the arrival time, is built from vessel/voyage/direction.
+    # When the manifest owns those columns the lookup makes them constant per key, so
+    # every duration is constant per key, the filter keeps or drops whole keys, and the
+    # latest LTV date of the surviving rows equals that of all rows of the key.
+    per_key_arrival = all(c in vessel_df.columns for c in ("vessel_code", "voyage", "direction_seq"))
+    df = EV.key_event_features(df, with_load_date=per_key_arrival)
 
     # f
     df = Q.remove_negative_values(df, NON_NEGATIVE_COLUMNS)
 
     # g
-    df = EV.add_load_date(df)
+    if not per_key_arrival:
+        df = EV.add_load_date(df)
     df = C.create_binary_feature(df, "arrival_to_pickup_time", ONE_DAY_HOURS, "one_day_pickup")
 
     # h

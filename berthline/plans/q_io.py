@@ -16,7 +16,7 @@ from ..sources.records import read_records, write_records
 from .cleaning import clean_container_data
 from .inputs import event_log, manifest, schedule
 from .registry import register
-from .scoring import score_cleaned_files
+from .scoring import clean_uploads, score_cleaned, score_cleaned_files
 from .tables import SHIPMENTS_SQL, rounded, shipments, table
 
 
@@ -168,3 +168,25 @@ def q_file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
              "stowage_priority double"
     preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")
     return rounded(preds.select(*SCORED_COLUMNS))
+
+
+@register("upload_clean_score")
+def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + C3 end to end: the manifest derived from orders lands as one CSV upload per order
+    status; each upload is cleaned against the static event log and schedule, written as
+    record JSON, then scored into prediction files. Rows-only check (per-upload history)."""
+    root = scratch_path(spark, "upload-clean-score")
+    m = manifest(spark, sf_dir)
+    for status in ("F", "O", "P"):
+        write_csv(m.where(F.col("Carrier Code") == status).drop("_ord"), f"{root}/raw/clean_input", mode="append")
+    # the static side tables are files, as in the surveyed job (written once, read per upload)
+    event_log(spark, sf_dir).write.parquet(f"{root}/static/events")
+    schedule(spark, sf_dir).write.parquet(f"{root}/static/schedule")
+    events = spark.read.parquet(f"{root}/static/events")
+    sched = spark.read.parquet(f"{root}/static/schedule")
+    clean_uploads(spark, f"{root}/raw/clean_input", f"{root}/cleaned", events, sched)
+    score_cleaned(spark, f"{root}/cleaned", f"{root}/predictions", priority_stub)
+    schema = "equipment_id string, booking_number bigint, consignee_name string, voyage_code string, " \
+             "stowage_priority double"
+    preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")
+    return rounded(preds.select(*SCORED_COLUMNS))

@@ -1,4 +1,13 @@
-"""Upload -> cleaned records -> predictions, as two chained file-arrival streams."""
+"""Upload -> cleaned records -> predictions, as two chained file-arrival streams.
+
+* :func:`clean_uploads` (upload -> clean -> write): every manifest CSV that lands
+  under the upload folder runs the whole cleaning job against the static event
+  log and schedule; the cleaned rows are written as record JSON under a
+  ``cleaned/<upload name>.json`` partition.
+* :func:`score_cleaned` (cleaned file -> score -> write): every cleaned file is
+  scored and cut to the scored-output columns under the
+  ``predictions/<name>_predictions.json`` partition.
+"""
 
 from __future__ import annotations
 
@@ -6,42 +15,70 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import SCORED_COLUMNS
 from ..operators.score import ModelFn, score_batch
 from ..sources.paths import cleaned_path, prediction_path
 from ..sources.records import to_records
 from ..streaming.arrival import run_once
+from .cleaning import clean_container_data
 
 
-def score_cleaned_files(spark: SparkSession, uploads: str, cleaned: str, predictions: str,
-                        clean: Callable[[DataFrame], DataFrame], model_factory: Callable[[], ModelFn],
-                        upload_glob: str = "*.csv", cleaned_schema: str | None = None) -> None:
-    """Run both stages over every file present now.
-
-    Stage 1 (upload -> clean): each upload is cleaned by ``clean`` and written as
-    record JSON partitioned by its ``cleaned/<name>.json`` name. Stage 2 (cleaned ->
-    predictions): each cleaned file is scored and projected to the scored-output
-    columns, partitioned by the ``predictions/..._predictions.json`` name.
-    """
-    def stage1(batch: DataFrame) -> DataFrame:
+def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable[[DataFrame], DataFrame],
+                upload_glob: str = "*.csv") -> None:
+    """Stage 1 with any per-file cleaning function (``source_file`` is kept by ``clean``)."""
+    def stage(batch: DataFrame) -> DataFrame:
         out = to_records(clean(batch))
         return out.withColumn("cleaned_file", cleaned_path(F.col("source_file"))).drop("source_file")
 
-    run_once(spark, uploads, cleaned, stage1, fmt="csv", glob=upload_glob, partition_by="cleaned_file")
+    run_once(spark, uploads, cleaned, stage, fmt="csv", glob=upload_glob, partition_by="cleaned_file")
+
+
+def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataFrame, schedule: DataFrame,
+                  upload_glob: str = "*.csv", **clean_kw) -> None:
+    """C2: each uploaded manifest file is cleaned on its own (history never spans uploads)."""
+    def per_upload(batch: DataFrame) -> DataFrame:
+        src = batch.select("source_file").distinct().collect()  # one row per file of this micro-batch
+        outs = []
+        for r in src:
+            manifest = batch.where(F.col("source_file") == r["source_file"]).drop("source_file")
+            out = clean_container_data(events, manifest, schedule, **clean_kw)
+            outs.append(out.withColumn("source_file", F.lit(r["source_file"])))
+        res = outs[0]
+        for o in outs[1:]:
+            res = res.unionByName(o, allowMissingColumns=True)
+        return res
+
+    clean_files(spark, uploads, cleaned, per_upload, upload_glob)
+
+
+def _cleaned_name(source: F.Column) -> F.Column:
+    # the partition folder holds the cleaned name URL-encoded (and the file URI encodes it again)
+    raw = F.url_decode(F.regexp_extract(source, r"cleaned_file=([^/]+)/", 1))
+    return F.when(raw.contains("%2F"), F.url_decode(raw)).otherwise(raw)
+
+
+def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_factory: Callable[[], ModelFn],
+                  cleaned_schema: T.StructType | str | None = None) -> None:
+    """C3: score every cleaned record file; keep the scored-output columns."""
     if cleaned_schema is None:
         cleaned_schema = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
                           .json(cleaned).schema)
+    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) else T._parse_datatype_string(cleaned_schema)
 
-    def stage2(batch: DataFrame) -> DataFrame:
-        # the partition folder holds the cleaned name URL-encoded (and the file URI encodes it again)
-        raw = F.url_decode(F.regexp_extract(F.col("source_file"), r"cleaned_file=([^/]+)/", 1))
-        name = F.when(raw.contains("%2F"), F.url_decode(raw)).otherwise(raw)
-        scored = score_batch(batch.withColumn("prediction_file", prediction_path(name)), model_factory,
-                             project=None)
+    def stage(batch: DataFrame) -> DataFrame:
+        named = batch.withColumn("prediction_file", prediction_path(_cleaned_name(F.col("source_file"))))
+        scored = score_batch(named, model_factory, project=None)
         return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns], "prediction_file")
 
-    from pyspark.sql import types as T
-    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) else T._parse_datatype_string(cleaned_schema)
-    run_once(spark, cleaned, predictions, stage2, fmt="json", glob="*.json", schema=schema,
+    run_once(spark, cleaned, predictions, stage, fmt="json", glob="*.json", schema=schema,
              partition_by="prediction_file", recursive=True)
+
+
+def score_cleaned_files(spark: SparkSession, uploads: str, cleaned: str, predictions: str,
+                        clean: Callable[[DataFrame], DataFrame], model_factory: Callable[[], ModelFn],
+                        upload_glob: str = "*.csv", cleaned_schema: str | None = None) -> None:
+    """Both stages over every file present now, with a custom per-file cleaning function."""
+    clean_files(spark, uploads, cleaned, clean, upload_glob)
+    score_cleaned(spark, cleaned, predictions, model_factory, cleaned_schema)
