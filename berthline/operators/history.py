@@ -51,7 +51,7 @@ def engineer_customer_pickup_features(
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
         decay_frame: int | None = 400, carry_over: bool = False,
         partitions: int | None = None, strategy: str = "window", hot_rows: int = 2_000_000,
-        chunk_rows: int | None = None) -> DataFrame:
+        chunk_rows: int | None = None, materialized: bool = False) -> DataFrame:
     """Add the history features to every row.
 
     ``decay_frame`` bounds the decayed mean to the last N rows: weights below
@@ -67,7 +67,8 @@ def engineer_customer_pickup_features(
         from .history_split import engineer_customer_pickup_features_split
         out = engineer_customer_pickup_features_split(
             df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
-            decay_frame=decay_frame or 400, hot_rows=hot_rows, chunk_rows=chunk_rows)
+            decay_frame=decay_frame or 400, hot_rows=hot_rows, chunk_rows=chunk_rows,
+            materialized=materialized)
         if carry_over:
             x = nan_to_null(F.col(value).cast("double"))
             out = _carry_over(out, df, group, x, median, partitions)

@@ -37,7 +37,7 @@ from ..functions.time import coerce_timestamp
 from ..session import ensure_checkpoint_dir
 from .ordering import ORD
 
-GRID = 1024  # quantile grid for chunk boundaries; at most GRID chunks per consignee
+MAX_GRID = 65536  # at most this many chunks per consignee
 TAIL = max(RECENT_WINDOWS)
 
 
@@ -45,16 +45,28 @@ def _epoch(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts).cast("double")
 
 
-def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int) -> DataFrame:
-    """(group, _bounds): ascending time boundaries for consignees with more than ``hot_rows`` rows."""
+def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int) -> DataFrame | None:
+    """(group, _bounds): ascending time boundaries for consignees with more than ``hot_rows`` rows.
+
+    Returns None when no consignee is hot. The hot table has at most
+    ``total_rows / hot_rows`` rows and the boundaries at most ``total_rows / chunk_rows``
+    values in all; both are materialized in the shared folder. The quantile grid is
+    sized from the largest hot consignee so chunks stay near ``chunk_rows`` rows.
+    """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows)  # bounded: total_rows / hot_rows rows
-    grid = [i / GRID for i in range(1, GRID)]
+    hot = counts.where(F.col("_n") > hot_rows).checkpoint(eager=True)
+    top = hot.agg(F.max("_n").alias("m")).first()["m"]
+    if top is None:
+        return None
+    need = -(-top // chunk_rows)
+    grid = min(MAX_GRID, max(2, 1 << (need - 1).bit_length()))
+    pcts = [i / grid for i in range(1, grid)]
     q = (df.select(group, _epoch(F.col(time)).alias("_t")).join(F.broadcast(hot), group, "left_semi")
-         .groupBy(group).agg(F.percentile_approx("_t", grid, 10 * GRID).alias("_q")))
-    step = F.greatest(F.lit(1), F.floor(F.lit(GRID) / F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("int"))
+         .groupBy(group).agg(F.percentile_approx("_t", pcts, max(10000, 8 * grid)).alias("_q")))
+    step = F.greatest(F.lit(1), F.floor(F.lit(grid) / F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("int"))
     return q.join(F.broadcast(hot), group).select(
-        group, F.array_distinct(F.filter("_q", lambda b, i: ((i + 1) % step) == 0)).alias("_bounds"))
+        group, F.array_distinct(F.filter("_q", lambda b, i: ((i + 1) % step) == 0)).alias("_bounds")
+    ).checkpoint(eager=True)
 
 
 def _fold_moments(items: Column) -> Column:
@@ -105,7 +117,7 @@ def engineer_customer_pickup_features_split(
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
         decay_frame: int = 400, hot_rows: int = 2_000_000, chunk_rows: int | None = None,
-        bounds: DataFrame | None = None) -> DataFrame:
+        bounds: DataFrame | None = None, materialized: bool = False) -> DataFrame:
     """Same features as the plain window version, with hot consignees split into chunks."""
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
@@ -115,15 +127,16 @@ def engineer_customer_pickup_features_split(
         # one pass over (group, time); the result has at most total_rows / chunk_rows
         # boundaries, so it is small, and it is materialized so it is computed once
         ensure_checkpoint_dir(df.sparkSession)
-        bounds = chunk_bounds(df, group, time, hot_rows, chunk_rows).checkpoint(eager=True)
-        if bounds.isEmpty():
+        bounds = chunk_bounds(df, group, time, hot_rows, chunk_rows)
+        if bounds is None:
             from .history import engineer_customer_pickup_features
             return engineer_customer_pickup_features(
                 df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
                 decay_frame=decay_frame, strategy="window")
         # the split plan reads its input several times (bounds join, chunk ends, rows):
         # materialize it once instead of recomputing the upstream job in every branch
-        df = df.checkpoint(eager=True)
+        if not materialized:
+            df = df.checkpoint(eager=True)
     t = _epoch(F.col(time))
     rows = (df.join(F.broadcast(bounds), group, "left")
               .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0))
@@ -137,7 +150,7 @@ def engineer_customer_pickup_features_split(
     w = Window.partitionBy(group, "_chunk").orderBy(time, *tiebreak)
     prev = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(group, "_chunk")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same spec: one sort
 
     # ---- carry table: one row per (hot consignee, chunk), folded over earlier chunks
     ends = rows.where("_hot").select(

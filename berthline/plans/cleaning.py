@@ -124,6 +124,14 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     # i
     df = Q.remove_duplicates(df, ORD)
     df = Q.keep_last_per_key(df, "key", ORD)
+    materialized = False
+    if history_strategy == "split":
+        # one row per shipment: far smaller than the event log, and the split history
+        # reads it more than once (hot-consignee counts, then the windows)
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        materialized = True
     df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
-                                             hot_rows=hot_rows, chunk_rows=chunk_rows)
+                                             hot_rows=hot_rows, chunk_rows=chunk_rows,
+                                             materialized=materialized)
     return df if keep_order else df.drop(ORD)
