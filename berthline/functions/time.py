@@ -38,8 +38,18 @@ def coerce_timestamp(c: Column, dtype: T.DataType | None = None,
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    """``(end - start)`` in fractional hours, exact to the microsecond (NULL if either is NULL)."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(3.6e9)
+    """``(end - start)`` in fractional hours, exact to the microsecond (NULL if either is NULL).
+
+    Computed from the day-time interval ``end - start``, which for zone-less
+    timestamps is plain wall-clock arithmetic: the session time zone (and its
+    daylight-saving shifts) never enters.
+    """
+    d = end - start
+    micros = (F.extract(F.lit("DAY"), d).cast("bigint") * F.lit(86_400_000_000)
+              + F.extract(F.lit("HOUR"), d).cast("bigint") * F.lit(3_600_000_000)
+              + F.extract(F.lit("MINUTE"), d).cast("bigint") * F.lit(60_000_000)
+              + (F.extract(F.lit("SECOND"), d) * F.lit(1_000_000)).cast("bigint"))
+    return micros / F.lit(3.6e9)
 
 
 def day_name(ts: Column) -> Column:

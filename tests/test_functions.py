@@ -70,3 +70,17 @@ def test_strict_integer_coercion_raises(spark):
     except Exception:  # noqa: BLE001
         return
     raise AssertionError("fractional value accepted in strict mode")
+
+
+def test_durations_ignore_session_time_zone(spark):
+    from berthline.functions.time import hours_between
+    df = spark.createDataFrame([("2024-03-10 01:00:00", "2024-03-10 03:00:00.250001"),
+                                ("2024-11-03 00:30:00", "2024-11-03 02:30:00")], "a string, b string")
+    df = df.select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r.h for r in df.select(hours_between(F.col("a"), F.col("b")).alias("h")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [7200250001 / 3.6e9, 2.0]
