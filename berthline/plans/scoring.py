@@ -65,7 +65,7 @@ def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_fac
     if cleaned_schema is None:
         cleaned_schema = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
                           .json(cleaned).schema)
-    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) else T._parse_datatype_string(cleaned_schema)
+    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) else T.StructType.fromDDL(cleaned_schema)
 
     def stage(batch: DataFrame) -> DataFrame:
         named = batch.withColumn("prediction_file", prediction_path(_cleaned_name(F.col("source_file"))))
