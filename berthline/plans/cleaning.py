@@ -25,8 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (DATE_COLUMNS, DROP_COLUMNS, NON_NEGATIVE_COLUMNS, NULL_FILLS,
-                         ONE_DAY_HOURS, ONE_HOT_COLUMNS, REQUIRED_COLUMNS)
+from ..constants import (DATE_COLUMNS, DROP_COLUMNS, EVENT_AVP, EVENT_DFV, EVENT_HLP, EVENT_LTV,
+                         EVENT_PICKUP, NON_NEGATIVE_COLUMNS, NULL_FILLS, ONE_DAY_HOURS, ONE_HOT_COLUMNS,
+                         PICKUP_LOCATIONS, REQUIRED_COLUMNS)
+from ..functions.text import normalise_header
+from ..functions.time import hours_between
 from ..operators import columns as C
 from ..operators import events as EV
 from ..operators import history as H
@@ -38,6 +41,129 @@ from ..session import ensure_checkpoint_dir
 
 
 def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
+                         one_hot_categories: dict[str, list[str]] | None = None,
+                         early_prune: bool = True, checkpoint_before_fit: bool = True,
+                         carry_over: bool = False, keep_order: bool = False,
+                         history_strategy: str = "split", hot_rows: int = 2_000_000,
+                         chunk_rows: int | None = None, plan: str = "auto") -> DataFrame:
+    """Run the whole cleaning job; returns the cleaned rows (lazy except for materializations).
+
+    ``plan="rows"`` follows the surveyed steps row by row. ``plan="collapsed"``
+    (chosen by ``"auto"`` when the manifest owns ``vessel_code``, ``voyage`` and
+    ``direction_seq``) reduces the event log to one row per key first, which is
+    exact because then every filter keeps or drops whole keys (see
+    :func:`_collapsed_plan`). Other options are described in :func:`_row_plan`.
+    """
+    kw = dict(one_hot_categories=one_hot_categories, checkpoint_before_fit=checkpoint_before_fit,
+              carry_over=carry_over, keep_order=keep_order, history_strategy=history_strategy,
+              hot_rows=hot_rows, chunk_rows=chunk_rows)
+    if plan == "auto":
+        names = {normalise_header(c) for c in vessel_df.columns}
+        plan = "collapsed" if {"vessel_code", "voyage", "direction_seq"} <= names else "rows"
+    if plan == "collapsed":
+        return _collapsed_plan(event_df, vessel_df, schedule_df, **kw)
+    if plan != "rows":
+        raise ValueError(f"unknown plan {plan!r}")
+    return _row_plan(event_df, vessel_df, schedule_df, early_prune=early_prune, **kw)
+
+
+def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
+                    one_hot_categories=None, checkpoint_before_fit: bool = True,
+                    carry_over: bool = False, keep_order: bool = False,
+                    history_strategy: str = "split", hot_rows: int = 2_000_000,
+                    chunk_rows: int | None = None, broadcast_keys: int = 2_000_000) -> DataFrame:
+    """The cleaning job with the event log reduced to one row per key up front.
+
+    Why it is exact: the lookup overwrites the manifest's columns onto every event
+    row of a key, so vessel/voyage/direction, hence the sailing code and arrival
+    time, are constant per key; every duration is a per-key statistic minus that
+    arrival, and the required columns come from the manifest or are durations. So
+    both filters keep or drop whole keys, and the surviving rows of a key are all
+    its rows. The full-row distinct only compares event columns (everything else is
+    constant per key), and keep-last picks the distinct row whose first copy is
+    latest. Two aggregates therefore give every per-key fact:
+
+    1. ``groupBy(key, event columns)`` -> first position and number of copies
+    2. ``groupBy(key)`` -> HLP count (copies summed), first pickup / AVP date (by
+       first position), latest DFV / LTV date, and the last distinct row
+
+    Both aggregate map-side before their shuffle (a hot key collapses early), and
+    all later steps run on the per-key table. Keys whose manifest row has no
+    booking number cannot survive the required-column filter and are dropped in
+    the manifest join.
+    """
+    ev = C.standardize_column_names(ensure_order(event_df))
+    mf = C.standardize_column_names(ensure_order(vessel_df))
+    sc = C.standardize_column_names(ensure_order(schedule_df))
+    ev = C.create_key_feature(ev)
+    mf = C.create_key_feature(mf)
+
+    manifest = L.first_per_key(mf, "key", ORD)
+    if "booking_number" in manifest.columns:
+        manifest = manifest.where(F.col("booking_number").isNotNull())
+    # event columns that survive the overwrite and the drop list
+    ev_cols = [c for c in ev.columns
+               if c not in manifest.columns and c not in DROP_COLUMNS and c not in (ORD,)]
+    ev = ev.select("key", *ev_cols, ORD)
+    ev = C.standardize_datetime_columns(ev, DATE_COLUMNS)
+    # keep only events of live bookings; the manifest is an upload, so its key set is
+    # usually small: broadcast it (filter map-side, then aggregate map-side) when a
+    # count shows at most ``broadcast_keys`` keys, else a shuffle join on the key
+    live = manifest.select("key")
+    if live.count() <= broadcast_keys:
+        live = F.broadcast(live)
+    ev = ev.join(live, "key", "left_semi")
+
+    e, loc, d = F.col("event_type"), F.col("inventory_location_code"), F.col("event_date")
+    distinct_rows = ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"),
+                                                   F.count(F.lit(1)).alias("_copies"))
+    pick = (e == EVENT_PICKUP) & loc.isin(*PICKUP_LOCATIONS) & d.isNotNull()
+    avp = (e == EVENT_AVP) & d.isNotNull()
+    per_key = distinct_rows.groupBy("key").agg(
+        F.coalesce(F.sum(F.when(e == EVENT_HLP, F.col("_copies"))), F.lit(0)).cast("bigint").alias("hlp_count"),
+        F.min_by(F.when(pick, d), F.when(pick, F.col("_first"))).alias("pickup_date"),
+        F.min_by(F.when(avp, d), F.when(avp, F.col("_first"))).alias("avp_date"),
+        F.max(F.when(e == EVENT_DFV, d)).alias("dfv_event_date"),
+        F.max(F.when(e == EVENT_LTV, d)).alias("load_date"),
+        F.max_by(F.struct(*[F.col(c) for c in ev_cols], F.col("_first").alias(ORD)), F.col("_first")).alias("_row"))
+    per_key = per_key.select("key", *[F.col("_row")[c].alias(c) for c in ev_cols], F.col("_row")[ORD].alias(ORD),
+                             "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date")
+
+    df = per_key.join(manifest.drop(ORD), "key", "inner")
+    sc = C.create_voyage_code(sc, "vessel_code", "voyage_number")
+    df = C.add_next_voyage(df, "voyage")
+    df = C.create_voyage_code_1(df, "vessel_code", "next_voyage", "direction_seq")
+    df = L.add_arrival_time(df, sc)
+    df = C.remove_columns(df, DROP_COLUMNS)
+    df = C.standardize_datetime_columns(df, DATE_COLUMNS)
+
+    a = F.col("arrival_time")
+    df = (df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))
+            .withColumn("time_til_avp", hours_between(a, F.col("avp_date")))
+            .withColumn("avp_day_of_week", F.date_format(F.col("avp_date"), "EEEE"))
+            .withColumn("time_to_unload", hours_between(a, F.col("dfv_event_date")))
+            .withColumn("arrival_to_pickup_time", hours_between(a, F.col("pickup_date")))
+            .withColumn("port_to_ste_time", F.col("time_til_avp") - F.col("time_to_unload")))
+    df = Q.remove_negative_values(df, NON_NEGATIVE_COLUMNS)
+    df = C.create_binary_feature(df, "arrival_to_pickup_time", ONE_DAY_HOURS, "one_day_pickup")
+    df = Q.remove_null_records(df, REQUIRED_COLUMNS)
+    df = EV.calculate_journey_length(df)
+    for col, value in NULL_FILLS:
+        df = C.fill_null_values(df, col, value)
+    # one row per key from here on: materialize once, then fit, encode and build history
+    ensure_checkpoint_dir(df.sparkSession)
+    if one_hot_categories is None or history_strategy == "split":
+        df = df.checkpoint(eager=True)
+    model = (OneHotModel(dict(one_hot_categories)) if one_hot_categories is not None
+             else fit_one_hot(df, ONE_HOT_COLUMNS))
+    df = model.transform(df)
+    df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
+                                             hot_rows=hot_rows, chunk_rows=chunk_rows,
+                                             materialized=history_strategy == "split")
+    return df if keep_order else df.drop(ORD)
+
+
+def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                          one_hot_categories: dict[str, list[str]] | None = None,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
                          carry_over: bool = False, keep_order: bool = False,

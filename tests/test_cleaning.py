@@ -44,10 +44,10 @@ def _same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("early_prune", [True, False])
-def test_cleaning_matches_pandas_oracle(spark, inputs, early_prune):
+@pytest.mark.parametrize("plan,early_prune", [("rows", True), ("rows", False), ("collapsed", True)])
+def test_cleaning_matches_pandas_oracle(spark, inputs, plan, early_prune):
     ev, mf, sc = inputs
-    got = clean_container_data(ev, mf, sc, early_prune=early_prune).toPandas()
+    got = clean_container_data(ev, mf, sc, early_prune=early_prune, plan=plan).toPandas()
     want = clean(_ranked(ev), _ranked(mf), _ranked(sc))
     assert len(got) > 0 and len(got) == len(want)
     assert sorted(c for c in got.columns if "_" in c and c.startswith(("trade_route", "pds_code"))) == \
@@ -60,6 +60,15 @@ def test_cleaning_matches_pandas_oracle(spark, inputs, early_prune):
         assert not bad, (col, bad[:3], [(g.at[k, col], w.at[k, col]) for k in bad[:3]])
 
 
+def test_collapsed_plan_is_chosen_and_equals_rows(spark, inputs):
+    ev, mf, sc = inputs
+    a = clean_container_data(ev, mf, sc, plan="rows", keep_order=True)
+    b = clean_container_data(ev, mf, sc, keep_order=True)  # auto -> collapsed for this manifest
+    assert sorted(a.columns) == sorted(b.columns)
+    cols = sorted(a.columns)
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
 def test_pinned_categories_skip_the_fit(spark, inputs):
     ev, mf, sc = inputs
     cats = {"empty_full_code": ["E", "F"], "trade_route": ["A", "B"], "pds_code": ["P1", "P2", "Unknown"],
