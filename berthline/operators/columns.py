@@ -102,10 +102,11 @@ def add_next_voyage(df: DataFrame, feature_name: str) -> DataFrame:
 
 def standardize_datetime_columns(df: DataFrame, columns: Iterable[str] = DATE_COLUMNS) -> DataFrame:
     """Parse the listed columns to timestamps (unparsable -> NULL); absent columns are skipped."""
-    present = [c for c in columns if c in df.columns]
+    schema = df.schema
+    present = [c for c in columns if c in schema.names]
     if not present:
         return df
-    return df.withColumns({c: coerce_timestamp(F.col(c), dtype_of(df, c)) for c in present})
+    return df.withColumns({c: coerce_timestamp(F.col(c), schema[c].dataType) for c in present})
 
 
 def add_day_of_week(df: DataFrame, datetime_col: str, new_col: str = "avp_day_of_week") -> DataFrame:
@@ -149,6 +150,3 @@ def bools_to_ints(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
         return df
     return df.withColumns({n: F.col(n).cast("int") for n in names})
 
-
-def null_text(c: Column) -> Column:
-    return F.coalesce(c, F.lit(NULL_TEXT))

@@ -54,10 +54,11 @@ def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows
     sized from the largest hot consignee so chunks stay near ``chunk_rows`` rows.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_rows).checkpoint(eager=True)
-    top = hot.agg(F.max("_n").alias("m")).first()["m"]
+    hot = counts.where(F.col("_n") > hot_rows)
+    top = hot.agg(F.max("_n").alias("m")).first()["m"]  # one small job; None when nothing is hot
     if top is None:
         return None
+    hot = hot.checkpoint(eager=True)
     need = -(-top // chunk_rows)
     grid = min(MAX_GRID, max(2, 1 << (need - 1).bit_length()))
     pcts = [i / grid for i in range(1, grid)]

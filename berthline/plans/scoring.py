@@ -26,19 +26,27 @@ from .cleaning import clean_container_data
 
 
 def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable[[DataFrame], DataFrame],
-                upload_glob: str = "*.csv") -> None:
+                upload_glob: str = "*.csv", max_files: int = 1) -> None:
     """Stage 1 with any per-file cleaning function (``source_file`` is kept by ``clean``)."""
     def stage(batch: DataFrame) -> DataFrame:
         out = to_records(clean(batch))
         return out.withColumn("cleaned_file", cleaned_path(F.col("source_file"))).drop("source_file")
 
-    run_once(spark, uploads, cleaned, stage, fmt="csv", glob=upload_glob, partition_by="cleaned_file")
+    run_once(spark, uploads, cleaned, stage, fmt="csv", glob=upload_glob, partition_by="cleaned_file",
+             max_files=max_files)
 
 
 def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataFrame, schedule: DataFrame,
-                  upload_glob: str = "*.csv", **clean_kw) -> None:
-    """C2: each uploaded manifest file is cleaned on its own (history never spans uploads)."""
+                  upload_glob: str = "*.csv", max_files: int = 1, **clean_kw) -> None:
+    """C2: each uploaded manifest file is cleaned on its own (history never spans uploads).
+
+    With one file per micro-batch (the default) the batch *is* the upload and its
+    ``source_file`` travels through the job as a manifest column (constant per key).
+    Batches of several files are cleaned file by file.
+    """
     def per_upload(batch: DataFrame) -> DataFrame:
+        if max_files == 1:
+            return clean_container_data(events, batch, schedule, **clean_kw)
         src = batch.select("source_file").distinct().collect()  # one row per file of this micro-batch
         outs = []
         for r in src:
@@ -50,7 +58,7 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
             res = res.unionByName(o, allowMissingColumns=True)
         return res
 
-    clean_files(spark, uploads, cleaned, per_upload, upload_glob)
+    clean_files(spark, uploads, cleaned, per_upload, upload_glob, max_files)
 
 
 def _cleaned_name(source: F.Column) -> F.Column:
