@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..constants import (DECAY, LOW_HISTORY_BELOW, RATE_WINDOW, RECENT_WINDOWS, SENTINEL,
                          WEEKEND_DAYS)
 from ..functions.numeric import nan_to_null
-from ..functions.time import coerce_timestamp
+from ..functions.time import coerce_timestamp, micros_since_epoch
 from ..session import ensure_checkpoint_dir
 from .ordering import ORD
 
@@ -42,7 +42,7 @@ TAIL = max(RECENT_WINDOWS)
 
 
 def _epoch(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts).cast("double")
+    return micros_since_epoch(ts).cast("double")
 
 
 def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int) -> DataFrame | None:

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPOCH = "1970-01-01 00:00:00"
-
+from ..functions.time import micros_since_epoch
 
 def epoch_millis(c, dtype: T.DataType):
     """Milliseconds since the epoch; zone-less timestamps are taken as UTC wall clock."""
     if isinstance(dtype, T.TimestampType):
         return F.unix_millis(c)
-    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c.cast("timestamp_ntz"))
+    return F.floor(micros_since_epoch(c.cast("timestamp_ntz")) / F.lit(1000)).cast("bigint")
 
 
 def to_records(df: DataFrame, digits: int = 10) -> DataFrame:

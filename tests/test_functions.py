@@ -84,3 +84,11 @@ def test_durations_ignore_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [7200250001 / 3.6e9, 2.0]
+
+
+def test_other_date_layouts(spark):
+    df = spark.createDataFrame([("12/31/2023 23:59",), ("07-Jan-2024",), ("07-jan-2024 01:02:03",), ("13/45/2024",),
+                                ("2024-02-30",)], "d string")
+    got = [r.d for r in standardize_datetime_columns(df, ["d"]).collect()]
+    assert got == [dt.datetime(2023, 12, 31, 23, 59), dt.datetime(2024, 1, 7), dt.datetime(2024, 1, 7, 1, 2, 3),
+                   None, None]
