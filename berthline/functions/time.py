@@ -21,8 +21,8 @@ def _month_number(abbr: Column) -> Column:
     return m[F.upper(abbr)]
 
 
-def coerce_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
-    """Anything -> zone-less timestamp; unparsable -> NULL. Idempotent on timestamps.
+def coerce_timestamp(c: Column, dtype: T.DataType | None = None, strict: bool = False) -> Column:
+    """Anything -> zone-less timestamp; unparsable -> NULL (``strict``: an error). Idempotent.
 
     ISO-8601 text (``2024-01-02``, ``2024-01-02 03:04:05[.ffffff]``, ``T`` separator)
     is cast directly; ``MM/dd/yyyy[ HH:mm[:ss]]`` and ``dd-MMM-yyyy[ HH:mm[:ss]]`` are
@@ -37,7 +37,11 @@ def coerce_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
     dmy = F.when(s.rlike(_DMY), F.concat(F.regexp_extract(s, _DMY, 3), F.lit("-"),
                                          _month_number(F.regexp_extract(s, _DMY, 2)), F.lit("-"),
                                          F.regexp_extract(s, _DMY, 1), F.regexp_extract(s, _DMY, 4)))
-    return F.coalesce(s.try_cast("timestamp_ntz"), us.try_cast("timestamp_ntz"), dmy.try_cast("timestamp_ntz"))
+    out = F.coalesce(s.try_cast("timestamp_ntz"), us.try_cast("timestamp_ntz"), dmy.try_cast("timestamp_ntz"))
+    if strict:
+        out = F.when(s.isNull() | out.isNotNull(), out).otherwise(
+            F.raise_error(F.concat(F.lit("cannot parse as a timestamp: "), s)))
+    return out
 
 
 def micros_since_epoch(ts: Column) -> Column:

@@ -110,8 +110,11 @@ def standardize_datetime_columns(df: DataFrame, columns: Iterable[str] = DATE_CO
 
 
 def add_day_of_week(df: DataFrame, datetime_col: str, new_col: str = "avp_day_of_week") -> DataFrame:
-    """Full day name of ``datetime_col`` into ``avp_day_of_week`` (the output name is fixed)."""
-    ts = coerce_timestamp(F.col(datetime_col), dtype_of(df, datetime_col))
+    """Full day name of ``datetime_col`` into ``avp_day_of_week`` (the output name is fixed).
+
+    Text is parsed strictly, as in the surveyed step: an unparsable value is an error.
+    """
+    ts = coerce_timestamp(F.col(datetime_col), dtype_of(df, datetime_col), strict=True)
     return df.withColumns({datetime_col: ts, new_col: day_name(ts)})
 
 

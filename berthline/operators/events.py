@@ -58,8 +58,8 @@ def event_pivot(df: DataFrame, key: str, specs: Sequence[EventStat], order: str
     return out.withColumns(counts) if counts else out
 
 
-def _date(df: DataFrame, name: str) -> Column:
-    return coerce_timestamp(F.col(name), df.schema[name].dataType)
+def _date(df: DataFrame, name: str, strict: bool = False) -> Column:
+    return coerce_timestamp(F.col(name), df.schema[name].dataType, strict=strict)
 
 
 def count_hlp_occurrences(df: DataFrame, key: str = "key", event_col: str = "event_type",
@@ -96,8 +96,11 @@ def calculate_time_til_avp(df: DataFrame) -> DataFrame:
 def add_time_to_unload_feature(df: DataFrame, key_col: str = "key", arrival_col: str = "arrival_time",
                                event_col: str = "event_type", event_type: str = EVENT_DFV,
                                event_date_col: str = "event_date", order: str = ORD) -> DataFrame:
-    """``dfv_event_date`` = latest date of ``event_type``; ``time_to_unload`` = it - arrival."""
-    df = df.withColumns({arrival_col: _date(df, arrival_col), event_date_col: _date(df, event_date_col)})
+    """``dfv_event_date`` = latest date of ``event_type``; ``time_to_unload`` = it - arrival.
+
+    Both date columns are parsed strictly (an unparsable text value is an error).
+    """
+    df = df.withColumns({arrival_col: _date(df, arrival_col, True), event_date_col: _date(df, event_date_col, True)})
     df = event_pivot(df, key_col, [EventStat("dfv_event_date", F.col(event_col) == event_type,
                                              "max", event_date_col)], order)
     return df.withColumn("time_to_unload", hours_between(F.col(arrival_col), F.col("dfv_event_date")))
@@ -115,8 +118,8 @@ def port_to_ste_time(df: DataFrame) -> DataFrame:
 def add_load_date(df: DataFrame, key_col: str = "key", event_col: str = "event_type",
                   event_type: str = EVENT_LTV, event_date_col: str = "event_date",
                   order: str = ORD) -> DataFrame:
-    """``load_date`` = latest date of ``event_type`` (lift to vessel) per key."""
-    df = df.withColumn(event_date_col, _date(df, event_date_col))
+    """``load_date`` = latest date of ``event_type`` (lift to vessel) per key (strict parsing)."""
+    df = df.withColumn(event_date_col, _date(df, event_date_col, True))
     return event_pivot(df, key_col, [EventStat("load_date", F.col(event_col) == event_type,
                                                "max", event_date_col)], order)
 

@@ -92,3 +92,16 @@ def test_other_date_layouts(spark):
     got = [r.d for r in standardize_datetime_columns(df, ["d"]).collect()]
     assert got == [dt.datetime(2023, 12, 31, 23, 59), dt.datetime(2024, 1, 7), dt.datetime(2024, 1, 7, 1, 2, 3),
                    None, None]
+
+
+def test_strict_date_parsing_raises_only_on_bad_text(spark):
+    from berthline.functions.time import coerce_timestamp
+    ok = spark.createDataFrame([("2024-01-02",), (None,)], "d string")
+    assert [r.t for r in ok.select(coerce_timestamp(F.col("d"), strict=True).alias("t")).collect()] == \
+        [dt.datetime(2024, 1, 2), None]
+    bad = spark.createDataFrame([("junk",)], "d string")
+    try:
+        bad.select(coerce_timestamp(F.col("d"), strict=True)).collect()
+    except Exception:  # noqa: BLE001
+        return
+    raise AssertionError("bad text accepted in strict mode")
