@@ -1,8 +1,8 @@
 """Skew-safe history features: hot consignees are split into ordered chunks.
 
 A consignee whose row count exceeds ``hot_rows`` is cut into chunks of about
-``chunk_rows`` consecutive rows (in arrival order, boundaries at approximate
-time quantiles computed for hot consignees only). Window functions then run
+``chunk_rows`` consecutive rows (in arrival order; boundaries from counts of
+fine time buckets, computed for hot consignees only). Window functions then run
 per (consignee, chunk), so no task holds more than a chunk; each chunk gets
 an exact *carry-in* from all earlier chunks of its consignee:
 
@@ -37,7 +37,7 @@ from ..functions.time import coerce_timestamp, micros_since_epoch
 from ..session import ensure_checkpoint_dir
 from .ordering import ORD
 
-MAX_GRID = 65536  # at most this many chunks per consignee
+FINE = 64  # time buckets per target chunk when choosing chunk boundaries
 TAIL = max(RECENT_WINDOWS)
 
 
@@ -45,29 +45,36 @@ def _epoch(ts: Column) -> Column:
     return micros_since_epoch(ts).cast("double")
 
 
-def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int) -> DataFrame | None:
-    """(group, _bounds): ascending time boundaries for consignees with more than ``hot_rows`` rows.
+def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int,
+                 fine: int = FINE) -> DataFrame | None:
+    """(group, _bounds): ascending chunk start times for consignees with more than ``hot_rows`` rows.
 
-    Returns None when no consignee is hot. The hot table has at most
-    ``total_rows / hot_rows`` rows and the boundaries at most ``total_rows / chunk_rows``
-    values in all; both are materialized in the shared folder. The quantile grid is
-    sized from the largest hot consignee so chunks stay near ``chunk_rows`` rows.
+    Returns None when no consignee is hot. Each hot consignee's time range is cut
+    into ``fine`` equal-width buckets per target chunk; bucket counts (a partial
+    aggregate) are accumulated in time order and a chunk starts wherever the
+    running count passes a multiple of ``chunk_rows``. Rows with one timestamp
+    share a bucket, so only a burst of identical timestamps can make a chunk
+    larger. Sizes: the hot table has at most ``total_rows / hot_rows`` rows, the
+    bucket table at most ``fine * total_rows / chunk_rows`` and the boundaries
+    ``total_rows / chunk_rows`` values in all.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    t = _epoch(F.col(time))
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     hot = counts.where(F.col("_n") > hot_rows)
-    top = hot.agg(F.max("_n").alias("m")).first()["m"]  # one small job; None when nothing is hot
-    if top is None:
+    if hot.agg(F.max("_n").alias("m")).first()["m"] is None:  # one small job
         return None
-    hot = hot.checkpoint(eager=True)
-    need = -(-top // chunk_rows)
-    grid = min(MAX_GRID, max(2, 1 << (need - 1).bit_length()))
-    pcts = [i / grid for i in range(1, grid)]
-    q = (df.select(group, _epoch(F.col(time)).alias("_t")).join(F.broadcast(hot), group, "left_semi")
-         .groupBy(group).agg(F.percentile_approx("_t", pcts, max(10000, 8 * grid)).alias("_q")))
-    step = F.greatest(F.lit(1), F.floor(F.lit(grid) / F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("int"))
-    return q.join(F.broadcast(hot), group).select(
-        group, F.array_distinct(F.filter("_q", lambda b, i: ((i + 1) % step) == 0)).alias("_bounds")
-    ).checkpoint(eager=True)
+    hot = hot.withColumn("_nb", (F.lit(fine) * F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("bigint")) \
+             .withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.col("_nb")).checkpoint(eager=True)
+    rows = df.select(group, t.alias("_t")).join(F.broadcast(hot), group)
+    fb = F.when(F.col("_w") > 0, F.least(F.floor((F.col("_t") - F.col("_lo")) / F.col("_w")),
+                                         F.col("_nb") - 1)).otherwise(F.lit(0)).cast("bigint")
+    buckets = rows.groupBy(group, fb.alias("_fb")).agg(F.count(F.lit(1)).alias("_c"),
+                                                      F.min("_t").alias("_start"))
+    w = Window.partitionBy(group).orderBy("_fb")
+    before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunked = buckets.withColumn("_chunk", F.floor(before / F.lit(chunk_rows)))
+    firsts = chunked.groupBy(group, "_chunk").agg(F.min("_start").alias("_b")).where(F.col("_chunk") > 0)
+    return firsts.groupBy(group).agg(F.sort_array(F.collect_list("_b")).alias("_bounds")).checkpoint(eager=True)
 
 
 def _fold_moments(items: Column) -> Column:

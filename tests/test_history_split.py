@@ -49,3 +49,23 @@ def test_split_with_missing_values_and_carry_over(spark):
     plain = H.engineer_customer_pickup_features(df, carry_over=True)
     split = H.engineer_customer_pickup_features(df, carry_over=True, strategy="split", hot_rows=10, chunk_rows=4)
     _compare(plain, split, ["consignee_name", "t"])
+
+
+def test_hot_consignee_chunks_are_balanced(spark):
+    from berthline.operators.history_split import chunk_bounds
+    # one consignee with a third-plus of the rows, bursty times (a block of identical timestamps)
+    rows = [("hot", i * 60 if i % 5 else 3600 * 24) for i in range(3000)] + [(f"c{i}", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, s long").withColumn(
+        "t", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    b = chunk_bounds(df, "g", "t", hot_rows=500, chunk_rows=250)
+    got = {r.g: r._bounds for r in b.collect()}
+    assert set(got) == {"hot"}
+    bounds = got["hot"]
+    assert bounds == sorted(bounds) and len(bounds) >= 8
+    # chunk sizes: number of rows between consecutive boundaries
+    ts = sorted(float(s) * 1e6 for g, s in rows if g == "hot")
+    import bisect
+    edges = [0] + [bisect.bisect_left(ts, x) for x in bounds] + [len(ts)]
+    sizes = [b - a for a, b in zip(edges, edges[1:])]
+    burst = sum(1 for i in range(3000) if i % 5 == 0)  # rows sharing one timestamp
+    assert max(sizes) <= max(2 * 250, burst + 250), sizes
