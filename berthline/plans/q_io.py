@@ -163,7 +163,7 @@ def q_file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     for status in ("F", "O", "P"):
         write_csv(o.where(F.col("o_orderstatus") == status), f"{root}/raw/clean_input", mode="append")
     score_cleaned_files(spark, f"{root}/raw/clean_input", f"{root}/cleaned", f"{root}/predictions",
-                        _upload_transform, priority_stub, upload_glob="*.csv")
+                        _upload_transform, priority_stub, upload_glob="*.csv", max_files=None)
     schema = "equipment_id string, booking_number bigint, consignee_name string, voyage_code string, " \
              "stowage_priority double"
     preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")

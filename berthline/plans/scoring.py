@@ -68,8 +68,12 @@ def _cleaned_name(source: F.Column) -> F.Column:
 
 
 def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_factory: Callable[[], ModelFn],
-                  cleaned_schema: T.StructType | str | None = None) -> None:
-    """C3: score every cleaned record file; keep the scored-output columns."""
+                  cleaned_schema: T.StructType | str | None = None, max_files: int | None = None) -> None:
+    """C3: score every cleaned record file; keep the scored-output columns.
+
+    Scoring is row by row and names its output from each row's source file, so one
+    micro-batch may hold many cleaned files (``max_files=None``).
+    """
     if cleaned_schema is None:
         cleaned_schema = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
                           .json(cleaned).schema)
@@ -81,12 +85,14 @@ def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_fac
         return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns], "prediction_file")
 
     run_once(spark, cleaned, predictions, stage, fmt="json", glob="*.json", schema=schema,
-             partition_by="prediction_file", recursive=True)
+             partition_by="prediction_file", recursive=True, max_files=max_files)
 
 
 def score_cleaned_files(spark: SparkSession, uploads: str, cleaned: str, predictions: str,
                         clean: Callable[[DataFrame], DataFrame], model_factory: Callable[[], ModelFn],
-                        upload_glob: str = "*.csv", cleaned_schema: str | None = None) -> None:
-    """Both stages over every file present now, with a custom per-file cleaning function."""
-    clean_files(spark, uploads, cleaned, clean, upload_glob)
+                        upload_glob: str = "*.csv", cleaned_schema: str | None = None,
+                        max_files: int | None = 1) -> None:
+    """Both stages over every file present now, with a custom per-file cleaning function
+    (``max_files=None`` when ``clean`` is row-level and may see several files at once)."""
+    clean_files(spark, uploads, cleaned, clean, upload_glob, max_files)
     score_cleaned(spark, cleaned, predictions, model_factory, cleaned_schema)

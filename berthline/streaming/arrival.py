@@ -35,9 +35,12 @@ def _text_schema(spark: SparkSession, path: str, fmt: str, glob: str) -> T.Struc
 def watch(spark: SparkSession, source: str, sink: str, transform: Transform,
           schema: T.StructType | None = None, fmt: str = "csv", glob: str | None = None,
           checkpoint: str | None = None, sink_format: str = "json", partition_by: str | None = None,
-          available_now: bool = True, max_files: int = 1, recursive: bool = False) -> StreamingQuery:
+          available_now: bool = True, max_files: int | None = 1, recursive: bool = False) -> StreamingQuery:
     """Start a file-arrival stream ``source -> transform -> sink``.
 
+    ``max_files=1`` makes each micro-batch one file (per-upload jobs); ``None``
+    lets a batch take every new file (row-level stages that key on ``source_file``).
+
     ``available_now`` processes what is there and stops (a scheduled run);
     otherwise the query keeps watching. ``transform`` sees a batch DataFrame
     with ``source_file`` and an ``_ord`` row order (file, split, position).
@@ -45,8 +48,9 @@ def watch(spark: SparkSession, source: str, sink: str, transform: Transform,
     glob = glob or f"*.{fmt}"
     if schema is None:
         schema = _text_schema(spark, source, fmt, glob) if fmt == "csv" else None
-    reader = (spark.readStream.format(fmt).option("pathGlobFilter", glob)
-              .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", recursive))
+    reader = spark.readStream.format(fmt).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    if max_files:  # None: every file present goes into one micro-batch (stateless, row-level stages)
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
         reader = reader.option("header", True).option("quote", '"').option("escape", '"')
     if schema is not None:
