@@ -40,38 +40,80 @@ from ..operators.ordering import ORD, ensure_order
 from ..session import ensure_checkpoint_dir
 
 
+def collapsible(manifest_columns) -> bool:
+    """True when the manifest owns the columns that make arrival time constant per key."""
+    names = {normalise_header(c) for c in manifest_columns}
+    return {"vessel_code", "voyage", "direction_seq"} <= names
+
+
 def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                          one_hot_categories: dict[str, list[str]] | None = None,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
                          carry_over: bool = False, keep_order: bool = False,
                          history_strategy: str = "split", hot_rows: int = 2_000_000,
-                         chunk_rows: int | None = None, plan: str = "auto") -> DataFrame:
+                         chunk_rows: int | None = None, plan: str = "auto",
+                         summary: DataFrame | None = None) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for materializations).
 
     ``plan="rows"`` follows the surveyed steps row by row. ``plan="collapsed"``
     (chosen by ``"auto"`` when the manifest owns ``vessel_code``, ``voyage`` and
     ``direction_seq``) reduces the event log to one row per key first, which is
     exact because then every filter keeps or drops whole keys (see
-    :func:`_collapsed_plan`). Other options are described in :func:`_row_plan`.
+    :func:`_collapsed_plan`). ``summary`` (collapsed plan only) is a precomputed
+    :func:`summarize_events` table used instead of aggregating ``event_df`` again.
+    Other options are described in :func:`_row_plan`.
     """
     kw = dict(one_hot_categories=one_hot_categories, checkpoint_before_fit=checkpoint_before_fit,
               carry_over=carry_over, keep_order=keep_order, history_strategy=history_strategy,
               hot_rows=hot_rows, chunk_rows=chunk_rows)
     if plan == "auto":
-        names = {normalise_header(c) for c in vessel_df.columns}
-        plan = "collapsed" if {"vessel_code", "voyage", "direction_seq"} <= names else "rows"
+        plan = "collapsed" if collapsible(vessel_df.columns) else "rows"
     if plan == "collapsed":
-        return _collapsed_plan(event_df, vessel_df, schedule_df, **kw)
+        return _collapsed_plan(event_df, vessel_df, schedule_df, summary=summary, **kw)
     if plan != "rows":
         raise ValueError(f"unknown plan {plan!r}")
     return _row_plan(event_df, vessel_df, schedule_df, early_prune=early_prune, **kw)
 
 
+def summarize_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
+    """The per-key part of the collapsed cleaning job: one row per key of the event log.
+
+    Columns: ``key``, the event columns of the key's last distinct row (event columns
+    are those the manifest does not overwrite and the drop list keeps), its ``_ord``,
+    and ``hlp_count, pickup_date, avp_date, dfv_event_date, load_date``. It depends on
+    the manifest only through ``manifest_columns`` (normalised names), so a stream of
+    uploads can compute it once from the static event log and reuse it for every
+    upload. ``live`` (a one-column ``key`` table) filters the events first.
+    """
+    ev = C.create_key_feature(C.standardize_column_names(ensure_order(event_df)))
+    owned = set(manifest_columns) | {"key"}
+    ev_cols = [c for c in ev.columns if c not in owned and c not in DROP_COLUMNS and c != ORD]
+    ev = C.standardize_datetime_columns(ev.select("key", *ev_cols, ORD), DATE_COLUMNS)
+    if live is not None:
+        ev = ev.join(live, "key", "left_semi")
+
+    e, loc, d = F.col("event_type"), F.col("inventory_location_code"), F.col("event_date")
+    distinct_rows = ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"),
+                                                   F.count(F.lit(1)).alias("_copies"))
+    pick = (e == EVENT_PICKUP) & loc.isin(*PICKUP_LOCATIONS) & d.isNotNull()
+    avp = (e == EVENT_AVP) & d.isNotNull()
+    per_key = distinct_rows.groupBy("key").agg(
+        F.coalesce(F.sum(F.when(e == EVENT_HLP, F.col("_copies"))), F.lit(0)).cast("bigint").alias("hlp_count"),
+        F.min_by(F.when(pick, d), F.when(pick, F.col("_first"))).alias("pickup_date"),
+        F.min_by(F.when(avp, d), F.when(avp, F.col("_first"))).alias("avp_date"),
+        F.max(F.when(e == EVENT_DFV, d)).alias("dfv_event_date"),
+        F.max(F.when(e == EVENT_LTV, d)).alias("load_date"),
+        F.max_by(F.struct(*[F.col(c) for c in ev_cols], F.col("_first").alias(ORD)), F.col("_first")).alias("_row"))
+    return per_key.select("key", *[F.col("_row")[c].alias(c) for c in ev_cols], F.col("_row")[ORD].alias(ORD),
+                          "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date")
+
+
 def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                     one_hot_categories=None, checkpoint_before_fit: bool = True,
                     carry_over: bool = False, keep_order: bool = False,
                     history_strategy: str = "split", hot_rows: int = 2_000_000,
-                    chunk_rows: int | None = None, broadcast_keys: int = 2_000_000) -> DataFrame:
+                    chunk_rows: int | None = None, broadcast_keys: int = 2_000_000,
+                    summary: DataFrame | None = None) -> DataFrame:
     """The cleaning job with the event log reduced to one row per key up front.
 
     Why it is exact: the lookup overwrites the manifest's columns onto every event
@@ -92,42 +134,23 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     booking number cannot survive the required-column filter and are dropped in
     the manifest join.
     """
-    ev = C.standardize_column_names(ensure_order(event_df))
     mf = C.standardize_column_names(ensure_order(vessel_df))
     sc = C.standardize_column_names(ensure_order(schedule_df))
-    ev = C.create_key_feature(ev)
     mf = C.create_key_feature(mf)
 
     manifest = L.first_per_key(mf, "key", ORD)
     if "booking_number" in manifest.columns:
         manifest = manifest.where(F.col("booking_number").isNotNull())
-    # event columns that survive the overwrite and the drop list
-    ev_cols = [c for c in ev.columns
-               if c not in manifest.columns and c not in DROP_COLUMNS and c not in (ORD,)]
-    ev = ev.select("key", *ev_cols, ORD)
-    ev = C.standardize_datetime_columns(ev, DATE_COLUMNS)
-    # keep only events of live bookings; the manifest is an upload, so its key set is
+    # keep only keys of live bookings; the manifest is an upload, so its key set is
     # usually small: broadcast it (filter map-side, then aggregate map-side) when a
     # count shows at most ``broadcast_keys`` keys, else a shuffle join on the key
     live = manifest.select("key")
     if live.count() <= broadcast_keys:
         live = F.broadcast(live)
-    ev = ev.join(live, "key", "left_semi")
-
-    e, loc, d = F.col("event_type"), F.col("inventory_location_code"), F.col("event_date")
-    distinct_rows = ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"),
-                                                   F.count(F.lit(1)).alias("_copies"))
-    pick = (e == EVENT_PICKUP) & loc.isin(*PICKUP_LOCATIONS) & d.isNotNull()
-    avp = (e == EVENT_AVP) & d.isNotNull()
-    per_key = distinct_rows.groupBy("key").agg(
-        F.coalesce(F.sum(F.when(e == EVENT_HLP, F.col("_copies"))), F.lit(0)).cast("bigint").alias("hlp_count"),
-        F.min_by(F.when(pick, d), F.when(pick, F.col("_first"))).alias("pickup_date"),
-        F.min_by(F.when(avp, d), F.when(avp, F.col("_first"))).alias("avp_date"),
-        F.max(F.when(e == EVENT_DFV, d)).alias("dfv_event_date"),
-        F.max(F.when(e == EVENT_LTV, d)).alias("load_date"),
-        F.max_by(F.struct(*[F.col(c) for c in ev_cols], F.col("_first").alias(ORD)), F.col("_first")).alias("_row"))
-    per_key = per_key.select("key", *[F.col("_row")[c].alias(c) for c in ev_cols], F.col("_row")[ORD].alias(ORD),
-                             "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date")
+    if summary is None:
+        per_key = summarize_events(event_df, manifest.columns, live=live)
+    else:
+        per_key = summary.join(live, "key", "left_semi")
 
     df = per_key.join(manifest.drop(ORD), "key", "inner")
     sc = C.create_voyage_code(sc, "vessel_code", "voyage_number")

@@ -22,7 +22,9 @@ from ..operators.score import ModelFn, score_batch
 from ..sources.paths import cleaned_path, prediction_path
 from ..sources.records import to_records
 from ..streaming.arrival import run_once
-from .cleaning import clean_container_data
+from ..functions.text import normalise_header
+from ..session import scratch_path
+from .cleaning import clean_container_data, collapsible, summarize_events
 
 
 def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable[[DataFrame], DataFrame],
@@ -43,7 +45,19 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
     With one file per micro-batch (the default) the batch *is* the upload and its
     ``source_file`` travels through the job as a manifest column (constant per key).
     Batches of several files are cleaned file by file.
+
+    When the upload schema allows the collapsed plan, the static event log is
+    summarised to one row per key **once**, written as a table in the shared folder,
+    and every upload joins its keys against that table instead of re-reading and
+    re-aggregating the whole log.
     """
+    header = spark.read.option("header", True).option("pathGlobFilter", upload_glob).csv(uploads).columns
+    if collapsible(header) and clean_kw.get("plan", "auto") in ("auto", "collapsed"):
+        owned = [normalise_header(c) for c in header] + ["source_file"]
+        path = scratch_path(spark, "event-summary")
+        summarize_events(events, owned).write.mode("overwrite").parquet(path)
+        clean_kw = {**clean_kw, "plan": "collapsed", "summary": spark.read.parquet(path)}
+
     def per_upload(batch: DataFrame) -> DataFrame:
         if max_files == 1:
             return clean_container_data(events, batch, schedule, **clean_kw)

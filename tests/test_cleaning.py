@@ -78,3 +78,17 @@ def test_pinned_categories_skip_the_fit(spark, inputs):
               "plan_equip_type_code_D40", "plan_equip_type_code_R40"):
         assert c in out.columns
     assert out.count() > 0
+
+
+def test_precomputed_event_summary_equals_row_plan(spark, inputs):
+    from berthline.functions.text import normalise_header
+    from berthline.plans.cleaning import summarize_events
+    ev, mf, sc = inputs
+    upload = mf.where(F.col("Carrier Code") == "F")
+    summary = summarize_events(ev, [normalise_header(c) for c in mf.columns]).checkpoint(eager=True)
+    a = clean_container_data(ev, upload, sc, plan="rows", keep_order=True)
+    b = clean_container_data(ev, upload, sc, summary=summary, keep_order=True)
+    cols = sorted(a.columns)
+    assert sorted(b.columns) == cols
+    rows = sorted(map(tuple, a.select(cols).collect()))
+    assert rows and rows == sorted(map(tuple, b.select(cols).collect()))
