@@ -38,6 +38,7 @@ from ..session import ensure_checkpoint_dir
 from .ordering import ORD
 
 FINE = 64  # time buckets per target chunk when choosing chunk boundaries
+BROADCAST_MAX_ROWS = 1_000_000  # hot-consignee and chunk tables are broadcast only below this
 TAIL = max(RECENT_WINDOWS)
 
 
@@ -47,9 +48,10 @@ def _epoch(ts: Column) -> Column:
 
 def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int,
                  fine: int = FINE) -> DataFrame | None:
-    """(group, _bounds): ascending chunk start times for consignees with more than ``hot_rows`` rows.
+    """((group, _bounds), small): chunk start times for consignees with more than ``hot_rows`` rows.
 
-    Returns None when no consignee is hot. Each hot consignee's time range is cut
+    Returns None when no consignee is hot. ``small`` says whether the hot and chunk
+    tables were measured below ``BROADCAST_MAX_ROWS`` rows (then they are broadcast). Each hot consignee's time range is cut
     into ``fine`` equal-width buckets per target chunk; bucket counts (a partial
     aggregate) are accumulated in time order and a chunk starts wherever the
     running count passes a multiple of ``chunk_rows``. Rows with one timestamp
@@ -61,11 +63,14 @@ def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows
     t = _epoch(F.col(time))
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"))
     hot = counts.where(F.col("_n") > hot_rows)
-    if hot.agg(F.max("_n").alias("m")).first()["m"] is None:  # one small job
+    stats = hot.agg(F.count(F.lit(1)).alias("groups"),
+                    F.sum(F.ceil(F.col("_n") / F.lit(chunk_rows))).alias("chunks")).first()  # one small job
+    if not stats["groups"]:
         return None
+    small = max(stats["groups"], stats["chunks"] or 0) <= BROADCAST_MAX_ROWS
     hot = hot.withColumn("_nb", (F.lit(fine) * F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("bigint")) \
              .withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.col("_nb")).checkpoint(eager=True)
-    rows = df.select(group, t.alias("_t")).join(F.broadcast(hot), group)
+    rows = df.select(group, t.alias("_t")).join(F.broadcast(hot) if small else hot, group)
     fb = F.when(F.col("_w") > 0, F.least(F.floor((F.col("_t") - F.col("_lo")) / F.col("_w")),
                                          F.col("_nb") - 1)).otherwise(F.lit(0)).cast("bigint")
     buckets = rows.groupBy(group, fb.alias("_fb")).agg(F.count(F.lit(1)).alias("_c"),
@@ -74,7 +79,8 @@ def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows
     before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chunked = buckets.withColumn("_chunk", F.floor(before / F.lit(chunk_rows)))
     firsts = chunked.groupBy(group, "_chunk").agg(F.min("_start").alias("_b")).where(F.col("_chunk") > 0)
-    return firsts.groupBy(group).agg(F.sort_array(F.collect_list("_b")).alias("_bounds")).checkpoint(eager=True)
+    bounds = firsts.groupBy(group).agg(F.sort_array(F.collect_list("_b")).alias("_bounds")).checkpoint(eager=True)
+    return bounds, small
 
 
 def _fold_moments(items: Column) -> Column:
@@ -125,7 +131,7 @@ def engineer_customer_pickup_features_split(
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
         decay_frame: int = 400, hot_rows: int = 2_000_000, chunk_rows: int | None = None,
-        bounds: DataFrame | None = None, materialized: bool = False) -> DataFrame:
+        bounds: DataFrame | None = None, materialized: bool = False, small: bool = True) -> DataFrame:
     """Same features as the plain window version, with hot consignees split into chunks."""
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
@@ -135,18 +141,20 @@ def engineer_customer_pickup_features_split(
         # one pass over (group, time); the result has at most total_rows / chunk_rows
         # boundaries, so it is small, and it is materialized so it is computed once
         ensure_checkpoint_dir(df.sparkSession)
-        bounds = chunk_bounds(df, group, time, hot_rows, chunk_rows)
-        if bounds is None:
+        found = chunk_bounds(df, group, time, hot_rows, chunk_rows)
+        if found is None:
             from .history import engineer_customer_pickup_features
             return engineer_customer_pickup_features(
                 df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
                 decay_frame=decay_frame, strategy="window")
+        bounds, small = found
         # the split plan reads its input several times (bounds join, chunk ends, rows):
         # materialize it once instead of recomputing the upstream job in every branch
         if not materialized:
             df = df.checkpoint(eager=True)
     t = _epoch(F.col(time))
-    rows = (df.join(F.broadcast(bounds), group, "left")
+    hint = F.broadcast if small else (lambda d: d)  # measured: at most BROADCAST_MAX_ROWS rows
+    rows = (df.join(hint(bounds), group, "left")
               .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0))
                           .otherwise(F.size(F.filter("_bounds", lambda b: b <= t))))
               .withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds"))
@@ -206,7 +214,7 @@ def engineer_customer_pickup_features_split(
     loc["_ysum"] = F.coalesce(F.sum(Y).over(fr), F.lit(0.0))
     if decayed:
         loc["_dsw"] = _horner(F.collect_list(X).over(w.rowsBetween(-decay_frame, -1)), DECAY)
-    out = rows.withColumns(loc).join(F.broadcast(carry), [group, "_chunk"], "left")
+    out = rows.withColumns(loc).join(hint(carry), [group, "_chunk"], "left")
 
     has = F.col("_c_rows").isNotNull()
     mom = F.col("_c_mom")

@@ -57,7 +57,8 @@ def test_hot_consignee_chunks_are_balanced(spark):
     rows = [("hot", i * 60 if i % 5 else 3600 * 24) for i in range(3000)] + [(f"c{i}", i) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, s long").withColumn(
         "t", F.timestamp_seconds("s").cast("timestamp_ntz"))
-    b = chunk_bounds(df, "g", "t", hot_rows=500, chunk_rows=250)
+    b, small = chunk_bounds(df, "g", "t", hot_rows=500, chunk_rows=250)
+    assert small
     got = {r.g: r._bounds for r in b.collect()}
     assert set(got) == {"hot"}
     bounds = got["hot"]
