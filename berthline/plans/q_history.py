@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import history, quality
 from ..operators.columns import create_binary_feature
@@ -124,3 +125,21 @@ def q_history_carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _history(spark, sf_dir, median=True, decayed=False, carry_over=True)
     return rounded(out.select(*_KEYS_SPARK, "lifetime_avg_pickup", "lifetime_std_pickup",
                               "lifetime_median_pickup"))
+
+
+# One consignee holds a third of all shipments: every order of a customer whose key is a
+# multiple of 3 is booked to consignee 0. The split strategy processes it as ordered chunks.
+_HOT_SQL = _FLAGSHIP_SQL.replace(
+    "o.o_custkey AS consignee", "CASE WHEN o.o_custkey % 3 = 0 THEN 0 ELSE o.o_custkey END AS consignee")
+
+
+@register("history_hot_consignee", _HOT_SQL)
+def q_history_hot_consignee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship features when one consignee owns a third of the rows (skew-safe path:
+    consignees above 2,000 rows are cut into chunks of about 1,000 rows)."""
+    base = _picked_up(spark, sf_dir).withColumn(
+        "consignee", F.when(F.col("consignee") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("consignee")))
+    out = history.engineer_customer_pickup_features(
+        base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=False, decayed=False,
+        strategy="split", hot_rows=2000, chunk_rows=1000)
+    return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
