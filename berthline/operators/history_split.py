@@ -169,18 +169,27 @@ def engineer_customer_pickup_features_split(
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same spec: one sort
 
     # ---- carry table: one row per (hot consignee, chunk), folded over earlier chunks
-    ends = rows.where("_hot").select(
-        group, "_chunk",
-        F.count(F.lit(1)).over(whole).alias("_rows"),
-        (F.row_number().over(w) == F.count(F.lit(1)).over(whole)).alias("_last"),
-        F.count(X).over(upto).alias("k"),
-        F.avg(X).over(upto).alias("mean"),
-        (F.coalesce(F.var_pop(X).over(upto), F.lit(0.0)) * F.count(X).over(upto)).alias("m2"),
-        _horner(F.collect_list(X).over(w.rowsBetween(-(decay_frame - 1), 0)), DECAY).alias("_sw"),
+    # Chunk totals: the decayed sums use weight 0.9^(k - r) for the r-th of k non-null
+    # values (exponent >= 0: no overflow), so they are plain sums; the tails are the
+    # window values at the chunk's last row. The aggregate reuses the window's
+    # partitioning and order: no extra exchange or sort.
+    marked = rows.where("_hot").select(
+        group, "_chunk", X.alias("_x"), Y.alias("_y"),
+        F.row_number().over(w).alias("_i"),
+        F.count(X).over(upto).alias("_r"),
+        F.count(X).over(whole).alias("_kk"),
         F.collect_list(F.struct(X.alias("v"))).over(w.rowsBetween(-(TAIL - 1), 0)).alias("_tx"),
-        F.collect_list(F.struct(Y.alias("v"))).over(w.rowsBetween(-(RATE_WINDOW - 1), 0)).alias("_ty"),
-    ).where("_last").select(group, "_chunk", "_rows", F.coalesce("mean", F.lit(0.0)).alias("mean"),
-                            "k", "m2", "_sw.s", "_sw.w", "_tx", "_ty")
+        F.collect_list(F.struct(Y.alias("v"))).over(w.rowsBetween(-(RATE_WINDOW - 1), 0)).alias("_ty"))
+    wgt = F.when(F.col("_x").isNotNull(), F.pow(F.lit(DECAY), F.col("_kk") - F.col("_r")))
+    ends = marked.groupBy(group, "_chunk").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count("_x").alias("k"),
+        F.coalesce(F.avg("_x"), F.lit(0.0)).alias("mean"),
+        (F.coalesce(F.var_pop("_x"), F.lit(0.0)) * F.count("_x")).alias("m2"),
+        F.coalesce(F.sum(F.col("_x") * wgt), F.lit(0.0)).alias("s"),
+        F.coalesce(F.sum(wgt), F.lit(0.0)).alias("w"),
+        F.max_by("_tx", "_i").alias("_tx"),
+        F.max_by("_ty", "_i").alias("_ty"))
     cw = Window.partitionBy(group).orderBy("_chunk")
     before = cw.rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
