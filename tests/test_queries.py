@@ -59,3 +59,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "lifetime_avg_pickup" in df.columns
+
+
+@pytest.mark.parametrize("name", ["stage_durations", "parse_datetime", "json_sink", "time_parts"])
+def test_query_independent_of_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = E.queries()[name](spark, SF_SMALL)
+        cols = sorted(df.columns)
+        got = _rows(cols, [tuple(r[c] for c in cols) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = con.sql(E.oracle_sql()[name])
+    idx = [rel.columns.index(c) for c in cols]
+    assert got == _rows(cols, [tuple(r[i] for i in idx) for r in rel.fetchall()])
