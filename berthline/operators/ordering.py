@@ -20,8 +20,10 @@ _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low
 
 
 def with_order(df: DataFrame, *cols: str | Column, name: str = ORD) -> DataFrame:
-    """Declare the row order of a table as a struct of columns (ties broken left to right)."""
-    return df.withColumn(name, F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols]))
+    """Declare the row order of a table: one column as is, several as a struct (ties broken
+    left to right). A scalar order keeps ``min_by``/``max_by`` on hash aggregation."""
+    exprs = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return df.withColumn(name, exprs[0] if len(exprs) == 1 else F.struct(*exprs))
 
 
 def with_input_order(df: DataFrame, name: str = ORD) -> DataFrame:
