@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,12 +66,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for intermediate tables and files."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/berthline-scratch/{name}-{uuid.uuid4().hex}"
-    os.makedirs(os.path.join(base, "berthline-scratch"), exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=os.path.join(base, "berthline-scratch"))
+    """A fresh, not yet existing path under the shared folder for an intermediate table.
+
+    Only the name is made here (a UUID below the application's own folder); Spark's file
+    system creates it on the first write, so it also works where the driver cannot see the
+    shared store. Delete ``<spark.checkpoint.dir>/berthline-scratch/<application id>`` when
+    the application has ended.
+    """
+    base = shared_dir(spark).rstrip("/")
+    app = spark.sparkContext.applicationId
+    return f"{base}/berthline-scratch/{app}/{name}-{uuid.uuid4().hex}"
