@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, packing
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                      F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
