@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, jaccard_join, packing
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,41 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document at 0.9 on 3-word shingles."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), num=90, den=100, n=3)
+
+
+ORACLES["op5_jaccard_join"] = """
+  WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+             lambda x: x <> '') AS ws FROM documents),
+  s AS (
+    SELECT doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1),
+             lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+           WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
+  n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+  c AS (SELECT list_sort(sh) AS k, min(doc_id) AS rep FROM s WHERE len(sh) > 0 GROUP BY 1),
+  m AS (SELECT doc_id, rep FROM s JOIN c ON list_sort(s.sh) = c.k),
+  e AS (SELECT s.doc_id, unnest(s.sh) AS g FROM s JOIN c ON s.doc_id = c.rep),
+  f AS (SELECT g, count(*) AS df FROM e GROUP BY g HAVING count(*) > 1),
+  p AS (SELECT x.doc_id, x.g, n.n, row_number() OVER (PARTITION BY x.doc_id ORDER BY coalesce(f.df, 1), x.g) AS r
+        FROM e x JOIN n USING (doc_id) LEFT JOIN f USING (g)),
+  cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b
+           FROM (SELECT * FROM p WHERE r <= n - (9 * n + 9) // 10 + 1) a
+           JOIN (SELECT * FROM p WHERE r <= n - (9 * n + 9) // 10 + 1) b
+             ON a.g = b.g AND a.doc_id < b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)),
+  o AS (SELECT cand.a, cand.b, count(*) AS o FROM cand JOIN e x ON x.doc_id = cand.a
+        JOIN e y ON y.doc_id = cand.b AND y.g = x.g GROUP BY 1, 2),
+  l AS (SELECT a, b FROM o JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+        WHERE 100 * o >= 90 * (na.n + nb.n - o)),
+  links AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+  reach AS (SELECT rep AS x, rep AS y FROM c UNION SELECT reach.x, links.b FROM reach JOIN links ON links.a = reach.y),
+  comp AS (SELECT x, min(y) AS root FROM reach GROUP BY x)
+  SELECT n.doc_id, n.n AS n_shingles, coalesce(comp.root, n.doc_id) AS component_id
+  FROM n LEFT JOIN m USING (doc_id) LEFT JOIN comp ON comp.x = m.rep
+"""
