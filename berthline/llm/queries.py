@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, packing
+from . import bpe, jaccard_join, packing, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,27 @@ ORACLES["op5_jaccard_join"] = """
   SELECT n.doc_id, n.n AS n_shingles, coalesce(comp.root, n.doc_id) AS component_id
   FROM n LEFT JOIN m USING (doc_id) LEFT JOIN comp ON comp.x = m.rep
 """
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of passages of 35 words that occur elsewhere too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    df = substring_dedup.remove_repeated(docs, window=35, keep=["doc_id"])
+    return df.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op6_substring_dedup"] = """
+  WITH w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                               lambda x: x <> '') AS ws FROM documents),
+  v AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w WHERE len(ws) >= 35),
+  k AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 34], ' ')) AS h FROM v),
+  r AS (SELECT h FROM k GROUP BY h HAVING count(*) > 1),
+  c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM k SEMI JOIN r USING (h)),
+  g AS (SELECT doc_id, list(q) AS gone FROM c GROUP BY doc_id)
+  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+         sha256(array_to_string(list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)),
+           lambda x: gone IS NULL OR NOT list_contains(gone, x[2])), lambda x: x[1]), ' ')) AS kept_sha256
+  FROM w LEFT JOIN g USING (doc_id)
+"""
