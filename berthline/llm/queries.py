@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, packing, substring_dedup
+from . import bpe, fingerprint, jaccard_join, packing, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,9 @@ ORACLES["op6_substring_dedup"] = """
            lambda x: gone IS NULL OR NOT list_contains(gone, x[2])), lambda x: x[1]), ' ')) AS kept_sha256
   FROM w LEFT JOIN g USING (doc_id)
 """
+
+
+@query
+def op3_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their containments."""
+    return fingerprint.compare_with_edited(table(spark, sf_dir, "documents"))
