@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard_join, packing, substring_dedup
+from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,33 @@ ORACLES["op6_substring_dedup"] = """
 def op3_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and their containments."""
     return fingerprint.compare_with_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.where(~F.col("held_out")).select("doc_id", "text", "lang"))
+    return langid.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+@query
+def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.93 within labels."""
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+ORACLES["op9_cross_polytope"] = """
+  WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+  l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+  reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, l.b FROM reach JOIN l ON l.a = reach.y),
+  c AS (SELECT x, min(y) AS root FROM reach GROUP BY x),
+  n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+  SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.root AS component_id, c.root = e.vec_id AS kept
+  FROM embeddings e LEFT JOIN c ON c.x = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
