@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, substring_dedup
+from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, pii, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,12 @@ ORACLES["op9_cross_polytope"] = """
   SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.root AS component_id, c.root = e.vec_id AS kept
   FROM embeddings e LEFT JOIN c ON c.x = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
+
+
+@query
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    df = pii.find_personal_data(docs, keep=["doc_id"])
+    return df.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                     F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
