@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, pii, substring_dedup
+from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, pii, quality, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,10 @@ def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = pii.find_personal_data(docs, keep=["doc_id"])
     return df.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                      F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op1_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document from the two views, and whether it is kept."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.fit(docs, labels), keep=["doc_id"])
