@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, packing, pii, quality, substring_dedup
+from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii, quality, substring_dedup
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,10 @@ def op1_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document from the two views, and whether it is kept."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score(docs, quality.fit(docs, labels), keep=["doc_id"])
+
+
+@query
+def op7_paragraph_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs, license_scan.fit(docs))
