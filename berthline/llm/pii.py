@@ -9,7 +9,7 @@ shape). Candidates that it accepts are added to the base spans.
 
 Votes and shapes are discrete, so both models are fitted on counts of equal patterns over all
 documents: one aggregation, whose result is bounded by the number of patterns. Texts are read
-once.
+twice, for the counts and for the spans; nothing is written in between.
 
 Defined results: null texts are empty; spans are code points, end exclusive; an added span
 never overlaps a base span or an earlier added one; rows may repeat or have no id; an empty
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import slices
 
 KINDS = ("email", "ip", "card", "phone", "iban", "name", "secret", "ssn")
 LABELERS = ("form", "gazetteer", "cue", "counter", "border", "digits")
@@ -275,62 +275,60 @@ class Models:
 
 # --------------------------------------------------------------------------- Spark
 
-_FOUND = ("n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, "
-          "kind array<string>, start array<int>, stop array<int>, pattern array<string>")
+def _patterns(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(source):
+        count: dict[str, int] = {}
+        for t in b.column(0).to_pylist():
+            for c in candidates(t, base_spans(t)) if t else ():
+                p = _pattern(c[0], t, *c[1:])
+                count[p] = count.get(p, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())],
+                                         names=["pattern", "n"])
 
 
-def _find(keep: int):
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(source):
-            cols: list[list] = [[] for _ in range(9)]
-            for t in b.column(b.num_columns - 1).to_pylist():
-                t = t or ""
-                base = base_spans(t)
-                found = candidates(t, base)
-                for k, kind in enumerate(KINDS[:4]):
-                    cols[k].append(len(base[kind]))
-                cols[4].append(",".join(f"{k}:{x}:{y}" for k in KINDS[:4] for x, y in base[k]))
-                cols[5].append([c[0] for c in found])
-                cols[6].append([c[1] for c in found])
-                cols[7].append([c[2] for c in found])
-                cols[8].append([_pattern(c[0], t, *c[1:]) for c in found])
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()),
-                                        pa.list_(pa.int32()), pa.list_(pa.string())]
-            names = [f.name for f in b.schema][:keep] + ["n_email", "n_ip", "n_card", "n_phone", "base",
-                                                         "kind", "start", "stop", "pattern"]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(keep)),
-                                              *(pa.array(c, t) for c, t in zip(cols, kinds))], names=names)
-
-    return run
-
-
-def find_personal_data(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Add ``n_email, n_ip, n_card, n_phone, base, spans`` to ``docs(doc_id, text)``.
+def fit(docs: DataFrame) -> Models:
+    """Fit the models on all of ``docs(text)``: one row per distinct pattern reaches the driver."""
+    counts = (docs.select("text").mapInArrow(_patterns, "pattern string, n bigint")
+              .groupBy("pattern").agg(F.sum("n").alias("n")).collect())
+    return Models({r["pattern"]: r["n"] for r in counts})
+
+
+_MADE = ("n_email", "n_ip", "n_card", "n_phone", "base", "spans", "masked_text")
+
+
+def find_personal_data(docs: DataFrame, models: Models, keep: list[str] | None = None,
+                       mask: bool = False) -> DataFrame:
+    """Add ``n_email, n_ip, n_card, n_phone, base, spans`` to ``docs(doc_id, text)``; with
+    ``mask`` also ``masked_text``.
 
     ``base`` and ``spans`` are ``kind:start:end`` joined by commas. ``keep`` names the columns
     carried along (all by default; columns named like the results are replaced).
     """
-    made = ("n_email", "n_ip", "n_card", "n_phone", "base", "spans", "kind", "start", "stop", "pattern")
+    made = _MADE if mask else _MADE[:-1]
     names = [c for c in (keep if keep is not None else docs.columns) if c not in made]
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    found = docs.select(*names, F.col("text").alias("_text")).mapInArrow(_find(len(names)), f"{head}, {_FOUND}")
-    found = materialize(found, "personal")
-    counts = (found.select(F.explode("pattern").alias("p")).groupBy("p").count().collect())  # one row per pattern
-    held = docs.sparkSession.sparkContext.broadcast(Models({r["p"]: r["count"] for r in counts}).accepted)
-
-    def decide(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        accepted, order = held.value, {k: n for n, k in enumerate(KINDS)}
-        for b in source:
-            spans = []
-            for kinds, starts, stops, patterns in zip(*(b.column(c).to_pylist() for c in ("kind", "start", "stop", "pattern"))):
-                rows = sorted((order[k], x, y) for k, x, y, p in zip(kinds, starts, stops, patterns) if accepted[p])
-                spans.append(",".join(f"{KINDS[k]}:{x}:{y}" for k, x, y in rows))
-            keep = [*names, "n_email", "n_ip", "n_card", "n_phone", "base"]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(spans, pa.string())],
-                                             names=[*keep, "spans"])
-
-    schema = found.drop("kind", "start", "stop", "pattern").withColumn("spans", F.lit("")).schema
-    return found.mapInArrow(decide, schema)
+    accepted = docs.sparkSession.sparkContext.broadcast(models.accepted)
+    types = [pa.int64()] * 4 + [pa.string()] * (len(made) - 4)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, order = accepted.value, {k: n for n, k in enumerate(KINDS)}
+        for b in slices(source):
+            rows = []
+            for t in b.column(len(names)).to_pylist():
+                t = t or ""
+                base = base_spans(t)
+                found = sorted((order[c[0]], c[1], c[2]) for c in candidates(t, base)
+                               if c[3] or good.get(_pattern(c[0], t, *c[1:]), False))
+                spans = ",".join(f"{KINDS[k]}:{x}:{y}" for k, x, y in found)
+                row = [*(len(base[k]) for k in KINDS[:4]),
+                       ",".join(f"{k}:{x}:{y}" for k in KINDS[:4] for x, y in base[k]), spans]
+                rows.append(row + [masked(t, spans)] if mask else row)
+            cols = list(zip(*rows)) or [()] * len(made)
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(names))),
+                                              *(pa.array(c, t) for c, t in zip(cols, types))], names=[*names, *made])
+
+    schema = docs.select(*names).withColumns({c: F.lit(0).cast("bigint") for c in made[:4]}
+                                             | {c: F.lit("") for c in made[4:]}).schema
+    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
 def masked(text: str, spans: str) -> str:

@@ -143,7 +143,7 @@ ORACLES["op9_cross_polytope"] = """
 def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base counts and digest, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    df = pii.find_personal_data(docs, keep=["doc_id"])
+    df = pii.find_personal_data(docs, pii.fit(docs), keep=["doc_id"])
     return df.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                      F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
