@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -30,8 +30,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_CHUNKS = 500_000  # pieces in each of a worker's two tables; the older one is dropped when the newer is full
+from .common import slices
+
+CACHE_CHUNKS = 200_000  # pieces in each of a worker's two tables; the older one is dropped when the newer is full
 CACHE_CHARS = 64        # longer pieces are encoded anew each time
+KNOWN_PAIRS = 300_000   # remembered verdicts on neighbours
 TOGETHER_BYTES = 48     # longest piece whose table is filled together with others
 TOGETHER_CHARS = 1_000_000  # text handled at a time
 
@@ -50,8 +53,10 @@ def read_ranks(path: str | None = None) -> bytes:
 class Vocabulary:
     """Ranks of byte strings, with what the table of last tokens needs: splits and neighbours."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], merges: dict[tuple[int, int], int] | None = None) -> None:
+        """``merges`` lists the pairs that may merge and their results; by default every pair
+        whose joined bytes are in ``ranks`` merges. Lower results are merged first."""
+        self.ranks, self.merges = ranks, merges
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._split: dict[int, tuple[int, int] | None] = {}
@@ -68,6 +73,12 @@ class Vocabulary:
         rows = (line.split() for line in content.splitlines() if line)
         return cls({base64.b64decode(a): int(b) for a, b in rows})
 
+    def joined(self, a: int, b: int) -> int | None:
+        """The token that ``a`` and ``b`` merge into, if they merge."""
+        if self.merges is not None:
+            return self.merges.get((a, b))
+        return self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for a single byte.
 
@@ -80,13 +91,12 @@ class Vocabulary:
                 self._split[token] = None
             else:
                 while len(parts) > 2:
-                    joined = [(self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1), k)
-                              for k, (a, b) in enumerate(zip(parts, parts[1:]))]
-                    best = min((x for x in joined if x[0] >= 0), default=None)
+                    pairs = [(self.joined(a, b), k) for k, (a, b) in enumerate(zip(parts, parts[1:]))]
+                    best = min((x for x in pairs if x[0] is not None), default=None)
                     if best is None:
                         break
                     parts[best[1]:best[1] + 2] = [best[0]]
-                whole = len(parts) == 2
+                whole = len(parts) == 2 and self.joined(*parts) == token
                 self._split[token] = (parts[0], parts[1]) if whole else (-1, -1)
         return self._split[token]
 
@@ -95,7 +105,7 @@ class Vocabulary:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merge rules leave ``left`` and ``right`` standing side by side."""
-        if len(self.known) > 2_000_000:
+        if len(self.known) > KNOWN_PAIRS:
             self.known.clear()
         ok = self.reached(right) and (left < 0 or self._stay_apart(left, right))
         self.known[left, right] = ok
@@ -182,7 +192,7 @@ class Vocabulary:
         undone = 1 << 62
         a, b = left, right
         while True:
-            over = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+            over = self.joined(a, b)
             if over is not None and over < undone:
                 return False
             sa, sb = self.split(a), self.split(b)
@@ -263,17 +273,24 @@ class PrefixEncoder:
 
 
 class Pieces(dict):
-    """Chunk of text -> its ids as little-endian int32 bytes."""
+    """Chunk of text -> its ids as little-endian int32 bytes.
+
+    ``cut`` cuts a text into chunks and ``pattern`` a chunk into pieces; ``end`` is put behind
+    each piece (vocabularies with word ends). ``whole`` takes a piece that is itself a token
+    as this token, even if merging doesn't reach it.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
+    def __init__(self, vocabulary: Vocabulary, pattern: str, cut: Callable[[str], list[str]] = _CHUNKS.findall,
+                 end: bytes = b"", whole: bool = True) -> None:
         super().__init__()
         self.v, self.find, self.older = vocabulary, regex.compile(pattern).findall, {}
+        self.cut, self.end, self.whole = cut, end, whole
 
     def _learn(self, chunks: list[str]) -> None:
         if len(self) + len(chunks) > CACHE_CHUNKS:
             self.older = {k: v for k, v in self.items() if len(k) <= CACHE_CHARS}
             self.clear()
-        get, together, alone = self.v.ranks.get, {}, {}
+        get, end, together, alone = self.v.ranks.get, self.end, {}, {}
         parts: list[list] = []
         for chunk in chunks:
             known = self.older.get(chunk)
@@ -281,13 +298,14 @@ class Pieces(dict):
                 self[chunk] = known
                 parts.append([])
                 continue
-            # a run of white space is a piece by itself: what follows it is not in the chunk
+            # letters are one piece, and so is white space: what follows it is not in the chunk
             ids: list = []
-            for piece in self.find(chunk) if chunk.strip() else [chunk]:
-                data = piece.encode()
-                whole = get(data)
-                if whole is not None:
-                    ids.append(whole.to_bytes(4, "little"))
+            whole = chunk.isspace() or chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha()
+            for piece in [chunk] if whole else self.find(chunk):
+                data = piece.encode() + end
+                token = get(data)
+                if token is not None and (self.whole or self.v.reached(token)):
+                    ids.append(token.to_bytes(4, "little"))
                 elif len(data) <= TOGETHER_BYTES:
                     ids.append(~together.setdefault(data, len(together)))
                 else:
@@ -308,7 +326,7 @@ class Pieces(dict):
             while stop < len(texts) and (stop == start or room >= len(texts[stop])):
                 room -= len(texts[stop])
                 stop += 1
-            cut = [_CHUNKS.findall(t) for t in texts[start:stop]]
+            cut = list(map(self.cut, texts[start:stop]))
             self._learn([c for c in set().union(*cut) if c not in self])
             try:
                 out += [b"".join([self[c] for c in chunks]) for chunks in cut]
@@ -352,7 +370,7 @@ def encode(df: DataFrame, ranks: bytes | None = None, pattern: str = public_toke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(content, pattern)
-        for b in batches:
+        for b in slices(batches):
             blobs = pieces.encode([t or "" for t in b.column(text).to_pylist()])
             sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -368,11 +386,10 @@ def decode(df: DataFrame, ranks: bytes | None = None, ids: str = "ids", out: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = pieces_of(content, public_tokenizers.PATTERN).v.bytes_of.__getitem__
-        for b in batches:
+        for b in slices(batches):
             col = b.column(ids).fill_null([])
-            flat, at = col.flatten().to_numpy(zero_copy_only=False).tolist(), col.offsets.to_numpy()
-            at = at - at[0]
-            rows = [b"".join(map(token, flat[i:j])) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+            flat, at = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
+            rows = [b"".join(map(token, flat[i:j].tolist())) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
             yield _with_column(b, out, pa.array(rows, type=pa.binary()))
 
     return df.mapInArrow(run, _schema(df, out, "binary"))

@@ -24,9 +24,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_lists(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    """The texts of an Arrow batch, null read as empty."""
-    return [t or "" for t in batch.column(column).to_pylist()]
+def slices(source: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``rows`` rows: bounds what a worker holds at a time."""
+    for b in source:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 class Forest:
