@@ -37,7 +37,8 @@ SURE = 0.95          # calibrated probability from which a row is handed over
 KEEP = 0.4           # a document is kept from this score on
 WORD_BITS = 18
 META_BITS = 12
-BINS = 12
+BINS = 24            # most bins of a shape statistic
+WORD_RIDGE, SHAPE_RIDGE, META_RIDGE = 2e-3, 5e-5, 1e-3
 MIN_ROWS = 4         # sample rows in which a word must occur
 
 _CLASS = np.zeros(256, dtype=np.uint8)  # 0 other
@@ -89,8 +90,8 @@ def meta_features(source: list, lang: list, n_chars: list) -> np.ndarray:
 class Logistic:
     """Logistic regression on rows of present columns, fitted by accelerated gradient steps."""
 
-    def __init__(self, width: int, ridge: float, steps: int = 200) -> None:
-        self.w, self.b, self.ridge, self.steps = np.zeros(width), 0.0, ridge, steps
+    def __init__(self, ridge: np.ndarray, steps: int = 200) -> None:
+        self.w, self.b, self.ridge, self.steps = np.zeros(len(ridge)), 0.0, ridge, steps
 
     def raw(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(rows, weights=self.w[cols], minlength=n) + self.b
@@ -135,9 +136,9 @@ def _calibrated(raw: np.ndarray, ab: np.ndarray) -> np.ndarray:
 class View:
     """One view's rows as (row, column) pairs."""
 
-    def __init__(self, rows: np.ndarray, cols: np.ndarray, width: int) -> None:
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, ridge: np.ndarray) -> None:
         order = np.argsort(rows, kind="stable")
-        self.rows, self.cols, self.width = rows[order], cols[order], width
+        self.rows, self.cols, self.ridge = rows[order], cols[order], ridge
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first, last = np.searchsorted(self.rows, which), np.searchsorted(self.rows, which, side="right")
@@ -146,6 +147,15 @@ class View:
         return np.repeat(np.arange(len(which)), n), self.cols[at]
 
 
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Bin edges: quantiles, closer in the upper tail, and those of the values above the least."""
+    parts = [np.quantile(x, [*np.arange(1, 12) / 12, 0.95, 0.98])]
+    above = x[x > x.min()]
+    if len(above):
+        parts.append(np.quantile(above, [0, *np.arange(1, 8) / 8, 0.95]))
+    return np.unique(np.concatenate(parts))
+
+
 class Model:
     """Both classifiers with their calibration, and the combination."""
 
@@ -166,18 +176,18 @@ class Model:
         self.known = np.flatnonzero(np.bincount(cols, minlength=1 << WORD_BITS) >= MIN_ROWS)
         self.column = np.full(1 << WORD_BITS, -1, dtype=np.int32)
         self.column[self.known] = np.arange(len(self.known))
-        self.edges = [np.unique(np.quantile(shapes[:, k], np.arange(1, BINS) / BINS)) for k in range(shapes.shape[1])]
+        self.edges = [_edges(shapes[:, k]) for k in range(shapes.shape[1])]
         good = self.column[cols] >= 0
         srow, scol = self._binned(shapes)
         views = [View(np.concatenate([rows[good], srow]), np.concatenate([self.column[cols[good]], scol]),
-                      len(self.known) + BINS * shapes.shape[1]),
-                 View(np.repeat(np.arange(n), meta.shape[1]), meta.ravel(), 1 << META_BITS)]
+                      np.repeat([WORD_RIDGE, SHAPE_RIDGE], [len(self.known), BINS * shapes.shape[1]])),
+                 View(np.repeat(np.arange(n), meta.shape[1]), meta.ravel(), np.full(1 << META_BITS, META_RIDGE))]
         labels = [dict(zip(train.tolist(), y[train].tolist())) for _ in views]
         for r in range(rounds + 1):
             self.models, self.ab, given = [], [], []
             for view, own in zip(views, labels):
                 ids = np.array(sorted(own))
-                m = Logistic(view.width, ridge=1e-4).fit(*view.of(ids), np.array([own[i] for i in ids.tolist()]))
+                m = Logistic(view.ridge).fit(*view.of(ids), np.array([own[i] for i in ids.tolist()]))
                 raw = m.raw(*view.of(cal), len(cal))
                 ab = _newton(np.stack([raw, np.ones(len(cal))], axis=1), y[cal])
                 self.models.append(m)
@@ -279,4 +289,4 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
                                               pa.array(keeps)], names=[*names, *_MADE])
 
     schema = docs.select(*names).withColumns({c: F.lit(0.0) for c in _MADE[:3]} | {"keep": F.lit(True)}).schema
-    return docs.select(*names, F.col("text").alias("_text"), *_with_meta(docs)).mapInArrow(run, schema)
+    return docs.select(*names, F.col("text").alias("__llm_text"), *_with_meta(docs)).mapInArrow(run, schema)
