@@ -199,4 +199,4 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
                                               pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
     schema = docs.select(*names).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names, F.col("text").alias("__llm_text")).mapInArrow(run, schema)

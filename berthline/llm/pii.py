@@ -328,7 +328,7 @@ def find_personal_data(docs: DataFrame, models: Models, keep: list[str] | None =
 
     schema = docs.select(*names).withColumns({c: F.lit(0).cast("bigint") for c in made[:4]}
                                              | {c: F.lit("") for c in made[4:]}).schema
-    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names, F.col("text").alias("__llm_text")).mapInArrow(run, schema)
 
 
 def masked(text: str, spans: str) -> str:

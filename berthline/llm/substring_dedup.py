@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 from .words import U64, Words, batches, mix
 
 WINDOW = 35
@@ -305,14 +305,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     return index.where("key is null").select("row_id", "row_key", "lo", "n").unionByName(single)
 
 
-_KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
-
-
 def _cut(window: int, extra: list[str]):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in source:
+        for b in slices(source):
             words, removed, kept = [], [], []
-            for t, los, ns in zip(*(b.column(c).to_pylist() for c in ("_text", "_lo", "_n"))):
+            for t, los, ns in zip(*(b.column(c).to_pylist() for c in ("__llm_text", "__llm_lo", "__llm_n"))):
                 parts = (t or "").encode().split()
                 if los:
                     lo, n = np.array(los), np.array(ns)
@@ -342,13 +339,15 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     """
     extra = [c for c in (keep if keep is not None else docs.columns)
              if c not in ("n_words", "n_removed", "kept_text")]
-    named = docs.select(*extra, F.col("text").alias("_text"), F.col("doc_id").cast("bigint").alias("_id"),
-                        F.xxhash64("doc_id", "text").alias("_key"))
-    rows = named.select(F.col("_id").alias("row_id"), F.col("_key").alias("row_key"), F.col("_text").alias("text"))
-    spans = (repeated_windows(rows, window, gram).groupBy("row_id", "row_key")
-             .agg(F.collect_list(F.struct("lo", "n")).alias("_s")))  # as many as the row has windows at most
-    joined = named.join(spans, named["_id"].eqNullSafe(spans.row_id) & (named["_key"] == spans.row_key), "left")
-    flat = joined.select(*extra, "_text", F.col("_s.lo").alias("_lo"), F.col("_s.n").alias("_n"))
+    named = docs.select(*extra, F.col("text").alias("__llm_text"), F.col("doc_id").cast("bigint").alias("__llm_id"),
+                        F.xxhash64("doc_id", "text").alias("__llm_key"))
+    rows = named.select(F.col("__llm_id").alias("row_id"), F.col("__llm_key").alias("row_key"),
+                        F.col("__llm_text").alias("text"))
+    spans = (repeated_windows(rows, window, gram).groupBy(F.col("row_id").alias("__llm_i"), F.col("row_key").alias("__llm_k"))
+             .agg(F.collect_list(F.struct("lo", "n")).alias("__llm_s")))  # as many as the row has windows at most
+    joined = named.join(spans, F.col("__llm_id").eqNullSafe(F.col("__llm_i"))
+                        & (F.col("__llm_key") == F.col("__llm_k")), "left")
+    flat = joined.select(*extra, "__llm_text", F.col("__llm_s.lo").alias("__llm_lo"), F.col("__llm_s.n").alias("__llm_n"))
     schema = docs.select(*extra).withColumns({"n_words": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint"),
                                               "kept_text": F.lit("")}).schema
     return flat.mapInArrow(_cut(window, extra), schema)
