@@ -31,16 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
+from .words import SPACE, U64, range_hashes
 
-CACHE_CHUNKS = 200_000  # pieces in each of a worker's two tables; the older one is dropped when the newer is full
-CACHE_CHARS = 64        # longer pieces are encoded anew each time
-KNOWN_PAIRS = 300_000   # remembered verdicts on neighbours
-TOGETHER_BYTES = 48     # longest piece whose table is filled together with others
-TOGETHER_CHARS = 1_000_000  # text handled at a time
+TABLE_BITS = 22          # places of a worker's table of chunks
+STORE_IDS = 12_000_000   # ids of these chunks; the table is emptied when there are more
+KNOWN_PAIRS = 300_000    # remembered verdicts on neighbours
+TOGETHER_BYTES = 32      # longest piece whose table is filled together with others
+TOGETHER_CHARS = 1_000_000 # text handled at a time
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Cuts a text only where the piece pattern cuts it too: around runs of white space, one
 #: blank staying with the run that follows it.
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
@@ -272,37 +274,93 @@ class PrefixEncoder:
         return out[::-1]
 
 
-class Pieces(dict):
-    """Chunk of text -> its ids as little-endian int32 bytes.
-
-    ``cut`` cuts a text into chunks and ``pattern`` a chunk into pieces; ``end`` is put behind
-    each piece (vocabularies with word ends). ``whole`` takes a piece that is itself a token
-    as this token, even if merging doesn't reach it.
+def _runs(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of white space and of other bytes, cut at the texts' borders: start, end, is space."""
+    space = SPACE[data]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[1:-1] = space[1:] != space[:-1]
+    edge[first] = edge[last] = True
+    cut = np.flatnonzero(edge)
+    edge[:] = True
+    edge[last] = False  # the byte between two texts
+    a, b = cut[:-1], cut[1:]
+    inside = edge[a]
+    a, b = a[inside], b[inside]
+    return a, b, space[a]
+
+
+def cut_blanks(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chunks like ``_CHUNKS`` where all white space is one byte wide: starts and ends."""
+    a, b, space = _runs(data, first, last)
+    if not len(a):
+        return a, b
+    led = np.zeros(len(a), dtype=bool)             # white space before a word of the same text
+    led[:-1] = space[:-1] & ~space[1:] & (b[:-1] == a[1:])
+    blank = led & (data[b - 1] == 32)
+    one = ~space | ~led | (b - a > 1)              # the word, or the white space but for its end
+    two = led & ~blank                             # an end that is no blank stands alone
+    after = np.zeros(len(a), dtype=bool)
+    after[1:] = blank[:-1]
+    starts, ends = a - (after & ~space), np.where(led, b - 1, b)
+    n = one.astype(np.int64) + two
+    at = np.cumsum(n) - n
+    out_a, out_b = np.empty(int(n.sum()), np.int64), np.empty(int(n.sum()), np.int64)
+    out_a[at[one]], out_b[at[one]] = starts[one], ends[one]
+    k = (at + one)[two]
+    out_a[k], out_b[k] = (b - 1)[two], b[two]
+    return out_a, out_b
+
+
+def cut_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of bytes other than white space: starts and ends."""
+    a, b, space = _runs(data, first, last)
+    return a[~space], b[~space]
+
+
+def _cut_by_pattern(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``_CHUNKS`` of each text, as places in the texts joined by one byte."""
+    starts, at = [], 0
+    ends: list[int] = []
+    for t in texts:
+        for c in _CHUNKS.findall(t):
+            starts.append(at)
+            at += len(c.encode())
+            ends.append(at)
+        at += 1
+    return np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
+
+
+class Pieces:
+    """Ids of texts, with a bounded table of the chunks met so far.
+
+    ``cut`` finds the chunks, ``pattern`` cuts a chunk into pieces; ``end`` is put behind each
+    piece (vocabularies with word ends). ``whole`` takes a piece that is itself a token as
+    this token, even if merging doesn't reach it. The table is indexed by a 64-bit hash of the
+    chunk, verified by a second one, and each place holds the chunk that came last.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, cut: Callable[[str], list[str]] = _CHUNKS.findall,
-                 end: bytes = b"", whole: bool = True) -> None:
-        super().__init__()
-        self.v, self.find, self.older = vocabulary, regex.compile(pattern).findall, {}
-        self.cut, self.end, self.whole = cut, end, whole
+    def __init__(self, vocabulary: Vocabulary, pattern: str, cut: Callable = cut_blanks, end: bytes = b"",
+                 whole: bool = True, bits: int = TABLE_BITS) -> None:
+        self.v, self.find, self.cut, self.end, self.whole = vocabulary, regex.compile(pattern).findall, cut, end, whole
+        self.bits = bits
+        self._forget()
+
+    def _forget(self) -> None:
+        n = 1 << self.bits
+        self.key, self.check = np.zeros(n, dtype=U64), np.zeros(n, dtype=U64)
+        self.at, self.n = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+        self.store, self.used = np.zeros(1 << 16, dtype="<i4"), 0
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self) + len(chunks) > CACHE_CHUNKS:
-            self.older = {k: v for k, v in self.items() if len(k) <= CACHE_CHARS}
-            self.clear()
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         get, end, together, alone = self.v.ranks.get, self.end, {}, {}
         parts: list[list] = []
-        for chunk in chunks:
-            known = self.older.get(chunk)
-            if known is not None:
-                self[chunk] = known
-                parts.append([])
-                continue
+        for raw in chunks:
+            chunk = raw.decode()
             # letters are one piece, and so is white space: what follows it is not in the chunk
-            ids: list = []
             whole = chunk.isspace() or chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha()
-            for piece in [chunk] if whole else self.find(chunk):
-                data = piece.encode() + end
+            ids: list = []
+            for data in [raw] if whole else map(str.encode, self.find(chunk)):
+                data += end
                 token = get(data)
                 if token is not None and (self.whole or self.v.reached(token)):
                     ids.append(token.to_bytes(4, "little"))
@@ -314,27 +372,68 @@ class Pieces(dict):
                     ids.append(alone[data])
             parts.append(ids)
         found = self.v.encode_many(list(together))
-        for chunk, ids in zip(chunks, parts):
-            if ids:
-                self[chunk] = b"".join([x if x.__class__ is bytes else found[~x] for x in ids])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian int32 bytes."""
-        out, start = [], 0
+        return [b"".join([x if x.__class__ is bytes else found[~x] for x in ids]) for ids in parts]
+
+    def _keep(self, ids: np.ndarray) -> int:
+        start = self.used
+        if start + len(ids) > len(self.store):
+            more = np.zeros(2 * (start + len(ids)), dtype="<i4")
+            more[:start] = self.store[:start]
+            self.store = more
+        self.store[start:start + len(ids)] = ids
+        self.used += len(ids)
+        return start
+
+    def _group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and the number of ids of each text."""
+        if self.used > STORE_IDS:
+            self._forget()
+        raw = [t.encode() for t in texts]
+        blob = b" ".join(raw)
+        data = np.frombuffer(blob, dtype=np.uint8)
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        first = np.cumsum(size + 1) - size - 1
+        if self.cut is cut_blanks and any(map(_WIDE_SPACE.search, texts)):
+            a, b = _cut_by_pattern(texts)
+        else:
+            a, b = self.cut(data, first, first + size) if len(data) else (first[:0], first[:0])
+        if not len(a):
+            return np.zeros(0, dtype="<i4"), np.zeros(len(texts), dtype=np.int64)
+        key, check = range_hashes(data, a, b)
+        slot = (key >> U64(64 - self.bits)).astype(np.int64)
+        n, at = self.n[slot], self.at[slot].astype(np.int64)
+        miss = np.flatnonzero((n == 0) | (self.key[slot] != key) | (self.check[slot] != check))
+        if len(miss):
+            _, where, back = np.unique(key[miss], return_index=True, return_inverse=True)
+            new = miss[where]
+            found = self._encode_chunks([blob[x:y] for x, y in zip(a[new].tolist(), b[new].tolist())])
+            count = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            start = self._keep(np.frombuffer(b"".join(found), dtype="<i4")) + np.cumsum(count) - count
+            n, at = n.copy(), at
+            n[miss], at[miss] = count[back], start[back]
+            place = slot[new]
+            self.key[place], self.check[place], self.at[place], self.n[place] = key[new], check[new], start, count
+        n = n.astype(np.int64)
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        ids = self.store[np.repeat(at, n) + step]
+        total = np.concatenate([[0], np.cumsum(n)])
+        edge = np.searchsorted(a, first)
+        return ids, total[np.append(edge[1:], len(a))] - total[edge]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where each text's ids begin and end."""
+        ids, counts, start = [], [], 0
         while start < len(texts):
             stop, room = start, TOGETHER_CHARS
             while stop < len(texts) and (stop == start or room >= len(texts[stop])):
                 room -= len(texts[stop])
                 stop += 1
-            cut = list(map(self.cut, texts[start:stop]))
-            self._learn([c for c in set().union(*cut) if c not in self])
-            try:
-                out += [b"".join([self[c] for c in chunks]) for chunks in cut]
-            except KeyError:  # learning emptied the table: learn what went with it
-                self._learn([c for c in set().union(*cut) if c not in self])
-                out += [b"".join([self[c] for c in chunks]) for chunks in cut]
+            i, c = self._group(texts[start:stop])
+            ids.append(i)
+            counts.append(c)
             start = stop
-        return out
+        n = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+        return (np.concatenate(ids) if ids else np.zeros(0, dtype="<i4")), np.concatenate([[0], np.cumsum(n)])
 
 
 _held: dict[tuple, Pieces] = {}
@@ -371,11 +470,9 @@ def encode(df: DataFrame, ranks: bytes | None = None, pattern: str = public_toke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(content, pattern)
         for b in slices(batches):
-            blobs = pieces.encode([t or "" for t in b.column(text).to_pylist()])
-            sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(blobs), dtype="<i4"))
-            yield _with_column(b.select(columns), out, pa.ListArray.from_arrays(pa.array(offsets), values))
+            ids, at = pieces.encode([t or "" for t in b.column(text).to_pylist()])
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
+            yield _with_column(b.select(columns), out, lists)
 
     return df.mapInArrow(run, _schema(result, out, "array<int>"))
 

@@ -24,8 +24,8 @@ are packed as separate pieces; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
+import json
 import re
-import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -36,14 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import materialize
+from .bpe import Pieces, Vocabulary, cut_words
+from .common import materialize, slices
 
 SEQUENCE = 4096
 END = 1
 LARGE_PART = 4      # lengths above SEQUENCE / LARGE_PART are large
 GROUPS = (8, 16, 32)  # groups of large lengths; the plan with the fewest sequences is taken
-CACHE_WORDS = 250_000  # words in each of a worker's two tables; the older one is dropped when the newer is full
-CACHE_CHARS = 64
 RANK_ROWS = 20_000  # pieces numbered in one bucket of the ranking, about
 
 # --------------------------------------------------------------------------- tokens
@@ -52,34 +51,55 @@ RANK_ROWS = 20_000  # pieces numbered in one bucket of the ranking, about
 #: composed already, lower-casing goes by character and white space separates words.
 _PLAIN = re.compile("[^\t-\r -\x84\x86-˿]")
 _SPECIAL = re.compile(r"<\|")
+_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # the file's own, lower case
 
 
-class Words(dict):
-    """Word between white space -> its ids (little-endian uint32)."""
+_WORD_END = b"\xff"  # not a byte of any text
+
+
+def _byte_characters() -> dict[str, int]:
+    """The characters that stand for bytes in the file: printable ones for themselves, the
+    others for 256, 257, ... in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+class Words:
+    """The tokenizer's ids of texts (little-endian uint32).
+
+    Texts of plain characters are cut at white space and encoded by prefix tables, each word
+    once; all other texts are given to the tokenizer whole.
+    """
 
     def __init__(self, content: str) -> None:
-        super().__init__()
-        self.t, self.older = Tokenizer.from_str(content), {}
-
-    def __missing__(self, word: str) -> bytes:
-        out = self.older.get(word)
-        if out is None:
-            out = self.whole(word)
-        if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = out
-        return out
+        self.t = Tokenizer.from_str(content)
+        model = json.loads(content)["model"]
+        byte = _byte_characters()
+
+        def data(token: str) -> bytes:
+            word = token.endswith("</w>")
+            return bytes(byte[c] for c in token[:-4 if word else None]) + _WORD_END * word
+
+        special = {t.content for t in self.t.get_added_tokens_decoder().values()}
+        ranks = {data(t): i for t, i in model["vocab"].items() if t not in special}
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        merges = {(ranks[data(a)], ranks[data(b)]): ranks[data(a + b)] for a, b in pairs}
+        if sorted(merges.values()) != list(merges.values()):
+            raise ValueError("the ids of merged tokens do not follow the order of the merges")
+        end = max(model["vocab"].values()) + 1
+        for b in range(256):  # a word's last byte and its end are one symbol from the start
+            merges[ranks[bytes([b])], end] = ranks[bytes([b]) + _WORD_END]
+        self.pieces = Pieces(Vocabulary(ranks | {_WORD_END: end}, merges), _PIECE, cut_words, _WORD_END, whole=False)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.t.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def ids(self, text: str) -> bytes:
-        """Ids of ``text``: by words where that is the same, else by the tokenizer at once."""
-        if _PLAIN.search(text) or _SPECIAL.search(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        plain = [not (_PLAIN.search(t) or _SPECIAL.search(t)) for t in texts]
+        flat, at = self.pieces.encode([t.lower() for t, p in zip(texts, plain) if p])
+        quick = (flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
+        return [next(quick) if p else self.whole(t) for t, p in zip(texts, plain)]
 
 
 _held: dict[int, Words] = {}
@@ -113,10 +133,11 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, limit: int = SEQ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(content)
-        for b in batches:
+        for b in slices(batches):
             rows: list[tuple] = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = words.ids(t or "") + tail
+            found = words.ids([t or "" for t in b.column(1).to_pylist()])
+            for i, ids in zip(b.column(0).to_pylist(), found):
+                ids += tail
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at:at + 4 * limit]
                     rows.append((i, k, at // 4, len(part) // 4, part))

@@ -28,8 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BASE = 0x5851F42D4C957F2D          # odd, 5 modulo 8
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _EXACT = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
 _LOWER = _EXACT.copy()
 _LOWER[65:91] = _EXACT[97:123]
@@ -48,6 +48,22 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return known
 
 
+_BASE_2 = 0x2545F4914F6CDD1D
+_BASE_2_INVERSE = pow(_BASE_2, -1, 1 << 64)
+_EXACT_2 = mix(np.arange(1, 257, dtype=U64) * U64(0x9FB21C651E98DF25))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of the byte ranges."""
+    out = []
+    for values, base, inverse in ((_EXACT, _BASE, _BASE_INVERSE), (_EXACT_2, _BASE_2, _BASE_2_INVERSE)):
+        sums = np.zeros(len(data) + 1, dtype=U64)
+        np.cumsum(values[data] * _power_table(base, len(data))[:len(data)], out=sums[1:])
+        raw = (sums[ends] - sums[starts]) * _power_table(inverse, len(data))[starts]
+        out.append(mix(raw + (ends - starts).astype(U64)))
+    return out[0], out[1]
+
+
 class Words:
     """Words of a batch of texts: ``hashes``, byte ``starts`` and ``ends`` in ``blob``;
     text ``k`` has the words ``first[k]:first[k + 1]``."""
@@ -55,7 +71,7 @@ class Words:
     def __init__(self, texts: list[bytes], lower: bool = False) -> None:
         self.blob = blob = b" ".join(texts) + b" "
         data = np.frombuffer(blob, dtype=np.uint8)
-        space = _SPACE[data]
+        space = SPACE[data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(data) and not space[0]:
             edge = np.concatenate([[0], edge])
