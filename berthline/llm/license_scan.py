@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 LINES = 3000        # sampled corpus lines for training
 COMMON = 0.02       # words in a larger share of sampled lines are no anchors
+NOTICE = 0.6        # share of a notice's words from which a sampled line is not taken as ordinary
 SURE = 0.5          # probability below which a family is unknown
 CONFIRM = 0.5       # share of a template's features that confirms a family
 NONE, UNKNOWN = "none", "unknown"
@@ -102,7 +103,9 @@ class Model:
     """Anchors, weights and templates, fitted on the driver from bounded rows."""
 
     def __init__(self, lines: list[str]) -> None:
-        plain = [words(x) for x in lines]
+        notices = [set(words(t)) for texts in TEMPLATES.values() for t in texts]
+        # sampled lines that hold most of a notice are no ordinary text
+        plain = [ws for ws in map(words, lines) if all(len(n & set(ws)) < NOTICE * len(n) for n in notices)]
         seen: dict[str, int] = {}
         for ws in plain:
             for w in set(ws):

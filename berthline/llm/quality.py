@@ -262,12 +262,14 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
                  pa.array([m.tobytes() for m in meta], pa.binary())], names=["doc_id", "y", "words", "shape", "meta"])
 
     got = sorted(sample.mapInArrow(run, "doc_id bigint, y int, words binary, shape binary, meta binary").collect())
+    if not got:
+        return Model((np.zeros(0, np.int64), np.zeros(0, np.int32)), np.zeros((0, 0)), np.zeros((0, 0), np.int32),
+                     np.zeros(0, int), np.zeros(0, bool), rounds)
     words = [np.frombuffer(r["words"], dtype=np.int32) for r in got]
-    rows = np.repeat(np.arange(len(got)), [len(w) for w in words]) if got else np.zeros(0, dtype=np.int64)
+    rows = np.repeat(np.arange(len(got)), [len(w) for w in words])
     fold = np.array([xxhash.xxh64_intdigest(str(r["doc_id"])) % 4 == 0 for r in got], dtype=bool)
-    return Model((rows, np.concatenate([np.zeros(0, np.int32), *words])),
-                 np.array([np.frombuffer(r["shape"]) for r in got]).reshape(len(got), -1),
-                 np.array([np.frombuffer(r["meta"], dtype=np.int32) for r in got]).reshape(len(got), -1),
+    return Model((rows, np.concatenate(words)), np.array([np.frombuffer(r["shape"]) for r in got]),
+                 np.array([np.frombuffer(r["meta"], dtype=np.int32) for r in got]),
                  np.array([r["y"] for r in got], dtype=int), fold, rounds)
 
 
