@@ -4,11 +4,15 @@ All n-grams have one global order, that of their 64-bit hashes. The order is cut
 of equal width, so each document's sorted set falls into segments, one per fragment.
 
 *Candidates.* Sets whose Jaccard similarity reaches the threshold differ in at most ``H``
-n-grams, with ``H`` bounded by their sizes. Cut into ``H + 1 + SPARE`` fragments, at least
-``1 + SPARE`` of their segments are equal, so documents that share no segment can't be linked.
-Sizes are graded so that both documents use the same cut. A frequent n-gram doesn't make
-documents meet; only equal whole segments do. Documents that share segments form a candidate
-group (connected components over one edge per document and segment, never over pairs).
+n-grams, with ``H`` bounded by their sizes. Cut into ``H + 1 + E`` fragments, at least
+``1 + E`` of their segments are equal, so documents that share no segment can't be linked.
+Sizes are graded so that both documents use the same cut. N-grams that very many documents
+share (boilerplate) are found beforehand by a count sketch of fixed size over all documents and
+are left out of the segments, which only removes differences; where that leaves a document more
+than ``E`` empty segments, it also shows the segments of its whole set, and two such documents
+meet there. The sketch decides how many documents meet, never which are linked. Documents that
+share segments form a candidate group (connected components over one edge per document and
+segment, never over pairs).
 
 *Overlaps.* Each document's set is sent once to its candidate group. There the partial overlaps
 are counted fragment by fragment and summed per pair, and the sum decides exactly. Large
@@ -25,6 +29,7 @@ component; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -33,14 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, components, materialize
+from .common import Forest, components, materialize, slices
 from .words import U64, Words, batches, mix
 
-SPARE = 2             # segments beyond H + 1; documents with more empty ones also share "empty"
+SPARE = 0.15          # segments beyond H + 1, as a part of them, and two more
+SKETCH_BITS = 20      # cells of the count sketch
+SKETCH_PARTS = 16
 GRADE = 1.5           # ratio of the size grades
 FRAGMENTS = 16        # fragments in which the overlaps of a block pair are counted
-BLOCK_GRAMS = 150_000
+BLOCK_GRAMS = 200_000
 BLOCK_ROWS = 1024
+PAIRS = 1_000_000     # meetings of equal n-grams counted at a time
 
 _WEIGHTS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
             0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0x2545F4914F6CDD1D, 0xA0761D6478BD642F)
@@ -75,7 +83,7 @@ class Grades:
     def __init__(self, num: int, den: int) -> None:
         self.num, self.den = num, den
         self.caps: list[int] = []
-        cap = 1
+        cap = 0
         while self.differences(cap + 1) == 0:
             cap += 1
         self.caps.append(cap)  # up to here only equal sets are linked
@@ -95,35 +103,88 @@ class Grades:
             out.append(g)
         return out
 
-    def keys(self, grams: np.ndarray) -> np.ndarray:
-        """Segment keys of a sorted set of n-gram hashes."""
+    def parts(self, grade: int) -> tuple[int, int]:
+        """Number of fragments of a grade, and how many of their segments may be empty."""
+        least = self.differences(self.caps[grade]) + 1
+        spare = int(SPARE * least) + 2
+        return least + spare, spare
+
+    @staticmethod
+    def _segments(grams: np.ndarray, parts: int, space: int) -> tuple[np.ndarray, np.ndarray]:
+        sums = np.zeros(len(grams) + 1, dtype=U64)
+        np.cumsum(mix(grams ^ U64(0x6A09E667F3BCC909)), out=sums[1:])
+        bounds = np.arange(1, parts, dtype=U64) * U64((1 << 64) // parts + 1)
+        at = np.concatenate([[0], np.searchsorted(grams, bounds), [len(grams)]])
+        key = mix(sums[at[1:]] - sums[at[:-1]] + np.arange(parts, dtype=U64) * U64(0x9FB21C651E98DF25) + U64(space))
+        return key, at[1:] > at[:-1]
+
+    def keys(self, grams: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Segment keys of a sorted set of n-gram hashes; ``rare`` marks those not frequent."""
         out = []
-        if len(grams):
-            sums = np.zeros(len(grams) + 1, dtype=U64)
-            np.cumsum(mix(grams ^ U64(0x6A09E667F3BCC909)), out=sums[1:])
-            for g in self.of(len(grams)):
-                parts = self.differences(self.caps[g]) + 1 + SPARE
-                width = (1 << 64) // parts + 1
-                bounds = (np.arange(1, parts, dtype=U64) * U64(width))
-                at = np.concatenate([[0], np.searchsorted(grams, bounds), [len(grams)]])
-                full = at[1:] > at[:-1]
-                key = mix(sums[at[1:]] - sums[at[:-1]]
-                          + np.arange(parts, dtype=U64) * U64(0x9FB21C651E98DF25) + U64(g << 40))
-                out.append(key if (~full).sum() > SPARE else key[full])
+        for g in self.of(len(grams)) if len(grams) else ():
+            parts, spare = self.parts(g)
+            key, full = self._segments(grams[rare], parts, g << 8)
+            out.append(key[full])
+            if (~full).sum() > spare:  # too few rare ones: the whole set, with its empty segments if need be
+                key, full = self._segments(grams, parts, g << 8 | 1)
+                out.append(key if (~full).sum() > spare else key[full])
         return np.concatenate(out) if out else np.zeros(0, dtype=U64)
 
 
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (mix(grams ^ U64(0xBB67AE8584CAA73B)) >> U64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def frequent_grams(docs: DataFrame, n: int) -> np.ndarray:
+    """Cells of a count sketch that hold clearly more n-grams than the average one.
+
+    Each task sends its counts in ``SKETCH_PARTS`` compressed parts; the result has
+    ``2 ** SKETCH_BITS`` bits, however large the table.
+    """
+    size = (1 << SKETCH_BITS) // SKETCH_PARTS
+
+    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        for b in slices(source):
+            got = list(gram_sets([(t or "").encode() for t in b.column(0).to_pylist()], n))
+            if got:
+                cells += np.bincount(_cells(np.concatenate(got)), minlength=len(cells))
+        data = [zlib.compress(cells[k * size:(k + 1) * size].tobytes(), 1) for k in range(SKETCH_PARTS)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(data, pa.binary())],
+                                         names=["part", "data"])
+
+    def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in source:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = np.frombuffer(zlib.decompress(x), dtype=np.int64)
+                total[k] = total[k] + x if k in total else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                          pa.array([zlib.compress(x.tobytes(), 1) for x in total.values()], pa.binary())],
+                                         names=["part", "data"])
+
+    kind = "part int, data binary"
+    rows = docs.select("text").mapInArrow(count, kind).repartition(SKETCH_PARTS, "part").mapInArrow(add, kind).collect()
+    cells = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    for r in rows:
+        cells[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(zlib.decompress(r["data"]), dtype=np.int64)
+    usual = float(np.median(cells))
+    return np.packbits(cells > usual + 8 * np.sqrt(usual) + 16)
+
+
 def gram_table(docs: DataFrame, num: int, den: int, n: int) -> DataFrame:
     """``doc_id, n_shingles, digest, keys`` of each row of ``docs(doc_id, text)``."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, n))  # 128 KB
+
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grades = Grades(num, den)
-        for b in source:
+        grades, often = Grades(num, den), np.unpackbits(frequent.value).astype(bool)
+        for b in slices(source, 2000):
             texts = [(t or "").encode() for t in b.column(1).to_pylist()]
             sizes, digests, keys = [], [], []
             for g in gram_sets(texts, n):
                 sizes.append(len(g))
                 digests.append(blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
-                keys.append(grades.keys(g))
+                keys.append(grades.keys(g, ~often[_cells(g)]))
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, dtype=U64)
             yield pa.RecordBatch.from_arrays(
@@ -215,10 +276,15 @@ def _links(a: list[tuple], b: list[tuple] | None, num: int, den: int) -> list[tu
             continue
         lo, hi = np.searchsorted(gb[k:m], ga[i:j]), np.searchsorted(gb[k:m], ga[i:j], side="right")
         n = hi - lo
-        left = np.repeat(ra[i:j], n)
-        step = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
-        right = rb[k:m][np.repeat(lo, n) + step]
-        np.add(total, np.bincount(left * shape[1] + right, minlength=len(total)), out=total, casting="unsafe")
+        at = np.cumsum(n) - n
+        cuts_at = np.unique(np.searchsorted(at, np.arange(0, int(n.sum()) + PAIRS, PAIRS))).tolist()
+        for x, y in zip([0, *cuts_at], [*cuts_at, len(n)]):  # one n-gram of one row at least
+            if y > x:
+                c = n[x:y]
+                left = np.repeat(ra[i + x:i + y], c)
+                step = np.arange(len(left)) - np.repeat(np.cumsum(c) - c, c)
+                right = rb[k:m][np.repeat(lo[x:y], c) + step]
+                np.add(total, np.bincount(left * shape[1] + right, minlength=len(total)), out=total, casting="unsafe")
     total = total.reshape(shape).astype(np.int64)
     sa = np.array([len(x[1]) for x in a])[:, None]
     sb = np.array([len(x[1]) for x in ya])[None, :]
