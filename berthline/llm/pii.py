@@ -106,16 +106,16 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 # --------------------------------------------------------------------------- proposals and votes
 
-_PROPOSE = {
+_PROPOSE = {  # in this order, the more specific first: later ones do not overlap earlier ones
+    "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     "email": re.compile(r"[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}+"
                         r"(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{1,63}+|\.[A-Za-z0-9-]{1,63}+)+", re.I),
+    "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "phone": re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,4}\)|0[0-9]{2,4}|[0-9]{3})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9-])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?![0-9])"),
-    "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra?)\b\.? [A-ZÀ-Þ][\w'-]+(?: [A-ZÀ-Þ][\w'-]+)?"),
     "secret": re.compile(r"\b(?:api[_ -]?key|access[_ -]?key|token|secret|password|passwd)\b ?[=:] ?[\"']?"
                          r"[A-Za-z0-9_+/-]{8,}", re.I),
-    "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
 _NEEDS_DIGIT = {"phone", "card", "iban", "ssn"}
 _HINT = {"email": re.compile(r"[\[(] ?at ?[\])]", re.I), "secret": re.compile("[=:]")}
