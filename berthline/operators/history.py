@@ -28,16 +28,43 @@ from .ordering import ORD, previous_row
 CARRIED = ("lifetime_avg_pickup", "lifetime_std_pickup", "lifetime_median_pickup")
 
 
-def decayed_mean(x: Column, frame, decay: float = DECAY) -> Column:
-    """Exponentially decayed mean of the non-null values in ``frame`` (newest weight 1).
+DECAY_BLOCK = 2048  # 0.9 ** -2048 is about 1e94: scaled values stay far inside the double range
+DECAY_BLOCKS = 4    # 0.9 ** (4 * 2048) is below the smallest double: older weights are exactly 0
 
-    Horner fold over the frame's values: ``s = decay*s + x``, ``w = decay*w + 1``.
+
+def with_decayed_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], x: Column, name: str,
+                     decay: float = DECAY) -> DataFrame:
+    """Add ``name``: the sum of all earlier non-null values of the partition, weighted with
+    ``decay ** age`` (newest earlier value 1), and ``{name}_k``, their number.
+
+    O(1) per row and no collected values: the k-th non-null value is scaled by
+    ``decay ** -(k mod block)`` and added up within its block of ``DECAY_BLOCK`` values, and the
+    totals of the blocks before come from range frames. Every value whose weight is not zero
+    in double arithmetic counts. The weights add up to ``(1 - decay ** k) / (1 - decay)``.
     """
-    acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-    return F.aggregate(
-        F.collect_list(x).over(frame), acc0,
-        lambda acc, v: F.struct((acc["s"] * decay + v).alias("s"), (acc["w"] * decay + 1.0).alias("w")),
-        lambda acc: F.when(acc["w"] > 0, acc["s"] / acc["w"]))
+    blk, cum = f"{name}_blk", f"{name}_cum"
+    w = Window.partitionBy(*keys).orderBy(*order)
+    k = f"{name}_k"
+    df = df.withColumn(k, F.count(x).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    df = df.withColumn(blk, F.floor(F.col(k) / DECAY_BLOCK).cast("int"))
+    q = F.col(k) - F.col(blk).cast("bigint") * DECAY_BLOCK
+    term = x * F.pow(F.lit(decay), -q.cast("double"))
+    inside = Window.partitionBy(*keys, blk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn(cum, F.sum(term).over(inside))
+    blocks = Window.partitionBy(*keys).orderBy(blk)
+    totals = {f"{name}_t{j}": F.sum(term).over(blocks.rangeBetween(-j, -j)) for j in range(1, DECAY_BLOCKS + 1)}
+    df = df.withColumns(totals)
+    total = F.coalesce(F.col(cum) * F.pow(F.lit(decay), (q - 1).cast("double")), F.lit(0.0))
+    for j in range(1, DECAY_BLOCKS + 1):
+        age = q + (j - 1) * DECAY_BLOCK  # of the block's last value
+        total = total + F.coalesce(F.col(f"{name}_t{j}") * F.lit(decay ** (DECAY_BLOCK - 1))
+                                   * F.pow(F.lit(decay), age.cast("double")), F.lit(0.0))
+    return df.withColumn(name, total).drop(blk, cum, *totals)
+
+
+def decay_weight(k: Column, decay: float = DECAY) -> Column:
+    """Sum of the weights of ``k`` values."""
+    return (1.0 - F.pow(F.lit(decay), k.cast("double"))) / (1.0 - decay)
 
 
 def _full_window_mean(x: Column, frame, n: int) -> Column:
@@ -49,14 +76,12 @@ def engineer_customer_pickup_features(
         df: DataFrame, group: str = "consignee_name", time: str = "arrival_time",
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
-        decay_frame: int | None = 400, carry_over: bool = False,
+        carry_over: bool = False,
         partitions: int | None = None, strategy: str = "window", hot_rows: int = 2_000_000,
         chunk_rows: int | None = None, materialized: bool = False) -> DataFrame:
     """Add the history features to every row.
 
-    ``decay_frame`` bounds the decayed mean to the last N rows: weights below
-    ``0.9**400 ~ 5e-19`` cannot change a double sum of comparable values, so
-    400 is exact for such data; ``None`` uses the whole history (quadratic).
+    The decayed mean covers every earlier value (see :func:`with_decayed_sum`).
 
     ``strategy="split"`` bounds the task size: consignees with more than
     ``hot_rows`` rows are processed as ordered chunks of ``chunk_rows`` rows with
@@ -67,8 +92,7 @@ def engineer_customer_pickup_features(
         from .history_split import engineer_customer_pickup_features_split
         out = engineer_customer_pickup_features_split(
             df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
-            decay_frame=decay_frame or 400, hot_rows=hot_rows, chunk_rows=chunk_rows,
-            materialized=materialized)
+            hot_rows=hot_rows, chunk_rows=chunk_rows, materialized=materialized)
         if carry_over:
             x = nan_to_null(F.col(value).cast("double"))
             out = _carry_over(out, df, group, x, median, partitions)
@@ -95,12 +119,12 @@ def engineer_customer_pickup_features(
     for n in RECENT_WINDOWS:
         feats[f"recent_{n}_avg_pickup"] = _full_window_mean(x, w.rowsBetween(-n, -1), n)
     if decayed:
-        frame = prev if decay_frame is None else w.rowsBetween(-decay_frame, -1)
-        feats["weighted_avg_pickup"] = decayed_mean(x, frame)
+        df = with_decayed_sum(df, [group], [time, *tiebreak], x, "_dec")
+        feats["weighted_avg_pickup"] = F.when(F.col("_dec_k") > 0, F.col("_dec") / decay_weight(F.col("_dec_k")))
     feats[f"recent_{RATE_WINDOW}_24h_rate"] = _full_window_mean(y, w.rowsBetween(-RATE_WINDOW, -1),
                                                                 RATE_WINDOW)
     feats["last_one_day_pickup"] = F.lag(y, 1).over(w)
-    out = df.withColumns(feats)
+    out = df.withColumns(feats).drop("_dec", "_dec_k")
 
     if carry_over:
         out = _carry_over(out, df, group, x, median, partitions)

@@ -35,6 +35,7 @@ from ..constants import (DECAY, LOW_HISTORY_BELOW, RATE_WINDOW, RECENT_WINDOWS,
 from ..functions.numeric import nan_to_null
 from ..functions.time import coerce_timestamp, micros_since_epoch
 from ..session import ensure_checkpoint_dir
+from .history import decay_weight, with_decayed_sum
 from .ordering import ORD
 
 FINE = 64  # time buckets per target chunk when choosing chunk boundaries
@@ -104,12 +105,6 @@ def _fold_decay(items: Column, decay: float) -> Column:
         (acc["w"] * F.pow(F.lit(decay), it["k"]) + it["w"]).alias("w")))
 
 
-def _horner(vals: Column, decay: float) -> Column:
-    z = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-    return F.aggregate(vals, z, lambda acc, v: F.struct((acc["s"] * decay + v).alias("s"),
-                                                        (acc["w"] * decay + 1.0).alias("w")))
-
-
 def _last(arr: Column, n: int) -> Column:
     """The last ``n`` elements (all of them when shorter); ``slice`` with a start before
     the first element would return an empty array."""
@@ -130,7 +125,7 @@ def engineer_customer_pickup_features_split(
         df: DataFrame, group: str = "consignee_name", time: str = "arrival_time",
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
-        decay_frame: int = 400, hot_rows: int = 2_000_000, chunk_rows: int | None = None,
+        hot_rows: int = 2_000_000, chunk_rows: int | None = None,
         bounds: DataFrame | None = None, materialized: bool = False, small: bool = True) -> DataFrame:
     """Same features as the plain window version, with hot consignees split into chunks."""
     if tiebreak is None:
@@ -145,8 +140,7 @@ def engineer_customer_pickup_features_split(
         if found is None:
             from .history import engineer_customer_pickup_features
             return engineer_customer_pickup_features(
-                df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
-                decay_frame=decay_frame, strategy="window")
+                df, group, time, value, flag, tiebreak, median=median, decayed=decayed, strategy="window")
         bounds, small = found
         # the split plan reads its input several times (bounds join, chunk ends, rows):
         # materialize it once instead of recomputing the upstream job in every branch
@@ -221,9 +215,10 @@ def engineer_customer_pickup_features_split(
     loc["_ylen"] = F.count(F.lit(1)).over(fr)
     loc["_ycnt"] = F.count(Y).over(fr)
     loc["_ysum"] = F.coalesce(F.sum(Y).over(fr), F.lit(0.0))
+    local = rows
     if decayed:
-        loc["_dsw"] = _horner(F.collect_list(X).over(w.rowsBetween(-decay_frame, -1)), DECAY)
-    out = rows.withColumns(loc).join(hint(carry), [group, "_chunk"], "left")
+        local = with_decayed_sum(local, [group, "_chunk"], [time, *tiebreak], X, "_dec")
+    out = local.withColumns(loc).join(hint(carry), [group, "_chunk"], "left")
 
     has = F.col("_c_rows").isNotNull()
     mom = F.col("_c_mom")
@@ -258,8 +253,8 @@ def engineer_customer_pickup_features_split(
         .otherwise(F.col("_lag_y"))
     if decayed:
         scale = F.pow(F.lit(DECAY), lk)
-        s = F.coalesce(F.col("_c_sw")["s"] * scale, F.lit(0.0)) + F.col("_dsw")["s"]
-        wt = F.coalesce(F.col("_c_sw")["w"] * scale, F.lit(0.0)) + F.col("_dsw")["w"]
+        s = F.coalesce(F.col("_c_sw")["s"] * scale, F.lit(0.0)) + F.col("_dec")
+        wt = F.coalesce(F.col("_c_sw")["w"] * scale, F.lit(0.0)) + decay_weight(F.col("_dec_k"))
         feats["weighted_avg_pickup"] = F.when(wt > 0, s / wt)
     out = out.withColumns(feats)
     if median:
