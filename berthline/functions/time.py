@@ -70,15 +70,3 @@ def day_name(ts: Column) -> Column:
     """Full English day name, e.g. ``Saturday``."""
     return F.date_format(ts, "EEEE")
 
-
-def hour_of(ts: Column) -> Column:
-    return F.hour(ts)
-
-
-def weekday_monday0(ts: Column) -> Column:
-    """Day of week with Monday = 0 … Sunday = 6."""
-    return F.weekday(ts)
-
-
-def is_weekend(ts: Column) -> Column:
-    return F.weekday(ts).isin(5, 6)

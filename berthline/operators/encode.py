@@ -48,7 +48,7 @@ class OneHotModel:
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = 1024) -> OneHotModel:
-    """Distinct non-null values per column, in one distributed job; errors above the bound."""
+    """Distinct non-null values per column; raises when a column has more than ``max_categories``."""
     cols = [c for c in columns if c in df.columns]
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -58,14 +58,15 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = 102
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
     ])).alias("p")).select("p.column", "p.value").where(F.col("value").isNotNull()).distinct()
-    limit = max_categories * len(cols) + 1
-    rows = pairs.limit(limit).collect()
+    # counted in the cluster first, so that the column at fault is named and nothing large is collected
+    counts = {r["column"]: r["count"] for r in pairs.groupBy("column").count().collect()}
+    for c in cols:
+        if counts.get(c, 0) > max_categories:
+            raise ValueError(f"column {c!r} has {counts[c]} categories, more than {max_categories}")
     found: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
+    for r in pairs.collect():
         found[r["column"]].append(r["value"])
     for c, vals in found.items():
-        if len(vals) > max_categories or len(rows) >= limit:
-            raise ValueError(f"column {c!r} has more than {max_categories} categories")
         if isinstance(df.schema[c].dataType, T.NumericType):
             vals.sort(key=float)
         else:
@@ -157,16 +158,6 @@ def binary_encode(df: DataFrame, categorical_features: Sequence[str]) -> DataFra
 # ------------------------------------------------------------------ consignee encoders
 
 
-def consignee_frequency(df: DataFrame, name_col: str = "consignee_name",
-                        rare_thresh: int = RARE_THRESHOLD) -> DataFrame:
-    """``consignee_freq`` = rows per name (NULL name -> NULL); ``is_rare_consignee`` = freq < thresh."""
-    freq = df.where(F.col(name_col).isNotNull()).groupBy(name_col).agg(
-        F.count(F.lit(1)).alias("consignee_freq"))
-    out = df.drop("consignee_freq", "is_rare_consignee").join(freq, name_col, "left")
-    return out.withColumn("is_rare_consignee",
-                          F.coalesce(F.col("consignee_freq") < rare_thresh, F.lit(False)))
-
-
 @dataclass
 class ConsigneeTargetModel:
     """Smoothed per-consignee target mean fitted on a training table."""
@@ -205,14 +196,20 @@ def encode_consignee_features(train: DataFrame, test: DataFrame, target_col: str
     Returns ``(train, test)``; train names always match, test names unseen in
     train get the training global mean.
     """
-    both = train.select(name_col).unionByName(test.select(name_col))
-    freq = both.where(F.col(name_col).isNotNull()).groupBy(name_col).agg(
-        F.count(F.lit(1)).alias("consignee_freq"))
-    model = fit_consignee_target(train, target_col, name_col, global_weight)
+    g = _global_mean(train, target_col)
+    t = F.col(target_col).cast("double").alias("_t")
+    both = train.select(name_col, t).unionByName(test.select(name_col, F.lit(None).cast("double").alias("_t")))
+    n, prior = F.count("_t"), F.lit(global_weight)
+    # one aggregate per name; each side is joined with it once
+    stats = both.where(F.col(name_col).isNotNull()).groupBy(name_col).agg(
+        F.count(F.lit(1)).alias("consignee_freq"),
+        F.when(n > 0, (F.sum("_t") + F.lit(g) * prior) / (n + prior)).alias("consignee_target_enc"))
 
     def enc(d: DataFrame, unseen_global: bool) -> DataFrame:
-        d = d.join(freq, name_col, "left").withColumn(
+        d = d.drop("consignee_freq", "consignee_target_enc").join(stats, name_col, "left").withColumn(
             "is_rare_consignee", F.coalesce(F.col("consignee_freq") < rare_thresh, F.lit(False)))
-        return model.transform(d, unseen_global=unseen_global)
+        if unseen_global:
+            d = d.withColumn("consignee_target_enc", F.coalesce(F.col("consignee_target_enc"), F.lit(g)))
+        return d
 
     return enc(train, False), enc(test, True)

@@ -83,14 +83,17 @@ def add_pickup_date(df: DataFrame, key: str = "key", order: str = ORD, **kw) ->
     return event_pivot(df, key, [pickup_spec(**kw)], order)
 
 
+def add_storage_time(df: DataFrame) -> DataFrame:
+    return df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))
+
+
 def calculate_storage_time(df: DataFrame, key: str = "key", order: str = ORD, **kw) -> DataFrame:
     """``avp_date`` = first non-null AVP date; ``storage_time`` = pickup - avp in hours."""
-    df = event_pivot(df, key, [avp_spec(**kw)], order)
-    return df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))
+    return add_storage_time(event_pivot(df, key, [avp_spec(**kw)], order))
 
 
-def calculate_time_til_avp(df: DataFrame) -> DataFrame:
-    return df.withColumn("time_til_avp", hours_between(F.col("arrival_time"), F.col("avp_date")))
+def calculate_time_til_avp(df: DataFrame, arrival_col: str = "arrival_time") -> DataFrame:
+    return df.withColumn("time_til_avp", hours_between(F.col(arrival_col), F.col("avp_date")))
 
 
 def add_time_to_unload_feature(df: DataFrame, key_col: str = "key", arrival_col: str = "arrival_time",
@@ -103,18 +106,27 @@ def add_time_to_unload_feature(df: DataFrame, key_col: str = "key", arrival_col:
     df = df.withColumns({arrival_col: _date(df, arrival_col, True), event_date_col: _date(df, event_date_col, True)})
     df = event_pivot(df, key_col, [EventStat("dfv_event_date", F.col(event_col) == event_type,
                                              "max", event_date_col)], order)
+    return _time_to_unload(df, arrival_col)
+
+
+def _time_to_unload(df: DataFrame, arrival_col: str = "arrival_time") -> DataFrame:
     return df.withColumn("time_to_unload", hours_between(F.col(arrival_col), F.col("dfv_event_date")))
 
 
-def arrival_to_pickup_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("arrival_to_pickup_time",
-                         hours_between(F.col("arrival_time"), F.col("pickup_date")))
+def arrival_to_pickup_time(df: DataFrame, arrival_col: str = "arrival_time") -> DataFrame:
+    return df.withColumn("arrival_to_pickup_time", hours_between(F.col(arrival_col), F.col("pickup_date")))
 
 
 def port_to_ste_time(df: DataFrame) -> DataFrame:
     return df.withColumn("port_to_ste_time", F.col("time_til_avp") - F.col("time_to_unload"))
 
 
+def add_stage_durations(df: DataFrame, arrival_col: str = "arrival_time") -> DataFrame:
+    """The five durations from ``pickup_date``, ``avp_date``, ``dfv_event_date`` and the arrival."""
+    df = _time_to_unload(calculate_time_til_avp(add_storage_time(df), arrival_col), arrival_col)
+    return port_to_ste_time(arrival_to_pickup_time(df, arrival_col))
+
+
 def add_load_date(df: DataFrame, key_col: str = "key", event_col: str = "event_type",
                   event_type: str = EVENT_LTV, event_date_col: str = "event_date",
                   order: str = ORD) -> DataFrame:
@@ -153,10 +165,4 @@ def key_event_features(df: DataFrame, key: str = "key", order: str = ORD,
     if with_load_date:
         specs.append(EventStat("load_date", ev == EVENT_LTV, "max", date_col))
     df = event_pivot(df, key, specs, order)
-    a = F.col(arrival_col)
-    return (df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))
-              .withColumn("time_til_avp", hours_between(a, F.col("avp_date")))
-              .withColumn("avp_day_of_week", F.date_format(F.col("avp_date"), "EEEE"))
-              .withColumn("time_to_unload", hours_between(a, F.col("dfv_event_date")))
-              .withColumn("arrival_to_pickup_time", hours_between(a, F.col("pickup_date")))
-              .withColumn("port_to_ste_time", F.col("time_til_avp") - F.col("time_to_unload")))
+    return add_stage_durations(df, arrival_col).withColumn("avp_day_of_week", F.date_format(F.col("avp_date"), "EEEE"))

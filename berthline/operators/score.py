@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,13 +64,15 @@ def score_requests(requests: DataFrame, record_schema: T.StructType,
                    model_factory: Callable[[], ModelFn], out_col: str = "stowage_priority",
                    body_col: str = "body", id_col: str = "request_id",
                    project: Sequence[str] = REQUEST_COLUMNS, model_key: str | None = None) -> DataFrame:
-    """Score a table of requests; a malformed body or a failing model gives status 500 rows.
+    """Score a table of requests; a malformed body or a failing model gives status 500.
 
-    Output: ``request_id, status, error`` and the ``project`` columns (one row per
-    scored record; one row per failed request).
+    Output: ``request_id, status, error`` and the ``project`` columns: one row per scored
+    record, one row per failed request, one row with status 200 and nulls for an empty list.
+    The status belongs to the request: when one of its records fails, all of it has failed,
+    also when its records were scored in several batches.
     """
     key = model_key or f"{getattr(model_factory, '__module__', '')}.{getattr(model_factory, '__qualname__', id(model_factory))}"
-    records, failed = explode_requests(parse_requests(requests, record_schema, body_col, id_col), id_col)
+    records, failed, empty = explode_requests(parse_requests(requests, record_schema, body_col, id_col), id_col)
     fields = [f for f in records.schema.fields if f.name != out_col]
     schema = T.StructType(fields + [T.StructField(out_col, T.DoubleType()),
                                     T.StructField("status", T.IntegerType()),
@@ -99,9 +101,15 @@ def score_requests(requests: DataFrame, record_schema: T.StructType,
 
     scored = records.mapInPandas(run, schema)
     keep = [c for c in project if c in scored.columns]
-    ok = scored.select(id_col, "status", "error", *keep)
-    bad = failed.select(id_col, "status", "error", *[F.lit(None).cast(ok.schema[c].dataType).alias(c) for c in keep])
-    return ok.unionByName(bad)
+    each = Window.partitionBy(id_col)
+    judged = (scored.withColumn("_worst", F.max("status").over(each))
+              .withColumn("_first", F.row_number().over(each.orderBy(F.col("error").isNull(), "_pos")))
+              .where((F.col("_worst") == 200) | (F.col("_first") == 1)))
+    ok = judged.select(id_col, F.col("_worst").alias("status"), "error", *[
+        F.when(F.col("_worst") == 200, F.col(c)).alias(c) if c != id_col else F.col(c) for c in keep])
+    rest = failed.unionByName(empty)
+    blank = [F.lit(None).cast(ok.schema[c].dataType).alias(c) for c in keep]
+    return ok.unionByName(rest.select(id_col, "status", "error", *blank))
 
 
 def priority_stub() -> ModelFn:

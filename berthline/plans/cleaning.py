@@ -29,7 +29,6 @@ from ..constants import (DATE_COLUMNS, DROP_COLUMNS, EVENT_AVP, EVENT_DFV, EVENT
                          EVENT_PICKUP, NON_NEGATIVE_COLUMNS, NULL_FILLS, ONE_DAY_HOURS, ONE_HOT_COLUMNS,
                          PICKUP_LOCATIONS, REQUIRED_COLUMNS)
 from ..functions.text import normalise_header
-from ..functions.time import hours_between
 from ..operators import columns as C
 from ..operators import events as EV
 from ..operators import history as H
@@ -40,10 +39,17 @@ from ..operators.ordering import ORD, ensure_order
 from ..session import ensure_checkpoint_dir
 
 
-def collapsible(manifest_columns) -> bool:
-    """True when the manifest owns the columns that make arrival time constant per key."""
+def collapsible(manifest_columns, event_columns=()) -> bool:
+    """True when the job's filters, fills and categories are constant per key.
+
+    The manifest must own the columns that make arrival time, and no required, filled or
+    one-hot column may come from the event log, where its value can differ between the rows
+    of a key.
+    """
     names = {normalise_header(c) for c in manifest_columns}
-    return {"vessel_code", "voyage", "direction_seq"} <= names
+    from_events = {normalise_header(c) for c in event_columns} - names - set(DROP_COLUMNS)
+    per_row = from_events & {*REQUIRED_COLUMNS, *ONE_HOT_COLUMNS, *(c for c, _ in NULL_FILLS)}
+    return {"vessel_code", "voyage", "direction_seq"} <= names and not per_row
 
 
 def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
@@ -52,22 +58,22 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
                          carry_over: bool = False, keep_order: bool = False,
                          history_strategy: str = "split", hot_rows: int = 2_000_000,
                          chunk_rows: int | None = None, plan: str = "auto",
-                         summary: DataFrame | None = None) -> DataFrame:
+                         summary: DataFrame | None = None, max_categories: int = 1024) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for materializations).
 
     ``plan="rows"`` follows the surveyed steps row by row. ``plan="collapsed"``
-    (chosen by ``"auto"`` when the manifest owns ``vessel_code``, ``voyage`` and
-    ``direction_seq``) reduces the event log to one row per key first, which is
+    (chosen by ``"auto"`` when :func:`collapsible` holds) reduces the event log to one row per key first, which is
     exact because then every filter keeps or drops whole keys (see
     :func:`_collapsed_plan`). ``summary`` (collapsed plan only) is a precomputed
     :func:`summarize_events` table used instead of aggregating ``event_df`` again.
-    Other options are described in :func:`_row_plan`.
+    ``max_categories`` bounds the categories of each one-hot column (the fit raises above it,
+    naming the column). Other options are described in :func:`_row_plan`.
     """
     kw = dict(one_hot_categories=one_hot_categories, checkpoint_before_fit=checkpoint_before_fit,
               carry_over=carry_over, keep_order=keep_order, history_strategy=history_strategy,
-              hot_rows=hot_rows, chunk_rows=chunk_rows)
+              hot_rows=hot_rows, chunk_rows=chunk_rows, max_categories=max_categories)
     if plan == "auto":
-        plan = "collapsed" if collapsible(vessel_df.columns) else "rows"
+        plan = "collapsed" if collapsible(vessel_df.columns, event_df.columns) else "rows"
     if plan == "collapsed":
         return _collapsed_plan(event_df, vessel_df, schedule_df, summary=summary, **kw)
     if plan != "rows":
@@ -113,7 +119,7 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
                     carry_over: bool = False, keep_order: bool = False,
                     history_strategy: str = "split", hot_rows: int = 2_000_000,
                     chunk_rows: int | None = None, broadcast_keys: int = 2_000_000,
-                    summary: DataFrame | None = None) -> DataFrame:
+                    summary: DataFrame | None = None, max_categories: int = 1024) -> DataFrame:
     """The cleaning job with the event log reduced to one row per key up front.
 
     Why it is exact: the lookup overwrites the manifest's columns onto every event
@@ -160,13 +166,7 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     df = C.remove_columns(df, DROP_COLUMNS)
     df = C.standardize_datetime_columns(df, DATE_COLUMNS)
 
-    a = F.col("arrival_time")
-    df = (df.withColumn("storage_time", hours_between(F.col("avp_date"), F.col("pickup_date")))
-            .withColumn("time_til_avp", hours_between(a, F.col("avp_date")))
-            .withColumn("avp_day_of_week", F.date_format(F.col("avp_date"), "EEEE"))
-            .withColumn("time_to_unload", hours_between(a, F.col("dfv_event_date")))
-            .withColumn("arrival_to_pickup_time", hours_between(a, F.col("pickup_date")))
-            .withColumn("port_to_ste_time", F.col("time_til_avp") - F.col("time_to_unload")))
+    df = EV.add_stage_durations(df).withColumn("avp_day_of_week", F.date_format(F.col("avp_date"), "EEEE"))
     df = Q.remove_negative_values(df, NON_NEGATIVE_COLUMNS)
     df = C.create_binary_feature(df, "arrival_to_pickup_time", ONE_DAY_HOURS, "one_day_pickup")
     df = Q.remove_null_records(df, REQUIRED_COLUMNS)
@@ -178,7 +178,7 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     if one_hot_categories is None or history_strategy == "split":
         df = df.checkpoint(eager=True)
     model = (OneHotModel(dict(one_hot_categories)) if one_hot_categories is not None
-             else fit_one_hot(df, ONE_HOT_COLUMNS))
+             else fit_one_hot(df, ONE_HOT_COLUMNS, max_categories))
     df = model.transform(df)
     df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
                                              hot_rows=hot_rows, chunk_rows=chunk_rows,
@@ -191,7 +191,7 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
                          carry_over: bool = False, keep_order: bool = False,
                          history_strategy: str = "split", hot_rows: int = 2_000_000,
-                         chunk_rows: int | None = None) -> DataFrame:
+                         chunk_rows: int | None = None, max_categories: int = 1024) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for the one-hot fit).
 
     ``one_hot_categories`` pins the dummy columns (required for streams, and it
@@ -265,7 +265,7 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
         if checkpoint_before_fit:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint(eager=True)
-        model = fit_one_hot(df, ONE_HOT_COLUMNS)
+        model = fit_one_hot(df, ONE_HOT_COLUMNS, max_categories)
     else:
         model = OneHotModel(dict(one_hot_categories))
     df = model.transform(df)

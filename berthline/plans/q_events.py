@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import hours_between
 from ..operators.columns import add_day_of_week, add_time_parts
-from ..operators.events import EventStat, calculate_journey_length, event_pivot
+from ..operators.events import EventStat, add_stage_durations, calculate_journey_length, event_pivot
 from ..operators.ordering import with_order
 from .registry import register
 from .tables import SHIPMENTS_SQL, rounded, shipments, table
@@ -105,13 +104,7 @@ def q_stage_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
         EventStat("avp_date", ev == "view", "first", "ts"),
         EventStat("dfv_event_date", ev == "click", "max", "ts"),
     ])
-    a = F.col("arrival_time")
-    out = out.withColumns({
-        "storage_time": hours_between(F.col("avp_date"), F.col("pickup_date")),
-        "time_til_avp": hours_between(a, F.col("avp_date")),
-        "time_to_unload": hours_between(a, F.col("dfv_event_date")),
-        "arrival_to_pickup_time": hours_between(a, F.col("pickup_date")),
-    }).withColumn("port_to_ste_time", F.col("time_til_avp") - F.col("time_to_unload"))
+    out = add_stage_durations(out)
     return rounded(out.select("event_id", "user_id", "storage_time", "time_til_avp", "time_to_unload",
                               "arrival_to_pickup_time", "port_to_ste_time"))
 

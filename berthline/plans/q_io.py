@@ -65,30 +65,38 @@ REQUEST_RECORD = T.StructType([
 
 
 @register("request_score", """
-WITH r AS (SELECT event_id AS request_id, user_id, event_type, value,
-                  CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+WITH r AS (SELECT event_id AS request_id, user_id, event_type, value, unnest(range(n)) AS pos,
+                  CAST(json_extract(props, '$.k') AS INTEGER) AS k
+           FROM (SELECT *, CASE WHEN event_id % 50 IN (0, 1) THEN 1 WHEN event_id % 50 = 2 THEN 3 ELSE 1 END AS n
+                 FROM events))
 SELECT request_id,
        CASE WHEN request_id % 50 = 0 THEN 500 ELSE 200 END AS status,
        CASE WHEN request_id % 50 = 0 THEN 'invalid request body' END AS error,
-       CASE WHEN request_id % 50 <> 0 THEN 'E' || CAST(request_id AS VARCHAR) END AS equipment_id,
-       CASE WHEN request_id % 50 <> 0 THEN 'U' || CAST(user_id AS VARCHAR) END AS consignee_name,
-       CASE WHEN request_id % 50 <> 0 THEN event_type END AS voyage_code,
-       CASE WHEN request_id % 50 <> 0 THEN round(0.5 * CAST(k < 50 AS INTEGER)
+       CASE WHEN request_id % 50 > 1 THEN 'E' || CAST(request_id AS VARCHAR) || '-' || CAST(pos AS VARCHAR) END AS equipment_id,
+       CASE WHEN request_id % 50 > 1 THEN 'U' || CAST(user_id AS VARCHAR) END AS consignee_name,
+       CASE WHEN request_id % 50 > 1 THEN event_type END AS voyage_code,
+       CASE WHEN request_id % 50 > 1 THEN round(0.5 * CAST(k < 50 AS INTEGER)
             + least(greatest(value, 0), 240) / 480.0, 4) END AS stowage_priority
 FROM r
 """)
 def q_request_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event is a request whose JSON body holds one record (every 50th body is malformed)."""
+    """Each event is a request with a JSON body of one record; every 50th body is malformed,
+    every 50th an empty list and every 50th a list of three records."""
     e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k")
-    body = F.concat(
-        F.lit('[{"equipment_id": "E'), F.col("event_id").cast("string"),
-        F.lit('", "consignee_name": "U'), F.col("user_id").cast("string"),
-        F.lit('", "voyage_code": "'), F.col("event_type"),
-        F.lit('", "one_day_pickup": '), (k.cast("int") < 50).cast("int").cast("string"),
-        F.lit(', "arrival_to_pickup_time": '), F.col("value").cast("string"), F.lit("}]"))
-    req = e.select(F.col("event_id").alias("request_id"),
-                   F.when(F.col("event_id") % 50 == 0, F.lit("{not json")).otherwise(body).alias("body"))
+    k, i = F.get_json_object("props", "$.k"), F.col("event_id") % 50
+
+    def record(pos: int):
+        return F.concat(
+            F.lit('{"equipment_id": "E'), F.col("event_id").cast("string"), F.lit(f'-{pos}'),
+            F.lit('", "consignee_name": "U'), F.col("user_id").cast("string"),
+            F.lit('", "voyage_code": "'), F.col("event_type"),
+            F.lit('", "one_day_pickup": '), (k.cast("int") < 50).cast("int").cast("string"),
+            F.lit(', "arrival_to_pickup_time": '), F.col("value").cast("string"), F.lit("}"))
+
+    many = F.concat(F.lit("["), F.concat_ws(", ", *map(record, range(3))), F.lit("]"))
+    body = (F.when(i == 0, "{not json").when(i == 1, "[]").when(i == 2, many)
+            .otherwise(F.concat(F.lit("["), record(0), F.lit("]"))))
+    req = e.select(F.col("event_id").alias("request_id"), body.alias("body"))
     return rounded(score_requests(req, REQUEST_RECORD, priority_stub))
 
 
@@ -116,14 +124,17 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("json_sink", """
-SELECT o_orderkey, epoch_ms(o_orderdate) AS o_orderdate, round(o_totalprice, 4) AS o_totalprice,
+SELECT o_orderkey, epoch_ms(o_orderdate) AS o_orderdate,
+       CASE WHEN o_orderkey % 11 > 1 THEN round(o_totalprice, 4) END AS o_totalprice,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus
 FROM orders
 """)
 def q_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders -> record JSON (epoch-ms dates, NULLs kept) -> read back."""
+    """Orders -> record JSON (epoch-ms dates, NULLs kept, NaN and Infinity missing) -> read back."""
+    odd = F.col("o_orderkey") % 11
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_totalprice",
+        "o_orderkey", "o_orderdate",
+        F.when(odd == 0, float("nan")).when(odd == 1, float("-inf")).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
     path = scratch_path(spark, "json-sink")
     write_records(o, path)

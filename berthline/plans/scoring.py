@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import SCORED_COLUMNS
+from ..operators.ordering import ORD
 from ..operators.score import ModelFn, score_batch
 from ..sources.paths import cleaned_path, prediction_path
 from ..sources.records import to_records
@@ -47,25 +48,31 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
     Batches of several files are cleaned file by file.
 
     When the upload schema allows the collapsed plan, the static event log is
-    summarised to one row per key **once**, written as a table in the shared folder,
-    and every upload joins its keys against that table instead of re-reading and
+    summarised to one row per key **once** per header, written as a table in the shared
+    folder, and every upload joins its keys against that table instead of re-reading and
     re-aggregating the whole log.
     """
-    header = spark.read.option("header", True).option("pathGlobFilter", upload_glob).csv(uploads).columns
-    if collapsible(header) and clean_kw.get("plan", "auto") in ("auto", "collapsed"):
-        owned = [normalise_header(c) for c in header] + ["source_file"]
-        path = scratch_path(spark, "event-summary")
-        summarize_events(events, owned).write.mode("overwrite").parquet(path)
-        clean_kw = {**clean_kw, "plan": "collapsed", "summary": spark.read.parquet(path)}
+    summaries: dict[tuple, DataFrame] = {}
+
+    def options(columns: list[str]) -> dict:
+        """The collapsed plan with the log's summary for this upload's columns, where it holds."""
+        if not (collapsible(columns, events.columns) and clean_kw.get("plan", "auto") in ("auto", "collapsed")):
+            return clean_kw
+        owned = tuple(sorted({normalise_header(c) for c in columns if c != ORD}))
+        if owned not in summaries:
+            path = scratch_path(spark, "event-summary")
+            summarize_events(events, owned).write.parquet(path)
+            summaries[owned] = spark.read.parquet(path)
+        return {**clean_kw, "plan": "collapsed", "summary": summaries[owned]}
 
     def per_upload(batch: DataFrame) -> DataFrame:
         if max_files == 1:
-            return clean_container_data(events, batch, schedule, **clean_kw)
+            return clean_container_data(events, batch, schedule, **options(batch.columns))
         src = batch.select("source_file").distinct().collect()  # one row per file of this micro-batch
         outs = []
         for r in src:
             manifest = batch.where(F.col("source_file") == r["source_file"]).drop("source_file")
-            out = clean_container_data(events, manifest, schedule, **clean_kw)
+            out = clean_container_data(events, manifest, schedule, **options(manifest.columns))
             outs.append(out.withColumn("source_file", F.lit(r["source_file"])))
         res = outs[0]
         for o in outs[1:]:

@@ -18,31 +18,15 @@ SHIPMENT_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_
                      "l_shipdate")
 
 
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(p).getLength()
+SPREAD = "spark.berthline.spread"  # rows of every table are dealt to so many partitions (bench on few files)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table; spread it when the file layout cannot feed the cores.
-
-    A large table stored as a few unsplittable row groups scans in a few tasks,
-    and everything fused into the scan stage then runs on those tasks alone.
-    When the scan yields fewer partitions than half the default parallelism and
-    the table is over 4 MB, rows are spread round-robin once. With many files
-    (the normal case at scale) the scan is already parallel and nothing is added.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 < cores and _size(spark, path) > SPREAD_MIN_BYTES:
-        df = df.repartition(cores)
-    return df
+    """Read a driver table; the setting ``spark.berthline.spread`` (unset by default) deals its
+    rows to that many partitions, for benches whose tables are single unsplittable files."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    spread = spark.conf.get(SPREAD, None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,8 @@ def get_session(app: str = "berthline", master: str | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    m = spark.sparkContext.master
+    return m == "local" or m.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:

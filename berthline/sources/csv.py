@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +20,27 @@ def null_tokens(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              multiline: bool = False, tokens: Sequence[str] = NA_TOKENS,
-             input_order: bool = True, source_file: bool = False) -> DataFrame:
+             input_order: bool = True, source_file: bool = False, by_header: bool = False) -> DataFrame:
     """Header CSV -> DataFrame with NA tokens nulled, typed by ``schema`` when given.
 
     Every field is read as text first, so a token like ``NA`` in a numeric column
     becomes NULL instead of failing the row; typed columns are then ``try_cast``.
     ``multiline`` is needed only for quoted newlines (it makes files unsplittable).
     ``input_order`` adds ``_ord`` (file, split, position) for order-sensitive steps.
+
+    Several files must have the same header, in the same order (a different one is an error,
+    never a silent exchange of columns). ``by_header`` reads every file by its own header and
+    joins the columns by name; it costs one scan more, for the headers.
     """
+    if by_header:
+        groups = files_by_header(spark, [path] if isinstance(path, str) else list(path))
+        parts = [read_csv(spark, [unquote(f) for f in files], schema, multiline, tokens, input_order, source_file) for files in groups]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
     reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+              .option("multiLine", multiline).option("mode", "PERMISSIVE").option("enforceSchema", False))
     paths = [path] if isinstance(path, str) else list(path)
     names = reader.csv(paths).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -44,5 +56,17 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df
 
 
+def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files below ``paths``, as URLs, grouped by their first line (one row per file reaches
+    the driver)."""
+    lines = spark.read.text([unquote(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("f"),
+                                          F.col("_metadata.file_block_start").alias("b"),
+                                          F.monotonically_increasing_id().alias("i")).where("b = 0")
+    groups: dict[str, list[str]] = {}
+    for r in lines.groupBy("f").agg(F.min_by("value", "i").alias("head")).orderBy("f").collect():
+        groups.setdefault(r["head"], []).append(r["f"])
+    return list(groups.values())
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)

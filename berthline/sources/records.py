@@ -22,7 +22,9 @@ def to_records(df: DataFrame, digits: int = 10) -> DataFrame:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             cols[f.name] = epoch_millis(F.col(f.name), f.dataType)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols[f.name] = F.round(F.col(f.name), digits)
+            c = F.col(f.name)  # JSON has no NaN or Infinity: missing
+            finite = ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
+            cols[f.name] = F.round(F.when(finite, c), digits)
     return df.withColumns(cols) if cols else df
 
 

@@ -21,13 +21,16 @@ def parse_requests(requests: DataFrame, record_schema: T.StructType, body_col: s
 
 
 def explode_requests(parsed: DataFrame, id_col: str = "request_id"):
-    """Split parsed requests into (records, failures).
+    """Split parsed requests into (records, failures, empty).
 
     records: one row per record with ``request_id`` and ``_pos``; failures: one row per
-    malformed request with status 500 and the error text.
+    malformed request with status 500 and the error text; empty: one row with status 200
+    per request whose list has no records.
     """
     ok = parsed.where(F.col("_records").isNotNull())
     records = ok.select(id_col, F.posexplode("_records").alias("_pos", "_r")).select(id_col, "_pos", "_r.*")
     failed = parsed.where(F.col("_records").isNull()).select(
         id_col, F.lit(500).alias("status"), F.lit(INVALID_BODY).alias("error"))
-    return records, failed
+    empty = parsed.where(F.size("_records") == 0).select(
+        id_col, F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))
+    return records, failed, empty

@@ -4,79 +4,125 @@ A new file under a watched folder starts one run of a batch transform over
 that file (the surveyed jobs are stateless per file: history never spans
 uploads). ``maxFilesPerTrigger=1`` makes every micro-batch one file, and the
 transform also receives ``source_file`` so per-file semantics hold even when
-a batch carries several files. Writes are idempotent per micro-batch (the
-batch folder is overwritten on retry), so a lost executor or a restarted
-query never duplicates output; progress lives in a checkpoint in the shared
-folder.
+a batch carries several files.
+
+CSV uploads are read as in :func:`berthline.sources.csv.read_csv`, each by its own
+header, with missing-value tokens nulled. Progress lives beside the sink
+(``<sink>/_progress``), one folder per source, so a later run continues where the
+last one ended, and every source writes to batch folders of its own: no run
+touches the output of another file. A retried batch overwrites its own folder.
+A file whose transform or write fails leaves a record under ``<sink>/_errors``
+and the stream goes on with the next file.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ordering import ORD
-from ..session import scratch_path
+from ..sources.csv import files_by_header, read_csv
 
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def _text_schema(spark: SparkSession, path: str, fmt: str, glob: str) -> T.StructType:
-    """Header names of the files already present, all as text (the stream needs a fixed schema)."""
-    names = (spark.read.option("header", True).option("pathGlobFilter", glob)
-             .format(fmt).load(path).columns)
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _source_key(source: str) -> str:
+    return hashlib.sha1(source.rstrip("/").encode()).hexdigest()[:12]
+
+
+def _files(batch: DataFrame) -> list[str]:
+    """The files of a micro-batch (as many as arrived, ``max_files`` at most)."""
+    return sorted(r["source_file"] for r in batch.select("source_file").distinct().collect())
 
 
 def watch(spark: SparkSession, source: str, sink: str, transform: Transform,
           schema: T.StructType | None = None, fmt: str = "csv", glob: str | None = None,
           checkpoint: str | None = None, sink_format: str = "json", partition_by: str | None = None,
-          available_now: bool = True, max_files: int | None = 1, recursive: bool = False) -> StreamingQuery:
+          available_now: bool = True, max_files: int | None = 1, recursive: bool = True) -> StreamingQuery:
     """Start a file-arrival stream ``source -> transform -> sink``.
 
     ``max_files=1`` makes each micro-batch one file (per-upload jobs); ``None``
     lets a batch take every new file (row-level stages that key on ``source_file``).
+    Files in sub-folders count as uploads too.
 
     ``available_now`` processes what is there and stops (a scheduled run);
     otherwise the query keeps watching. ``transform`` sees a batch DataFrame
     with ``source_file`` and an ``_ord`` row order (file, split, position).
     """
     glob = glob or f"*.{fmt}"
-    if schema is None:
-        schema = _text_schema(spark, source, fmt, glob) if fmt == "csv" else None
-    reader = spark.readStream.format(fmt).option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    # CSV uploads are only watched as lines; each file is then read by its own header
+    reader = (spark.readStream.format("text" if fmt == "csv" else fmt)
+              .option("pathGlobFilter", glob).option("recursiveFileLookup", recursive))
     if max_files:  # None: every file present goes into one micro-batch (stateless, row-level stages)
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("quote", '"').option("escape", '"')
-    if schema is not None:
+    if fmt != "csv" and schema is not None:
         reader = reader.schema(schema)
     stream = reader.load(source).withColumns({"source_file": F.col("_metadata.file_path"),
                                                "_block": F.col("_metadata.file_block_start")})
-    checkpoint = checkpoint or scratch_path(spark, "arrival-checkpoint")
+    key, sink = _source_key(source), sink.rstrip("/")
+    checkpoint = checkpoint or f"{sink}/_progress/{key}"
 
-    def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        # monotonically_increasing_id is not allowed on a stream, but is inside a batch
-        batch = batch.withColumn(ORD, F.struct(F.col("source_file").alias("file"),
-                                               F.col("_block").alias("block"),
-                                               F.monotonically_increasing_id().alias("row"))).drop("_block")
-        out = transform(batch)
+    def write(out: DataFrame, path: str) -> None:
         w = out.write.mode("overwrite")
         if sink_format == "json":
             w = w.option("ignoreNullFields", "false")
         if partition_by:
             w = w.partitionBy(partition_by)
-        w.format(sink_format).save(f"{sink.rstrip('/')}/batch={epoch_id}")
+        w.format(sink_format).save(path)
+
+    def each_batch(batch: DataFrame, epoch_id: int) -> None:
+        files = _files(batch)
+
+        def run(part: list[str], path: str) -> None:
+            if fmt == "csv":
+                rows = read_csv(spark, [unquote(f) for f in part], source_file=True)
+                if schema is not None:
+                    rows = rows.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
+                                             if f.name in rows.columns})
+            else:  # monotonically_increasing_id is not allowed on a stream, but is inside a batch
+                rows = batch if part == files else batch.where(F.col("source_file").isin(part))
+                rows = rows.withColumn(ORD, F.struct(F.col("source_file").alias("file"),
+                                                     F.col("_block").alias("block"),
+                                                     F.monotonically_increasing_id().alias("row"))).drop("_block")
+            write(transform(rows), path)
+
+        def attempt(part: list[str], name: str) -> None:
+            try:
+                run(part, f"{sink}/batch={name}")
+            except Exception as e:  # noqa: BLE001 - one bad file must not hold up the others
+                if len(part) > 1:
+                    for n, f in enumerate(part):
+                        attempt([f], f"{name}-{n}")
+                else:
+                    (spark.createDataFrame([(part[0], 500, str(e)[:2000])], "source_file string, status int, error string")
+                     .write.mode("overwrite").json(f"{sink}/_errors/{name}"))
+
+        # files with one header go together
+        groups = files_by_header(spark, files) if fmt == "csv" and len(files) > 1 else [files] if files else []
+        for n, part in enumerate(groups):
+            attempt(part, f"{key}-{epoch_id}" + (f"-h{n}" if len(groups) > 1 else ""))
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
+def failed_files(spark: SparkSession, sink: str) -> DataFrame:
+    """``source_file, status, error`` of the files whose run failed (none is an error of its own)."""
+    schema = "source_file string, status int, error string"
+    try:
+        return spark.read.schema(schema).json(f"{sink.rstrip('/')}/_errors/*")
+    except AnalysisException:  # no such folder: nothing failed
+        return spark.createDataFrame([], schema)
+
+
 def run_once(spark: SparkSession, source: str, sink: str, transform: Transform, **kw) -> None:
     """Process every file present now and wait for completion."""
     q = watch(spark, source, sink, transform, available_now=True, **kw)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from berthline.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -37,12 +38,12 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_a_builder_and_known_oracles():
-    qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"clean_container", "upload_clean_score"}
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"clean_container", "upload_clean_score"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))  # the corpus operators have tests of their own
 def test_query_matches_duckdb(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)

@@ -12,6 +12,7 @@ from berthline.sources.csv import read_csv
 
 def test_csv_quoted_newlines_and_tokens(spark):
     d = scratch_path(spark, "csv-test")
+    os.makedirs(d)
     with open(os.path.join(d, "upload.csv"), "w") as f:
         f.write('Equipment ID,Note,Booking Number\n')
         f.write('E1,"two\nlines",12\n')
