@@ -13,8 +13,8 @@ an exact *carry-in* from all earlier chunks of its consignee:
 
 The bounds and carry tables have one row per (hot consignee, chunk) -- at most
 ``total_rows / chunk_rows`` rows -- and are broadcast. When no consignee is hot
-the plain window plan runs unchanged; otherwise the input is checkpointed once
-so the chunk-end and row branches do not recompute the upstream job. Consignees
+the plain window plan runs. The input is written once, before it is counted,
+so no branch recomputes the upstream job. Consignees
 below the bound form a single chunk and take the plain window values, so the
 result equals :func:`history.engineer_customer_pickup_features` (to floating
 rounding for combined means/deviations of hot consignees).
@@ -34,7 +34,7 @@ from ..constants import (DECAY, LOW_HISTORY_BELOW, RATE_WINDOW, RECENT_WINDOWS,
                          WEEKEND_DAYS)
 from ..functions.numeric import nan_to_null
 from ..functions.time import coerce_timestamp, micros_since_epoch
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from .history import decay_weight, with_decayed_sum
 from .ordering import ORD
 
@@ -136,16 +136,15 @@ def engineer_customer_pickup_features_split(
         # one pass over (group, time); the result has at most total_rows / chunk_rows
         # boundaries, so it is small, and it is materialized so it is computed once
         ensure_checkpoint_dir(df.sparkSession)
+        # counted, joined and read several times below: run the upstream job once
+        if not materialized:
+            df = materialize(df, "history-input")
         found = chunk_bounds(df, group, time, hot_rows, chunk_rows)
         if found is None:
             from .history import engineer_customer_pickup_features
             return engineer_customer_pickup_features(
                 df, group, time, value, flag, tiebreak, median=median, decayed=decayed, strategy="window")
         bounds, small = found
-        # the split plan reads its input several times (bounds join, chunk ends, rows):
-        # materialize it once instead of recomputing the upstream job in every branch
-        if not materialized:
-            df = df.checkpoint(eager=True)
     t = _epoch(F.col(time))
     hint = F.broadcast if small else (lambda d: d)  # measured: at most BROADCAST_MAX_ROWS rows
     rows = (df.join(hint(bounds), group, "left")
