@@ -19,8 +19,8 @@ below the bound form a single chunk and take the plain window values, so the
 result equals :func:`history.engineer_customer_pickup_features` (to floating
 rounding for combined means/deviations of hot consignees).
 
-The running median needs the whole earlier multiset; it is still computed by
-a per-consignee window (pass ``median=False`` to keep every task bounded).
+The running median follows two heaps per chunk, which start from a slice of the earlier
+values (see :mod:`history_median`).
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from ..functions.numeric import nan_to_null
 from ..functions.time import coerce_timestamp, micros_since_epoch
 from ..session import ensure_checkpoint_dir, materialize
 from .history import decay_weight, with_decayed_sum
+from .history_median import running_median
 from .ordering import ORD
 
 FINE = 64  # time buckets per target chunk when choosing chunk boundaries
@@ -145,6 +146,8 @@ def engineer_customer_pickup_features_split(
             return engineer_customer_pickup_features(
                 df, group, time, value, flag, tiebreak, median=median, decayed=decayed, strategy="window")
         bounds, small = found
+    given = df.columns
+    df = df.withColumn("_rid", F.monotonically_increasing_id())  # over a materialized table: stable
     t = _epoch(F.col(time))
     hint = F.broadcast if small else (lambda d: d)  # measured: at most BROADCAST_MAX_ROWS rows
     rows = (df.join(hint(bounds), group, "left")
@@ -257,8 +260,11 @@ def engineer_customer_pickup_features_split(
         feats["weighted_avg_pickup"] = F.when(wt > 0, s / wt)
     out = out.withColumns(feats)
     if median:
-        pw = Window.partitionBy(group).orderBy(time, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn("lifetime_median_pickup", F.percentile(X, F.lit(0.5)).over(pw))
+        # a null consignee is a group of its own, as in a window
+        g = F.to_json(F.struct(F.col(group).alias("g")))
+        chunks = 1 + (bounds.agg(F.max(F.size("_bounds")).alias("n")).first()["n"] or 0)
+        narrow = rows.select(g.alias("_g"), F.col("_chunk").cast("int"), pos.alias("_pos"), "_rid", "_x", "_hot")
+        out = out.join(running_median(narrow, chunks), "_rid", "left").withColumnRenamed("_median", "lifetime_median_pickup")
 
     names = ["consignee_history_count", "lifetime_avg_pickup", "lifetime_std_pickup"] + \
         (["lifetime_median_pickup"] if median else []) + \
@@ -270,4 +276,4 @@ def engineer_customer_pickup_features_split(
     out = (out.withColumn("low_history_flag", F.col("consignee_history_count") < LOW_HISTORY_BELOW)
               .withColumns({"arrival_hour": F.hour(ts), "arrival_weekday": F.weekday(ts),
                             "is_weekend": F.weekday(ts).isin(*WEEKEND_DAYS)}))
-    return out.select(*df.columns, *names, "low_history_flag", "arrival_hour", "arrival_weekday", "is_weekend")
+    return out.select(*given, *names, "low_history_flag", "arrival_hour", "arrival_weekday", "is_weekend")

@@ -170,3 +170,22 @@ def q_history_decayed_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=False, decayed=True,
         strategy="split", hot_rows=2000, chunk_rows=1000)
     return rounded(out.select(*_KEYS_SPARK, "weighted_avg_pickup"))
+
+
+_MEDIAN_HOT_SQL = _PICKED_SQL.replace(
+    "o.o_custkey AS consignee", "CASE WHEN o.o_custkey % 3 = 0 THEN 0 ELSE o.o_custkey END AS consignee") + f"""
+SELECT {_KEYS},
+  round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup
+FROM f WINDOW p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+"""
+
+
+@register("history_median_hot", _MEDIAN_HOT_SQL)
+def q_history_median_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running median when one consignee owns a third of the rows, in chunks of about 1,000 rows."""
+    base = _picked_up(spark, sf_dir).withColumn(
+        "consignee", F.when(F.col("consignee") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("consignee")))
+    out = history.engineer_customer_pickup_features(
+        base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=True, decayed=False,
+        strategy="split", hot_rows=2000, chunk_rows=1000)
+    return rounded(out.select(*_KEYS_SPARK, "lifetime_median_pickup"))
