@@ -13,6 +13,7 @@ from ..operators.score import priority_stub, score_batch, score_requests
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
 from ..sources.records import read_records, write_records
+from .cleaning_sql import CATEGORIES, CLEAN_CONTAINER_SQL, UPLOAD_SCORE_SQL
 from .cleaning import clean_container_data
 from .inputs import event_log, manifest, schedule
 from .registry import register
@@ -20,14 +21,15 @@ from .scoring import clean_uploads, score_cleaned, score_cleaned_files
 from .tables import SHIPMENTS_SQL, rounded, shipments, table
 
 
-@register("clean_container")
+@register("clean_container", CLEAN_CONTAINER_SQL)
 def q_clean_container(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning job over the event log, manifest and schedule derived from the tables.
 
-    No SQL twin (a 40-step job); tests compare it with an independent pandas
-    implementation on the sf0.001 tables.
+    The one-hot categories are pinned, so that the columns don't depend on the data; tests
+    compare the fitted job with an independent pandas implementation on the sf0.001 tables.
     """
-    out = clean_container_data(event_log(spark, sf_dir), manifest(spark, sf_dir), schedule(spark, sf_dir))
+    out = clean_container_data(event_log(spark, sf_dir), manifest(spark, sf_dir), schedule(spark, sf_dir),
+                               one_hot_categories=CATEGORIES)
     return rounded(out)
 
 
@@ -181,11 +183,11 @@ def q_file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(preds.select(*SCORED_COLUMNS))
 
 
-@register("upload_clean_score")
+@register("upload_clean_score", UPLOAD_SCORE_SQL)
 def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 + C3 end to end: the manifest derived from orders lands as one CSV upload per order
     status; each upload is cleaned against the static event log and schedule, written as
-    record JSON, then scored into prediction files. Rows-only check (per-upload history)."""
+    record JSON, then scored into prediction files."""
     root = scratch_path(spark, "upload-clean-score")
     m = manifest(spark, sf_dir)
     for status in ("F", "O", "P"):
