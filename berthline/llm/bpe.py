@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import slices
 from .words import SPACE, U64, range_hashes
 
-TABLE_BITS = 22          # places of a worker's table of chunks
-STORE_IDS = 12_000_000   # ids of these chunks; the table is emptied when there are more
+TABLE_BITS = 20          # places of a worker's table of chunks
+STORE_IDS = 4_000_000    # ids of these chunks; the table is emptied when there are more
 KNOWN_PAIRS = 300_000    # remembered verdicts on neighbours
 TOGETHER_BYTES = 32      # longest piece whose table is filled together with others
 TOGETHER_CHARS = 1_000_000 # text handled at a time
