@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,23 +13,44 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+ROWS_PER_BATCH = 2000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts, so Arrow batches of Spark's default 10,000 rows would be large: the
+    session's batch size is lowered to ROWS_PER_BATCH unless it has been changed already."""
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(ROWS_PER_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table."""
+    _bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet below the shared folder and read it back."""
+    _bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(source: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of ``rows`` rows: bounds what a worker holds at a time."""
+    """The batches in pieces of ``rows`` rows: bounds what a worker holds at a time.
+
+    After each batch freed memory goes back to the system, since workers live on between tasks.
+    """
     for b in source:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+        del b
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
 
 
 class Forest:

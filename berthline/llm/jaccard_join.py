@@ -198,7 +198,7 @@ def gram_table(docs: DataFrame, num: int, den: int, n: int) -> DataFrame:
 
 def _meet_locally(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch: one row (key, node) for each key, and an edge for every further row of it."""
-    for b in source:
+    for b in slices(source, 3000):
         ids, col = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
         at = col.offsets.to_numpy().astype(np.int64)
         node, key = np.repeat(ids, np.diff(at)), col.flatten().to_numpy(zero_copy_only=False)
@@ -219,7 +219,7 @@ def _meet_locally(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key and node -> an edge from each row to the first of its key."""
     key0 = node0 = None
-    for b in source:
+    for b in slices(source, 100_000):
         key, u = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         ready = b.column(2).is_valid().to_numpy(zero_copy_only=False)
         v = b.column(2).fill_null(0).to_numpy(zero_copy_only=False)
@@ -312,7 +312,7 @@ def _block_links(num: int, den: int):
             a, b = ([r[1:] for r in rows if r[0] == x] for x in (lo, hi))
             return _links(a, b, num, den) if a and b else []
 
-        for batch in source:
+        for batch in slices(source, 500):
             found: list[tuple[int, int]] = []
             cols = [batch.column(c).to_pylist() for c in ("grp", "lo", "hi", "blk", "node", "grams")]
             for g, lo, hi, blk, node, grams in zip(*cols):
@@ -333,7 +333,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _with_grams(n: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in source:
+        for b in slices(source):
             sets = [g.tobytes() for g in gram_sets([(t or "").encode() for t in b.column(2).to_pylist()], n)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())],
                                              names=["grp", "node", "grams"])

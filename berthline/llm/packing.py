@@ -43,7 +43,7 @@ SEQUENCE = 4096
 END = 1
 LARGE_PART = 4      # lengths above SEQUENCE / LARGE_PART are large
 GROUPS = (8, 16, 32)  # groups of large lengths; the plan with the fewest sequences is taken
-RANK_ROWS = 20_000  # pieces numbered in one bucket of the ranking, about
+RANK_ROWS = 5_000   # pieces numbered in one bucket of the ranking, about
 
 # --------------------------------------------------------------------------- tokens
 

@@ -34,6 +34,7 @@ from .words import U64, Words, batches, mix
 
 WINDOW = 35
 GRAM = 8
+BATCH_ROWS = 3000  # documents combined at a time
 BITS = 27  # largest bit set of anchors: 2 ** 27 bits, 16 MB
 _BASE = U64(0x369DEA0F31A53F85)
 
@@ -128,7 +129,7 @@ _BLOCK_ROWS = "key bigint, ctx bigint, state int, row_id bigint, row_key bigint,
 
 def _index_locally(window: int, gram: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in source:
+        for b in slices(source, BATCH_ROWS):
             got = [(x, first) for x, first in _blocks(b, window, gram) if len(x.key)]
             if not got:
                 continue
@@ -217,7 +218,7 @@ def _windows_locally(window: int, gram: int, bits: int, bitmap):
     """Single windows of the blocks whose anchor is in the bit set, combined within the batch."""
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         has = np.frombuffer(bitmap.value, dtype=np.uint8)
-        for b in source:
+        for b in slices(source, BATCH_ROWS):
             keys, hashes, los, rows = [], [], [], []
             for x, first in _blocks(b, window, gram):
                 if not len(x.key):

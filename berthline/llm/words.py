@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U64 = np.uint64
-BATCH_BYTES = 1 << 20  # texts are handled together up to this size; a longer one by itself
+BATCH_BYTES = 1 << 19  # texts are handled together up to this size; a longer one by itself
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
