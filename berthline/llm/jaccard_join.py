@@ -46,7 +46,7 @@ SKETCH_BITS = 20      # cells of the count sketch
 SKETCH_PARTS = 16
 GRADE = 1.5           # ratio of the size grades
 FRAGMENTS = 16        # fragments in which the overlaps of a block pair are counted
-BLOCK_GRAMS = 200_000
+BLOCK_GRAMS = 1_500_000
 BLOCK_ROWS = 1024
 PAIRS = 1_000_000     # meetings of equal n-grams counted at a time
 
