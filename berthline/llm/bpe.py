@@ -37,7 +37,7 @@ TABLE_BITS = 20          # places of a worker's table of chunks
 STORE_IDS = 4_000_000    # ids of these chunks; the table is emptied when there are more
 KNOWN_PAIRS = 300_000    # remembered verdicts on neighbours
 TOGETHER_BYTES = 32      # longest piece whose table is filled together with others
-TOGETHER_CHARS = 1_000_000 # text handled at a time
+TOGETHER_CHARS = 400_000 # text handled at a time
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Cuts a text only where the piece pattern cuts it too: around runs of white space, one
