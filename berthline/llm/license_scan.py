@@ -1,8 +1,9 @@
 """Licence scan: a trained paragraph classifier, by DataFrame functions only.
 
 A paragraph is a line of text. Its features are the distinct words and word pairs that hold an
-anchor word, a word of the licence notices that is rare in ordinary lines; a line without
-anchors has no features and is no licence. A sparse multinomial logistic regression over the
+anchor word, any word of the licence notices but the function words of English (``FUNCTION``);
+a line without anchors has no features and is no licence. Anchors depend on the notices only,
+so no frequency in the corpus keeps a line from being looked at. A sparse multinomial logistic regression over the
 licence families, an ``unknown`` licence class and ``none`` gives calibrated probabilities,
 and a paragraph whose family is not probable enough is ``unknown``. A prediction is confirmed
 when the paragraph holds enough of the words and pairs of one of the family's templates.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LINES = 3000        # sampled corpus lines for training
-COMMON = 0.02       # words in a larger share of sampled lines are no anchors
+FEW = 0.1           # largest share of anchors among the words of an ordinary line
 NOTICE = 0.6        # share of a notice's words from which a sampled line is not taken as ordinary
 SURE = 0.5          # probability below which a family is unknown
 CONFIRM = 0.5       # share of a template's features that confirms a family
@@ -80,6 +81,9 @@ TEMPLATES = {
               "All rights reserved. Use is subject to license terms.", "Released under a custom license, see LICENSE.",
               "Licensed under the terms found in the license file.", "Distributed under the publisher's license."],
 }
+# Words that no notice consists of.
+FUNCTION = set("all an and any are as at be been by can for has in is it may no not of on only or that the this to "
+               "under with without you".split())
 FAMILIES = sorted(f for f in TEMPLATES if f != UNKNOWN)
 CLASSES = [*FAMILIES, UNKNOWN, NONE]
 
@@ -104,20 +108,14 @@ class Model:
 
     def __init__(self, lines: list[str]) -> None:
         notices = [set(words(t)) for texts in TEMPLATES.values() for t in texts]
-        # sampled lines that hold most of a notice are no ordinary text
-        plain = [ws for ws in map(words, lines) if all(len(n & set(ws)) < NOTICE * len(n) for n in notices)]
-        seen: dict[str, int] = {}
-        for ws in plain:
-            for w in set(ws):
-                seen[w] = seen.get(w, 0) + 1
-        of_templates = {w for texts in TEMPLATES.values() for t in texts for w in words(t)}
-        self.anchors = {w for w in of_templates if len(w) > 1 and not w.isdigit()
-                        and seen.get(w, 0) <= COMMON * max(len(plain), 50)}
+        self.anchors = {w for n in notices for w in n if len(w) > 1 and not w.isdigit() and w not in FUNCTION}
         self.templates = [(f, n, g) for f in FAMILIES for n, t in enumerate(TEMPLATES[f])
                           for g in sorted(features(words(t), self.anchors))]
         rng = random.Random(7)
         rows: list[tuple[set[str], int]] = []
-        filler = [ws for ws in plain if not self.anchors & set(ws)] or [["plain", "words"]]
+        # sampled lines that hold most of a notice, or are short and hold its words, are no ordinary text
+        filler = [ws for ws in map(words, lines) if sum(w in self.anchors for w in ws) <= FEW * len(ws)
+                  and all(len(n & set(ws)) < NOTICE * len(n) for n in notices)] or [["plain", "words"]]
         for name, texts in TEMPLATES.items():
             for t in texts:
                 ws = words(t)

@@ -210,3 +210,22 @@ def test_licence_odd_rows(spark):
     twice = spark.createDataFrame([(1, "Released under the MIT License.")] * 2, "doc_id bigint, text string")
     assert {(r["licences"], r["family"]) for r in license_scan.scan(twice, license_scan.fit(twice)).collect()} == {("0:mit:1", "mit")}
     assert math.isfinite(license_scan.fit(docs).scale)
+
+
+def test_short_notices_in_a_third_of_the_documents_are_found(spark):
+    rng = random.Random(9)
+    short = ["MIT License", "License: MIT", "Apache License"]
+    rows = [(k, "\n".join([*(prose(rng, 12).replace("\n", " ") for _ in range(8)), *([short[k % 9 // 3]] if k % 3 == 0 else []),
+                          *(["Released under the MIT License."] if k % 50 == 0 else [])])) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, license_scan.fit(docs)).collect()}
+    assert all(got[k]["n_licences"] == (k % 3 == 0) + (k % 50 == 0) for k in got)
+    assert all(got[k]["family"] == "mit" for k in got if k % 50 == 0)
+
+
+def test_a_notice_word_of_another_language_is_no_licence(spark):
+    rng = random.Random(10)
+    rows = [(k, " ".join([*prose(rng, 9).split(), "mit", *prose(rng, 9).split(), *(["mit"] * (k % 2))])) for k in range(300)]
+    docs = spark.createDataFrame([*rows, (300, "Licensed under the MIT License.")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, license_scan.fit(docs)).collect()}
+    assert [k for k in got if got[k]["n_licences"]] == [300] and got[300]["family"] == "mit"
