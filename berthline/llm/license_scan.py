@@ -114,8 +114,7 @@ class Model:
         rng = random.Random(7)
         rows: list[tuple[set[str], int]] = []
         # sampled lines that hold most of a notice, or are short and hold its words, are no ordinary text
-        filler = [ws for ws in map(words, lines) if sum(w in self.anchors for w in ws) <= FEW * len(ws)
-                  and all(len(n & set(ws)) < NOTICE * len(n) for n in notices)] or [["plain", "words"]]
+        filler = [t for t in lines if self._ordinary(words(t), notices)] or ["plain words"]
         for name, texts in TEMPLATES.items():
             for t in texts:
                 ws = words(t)
@@ -123,14 +122,16 @@ class Model:
                     v = list(ws)
                     if k >= 10:  # some words lost, other words around
                         v = [w for w in v if rng.random() > 0.08]
-                        a, b = rng.choice(filler), rng.choice(filler)
+                        a, b = words(rng.choice(filler)), words(rng.choice(filler))
                         v = a[:rng.randint(0, 8)] + v + b[:rng.randint(0, 8)]
                     rows.append((features(v, self.anchors), CLASSES.index(name)))
-        for ws in filler:  # single anchors among other words are no licence
+        whole = {g for t in TEMPLATES.values() for x in t for g in features(words(x), self.anchors)}
+        for t in filler:  # single anchors among other words are no licence
+            ws = words(t)
             extra = [rng.choice(sorted(self.anchors))] if rng.random() < 0.5 and self.anchors else []
-            rows.append((features(ws[:20] + extra + ws[20:], self.anchors), CLASSES.index(NONE)))
-        self.vocabulary = sorted({g for f, _ in rows for g in f} & {g for t in TEMPLATES.values() for x in t
-                                                                    for g in features(words(x), self.anchors)})
+            # only grams of notices are held, as sampled lines may be long
+            rows.append((features(ws[:20] + extra + ws[20:], self.anchors) & whole, CLASSES.index(NONE)))
+        self.vocabulary = sorted({g for f, _ in rows for g in f} & whole)
         at = {g: n for n, g in enumerate(self.vocabulary)}
         x = np.zeros((len(rows), len(at) + 1))
         x[:, -1] = 1
@@ -151,6 +152,11 @@ class Model:
         self.scale = min((1, 1.5, 2, 3, 4, 6, 8), key=lambda s: -np.log(self._softmax(z * s)[yh > 0] + 1e-12).mean())
         self.weights, self.bias = w[:-1] * self.scale, w[-1] * self.scale
 
+    def _ordinary(self, ws: list[str], notices: list[set[str]]) -> bool:
+        held = set(ws)
+        return (sum(w in self.anchors for w in ws) <= FEW * len(ws)
+                and all(len(n & held) < NOTICE * len(n) for n in notices))
+
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
         e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -164,7 +170,7 @@ def fit(docs: DataFrame, lines: int = LINES) -> Model:
     some = (docs.where(place < int(min(1.0, lines / 4 / max(n, 1)) * (1 << 30)))
             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
             .orderBy(F.xxhash64("doc_id", "line"), "text").limit(lines)
-            .select(F.concat_ws(" ", F.slice(_words("text"), 1, 40)).alias("t")))
+            .select(F.concat_ws(" ", _words("text")).alias("t")))
     return Model([r["t"] for r in some.collect()])
 
 

@@ -229,3 +229,11 @@ def test_a_notice_word_of_another_language_is_no_licence(spark):
     docs = spark.createDataFrame([*rows, (300, "Licensed under the MIT License.")], "doc_id bigint, text string")
     got = {r["doc_id"]: r for r in license_scan.scan(docs, license_scan.fit(docs)).collect()}
     assert [k for k in got if got[k]["n_licences"]] == [300] and got[300]["family"] == "mit"
+
+
+def test_sampled_lines_reach_the_model_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(license_scan, "Model", seen.extend)
+    long = " ".join(f"word{k}" for k in range(300)) + " mit"
+    license_scan.fit(spark.createDataFrame([(k, long) for k in range(5)], "doc_id bigint, text string"))
+    assert seen == [long] * 5
