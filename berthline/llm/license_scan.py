@@ -8,6 +8,15 @@ licence families, an ``unknown`` licence class and ``none`` gives calibrated pro
 and a paragraph whose family is not probable enough is ``unknown``. A prediction is confirmed
 when the paragraph holds enough of the words and pairs of one of the family's templates.
 
+Notices that are wrapped over several lines are found in windows: in a run of consecutive
+lines with anchors that hold no whole template alone, windows start at each line and end at
+each of the next lines, up to as many words further as the longest template has. A window counts
+if it is confirmed and holds more of its template than its first line or a line of its family
+alone; of those that start at a line the most complete one is taken, the shortest of equal
+ones. Windows of one family that start on consecutive lines are one notice, at the line from
+which it is most complete. What that line says alone, and unconfirmed lines of the window that name no other
+family, are no licences of their own.
+
 Training rows are the templates, shortened and mixed variants of them, and a bounded sample of
 lines of the corpus as ``none`` (about ``lines``, chosen by a hash of the id and the line
 number). The weights are a table of a few thousand rows at most, which depends on the
@@ -24,7 +33,7 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LINES = 3000        # sampled corpus lines for training
@@ -186,39 +195,90 @@ def scan_lines(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     templates = spark.createDataFrame([(f"{f} {n}", f, g) for f, n, g in model.templates],
                                       "template string, family string, gram string")
     sizes = templates.groupBy("template").agg(F.count(F.lit(1)).alias("size"))
-    lines = (docs.select(key, F.posexplode(F.split("text", "\n")).alias("line", "_t"))
-             .select(key, "line", _words(F.col("_t")).alias("ws")).where(F.arrays_overlap("ws", anchors)))
+    # "+" marks the pair of a line's last word and the first word of the next line
+    vocabulary = spark.createDataFrame([(e + g, g, bool(e)) for g in model.vocabulary for e in ("", "+")],
+                                       "raw string, gram string, edge boolean")
+    lines = (docs.select(key, F.split(F.lower("text"), "\n").alias("_ls"))
+             .select(key, F.posexplode(F.transform("_ls", lambda t, i: F.struct(
+                 t.alias("t"), F.regexp_extract(F.get("_ls", i + 1), "[a-z0-9]+", 0).alias("n")))).alias("line", "_l"))
+             .select(key, "line", _words(F.col("_l.t")).alias("ws"), F.coalesce("_l.n", F.lit("")).alias("next"))
+             .where(F.arrays_overlap("ws", anchors)))
     singles = F.filter("ws", lambda w: F.array_contains(anchors, w))
-    pairs = F.filter(F.transform(F.sequence(F.lit(0), F.size("ws") - 1),
-                                 lambda i: F.when(i < F.size("ws") - 1, F.concat_ws(" ", F.get("ws", i), F.get("ws", i + 1)))),
-                     lambda p: p.isNotNull())
-    grams = lines.select(key, "line", F.explode(F.array_distinct(F.concat(singles, pairs))).alias("gram"))
-    grams = grams.join(F.broadcast(weights), "gram")
+    pairs = F.transform(F.sequence(F.lit(0), F.size("ws") - 1),
+                        lambda i: F.when(i < F.size("ws") - 1, F.concat_ws(" ", F.get("ws", i), F.get("ws", i + 1)))
+                        .otherwise(F.concat(F.lit("+"), F.get("ws", i), F.lit(" "), F.col("next"))))
+    grams = lines.select(key, "line", F.size("ws").alias("more"), F.explode(F.array_distinct(F.concat(singles, pairs))).alias("raw"))
     # repeated rows share their key: each gram counts once
-    grams = grams.dropDuplicates([key, "line", "gram"])
-    total = grams.groupBy(key, "line").agg(*[(F.sum(f"w{i}") + float(model.bias[i])).alias(f"z{i}") for i in range(k)])
-    total = total.select(key, "line", F.array(*[F.col(f"z{i}") for i in range(k)]).alias("z"))
-    total = total.select(key, "line", "z", F.array_max("z").alias("top"))
+    grams = (grams.join(F.broadcast(vocabulary), "raw").groupBy(key, "line", "gram")
+             .agg(F.min("edge").alias("edge"), F.max("more").alias("more")))
+    alone = _judged(grams.where(~F.col("edge")), [key, "line"], model, weights, templates, sizes)
+
+    # windows of the lines that hold no whole template alone
+    longest = max(len(words(t)) for texts in TEMPLATES.values() for t in texts)
+    run = Window.partitionBy(key, "run").orderBy("line")
+    rest = (alone.where(~F.col("confirmed") | (F.col("part") < 1))
+            .withColumn("run", F.col("line") - F.row_number().over(Window.partitionBy(key).orderBy("line")))
+            .withColumn("upto", F.sum("more").over(run))
+            .withColumn("held", F.when(F.col("confirmed"), F.col("part")).otherwise(0.0)))
+    # each line has a word at least, so no window has more lines than this
+    rest = rest.select(key, F.col("line").alias("start"), "upto", "held", F.collect_list(
+        F.struct("line", "upto", "more", "guess", "held")).over(run.rowsBetween(0, longest)).alias("ahead"))
+    rest = rest.select(key, "start", "held", F.filter("ahead", lambda x: (x["line"] == F.col("start"))
+                                                      | (x["upto"] - x["more"] - F.col("upto") < longest)).alias("ahead"))
+    rivals = F.transform(F.filter("ahead", lambda x: x["held"] > 0), lambda x: F.struct(x["line"], x["guess"], x["held"]))
+    members = (rest.where(F.size("ahead") > 1).withColumn("rivals", rivals)
+               .withColumn("end", F.explode(F.slice("ahead.line", 2, longest)))
+               .select(key, "start", "end", F.struct("held", "rivals").alias("more"),
+                       F.explode(F.sequence("start", "end")).alias("line")))
+    inside = (members.join(grams.drop("more"), [key, "line"]).where(~F.col("edge") | (F.col("line") < F.col("end")))
+              .groupBy(key, F.col("start").alias("line"), "end", "gram").agg(F.max("more").alias("more")))
+    wrapped = _judged(inside, [key, "line", "end"], model, weights, templates, sizes).where(
+        F.col("confirmed") & (F.col("part") > F.col("more.held"))
+        & ~F.exists("more.rivals", lambda x: (x["guess"] == F.col("guess")) & (x["held"] >= F.col("part"))
+                    & (x["line"] <= F.col("end"))))
+    wrapped = (wrapped.groupBy(key, "line").agg(F.max(F.struct(
+        "part", (-F.col("end")).alias("before"), "guess", "probability")).alias("m")).select(key, "line", "m.*")
+        .withColumn("island", F.col("line") - F.row_number().over(Window.partitionBy(key, "guess").orderBy("line")))
+        .groupBy(key, "guess", "island").agg(F.max(F.struct("part", "line", "probability", "before")).alias("m"))
+        .select(key, "m.line", F.col("guess").alias("family"), "m.probability", F.lit(True).alias("confirmed"),
+                (-F.col("m.before")).alias("end")))
+    taken = wrapped.select(key, F.col("family").alias("of"), F.col("line").alias("start"), F.explode(F.sequence("line", "end")).alias("line"))
+    taken = taken.groupBy(key, "line").agg(F.collect_set("of").alias("of"),  # as many as there are families
+                                           F.max(F.col("line") == F.col("start")).alias("head"))
+    own = alone.where(F.col("guess") != NONE).select(
+        key, "line", F.when(F.col("sure"), F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability", "confirmed")
+    own = own.join(taken, [key, "line"], "left").where(
+        F.col("of").isNull() | (~F.col("head") & (F.col("confirmed") | (
+            (F.col("family") != UNKNOWN) & ~F.expr("array_contains(of, family)"))))).drop("of", "head")
+    return own.unionByName(wrapped.drop("end"))
+
+
+def _judged(grams: DataFrame, by: list[str], model: Model, weights: DataFrame, templates: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``*by, more, guess, probability, sure, part, confirmed`` by ``grams(*by, gram, more)``."""
+    k = len(CLASSES)
+    total = grams.join(F.broadcast(weights), "gram").groupBy(*by).agg(
+        F.max("more").alias("more"), *[(F.sum(f"w{i}") + float(model.bias[i])).alias(f"z{i}") for i in range(k)])
+    total = total.select(*by, "more", F.array(*[F.col(f"z{i}") for i in range(k)]).alias("z"))
+    total = total.select(*by, "more", "z", F.array_max("z").alias("top"))
     names = F.array(*[F.lit(c) for c in CLASSES])
-    total = total.select(key, "line", F.struct(
-        (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("p"),
-        F.element_at(names, F.array_position("z", F.col("top")).cast("int")).alias("c")).alias("best"))
-    found = total.where(F.col("best.c") != NONE).select(
-        key, "line", F.col("best.c").alias("guess"), F.col("best.p").alias("probability"))
-    held = (grams.select(key, "line", "gram").join(F.broadcast(templates), "gram")
-            .groupBy(key, "line", "template", "family").agg(F.count(F.lit(1)).alias("n"))
+    found = total.select(
+        *by, "more", F.element_at(names, F.array_position("z", F.col("top")).cast("int")).alias("guess"),
+        (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
+    held = (grams.select(*by, "gram").join(F.broadcast(templates), "gram")
+            .groupBy(*by, "template", "family").agg(F.count(F.lit(1)).alias("n"))
             .join(F.broadcast(sizes), "template")
-            .groupBy(key, "line", "family").agg(F.max(F.col("n") / F.col("size")).alias("part")))
-    out = found.join(held.withColumnRenamed("family", "guess"), [key, "line", "guess"], "left")
+            .groupBy(*by, "family").agg(F.max(F.col("n") / F.col("size")).alias("part")))
+    out = found.join(held.withColumnRenamed("family", "guess"), [*by, "guess"], "left")
     sure = (F.col("probability") >= SURE) & (F.col("guess") != UNKNOWN)
-    return out.select(key, "line", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability",
-                      (sure & (F.coalesce("part", F.lit(0.0)) >= CONFIRM)).alias("confirmed"))
+    part = F.coalesce("part", F.lit(0.0))
+    return out.select(*by, "more", "guess", "probability", sure.alias("sure"), part.alias("part"),
+                      (sure & (part >= CONFIRM)).alias("confirmed"))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: ``doc_id, n_paragraphs, n_licences, licences, family``.
 
-    ``licences`` lists ``line:family:confirmed`` (1 or 0) in the order of lines; ``family`` is the
+    ``n_paragraphs`` counts lines, ``n_licences`` notices, wrapped ones once. ``licences`` lists ``line:family:confirmed`` (1 or 0) in the order of lines; ``family`` is the
     most probable confirmed one.
     """
     keyed = docs.select("doc_id", "text", F.struct("doc_id", F.xxhash64("text").alias("h")).alias("_k"))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -237,3 +238,26 @@ def test_sampled_lines_reach_the_model_whole(spark, monkeypatch):
     long = " ".join(f"word{k}" for k in range(300)) + " mit"
     license_scan.fit(spark.createDataFrame([(k, long) for k in range(5)], "doc_id bigint, text string"))
     assert seen == [long] * 5
+
+
+def test_wrapped_notices_are_found(spark, licence_model):
+    rng = random.Random(11)
+    long = [(f, t) for f, ts in license_scan.TEMPLATES.items() if f != "unknown" for t in ts if len(t) > 90]
+    rows, want = [], {}
+    for width in (24, 40, 60):
+        for f, t in long:
+            lines = textwrap.wrap(t, width)
+            before = ["zzz " * 8] * rng.randint(0, 3)
+            rows.append((len(rows), "\n".join([*before, *lines, "", prose(rng, 8)])))
+            want[len(rows) - 1] = f
+    (mit,), (bsd,) = ([t for t in license_scan.TEMPLATES[f] if "ermission is hereby granted, free" in t or "source and binary" in t]
+                      for f in ("mit", "bsd"))
+    rows.append((len(rows), "\n".join(textwrap.wrap(mit, 60) + textwrap.wrap(bsd, 60))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, licence_model).collect()}
+    assert {k: got[k]["family"] for k in want} == want
+    both = {x.split(":")[1] for x in got[len(want)]["licences"].split(",") if x.endswith(":1")}
+    assert both == {"mit", "bsd"}
+    # the MIT paragraph at 75 characters is one notice, at its first line
+    only = spark.createDataFrame([(0, "zzz zzz\n" + "\n".join(textwrap.wrap(mit, 75)))], "doc_id bigint, text string")
+    assert license_scan.scan(only, licence_model).first()["licences"] == "1:mit:1"
