@@ -2,7 +2,9 @@
 
 Vectors are rotated by sign flips and fast Hadamard transforms; the hash of a rotation is the
 largest coordinate with its sign, and a table joins several. Each vector also goes to the
-buckets of its next largest coordinates (multiprobe). Rows that meet in a bucket are compared
+buckets of its next largest coordinates (multiprobe). Large inputs join more rotations in a
+table and get as many more tables as keep the share of missed pairs at the threshold below
+``MISSED``, measured on drawn pairs of that cosine and dimension. Rows that meet in a bucket are compared
 exactly, by cosine in double precision, block by block as matrix products.
 
 Equal vectors are joined beforehand and one of them is compared. A pair that meets in several
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import Forest, components, materialize, slices
 
-TABLES = 8
+TABLES = 8        # least number of tables
+MISSED = 1e-4     # wanted share of pairs at the threshold that meet in no table
 PROBES = 2        # further buckets of each table
 BLOCK_ROWS = 1024
 BUCKET_ROWS = 64  # wanted rows per bucket; decides how many rotations a table joins
@@ -77,6 +80,18 @@ def buckets(x: np.ndarray, tables: int, joined: int, probes: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
+def tables_for(joined: int, dim: int, threshold: float, probes: int = PROBES) -> int:
+    """Tables by which at most about ``MISSED`` of the pairs at the threshold never meet."""
+    rng = np.random.RandomState(SEED)
+    x, y = rng.normal(size=(2, 500, max(dim, 2)))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold ** 2)) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = (buckets(z, TABLES, joined, probes).reshape(len(x), TABLES, -1) for z in (x, y))
+    met = (a[..., :, None] == b[..., None, :]).any(axis=(2, 3)).mean()
+    return max(TABLES, int(np.ceil(np.log(MISSED) / np.log1p(-np.clip(met, 1e-2, 0.999)))))
+
+
 def _usable(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors that can be compared: ``vec_id, label, dim, digest, v`` (v as doubles)."""
     for b in slices(source, 2000):
@@ -166,8 +181,8 @@ def _out(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["rep", "n", "other"])
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABLES, probes: int = PROBES,
-                 joined: int | None = None) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int | None = None,
+                 probes: int = PROBES, joined: int | None = None) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for ``vectors(vec_id, embedding, label)``."""
     base = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"),
                           F.col("embedding").cast("array<double>").alias("embedding"))
@@ -175,10 +190,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
     usable = materialize(usable.dropDuplicates(["vec_id", "label", "digest"]), "vectors")
     classes = (usable.groupBy("label", "dim", "digest")
                .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("many"), F.any_value("v").alias("v")))
-    n = usable.count()
+    # one row per dimension: the distinct vectors of its largest label
+    groups = [(r["dim"], r["n"]) for r in classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("dim").agg(F.max("n").alias("n")).collect()]
     if joined is None:
-        width = 2 * 64
-        joined = max(1, round(np.log(max(n, 2) / BUCKET_ROWS) / np.log(width) + 0.5))
+        joined = max([1, *(round(np.log(max(n, 2) / BUCKET_ROWS) / np.log(2 << max(1, (d - 1).bit_length())) + 0.5)
+                           for d, n in groups)])
+    if tables is None:
+        tables = max([TABLES, *(tables_for(joined, d, threshold, probes) for d, _ in groups)])
     coded = materialize(classes.mapInArrow(
         _hashed(tables, joined, probes),
         "label string, dim int, digest binary, rep bigint, many bigint, v binary, codes array<bigint>"), "hashed")

@@ -234,3 +234,28 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert sorted({r for r in got if r[0] is not None}) == _vector_links(data, 0.93)
     assert len(got) == len(data) + 2
     assert embed_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+def _at_cosine(rng, n, dim, cosine):
+    x, y = rng.normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    return x, cosine * x + math.sqrt(1 - cosine ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("joined", [1, 2, 3, 4])
+def test_pairs_at_the_threshold_meet_with_any_number_of_rotations(joined):
+    x, y = _at_cosine(np.random.default_rng(8), 4000, 64, 0.93)
+    tables = embed_dedup.tables_for(joined, 64, 0.93)
+    a, b = (embed_dedup.buckets(v, tables, joined, embed_dedup.PROBES) for v in (x, y))
+    met = np.mean([bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist())])
+    assert met >= 0.999
+
+
+@pytest.mark.parametrize("joined", [2, 3, 4])
+def test_links_at_the_threshold_with_more_rotations(spark, joined):
+    x, y = _at_cosine(np.random.default_rng(9), 400, 64, 0.9301)
+    data = [(k, v.tolist(), 0) for k, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>, label int")
+    got = rows(embed_dedup.near_vectors(df, 0.93, joined=joined), "vec_id", "n_links", "component_id", "kept")
+    assert sorted(got) == _vector_links(data, 0.93)
