@@ -1,14 +1,15 @@
-"""Removal of repeated passages by relative Lempel-Ziv parsing over content-defined blocks.
+"""Removal of repeated passages by grouping window hashes over content-defined blocks.
 
 A window is ``window`` consecutive words of one document. Each window has an anchor: the
 leftmost of its ``gram``-word sequences with the smallest hash. Windows with equal words have
 equal anchors at equal places, so only windows of equal anchors need comparing. The
 consecutive windows of one anchor form a block, about half a window wider than the window.
 
-*Index.* All blocks of all documents are indexed by anchor and content. A document is parsed
-greedily against the index: runs of blocks that also start elsewhere are its factors.
-*Boundaries.* Where an anchor occurs with different contents a factor may end inside the block;
-only there single windows are compared, which makes the result exact.
+*Index.* All blocks of all documents are grouped by anchor and content: where an anchor has one
+content only and occurs twice, all windows of its blocks are repeated.
+*Mixed anchors.* Where an anchor occurs with different contents a repeated passage may end inside
+the block; only there single windows are compared, which makes the result exact. No document
+is parsed into factors: each block and each such window is decided by its own group.
 
 Both steps look for rows whose key occurs twice. Rows are first combined within a batch, so a
 passage that very many documents share sends at most one row per batch and key to the shuffle.
