@@ -8,8 +8,8 @@ rows. At the end both are calibrated again, a small logistic regression combines
 all documents are scored.
 
 A good document has quality 1 and is not toxic. Training uses a bounded sample: at most about
-``labelled`` labelled and ``pool`` unlabelled rows, chosen by a hash of the id, which reach the
-driver as feature numbers, never as texts.
+``labelled`` labelled rows, and the unlabelled ones among about ``labelled + pool`` ids, chosen
+by a hash of the id, which reach the driver as feature numbers, never as texts.
 
 Defined results: null texts are empty; missing metadata is a value of its own; label rows
 without quality are ignored, several for one id count as bad if one is; without labels of both
