@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii, quality, substring_dedup
+from . import (bpe, decontaminate, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii, quality,
+               substring_dedup)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +161,38 @@ def op7_paragraph_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence paragraphs of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.scan(docs, license_scan.fit(docs))
+
+
+@query
+def op12_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of benchmark windows, and the items met."""
+    df = decontaminate.find_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return df.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                     F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                     (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op12_fm_index"] = """
+  WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+             lambda x: x <> '') AS ws FROM documents),
+  b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+             lambda x: x <> '') AS ws FROM benchmark),
+  q AS (SELECT DISTINCT item, z, array_to_string(ws[p:p + z - 1], ' ') AS k
+        FROM (SELECT item, ws, least(10, len(ws)) AS z, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS p
+              FROM b WHERE len(ws) > 0)),
+  z AS (SELECT DISTINCT z FROM q),
+  v AS (SELECT r, z, p, array_to_string(ws[p:p + z - 1], ' ') AS k
+        FROM (SELECT r, ws, z, unnest(range(1, len(ws) - z + 2)) AS p FROM d JOIN z ON len(ws) >= z)),
+  o AS (SELECT r, p, v.z, item FROM v JOIN q ON v.z = q.z AND v.k = q.k),
+  h AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(p, p + z)) AS w FROM o) GROUP BY r),
+  i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT r, item FROM o) GROUP BY r)
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+         CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+         coalesce(n_hit, 0) > 0 AS contaminated
+  FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)
+"""

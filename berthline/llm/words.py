@@ -66,12 +66,13 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
 
 class Words:
     """Words of a batch of texts: ``hashes``, byte ``starts`` and ``ends`` in ``blob``;
-    text ``k`` has the words ``first[k]:first[k + 1]``."""
+    text ``k`` has the words ``first[k]:first[k + 1]``. ``between`` marks the bytes that are no
+    part of a word; a blank must be among them."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False) -> None:
+    def __init__(self, texts: list[bytes], lower: bool = False, between: np.ndarray = SPACE) -> None:
         self.blob = blob = b" ".join(texts) + b" "
         data = np.frombuffer(blob, dtype=np.uint8)
-        space = SPACE[data]
+        space = between[data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(data) and not space[0]:
             edge = np.concatenate([[0], edge])
