@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, decontaminate, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii, quality,
-               substring_dedup)
+               ranked_search, substring_dedup)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,30 @@ ORACLES["op12_fm_index"] = """
          coalesce(n_hit, 0) > 0 AS contaminated
   FROM d LEFT JOIN h USING (r) LEFT JOIN i USING (r)
 """
+
+
+@query
+def op13_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+ORACLES["op13_fp_tree"] = """
+  WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+             lambda x: x <> '') AS ws FROM documents),
+  b AS (
+    SELECT item_id, row_number() OVER () AS item, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+             lambda x: x <> '')) AS t FROM benchmark),
+  q AS (SELECT item_id, item, t, count(*) AS c FROM b GROUP BY ALL),
+  s AS (SELECT count(*) AS n_docs, sum(len(ws)) AS n_terms FROM d WHERE len(ws) > 0),
+  f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d) GROUP BY ALL),
+  w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY t, n_docs),
+  m AS (SELECT doc_id, r, CAST(25 + (75 * len(ws) * n_docs) // n_terms AS BIGINT) AS m FROM d, s WHERE len(ws) > 0),
+  x AS (SELECT item_id, item, doc_id, r, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL),
+  k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST, r) AS rank FROM x WHERE score > 0)
+  SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""

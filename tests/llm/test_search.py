@@ -1,13 +1,15 @@
 """Benchmark decontamination and ranked search against plain versions."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from berthline.llm import decontaminate
+from berthline.llm import decontaminate, ranked_search
 from berthline.llm.terms import term_words
 
 from .support import no_documents, odd_documents, prose
@@ -110,3 +112,72 @@ def test_terms_are_runs_of_letters_digits_and_other_bytes():
     w = term_words(["Aé-b2_c".encode(), b"", b"  x"])
     assert w.first.tolist() == [0, 3, 3, 4]
     assert w.hashes[0] == term_words(["aé".encode()]).hashes[0]
+
+
+def _plain_ranking(docs, items, top=10):
+    bags = [(i, Counter(words_of(t))) for i, t in docs]
+    bags = [(i, b, sum(b.values())) for i, b in bags if b]
+    n_docs, n_terms = len(bags), sum(n for *_, n in bags)
+    df = Counter(t for _, b, _ in bags for t in b)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, b, n in bags:
+            m = 25 + 75 * n * n_docs // n_terms
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * b[t] // (1000 * b[t] + 8 * m))
+                    for t in words_of(text) if t in b)
+            if s:
+                scored.append((-s, i is None, i))
+        out += [(item, k + 1, i, -s) for k, (s, _, i) in enumerate(sorted(scored)[:top])]
+    return sorted(out, key=repr)
+
+
+def _ranking(df):
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("cells", [1 << 23, 1])
+def test_ranking_equals_scoring_every_document(spark, monkeypatch, cells):
+    monkeypatch.setattr(ranked_search, "CELLS", cells)
+    docs, items = _planted(random.Random(31), 400)
+    docs += [(1000 + k, docs[7][1]) for k in range(40)] + [(500, "t1"), (501, None)]  # ties and copies
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = _plain_ranking(docs, items)
+    assert _ranking(ranked_search.rank_documents(d, i)) == expected
+    monkeypatch.setattr(ranked_search, "BLOCK_WORDS", 30)
+    assert _ranking(ranked_search.rank_documents(d, i)) == expected  # several blocks of items
+
+
+def test_bounds_hold_and_leave_nodes_out():
+    rng = np.random.default_rng(8)
+    width, rows = 60, 900
+    weights = rng.integers(0, 8000, width)
+    paths = [np.unique(np.minimum(rng.geometric(0.08, rng.integers(1, 30)), width) - 1) for _ in range(rows)]
+    paths[5] = paths[9] = paths[700]
+    counts = [rng.integers(1, 6, len(p)).astype(np.int32) for p in paths]
+    m, ids = rng.integers(25, 400, rows), np.arange(rows)
+    tree = ranked_search.Tree(paths, counts, m, ids, width)
+    covered = sorted(k for own in tree.own for k in own.tolist())
+    assert covered == list(range(rows)) and tree.high[tree.root] == rows
+    for v in range(len(tree.low)):
+        inside = tree.tf[tree.low[v]:tree.high[v]]
+        assert (tree.most[v] == inside.max(axis=0)).all() and tree.least_m[v] == tree.m[tree.low[v]:tree.high[v]].min()
+    opened = 0
+    for _ in range(30):
+        columns = rng.choice(width, 12, replace=False)
+        best = ranked_search.Best(5)
+        opened += ranked_search.search(tree, columns, weights[columns], best)
+        scores = (ranked_search.gain(tree.tf[:, columns].astype(np.int64), tree.m[:, None]) * weights[columns]).sum(axis=1)
+        assert best.rows == sorted((-int(s), int(i)) for s, i in zip(scores, tree.ids) if s > 0)[:5]
+    assert opened < 30 * len(tree.low) / 2
+
+
+def test_ranking_of_odd_and_empty_tables(spark):
+    docs = odd_documents(spark)
+    items = [(1, "a a one"), (2, "日本語 текст"), (3, ""), (1, "two words x"), (None, "one")]
+    i = spark.createDataFrame(items, "item_id int, text string").withColumn("rank", F.lit("old"))
+    plain = _plain_ranking([(r["doc_id"], r["text"]) for r in docs.collect()], items)
+    assert _ranking(ranked_search.rank_documents(docs, i)) == plain
+    assert _ranking(ranked_search.rank_documents(no_documents(spark), i)) == []
+    assert _ranking(ranked_search.rank_documents(docs, i.limit(0))) == []
