@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii, quality,
-               ranked_search, substring_dedup)
+from . import (bpe, decontaminate, embed_dedup, fingerprint, jaccard_join, langid, license_scan, packing, pii,
+               prefix_trie, quality, ranked_search, substring_dedup)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +223,48 @@ ORACLES["op13_fp_tree"] = """
   k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST, r) AS rank FROM x WHERE score > 0)
   SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
 """
+
+
+@query
+def op11_centroid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations with its subtree's sums."""
+    df = prefix_trie.trie(table(spark, sf_dir, "conversations"))
+    return df.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+ORACLES["op11_centroid_trie"] = """
+  WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS at
+    FROM conversations WHERE conv_id IS NOT NULL),
+  c AS (
+    SELECT conv_id, count(*) AS n, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+             list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))),
+             lambda a, d: list_reduce(list_concat([xor(a, d)], [CAST(x AS BIGINT) FOR x IN range(8)]),
+               lambda b, i: CASE WHEN b & 1 = 1 THEN xor(b >> 1, CAST(3988292384 AS BIGINT)) ELSE b >> 1 END)) AS state
+    FROM t GROUP BY conv_id),
+  h AS (SELECT conv_id, n, xor(state, CAST(4294967295 AS BIGINT)) % 4 AS h, conv_id - conv_id % 20 AS base FROM c),
+  g AS (SELECT h.conv_id, h.h, h.base, least(h.h, coalesce(b.n, 0)) AS shared FROM h LEFT JOIN h b ON b.conv_id = h.base),
+  r AS (
+    SELECT g.conv_id, t.at AS depth, role, text FROM g JOIN t ON t.conv_id = g.base AND t.at <= g.h
+    UNION ALL
+    SELECT g.conv_id, t.at - g.h + g.shared, role, text FROM g JOIN t ON t.conv_id = g.conv_id AND t.at > g.h),
+  s AS (
+    SELECT conv_id, depth, md5(to_json(list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth))) AS node,
+           len(list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS words FROM r
+    UNION ALL SELECT conv_id, 0, '', 0 FROM g),
+  p AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+               depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM s),
+  n AS (
+    SELECT node, min(conv_id) AS conv_id, min(depth) AS depth, min(parent) AS parent, count(*) AS n_convs, min(words) AS words,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM p GROUP BY node),
+  k AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+  w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+  u AS (
+    SELECT p.node, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((w.n_convs - 1) * w.words) AS saved_tokens
+    FROM w JOIN p ON p.conv_id = w.conv_id AND p.depth <= w.depth GROUP BY p.node)
+  SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, w.n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+         CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+  FROM w JOIN u USING (node) LEFT JOIN n q ON q.node = w.parent
+"""
