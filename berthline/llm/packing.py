@@ -24,7 +24,6 @@ are packed as separate pieces; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
-import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import Pieces, Vocabulary, cut_words
+from .bpe import Pieces, cut_words
 from .common import materialize, slices
 
 SEQUENCE = 4096
@@ -47,59 +46,109 @@ RANK_ROWS = 5_000   # pieces numbered in one bucket of the ranking, about
 
 # --------------------------------------------------------------------------- tokens
 
-#: Outside these characters a text is given to the tokenizer whole: up to U+02FF every text is
-#: composed already, lower-casing goes by character and white space separates words.
-_PLAIN = re.compile("[^\t-\r -\x84\x86-˿]")
+#: Other characters make their word *odd*: it is given to the tokenizer as a whole. Up to U+02FF every
+#: word is composed already, lower-casing goes by character and white space separates words.
+_ODD = "[^\t-\r -\x84\x86-\u02ff]"
+_ANY_ODD = re.compile(_ODD)
+_ODD_RUN = re.compile(rf"[^\t-\r ]*{_ODD}[^\t-\r ]*")
 _SPECIAL = re.compile(r"<\|")
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # the file's own, lower case
+TABLE_BITS = 21     # places of a worker's table of words
+ODD_WORDS = 50_000  # odd words whose ids a worker holds; emptied when there are more
 
+_MARKS = np.zeros(256, dtype=bool)  # punctuation that is a piece of its own behind a letter or digit
+_MARKS[list(b".,;:!?")] = True
+_PLAIN_END = np.zeros(256, dtype=bool)
+_PLAIN_END[48:58] = _PLAIN_END[97:123] = True
 
-_WORD_END = b"\xff"  # not a byte of any text
 
-
-def _byte_characters() -> dict[str, int]:
+def _byte_characters() -> dict[int, str]:
     """The characters that stand for bytes in the file: printable ones for themselves, the
     others for 256, 257, ... in order."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     other = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+def _cut_marks(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without the punctuation that ends them, and this punctuation: starts and ends."""
+    a, b = cut_words(data, first, last)
+    if not len(a):
+        return a, b
+    before = np.where(_MARKS[data], -1, np.arange(len(data)))  # the last byte that is no mark
+    end = np.maximum.accumulate(before)[b - 1] + 1
+    two = (end > a) & (end < b) & _PLAIN_END[data[end - 1]]
+    at = np.arange(len(a)) + np.cumsum(two) - two
+    starts, ends = np.empty(len(a) + int(two.sum()), np.int64), np.empty(len(a) + int(two.sum()), np.int64)
+    starts[at], ends[at] = a, np.where(two, end, b)
+    starts[at[two] + 1], ends[at[two] + 1] = end[two], b[two]
+    return starts, ends
+
+
+class _Table(Pieces):
+    """Words met so far and their ids, from the tokenizer's own model."""
+
+    def __init__(self, model) -> None:
+        self.tokenize, self.characters = model.tokenize, _byte_characters()
+        super().__init__(None, _PIECE, _cut_marks, whole=False, bits=TABLE_BITS)
+
+    def _ids(self, piece: str) -> list[int]:
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode().decode("latin-1").translate(self.characters)
+        return [t.id for t in self.tokenize(piece)]
+
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        out = []
+        for raw in chunks:
+            chunk = raw.decode()
+            parts = [chunk] if chunk.isalpha() else self.find(chunk)
+            out.append(array("I", [i for p in parts for i in self._ids(p)]).tobytes())
+        return out
 
 
 class Words:
     """The tokenizer's ids of texts (little-endian uint32).
 
-    Texts of plain characters are cut at white space and encoded by prefix tables, each word
-    once; all other texts are given to the tokenizer whole.
+    Texts are lower-cased and cut at white space, and each word is encoded once by the tokenizer's model.
+    Odd words are given to the tokenizer with its own normalizer; texts with a special token whole.
     """
 
     def __init__(self, content: str) -> None:
         self.t = Tokenizer.from_str(content)
-        model = json.loads(content)["model"]
-        byte = _byte_characters()
-
-        def data(token: str) -> bytes:
-            word = token.endswith("</w>")
-            return bytes(byte[c] for c in token[:-4 if word else None]) + _WORD_END * word
-
-        special = {t.content for t in self.t.get_added_tokens_decoder().values()}
-        ranks = {data(t): i for t, i in model["vocab"].items() if t not in special}
-        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        merges = {(ranks[data(a)], ranks[data(b)]): ranks[data(a + b)] for a, b in pairs}
-        if sorted(merges.values()) != list(merges.values()):
-            raise ValueError("the ids of merged tokens do not follow the order of the merges")
-        end = max(model["vocab"].values()) + 1
-        for b in range(256):  # a word's last byte and its end are one symbol from the start
-            merges[ranks[bytes([b])], end] = ranks[bytes([b]) + _WORD_END]
-        self.pieces = Pieces(Vocabulary(ranks | {_WORD_END: end}, merges), _PIECE, cut_words, _WORD_END, whole=False)
+        self.table = _Table(self.t.model)
+        self.odd: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.t.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _odd(self, word: str) -> bytes:
+        ids = self.odd.get(word)
+        if ids is None:
+            if len(self.odd) >= ODD_WORDS:
+                self.odd.clear()
+            ids = self.whole(word)
+            if len(word) <= 64:
+                self.odd[word] = ids
+        return ids
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        plain = [not (_PLAIN.search(t) or _SPECIAL.search(t)) for t in texts]
-        flat, at = self.pieces.encode([t.lower() for t, p in zip(texts, plain) if p])
-        quick = (flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
-        return [next(quick) if p else self.whole(t) for t, p in zip(texts, plain)]
+        flat: list[str] = []    # plain texts, and what stands between odd words
+        parts: list = []        # per text: bytes, a place in flat, or a list of these
+        for t in texts:
+            if _SPECIAL.search(t):
+                parts.append(self.whole(t))
+                continue
+            row, at = [], 0
+            for m in _ODD_RUN.finditer(t) if _ANY_ODD.search(t) else ():
+                row += [len(flat), self._odd(m[0])]
+                flat.append(t[at:m.start()].lower())
+                at = m.end()
+            parts.append([*row, len(flat)] if row else len(flat))
+            flat.append((t[at:] if at else t).lower())
+        ids, at = self.table.encode(flat)
+        data, at = ids.tobytes(), (4 * at).tolist()
+        read = lambda x: x if x.__class__ is bytes else data[at[x]:at[x + 1]]
+        return [b"".join(map(read, p)) if p.__class__ is list else read(p) for p in parts]
 
 
 _held: dict[int, Words] = {}
@@ -264,17 +313,24 @@ class Plan:
             rank += used
             count -= used
 
-    def sort(self) -> None:
-        for runs in self.rows.values():
-            runs.sort()
+    def places(self) -> "Places":
+        return Places([(n, *run) for n, runs in self.rows.items() for run in sorted(runs)])
 
     def place(self, length: int, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        runs = self.rows[length]
-        r = np.array([x[0] for x in runs])
-        at = np.searchsorted(r, rank, side="right") - 1
-        first = np.array([x[1] for x in runs])
-        offset = np.array([x[2] for x in runs])
-        return first[at] + rank - r[at], offset[at]
+        return self.places().find(np.full(len(rank), length), rank)
+
+
+class Places:
+    """The runs of a plan as arrays sorted by (length, first rank): what the tasks get."""
+
+    def __init__(self, runs: list[tuple[int, int, int, int]]) -> None:
+        table = np.array(sorted(runs), dtype=np.int64).reshape(-1, 4)
+        self.length, self.rank, self.sequence, self.offset = np.ascontiguousarray(table.T)
+
+    def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = lambda n, r: (n.astype(np.int64) << 48) | r  # noqa: E731 - lengths and ranks are below 2^15 and 2^48
+        at = np.searchsorted(key(self.length, self.rank), key(length, rank), side="right") - 1
+        return self.sequence[at] + rank - self.rank[at], self.offset[at]
 
 
 def make_plan(histogram: dict[int, int], limit: int = SEQUENCE, groups: tuple[int, ...] = GROUPS) -> Plan:
@@ -332,7 +388,6 @@ def _plan(histogram: dict[int, int], limit: int, groups: int) -> Plan:
             plan.best_fit(length, rank, c)
     for n in sorted((n for n in histogram if n * LARGE_PART <= limit), reverse=True):
         plan.best_fit(n, 0, histogram[n])
-    plan.sort()
     return plan
 
 
@@ -341,31 +396,29 @@ def _plan(histogram: dict[int, int], limit: int, groups: int) -> Plan:
 def pack(pieces: DataFrame, limit: int = SEQUENCE, groups: tuple[int, ...] = GROUPS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` (bigint) to ``pieces`` (with ``length`` 1..limit).
 
-    ``pieces`` is read twice, so pass a materialized table. Only the histogram of lengths (at
-    most ``limit`` rows) reaches the driver.
+    Rows are numbered within their length. Rows without a stored number ``_row`` are written out
+    with one first: it deals rows, equal ones too, to buckets, and makes the order total, so a
+    task that is run again numbers its rows as before. Only the histogram of lengths (at
+    most ``limit`` rows) reaches the driver, and the plan's arrays the tasks.
     """
+    if "_row" not in pieces.columns:
+        pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}
-    plan = make_plan(counts, limit, groups)
+    plan = make_plan(counts, limit, groups).places()
     salts = max(1, -(-sum(counts.values()) // RANK_ROWS))
-    keyed = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    keyed = pieces.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)))
     before = (keyed.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n"))
               .drop("_n"))
-    number = F.row_number().over(Window.partitionBy("_salt", "length").orderBy("doc_id", "piece"))
+    number = F.row_number().over(Window.partitionBy("_salt", "length").orderBy("_row"))
     ranked = (keyed.withColumn("_r", number - 1).join(before, ["_salt", "length"])
               .withColumn("_r", F.col("_r") + F.col("_before")).drop("_before", "_salt"))
-    kept = pieces.columns
-    schema = pieces.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).schema
+    kept = [c for c in pieces.columns if c != "_row"]
+    schema = pieces.drop("_row").withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            length = b.column("length").to_numpy(zero_copy_only=False)
-            rank = b.column("_r").to_numpy(zero_copy_only=False)
-            seq, off = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            order = np.argsort(length, kind="stable")
-            values, starts = np.unique(length[order], return_index=True)
-            for n, rows in zip(values.tolist(), np.split(order, starts[1:])):
-                seq[rows], off[rows] = plan.place(n, rank[rows])
+            seq, off = plan.find(*(b.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_r")))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(seq), pa.array(off)],
                                              names=[*kept, "sequence_id", "offset"])
 
@@ -376,5 +429,5 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = S
     """Pieces of all documents with their places: ``doc_id, piece, start, length, ids_crc32,
     sequence_id, offset``. The ids stay behind; :func:`token_pieces` gives them."""
     cut = token_pieces(docs, tokenizer, limit)
-    pieces = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids").withColumn("_row", F.monotonically_increasing_id())
     return pack(materialize(pieces, "pieces"), limit)

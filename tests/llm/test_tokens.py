@@ -97,6 +97,8 @@ def test_word_ids_equal_the_library():
     texts = ["".join(rng.choices(ODD, k=rng.randint(0, 40))) for _ in range(800)]
     texts += ["".join(rng.choices(plain, k=rng.randint(0, 60))) for _ in range(800)]
     texts += [prose(rng, 500), "<|startoftext|> x", "DON'T we'll 123", ""]
+    words_and_marks = ["Word", "it's.", "x1...", "\u201cquoted\u201d,", "na\u00efve;", "e\u0301t\u00e9", "\u039f\u03a3", "\u4e2d\u6587", "\u2014", "don't!?", " ", "\u0301", "\u00bb."]
+    texts += [rng.choice([" ", "\n", "\u00a0", "  "]).join(rng.choices(words_and_marks, k=rng.randint(1, 25))) for _ in range(600)]
     for t, got in zip(texts, words.ids(texts)):
         assert got == words.whole(t), t
 
@@ -161,3 +163,13 @@ def test_packing_odd_rows(spark, monkeypatch):
     docs = odd_documents(spark)
     _check_packed(docs.collect(), packing.pack_documents(docs).collect())
     assert packing.pack_documents(no_documents(spark)).count() == 0
+
+
+def test_equal_ids_and_equal_rows_are_numbered_apart(spark, monkeypatch):
+    """A third of the rows have no id and one text: they are dealt to several buckets of the ranking."""
+    monkeypatch.setattr(packing, "RANK_ROWS", 10)
+    rng = random.Random(8)
+    rows = [(None, "same text")] * 60 + [(7, prose(rng, k % 9)) for k in range(60)] + [(k, prose(rng, 30)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = packing.pack_documents(docs).collect()
+    assert _check_packed(docs.collect(), got) <= -(-sum(r["length"] for r in got) // 4096) + 1
