@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,31 +47,65 @@ class OneHotModel:
         return bools_to_ints(out) if ints else out
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = 1024) -> OneHotModel:
-    """Distinct non-null values per column; raises when a column has more than ``max_categories``."""
-    cols = [c for c in columns if c in df.columns]
+def _categories(df: DataFrame, columns: Sequence[str], max_categories: int, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct ``(by, column, value)`` without NULL values, from one scan of the table. Per column at most
+    ``max_categories + 1`` distinct values go on (cut before the shuffle), which shows that there are too many."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise KeyError(f"one-hot columns not present: {missing}")
-    if not cols:
-        return OneHotModel({})
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("p")).select("p.column", "p.value").where(F.col("value").isNotNull()).distinct()
-    # counted in the cluster first, so that the column at fault is named and nothing large is collected
-    counts = {r["column"]: r["count"] for r in pairs.groupBy("column").count().collect()}
-    for c in cols:
-        if counts.get(c, 0) > max_categories:
-            raise ValueError(f"column {c!r} has {counts[c]} categories, more than {max_categories}")
-    found: dict[str, list[str]] = {c: [] for c in cols}
-    for r in pairs.collect():
+    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    pairs = (df.select(*by, F.explode(items).alias("p")).select(*by, "p.column", "p.value").where(F.col("value").isNotNull()).distinct())
+    w = Window.partitionBy("column").orderBy("value")
+    return pairs.withColumn("_n", F.dense_rank().over(w)).where(F.col("_n") <= max_categories + 1).drop("_n")
+
+
+def _sorted_categories(df: DataFrame, columns: Sequence[str], pairs: DataFrame, max_categories: int) -> dict[str, list[str]]:
+    """The categories of each column in the order of its type; raises when a column has too many."""
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in pairs.select("column", "value").distinct().collect():
         found[r["column"]].append(r["value"])
     for c, vals in found.items():
-        if isinstance(df.schema[c].dataType, T.NumericType):
-            vals.sort(key=float)
-        else:
-            vals.sort()
-    return OneHotModel(found)
+        if len(vals) > max_categories:
+            raise ValueError(f"column {c!r} has more than {max_categories} categories")
+        vals.sort(key=float if isinstance(df.schema[c].dataType, T.NumericType) else None)
+    return found
+
+
+def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = 1024) -> OneHotModel:
+    """Distinct non-null values per column (one job); raises when a column has more than ``max_categories``."""
+    columns = list(columns)
+    if not columns:
+        return OneHotModel({})
+    return OneHotModel(_sorted_categories(df, columns, _categories(df, columns, max_categories), max_categories))
+
+
+def one_hot_per_group(df: DataFrame, columns: Sequence[str], by: str, max_categories: int = 1024) -> DataFrame:
+    """One-hot encoding fitted for each value of ``by`` (an upload) on its own, in one plan.
+
+    The columns are those of all groups together. In a group, a dummy that its own fit does not
+    have (a value it does not contain, or its own baseline) is NULL, as when the
+    groups' results are put under each other. ``max_categories`` bounds each column over all groups.
+    """
+    columns = list(columns)
+    pairs = _categories(df, columns, max_categories, [by])
+    every = _sorted_categories(df, columns, pairs, max_categories)
+    order = {c: {v: n for n, v in enumerate(vals)} for c, vals in every.items()}
+    own = pairs.groupBy(by).agg(*[
+        F.collect_set(F.when(F.col("column") == c, F.col("value"))).alias(f"_own_{n}")  # at most max_categories values
+        for n, c in enumerate(columns)])
+    own = own.withColumnRenamed(by, "_by")
+    out = df.join(own, F.col(by).eqNullSafe(F.col("_by")), "left")
+    dummies = {}
+    for n, c in enumerate(columns):
+        s, mine = F.col(c).cast("string"), F.col(f"_own_{n}")
+        for v in every[c]:
+            smaller = [u for u in every[c] if order[c][u] < order[c][v]]
+            is_dummy = F.array_contains(mine, v) & F.arrays_overlap(mine, F.array(*map(F.lit, smaller)).cast("array<string>"))
+            dummies[f"{c}_{v}"] = F.when(is_dummy, F.coalesce(s == F.lit(v), F.lit(False)))
+    # the smallest value of all groups is everyone's baseline where it occurs, and no dummy elsewhere
+    dummies = {f"{c}_{v}": dummies[f"{c}_{v}"] for c in columns for v in every[c][1:]}
+    out = out.select(*[F.col(x) for x in df.columns if x not in columns], *[d.alias(k) for k, d in dummies.items()])
+    return bools_to_ints(out)
 
 
 def apply_one_hot_encoding(df: DataFrame, columns: Sequence[str],

@@ -47,11 +47,12 @@ def _agg(spec: EventStat, order: str) -> Column:
     return pick(F.when(hit, v), F.when(hit, F.col(order))).alias(spec.name)
 
 
-def event_pivot(df: DataFrame, key: str, specs: Sequence[EventStat], order: str = ORD) -> DataFrame:
-    """Add one column per spec holding the per-key statistic, on every row of the key."""
+def event_pivot(df: DataFrame, key: str | Sequence[str], specs: Sequence[EventStat], order: str = ORD) -> DataFrame:
+    """Add one column per spec holding the per-key statistic, on every row of the key (one or several columns)."""
     if not specs:
         return df
-    stats = df.groupBy(key).agg(*[_agg(s, order) for s in specs])
+    key = [key] if isinstance(key, str) else list(key)
+    stats = df.groupBy(*key).agg(*[_agg(s, order) for s in specs])
     out = df.drop(*[s.name for s in specs if s.name in df.columns]).join(stats, key, "left")
     counts = {s.name: F.coalesce(F.col(s.name), F.lit(0)).cast("bigint")
               for s in specs if s.how == "count"}
@@ -127,7 +128,7 @@ def add_stage_durations(df: DataFrame, arrival_col: str = "arrival_time") -> Dat
     return port_to_ste_time(arrival_to_pickup_time(df, arrival_col))
 
 
-def add_load_date(df: DataFrame, key_col: str = "key", event_col: str = "event_type",
+def add_load_date(df: DataFrame, key_col: str | Sequence[str] = "key", event_col: str = "event_type",
                   event_type: str = EVENT_LTV, event_date_col: str = "event_date",
                   order: str = ORD) -> DataFrame:
     """``load_date`` = latest date of ``event_type`` (lift to vessel) per key (strict parsing)."""
@@ -143,7 +144,7 @@ def calculate_journey_length(df: DataFrame, start: str = "sail_date", end: str =
     return df.withColumn(new_col, hours_between(F.col(start), F.col(end)))
 
 
-def key_event_features(df: DataFrame, key: str = "key", order: str = ORD,
+def key_event_features(df: DataFrame, key: str | Sequence[str] = "key", order: str = ORD,
                        event_col: str = "event_type", date_col: str = "event_date",
                        location_col: str = "inventory_location_code",
                        arrival_col: str = "arrival_time", with_load_date: bool = False) -> DataFrame:

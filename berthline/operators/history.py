@@ -32,7 +32,11 @@ DECAY_BLOCK = 2048  # 0.9 ** -2048 is about 1e94: scaled values stay far inside
 DECAY_BLOCKS = 4    # 0.9 ** (4 * 2048) is below the smallest double: older weights are exactly 0
 
 
-def with_decayed_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], x: Column, name: str,
+def keys_of(group: str | Sequence[str]) -> list[str]:
+    return [group] if isinstance(group, str) else list(group)
+
+
+def with_decayed_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], x: Column, name: str,
                      decay: float = DECAY) -> DataFrame:
     """Add ``name``: the sum of all earlier non-null values of the partition, weighted with
     ``decay ** age`` (newest earlier value 1), and ``{name}_k``, their number.
@@ -73,29 +77,28 @@ def _full_window_mean(x: Column, frame, n: int) -> Column:
 
 
 def engineer_customer_pickup_features(
-        df: DataFrame, group: str = "consignee_name", time: str = "arrival_time",
+        df: DataFrame, group: str | Sequence[str] = "consignee_name", time: str = "arrival_time",
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
-        carry_over: bool = False,
-        partitions: int | None = None, strategy: str = "window", hot_rows: int = 2_000_000,
-        chunk_rows: int | None = None, materialized: bool = False) -> DataFrame:
+        carry_over: bool = False, partitions: int | None = None, strategy: str = "window") -> DataFrame:
     """Add the history features to every row.
 
-    The decayed mean covers every earlier value (see :func:`with_decayed_sum`).
+    ``group`` is the consignee, or several columns that name it (an upload and its consignee).
+    Rows without a time come last in their consignee's history. The decayed mean covers every
+    earlier value (see :func:`with_decayed_sum`).
 
-    ``strategy="split"`` bounds the task size: consignees with more than
-    ``hot_rows`` rows are processed as ordered chunks of ``chunk_rows`` rows with
-    exact carry-ins (see :mod:`history_split`); ``"window"`` is one window per
-    consignee (one exchange, fastest when no consignee is huge).
+    ``strategy="split"`` bounds the task size whatever a consignee's share of the rows: the table
+    is dealt to ``partitions`` ranges of rows with exact carry-ins (see :mod:`history_split`);
+    ``"window"`` is one window per consignee (one exchange, fastest when no consignee is huge).
     """
+    keys = keys_of(group)
     if strategy == "split":
         from .history_split import engineer_customer_pickup_features_split
         out = engineer_customer_pickup_features_split(
-            df, group, time, value, flag, tiebreak, median=median, decayed=decayed,
-            hot_rows=hot_rows, chunk_rows=chunk_rows, materialized=materialized)
+            df, keys, time, value, flag, tiebreak, median=median, decayed=decayed, partitions=partitions)
         if carry_over:
             x = nan_to_null(F.col(value).cast("double"))
-            out = _carry_over(out, df, group, x, median, partitions)
+            out = _carry_over(out, df, keys, x, median, partitions)
             out = out.withColumns({c: F.coalesce(F.col(c), F.lit(SENTINEL)) for c in CARRIED
                                    if c in out.columns})
         return out
@@ -104,7 +107,7 @@ def engineer_customer_pickup_features(
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
     df = df.withColumn(time, coerce_timestamp(F.col(time), df.schema[time].dataType))
-    w = Window.partitionBy(group).orderBy(time, *tiebreak)
+    w = Window.partitionBy(*keys).orderBy(F.col(time).asc_nulls_last(), *tiebreak)
     prev = w.rowsBetween(Window.unboundedPreceding, -1)
     x = nan_to_null(F.col(value).cast("double"))
     y = F.col(flag).cast("double")
@@ -119,7 +122,7 @@ def engineer_customer_pickup_features(
     for n in RECENT_WINDOWS:
         feats[f"recent_{n}_avg_pickup"] = _full_window_mean(x, w.rowsBetween(-n, -1), n)
     if decayed:
-        df = with_decayed_sum(df, [group], [time, *tiebreak], x, "_dec")
+        df = with_decayed_sum(df, keys, [F.col(time).asc_nulls_last(), *tiebreak], x, "_dec")
         feats["weighted_avg_pickup"] = F.when(F.col("_dec_k") > 0, F.col("_dec") / decay_weight(F.col("_dec_k")))
     feats[f"recent_{RATE_WINDOW}_24h_rate"] = _full_window_mean(y, w.rowsBetween(-RATE_WINDOW, -1),
                                                                 RATE_WINDOW)
@@ -127,7 +130,7 @@ def engineer_customer_pickup_features(
     out = df.withColumns(feats).drop("_dec", "_dec_k")
 
     if carry_over:
-        out = _carry_over(out, df, group, x, median, partitions)
+        out = _carry_over(out, df, keys, x, median, partitions)
 
     ts = F.col(time)
     sentinel = {c: F.coalesce(F.col(c), F.lit(SENTINEL)) for c in feats
@@ -138,22 +141,26 @@ def engineer_customer_pickup_features(
                              "is_weekend": F.weekday(ts).isin(*WEEKEND_DAYS)}))
 
 
-def _carry_over(out: DataFrame, src: DataFrame, group: str, x: Column, median: bool,
+def _carry_over(out: DataFrame, src: DataFrame, keys: Sequence[str], x: Column, median: bool,
                 partitions: int | None) -> DataFrame:
     """First row of each consignee gets the previous consignee's final running statistics.
 
     Final statistics are one aggregate row per consignee (combined map-side); the
-    previous consignee in sort order comes from a distributed lag
-    (:func:`previous_row`), never a single-task global window.
+    previous consignee in sort order comes from a distributed lag (:func:`previous_row`), never a
+    single-task global window. With several group columns the last one names the consignee, and
+    nothing crosses from one value of the others to the next.
     """
     aggs = [F.avg(x).alias("lifetime_avg_pickup"), F.stddev_samp(x).alias("lifetime_std_pickup")]
     if median:
         aggs.append(F.percentile(x, F.lit(0.5)).alias("lifetime_median_pickup"))
     carried = [a for a in CARRIED if median or a != "lifetime_median_pickup"]
-    finals = src.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs)
-    prev = previous_row(finals, group, carried, prefix="_carry_", partitions=partitions) \
-        .select(group, *[f"_carry_{c}" for c in carried])
+    finals = src.where(F.col(keys[-1]).isNotNull()).groupBy(*keys).agg(*aggs)
+    prev = previous_row(finals, keys, [*keys[:-1], *carried], prefix="_carry_", partitions=partitions)
+    same = F.lit(True)
+    for k in keys[:-1]:
+        same = same & F.col(f"_carry_{k}").eqNullSafe(F.col(k))
+    prev = prev.select(*keys, *[F.when(same, F.col(f"_carry_{c}")).alias(f"_carry_{c}") for c in carried])
     first = F.col("consignee_history_count") == 0
-    joined = out.join(prev, group, "left")
-    return joined.withColumns({c: F.when(first, F.col(f"_carry_{c}")).otherwise(F.col(c))
-                               for c in carried}).drop(*[f"_carry_{c}" for c in carried])
+    joined = out.join(prev, list(keys), "left")
+    joined = joined.withColumns({c: F.when(first, F.col(f"_carry_{c}")).otherwise(F.col(c)) for c in carried})
+    return joined.select(*out.columns)

@@ -1,118 +1,135 @@
-"""Skew-safe history features: hot consignees are split into ordered chunks.
+"""Skew-safe history features: the table is cut by position, not by consignee.
 
-A consignee whose row count exceeds ``hot_rows`` is cut into chunks of about
-``chunk_rows`` consecutive rows (in arrival order; boundaries from counts of
-fine time buckets, computed for hot consignees only). Window functions then run
-per (consignee, chunk), so no task holds more than a chunk; each chunk gets
-an exact *carry-in* from all earlier chunks of its consignee:
+Rows are range-partitioned by (consignee, arrival time, tie-breakers), so every task gets about
+the same number of consecutive rows whatever a consignee's share is, and rows of one
+arrival time are split like any others. Within a partition all features are window functions per
+(partition, consignee). Only a partition's *first* consignee can have earlier rows elsewhere; for
+it each partition receives one carry-in row:
 
 * row count, non-null count, mean and M2 (Chan's parallel combination),
-* decayed sums ``S, W`` folded chunk by chunk (``S = S*0.9^k + S_chunk``),
+* decayed sums ``S, W`` (``S = S * 0.9^k + S_chunk``),
 * the last 10 values of the pickup time and last 5 one-day flags (for the
   rolling means and the previous flag).
 
-The bounds and carry tables have one row per (hot consignee, chunk) -- at most
-``total_rows / chunk_rows`` rows -- and are broadcast. When no consignee is hot
-the plain window plan runs. The input is written once, before it is counted,
-so no branch recomputes the upstream job. Consignees
-below the bound form a single chunk and take the plain window values, so the
-result equals :func:`history.engineer_customer_pickup_features` (to floating
-rounding for combined means/deviations of hot consignees).
+These states are associative: a partition is summarised by an aggregate over its last consignee's
+rows (one row of constant size per partition), and a prefix pass over the partitions combines
+them, starting anew where a consignee starts. At most one row per partition is collected and broadcast.
 
-The running median follows two heaps per chunk, which start from a slice of the earlier
-values (see :mod:`history_median`).
+The running median is :mod:`history_median`. Results equal the plain window version (to floating
+rounding for combined means and deviations of consignees that span partitions).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..constants import (DECAY, LOW_HISTORY_BELOW, RATE_WINDOW, RECENT_WINDOWS, SENTINEL,
                          WEEKEND_DAYS)
 from ..functions.numeric import nan_to_null
-from ..functions.time import coerce_timestamp, micros_since_epoch
-from ..session import ensure_checkpoint_dir, materialize
-from .history import decay_weight, with_decayed_sum
+from ..functions.time import coerce_timestamp
+from ..session import materialize
+from .history import decay_weight, keys_of, with_decayed_sum
 from .history_median import running_median
-from .ordering import ORD
+from .ordering import LOCAL_BITS, ORD
 
-FINE = 64  # time buckets per target chunk when choosing chunk boundaries
-BROADCAST_MAX_ROWS = 1_000_000  # hot-consignee and chunk tables are broadcast only below this
 TAIL = max(RECENT_WINDOWS)
 
 
-def _epoch(ts: Column) -> Column:
-    return micros_since_epoch(ts).cast("double")
+@dataclass
+class State:
+    """What a consignee's rows so far mean for its next row."""
+
+    rows: int = 0
+    k: int = 0
+    mean: float = 0.0
+    m2: float = 0.0
+    s: float = 0.0
+    w: float = 0.0
+    tail: tuple = ()
+
+    def then(self, b: "State") -> "State":
+        """This state followed by another one (associative)."""
+        k = self.k + b.k
+        d = b.mean - self.mean
+        fade = math.pow(DECAY, b.k)
+        return State(self.rows + b.rows, k,
+                     self.mean + d * b.k / k if b.k else self.mean,
+                     self.m2 + b.m2 + d * d * self.k * b.k / k if self.k and b.k else self.m2 + b.m2,
+                     self.s * fade + b.s, self.w * fade + b.w, (*self.tail, *b.tail)[-TAIL:])
+
+
+@dataclass
+class Edge:
+    """A partition's first and last consignee, and the spans (consignees in several partitions) they belong to."""
+
+    part: int
+    rows: int
+    first: Row
+    last: Row
+    first_span: int | None = None
+    last_span: int | None = None
+
+
+def edges(rows: DataFrame, keys: Sequence[str]) -> list[Edge]:
+    """One record per non-empty partition, in order; neighbours that share a consignee share a span."""
+    g = F.struct(*keys)
+    found = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min_by(g, "_rid").alias("a"), F.max_by(g, "_rid").alias("b"))
+    out = [Edge(r["_part"], r["n"], r["a"], r["b"]) for r in found.orderBy("_part").collect()]
+    spans = 0
+    for p, q in zip(out, out[1:]):
+        if p.last == q.first:
+            if p.first == p.last and p.first_span is not None:
+                p.last_span = p.first_span
+            else:
+                p.last_span = spans
+                spans += 1
+            q.first_span = p.last_span
+    return out
+
+
+def _summaries(rows: DataFrame, ends: DataFrame, keys: Sequence[str]) -> dict[int, State]:
+    """State of the last consignee's rows of every partition whose last consignee goes on."""
+    g = F.struct(*keys)
+    own = (rows.select("_part", "_rid", "_x", "_y", *keys).join(F.broadcast(ends), "_part")
+           .where(F.col("last_span").isNotNull() & g.eqNullSafe(F.col("last"))))
+    w = Window.partitionBy("_part").orderBy("_rid")
+    own = own.select("_part", "_rid", "_x", "_y", "n", F.count("_x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("r"),
+                     F.count("_x").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("kk"))
+    weight = F.when(F.col("_x").isNotNull(), F.pow(F.lit(DECAY), F.col("kk") - F.col("r")))
+    at = F.col("_rid").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
+    found = own.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("_x").alias("k"), F.coalesce(F.avg("_x"), F.lit(0.0)).alias("mean"),
+        (F.coalesce(F.var_pop("_x"), F.lit(0.0)) * F.count("_x")).alias("m2"),
+        F.coalesce(F.sum(F.col("_x") * weight), F.lit(0.0)).alias("s"), F.coalesce(F.sum(weight), F.lit(0.0)).alias("w"),
+        # the partition's last TAIL rows: a list of at most that many
+        F.sort_array(F.collect_list(F.when(at >= F.col("n") - TAIL, F.struct("_rid", "_x", "_y")))).alias("tail"))
+    return {r["_part"]: State(r["rows"], r["k"], r["mean"], r["m2"], r["s"], r["w"], tuple((t["_x"], t["_y"]) for t in r["tail"]))
+            for r in found.collect()}
 
 
-def chunk_bounds(df: DataFrame, group: str, time: str, hot_rows: int, chunk_rows: int,
-                 fine: int = FINE) -> DataFrame | None:
-    """((group, _bounds), small): chunk start times for consignees with more than ``hot_rows`` rows.
+def carry_in(ends: Sequence[Edge], summary: dict[int, State]) -> dict[int, State]:
+    """The state that the first consignee of a partition brings from the partitions before."""
+    out: dict[int, State] = {}
+    state = State()
+    for e in ends:
+        if e.first_span is not None:
+            out[e.part] = state
+        if e.last_span is not None:
+            own = summary[e.part]
+            state = state.then(own) if e.last_span == e.first_span else own
+    return out
 
-    Returns None when no consignee is hot. ``small`` says whether the hot and chunk
-    tables were measured below ``BROADCAST_MAX_ROWS`` rows (then they are broadcast). Each hot consignee's time range is cut
-    into ``fine`` equal-width buckets per target chunk; bucket counts (a partial
-    aggregate) are accumulated in time order and a chunk starts wherever the
-    running count passes a multiple of ``chunk_rows``. Rows with one timestamp
-    share a bucket, so only a burst of identical timestamps can make a chunk
-    larger. Sizes: the hot table has at most ``total_rows / hot_rows`` rows, the
-    bucket table at most ``fine * total_rows / chunk_rows`` and the boundaries
-    ``total_rows / chunk_rows`` values in all.
-    """
-    t = _epoch(F.col(time))
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    hot = counts.where(F.col("_n") > hot_rows)
-    stats = hot.agg(F.count(F.lit(1)).alias("groups"),
-                    F.sum(F.ceil(F.col("_n") / F.lit(chunk_rows))).alias("chunks")).first()  # one small job
-    if not stats["groups"]:
-        return None
-    small = max(stats["groups"], stats["chunks"] or 0) <= BROADCAST_MAX_ROWS
-    hot = hot.withColumn("_nb", (F.lit(fine) * F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("bigint")) \
-             .withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.col("_nb")).checkpoint(eager=True)
-    rows = df.select(group, t.alias("_t")).join(F.broadcast(hot) if small else hot, group)
-    fb = F.when(F.col("_w") > 0, F.least(F.floor((F.col("_t") - F.col("_lo")) / F.col("_w")),
-                                         F.col("_nb") - 1)).otherwise(F.lit(0)).cast("bigint")
-    buckets = rows.groupBy(group, fb.alias("_fb")).agg(F.count(F.lit(1)).alias("_c"),
-                                                      F.min("_t").alias("_start"))
-    w = Window.partitionBy(group).orderBy("_fb")
-    before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    chunked = buckets.withColumn("_chunk", F.floor(before / F.lit(chunk_rows)))
-    firsts = chunked.groupBy(group, "_chunk").agg(F.min("_start").alias("_b")).where(F.col("_chunk") > 0)
-    bounds = firsts.groupBy(group).agg(F.sort_array(F.collect_list("_b")).alias("_bounds")).checkpoint(eager=True)
-    return bounds, small
-
-
-def _fold_moments(items: Column) -> Column:
-    """Chan's combination of (k, mean, m2) structs, in order."""
-    z = F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-    def step(acc, it):
-        k = acc["k"] + it["k"]
-        d = it["mean"] - acc["mean"]
-        return F.when(it["k"] == 0, acc).otherwise(F.struct(
-            k.alias("k"),
-            (acc["mean"] + d * it["k"] / k).alias("mean"),
-            (acc["m2"] + it["m2"] + d * d * acc["k"] * it["k"] / k).alias("m2")))
-    return F.aggregate(items, z, step)
-
-
-def _fold_decay(items: Column, decay: float) -> Column:
-    z = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-    return F.aggregate(items, z, lambda acc, it: F.struct(
-        (acc["s"] * F.pow(F.lit(decay), it["k"]) + it["s"]).alias("s"),
-        (acc["w"] * F.pow(F.lit(decay), it["k"]) + it["w"]).alias("w")))
-
-
-def _last(arr: Column, n: int) -> Column:
-    """The last ``n`` elements (all of them when shorter); ``slice`` with a start before
-    the first element would return an empty array."""
-    return F.slice(arr, F.greatest(F.lit(1), F.size(arr) - F.lit(n - 1)), n)
-
-
-def _tail_stats(tail: Column, take: Column, field: str = "v") -> tuple[Column, Column, Column]:
+
+_CARRY = ("_part int, _c_rows bigint, _c_k bigint, _c_mean double, _c_m2 double, _c_s double, _c_w double, "
+          "_c_tail array<struct<x:double,y:double>>")
+
+
+def _tail_stats(tail: Column, take: Column, field: str) -> tuple[Column, Column, Column]:
     """(rows available, non-null count, sum) of the last ``take`` entries of a carried tail."""
     sl = F.when((take > 0) & (F.size(tail) >= take), F.slice(tail, -take, take))
     vals = F.transform(sl, lambda e: e[field])
@@ -123,156 +140,99 @@ def _tail_stats(tail: Column, take: Column, field: str = "v") -> tuple[Column, C
 
 
 def engineer_customer_pickup_features_split(
-        df: DataFrame, group: str = "consignee_name", time: str = "arrival_time",
+        df: DataFrame, group: str | Sequence[str] = "consignee_name", time: str = "arrival_time",
         value: str = "arrival_to_pickup_time", flag: str = "one_day_pickup",
         tiebreak: Sequence[str] | None = None, median: bool = True, decayed: bool = True,
-        hot_rows: int = 2_000_000, chunk_rows: int | None = None,
-        bounds: DataFrame | None = None, materialized: bool = False, small: bool = True) -> DataFrame:
-    """Same features as the plain window version, with hot consignees split into chunks."""
+        partitions: int | None = None) -> DataFrame:
+    """Same features as the plain window version, with rows dealt by position.
+
+    ``partitions`` (``spark.sql.shuffle.partitions`` by default) is the number of ranges. The
+    range boundaries are sampled from ``df``, which is therefore computed twice: pass a table
+    that is cheap to read.
+    """
+    keys = keys_of(group)
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
-    chunk_rows = chunk_rows or hot_rows
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df.withColumn(time, coerce_timestamp(F.col(time), df.schema[time].dataType))
-    if bounds is None:
-        # one pass over (group, time); the result has at most total_rows / chunk_rows
-        # boundaries, so it is small, and it is materialized so it is computed once
-        ensure_checkpoint_dir(df.sparkSession)
-        # counted, joined and read several times below: run the upstream job once
-        if not materialized:
-            df = materialize(df, "history-input")
-        found = chunk_bounds(df, group, time, hot_rows, chunk_rows)
-        if found is None:
-            from .history import engineer_customer_pickup_features
-            return engineer_customer_pickup_features(
-                df, group, time, value, flag, tiebreak, median=median, decayed=decayed, strategy="window")
-        bounds, small = found
     given = df.columns
-    df = df.withColumn("_rid", F.monotonically_increasing_id())  # over a materialized table: stable
-    t = _epoch(F.col(time))
-    hint = F.broadcast if small else (lambda d: d)  # measured: at most BROADCAST_MAX_ROWS rows
-    rows = (df.join(hint(bounds), group, "left")
-              .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0))
-                          .otherwise(F.size(F.filter("_bounds", lambda b: b <= t))))
-              .withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds"))
-    x = nan_to_null(F.col(value).cast("double"))
-    y = F.col(flag).cast("double")
-    rows = rows.withColumns({"_x": x, "_y": y})
-    X, Y = F.col("_x"), F.col("_y")
+    order = [*map(F.col, keys), F.col(time).asc_nulls_last(), *map(F.col, tiebreak)]
+    rows = (df.withColumns({"_x": nan_to_null(F.col(value).cast("double")), "_y": F.col(flag).cast("double")})
+            .repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id())
+            .withColumn("_part", F.shiftright("_rid", LOCAL_BITS).cast("int")))
+    rows = materialize(rows, "history")
+    ends = edges(rows, keys)
+    kind = rows.select(F.struct(*keys).alias("g")).schema["g"].dataType.simpleString()
+    known = spark.createDataFrame([(e.part, e.rows, e.first, e.last, e.first_span, e.last_span) for e in ends],
+                                  f"_part int, n bigint, first {kind}, last {kind}, first_span int, last_span int")
+    spanning = any(e.last_span is not None for e in ends)
+    carried = carry_in(ends, _summaries(rows, known, keys)) if spanning else {}
 
-    w = Window.partitionBy(group, "_chunk").orderBy(time, *tiebreak)
+    X, Y = F.col("_x"), F.col("_y")
+    w = Window.partitionBy("_part", *keys).orderBy("_rid")
     prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same spec: one sort
-
-    # ---- carry table: one row per (hot consignee, chunk), folded over earlier chunks
-    # Chunk totals: the decayed sums use weight 0.9^(k - r) for the r-th of k non-null
-    # values (exponent >= 0: no overflow), so they are plain sums; the tails are the
-    # window values at the chunk's last row. The aggregate reuses the window's
-    # partitioning and order: no extra exchange or sort.
-    marked = rows.where("_hot").select(
-        group, "_chunk", X.alias("_x"), Y.alias("_y"),
-        F.row_number().over(w).alias("_i"),
-        F.count(X).over(upto).alias("_r"),
-        F.count(X).over(whole).alias("_kk"),
-        F.collect_list(F.struct(X.alias("v"))).over(w.rowsBetween(-(TAIL - 1), 0)).alias("_tx"),
-        F.collect_list(F.struct(Y.alias("v"))).over(w.rowsBetween(-(RATE_WINDOW - 1), 0)).alias("_ty"))
-    wgt = F.when(F.col("_x").isNotNull(), F.pow(F.lit(DECAY), F.col("_kk") - F.col("_r")))
-    ends = marked.groupBy(group, "_chunk").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("_x").alias("k"),
-        F.coalesce(F.avg("_x"), F.lit(0.0)).alias("mean"),
-        (F.coalesce(F.var_pop("_x"), F.lit(0.0)) * F.count("_x")).alias("m2"),
-        F.coalesce(F.sum(F.col("_x") * wgt), F.lit(0.0)).alias("s"),
-        F.coalesce(F.sum(wgt), F.lit(0.0)).alias("w"),
-        F.max_by("_tx", "_i").alias("_tx"),
-        F.max_by("_ty", "_i").alias("_ty"))
-    cw = Window.partitionBy(group).orderBy("_chunk")
-    before = cw.rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        group, "_chunk",
-        F.sum("_rows").over(before).alias("_c_rows"),
-        _fold_moments(F.collect_list(F.struct("k", "mean", "m2")).over(before)).alias("_c_mom"),
-        _fold_decay(F.collect_list(F.struct("k", "s", "w")).over(before), DECAY).alias("_c_sw"),
-        _last(F.flatten(F.collect_list("_tx").over(cw.rowsBetween(-TAIL, -1))), TAIL).alias("_c_tx"),
-        _last(F.flatten(F.collect_list("_ty").over(cw.rowsBetween(-RATE_WINDOW, -1))),
-              RATE_WINDOW).alias("_c_ty"),
-    ).where(F.col("_chunk") > 0)  # bounded: hot consignees x chunks
-
-    # ---- local window values, then combine with the carry
-    pos = (F.row_number().over(w) - 1).cast("bigint")
     loc = {
-        "_pos": pos,
+        "_pos": (F.row_number().over(w) - 1).cast("bigint"),
         "_k": F.count(X).over(prev),
         "_mean": F.avg(X).over(prev),
         "_m2": F.coalesce(F.var_pop(X).over(prev), F.lit(0.0)) * F.count(X).over(prev),
-        "lifetime_std_plain": F.stddev_samp(X).over(prev),
+        "_std": F.stddev_samp(X).over(prev),
         "_lag_y": F.lag(Y, 1).over(w),
+        "_from": F.min("_rid").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     }
-    for n in RECENT_WINDOWS:
-        fr = w.rowsBetween(-n, -1)
-        loc[f"_len{n}"] = F.count(F.lit(1)).over(fr)
-        loc[f"_cnt{n}"] = F.count(X).over(fr)
-        loc[f"_sum{n}"] = F.coalesce(F.sum(X).over(fr), F.lit(0.0))
+    for k in RECENT_WINDOWS:
+        fr = w.rowsBetween(-k, -1)
+        loc[f"_cnt{k}"] = F.count(X).over(fr)
+        loc[f"_sum{k}"] = F.coalesce(F.sum(X).over(fr), F.lit(0.0))
     fr = w.rowsBetween(-RATE_WINDOW, -1)
-    loc["_ylen"] = F.count(F.lit(1)).over(fr)
     loc["_ycnt"] = F.count(Y).over(fr)
     loc["_ysum"] = F.coalesce(F.sum(Y).over(fr), F.lit(0.0))
     local = rows
     if decayed:
-        local = with_decayed_sum(local, [group, "_chunk"], [time, *tiebreak], X, "_dec")
-    out = local.withColumns(loc).join(hint(carry), [group, "_chunk"], "left")
-
-    has = F.col("_c_rows").isNotNull()
-    mom = F.col("_c_mom")
-    ck, cmean, cm2 = F.coalesce(mom["k"], F.lit(0)), mom["mean"], mom["m2"]
-    lk, lmean = F.col("_k"), F.col("_mean")
-    n = ck + lk
-    d = lmean - cmean
-    mean_all = F.when(lk == 0, F.when(ck > 0, cmean)).otherwise(
-        F.when(ck == 0, lmean).otherwise(cmean + d * lk / n))
-    m2_all = F.when(lk == 0, cm2).otherwise(
-        F.when(ck == 0, F.col("_m2")).otherwise(cm2 + F.col("_m2") + d * d * ck * lk / n))
-    std_all = F.when(n >= 2, F.sqrt(F.greatest(m2_all, F.lit(0.0)) / (n - 1)))
-
+        local = with_decayed_sum(local, ["_part", *keys], ["_rid"], X, "_dec")
+    carry = spark.createDataFrame([(p, c.rows, c.k, c.mean, c.m2, c.s, c.w, list(c.tail)) for p, c in carried.items()], _CARRY)
+    out = local.withColumns(loc).join(F.broadcast(carry), "_part", "left")  # one row per partition at most
+
+    # the carry belongs to the partition's first consignee
+    has = F.col("_c_rows").isNotNull() & (F.col("_from").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1)) == 0)
+    c = {name: F.when(has, F.col(f"_c_{name}")) for name in ("rows", "k", "mean", "m2", "s", "w", "tail")}
+    ck, lk = F.coalesce(c["k"], F.lit(0)), F.col("_k")
+    k_all = ck + lk
+    d = F.col("_mean") - c["mean"]
+    mean_all = F.when(ck == 0, F.col("_mean")).when(lk == 0, c["mean"]).otherwise(c["mean"] + d * lk / k_all)
+    m2_all = F.when(lk == 0, c["m2"]).otherwise(c["m2"] + F.col("_m2") + d * d * ck * lk / k_all)
+    std_all = F.when(ck == 0, F.col("_std")).when(k_all >= 2, F.sqrt(F.greatest(m2_all, F.lit(0.0)) / (k_all - 1)))
     feats: dict[str, Column] = {
-        "consignee_history_count": F.coalesce(F.col("_c_rows"), F.lit(0)) + F.col("_pos"),
-        "lifetime_avg_pickup": F.when(has, mean_all).otherwise(lmean),
-        "lifetime_std_pickup": F.when(has, std_all).otherwise(F.col("lifetime_std_plain")),
+        "consignee_history_count": F.coalesce(c["rows"], F.lit(0)) + F.col("_pos"),
+        "lifetime_avg_pickup": mean_all,
+        "lifetime_std_pickup": std_all,
     }
+    if median:
+        feats["lifetime_median_pickup"] = F.col("_median")
+
+    def recent(size: int, field: str, count: str, total: str) -> Column:
+        """Mean of the previous ``size`` values, some of them carried; NULL unless all are present."""
+        own = F.least(F.col("_pos"), F.lit(size))
+        available, found, added = _tail_stats(c["tail"], F.lit(size) - own.cast("int"), field)
+        full = (own + available == size) & (F.col(count) + found == size)
+        return F.when(full, (F.col(total) + added) / size)
+
     for k in RECENT_WINDOWS:
-        take = F.when(F.col("_pos") < k, F.lit(k) - F.col("_pos")).otherwise(F.lit(0))
-        avail, cnt, tot = _tail_stats(F.col("_c_tx"), take)
-        rows_all = F.col(f"_len{k}") + avail
-        cnt_all = F.col(f"_cnt{k}") + cnt
-        feats[f"recent_{k}_avg_pickup"] = F.when((rows_all == k) & (cnt_all == k),
-                                                 (F.col(f"_sum{k}") + tot) / k)
-    take = F.when(F.col("_pos") < RATE_WINDOW, F.lit(RATE_WINDOW) - F.col("_pos")).otherwise(F.lit(0))
-    avail, cnt, tot = _tail_stats(F.col("_c_ty"), take)
-    feats[f"recent_{RATE_WINDOW}_24h_rate"] = F.when(
-        (F.col("_ylen") + avail == RATE_WINDOW) & (F.col("_ycnt") + cnt == RATE_WINDOW),
-        (F.col("_ysum") + tot) / RATE_WINDOW)
-    feats["last_one_day_pickup"] = F.when(F.col("_pos") == 0, F.try_element_at(F.col("_c_ty"), F.lit(-1))["v"]) \
-        .otherwise(F.col("_lag_y"))
+        feats[f"recent_{k}_avg_pickup"] = recent(k, "x", f"_cnt{k}", f"_sum{k}")
     if decayed:
         scale = F.pow(F.lit(DECAY), lk)
-        s = F.coalesce(F.col("_c_sw")["s"] * scale, F.lit(0.0)) + F.col("_dec")
-        wt = F.coalesce(F.col("_c_sw")["w"] * scale, F.lit(0.0)) + decay_weight(F.col("_dec_k"))
+        s = F.coalesce(c["s"] * scale, F.lit(0.0)) + F.col("_dec")
+        wt = F.coalesce(c["w"] * scale, F.lit(0.0)) + decay_weight(F.col("_dec_k"))
         feats["weighted_avg_pickup"] = F.when(wt > 0, s / wt)
-    out = out.withColumns(feats)
+    feats[f"recent_{RATE_WINDOW}_24h_rate"] = recent(RATE_WINDOW, "y", "_ycnt", "_ysum")
+    feats["last_one_day_pickup"] = F.when(F.col("_pos") == 0, F.try_element_at(c["tail"], F.lit(-1))["y"]).otherwise(F.col("_lag_y"))
     if median:
-        # a null consignee is a group of its own, as in a window
-        g = F.to_json(F.struct(F.col(group).alias("g")))
-        chunks = 1 + (bounds.agg(F.max(F.size("_bounds")).alias("n")).first()["n"] or 0)
-        narrow = rows.select(g.alias("_g"), F.col("_chunk").cast("int"), pos.alias("_pos"), "_rid", "_x", "_hot")
-        out = out.join(running_median(narrow, chunks), "_rid", "left").withColumnRenamed("_median", "lifetime_median_pickup")
-
-    names = ["consignee_history_count", "lifetime_avg_pickup", "lifetime_std_pickup"] + \
-        (["lifetime_median_pickup"] if median else []) + \
-        [f"recent_{k}_avg_pickup" for k in RECENT_WINDOWS] + (["weighted_avg_pickup"] if decayed else []) + \
-        [f"recent_{RATE_WINDOW}_24h_rate", "last_one_day_pickup"]
+        out = out.join(running_median(rows, known, ends, {p: s.k for p, s in carried.items()}, keys, n), "_rid", "left")
+    out = out.withColumns(feats)
+    names = list(feats)
     ts = F.col(time)
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(SENTINEL)) for c in names
-                           if c != "consignee_history_count"})
+    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(SENTINEL)) for c in names if c != "consignee_history_count"})
     out = (out.withColumn("low_history_flag", F.col("consignee_history_count") < LOW_HISTORY_BELOW)
               .withColumns({"arrival_hour": F.hour(ts), "arrival_weekday": F.weekday(ts),
                             "is_weekend": F.weekday(ts).isin(*WEEKEND_DAYS)}))

@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 ORD = "_ord"
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
+LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
 def with_order(df: DataFrame, *cols: str | Column, name: str = ORD) -> DataFrame:
@@ -69,7 +69,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "_idx",
     s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
          .withColumn("_mid", F.monotonically_increasing_id())
          .checkpoint(eager=True))
-    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+    pid = F.shiftright(F.col("_mid"), LOCAL_BITS)
     counts = s.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # at most `n` rows: one per non-empty partition
     offsets = counts.select(
@@ -77,7 +77,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "_idx",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     out = s.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid", "left")
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
     return out.withColumn(name, (F.col("_off") + local).cast("bigint")).drop("_pid", "_off", "_mid")
 
 
@@ -87,14 +87,25 @@ def dense_codes(df: DataFrame, column: str, code: str = "code", partitions: int
     return global_index(values, [column], name=code, partitions=partitions)
 
 
-def previous_row(df: DataFrame, order: str, cols: Sequence[str], prefix: str = "prev_",
+def previous_row(df: DataFrame, order: str | Sequence[str], cols: Sequence[str], prefix: str = "prev_",
                  partitions: int | None = None) -> DataFrame:
     """Attach the values of the row that precedes each row in the total ``order``.
 
-    A distributed ``lag`` over a global order: number the rows with
-    :func:`global_index`, then equi-join every row to the row numbered one less.
+    A distributed ``lag`` over a global order: the rows are range-partitioned and sorted, the lag
+    runs inside each partition, and only the last row of each partition (at most
+    ``partitions`` rows) crosses to the first row of the next one.
     """
-    idx = global_index(df, [order], partitions=partitions)
-    prev = idx.select((F.col("_idx") + 1).alias("_idx"),
-                      *[F.col(c).alias(prefix + c) for c in cols])
-    return idx.join(prev, "_idx", "left").drop("_idx")
+    keys = [order] if isinstance(order, str) else list(order)
+    spark = df.sparkSession
+    s = (df.repartitionByRange(_partitions(df, partitions), *keys).sortWithinPartitions(*keys)
+         .withColumn("_mid", F.monotonically_increasing_id()).withColumn("_pid", F.shiftright("_mid", LOCAL_BITS)))
+    s = materialize(s, "ordered")
+    w = Window.partitionBy("_pid").orderBy("_mid")
+    values = F.struct(*[F.col(c) for c in cols])
+    lagged = s.withColumn("_before", F.lag(values).over(w))
+    ends = s.groupBy("_pid").agg(F.max_by(values, "_mid").alias("_v"), F.min("_mid").alias("_first")).orderBy("_pid").collect()
+    kind = s.select(values.alias("v")).schema["v"].dataType.simpleString()
+    over = spark.createDataFrame([(q["_first"], p["_v"]) for p, q in zip(ends, ends[1:])], f"_mid bigint, _over {kind}")
+    out = lagged.join(F.broadcast(over), "_mid", "left")  # one row per partition at most
+    before = F.coalesce("_before", "_over")
+    return out.withColumns({prefix + c: before[c] for c in cols}).drop("_mid", "_pid", "_before", "_over")

@@ -34,7 +34,7 @@ from ..operators import events as EV
 from ..operators import history as H
 from ..operators import lookup as L
 from ..operators import quality as Q
-from ..operators.encode import fit_one_hot, OneHotModel
+from ..operators.encode import OneHotModel, fit_one_hot, one_hot_per_group
 from ..operators.ordering import ORD, ensure_order
 from ..session import ensure_checkpoint_dir
 
@@ -56,9 +56,9 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
                          one_hot_categories: dict[str, list[str]] | None = None,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
                          carry_over: bool = False, keep_order: bool = False,
-                         history_strategy: str = "split", hot_rows: int = 2_000_000,
-                         chunk_rows: int | None = None, plan: str = "auto",
-                         summary: DataFrame | None = None, max_categories: int = 1024) -> DataFrame:
+                         history_strategy: str = "split", plan: str = "auto",
+                         summary: DataFrame | None = None, max_categories: int = 1024,
+                         upload: str | None = None) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for materializations).
 
     ``plan="rows"`` follows the surveyed steps row by row. ``plan="collapsed"``
@@ -68,10 +68,16 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     :func:`summarize_events` table used instead of aggregating ``event_df`` again.
     ``max_categories`` bounds the categories of each one-hot column (the fit raises above it,
     naming the column). Other options are described in :func:`_row_plan`.
+
+    ``upload`` names a manifest column that tells several uploads apart. They are then cleaned in
+    one plan, each as if alone: it is part of the key of every lookup, aggregate, window and
+    one-hot fit (see :func:`one_hot_per_group` for the columns), and stays in the result.
     """
+    if upload is not None and upload not in vessel_df.columns:
+        raise KeyError(f"no column {upload!r} in the manifest")
     kw = dict(one_hot_categories=one_hot_categories, checkpoint_before_fit=checkpoint_before_fit,
               carry_over=carry_over, keep_order=keep_order, history_strategy=history_strategy,
-              hot_rows=hot_rows, chunk_rows=chunk_rows, max_categories=max_categories)
+              max_categories=max_categories, upload=upload)
     if plan == "auto":
         plan = "collapsed" if collapsible(vessel_df.columns, event_df.columns) else "rows"
     if plan == "collapsed":
@@ -117,9 +123,9 @@ def summarize_events(event_df: DataFrame, manifest_columns, live: DataFrame | No
 def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                     one_hot_categories=None, checkpoint_before_fit: bool = True,
                     carry_over: bool = False, keep_order: bool = False,
-                    history_strategy: str = "split", hot_rows: int = 2_000_000,
-                    chunk_rows: int | None = None, broadcast_keys: int = 2_000_000,
-                    summary: DataFrame | None = None, max_categories: int = 1024) -> DataFrame:
+                    history_strategy: str = "split", broadcast_bytes: int = 64 << 20,
+                    summary: DataFrame | None = None, max_categories: int = 1024,
+                    upload: str | None = None) -> DataFrame:
     """The cleaning job with the event log reduced to one row per key up front.
 
     Why it is exact: the lookup overwrites the manifest's columns onto every event
@@ -144,19 +150,19 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     sc = C.standardize_column_names(ensure_order(schedule_df))
     mf = C.create_key_feature(mf)
 
-    manifest = L.first_per_key(mf, "key", ORD)
+    by = [upload] if upload else []
+    manifest = L.first_per_key(mf, [*by, "key"], ORD)
     if "booking_number" in manifest.columns:
         manifest = manifest.where(F.col("booking_number").isNotNull())
-    # keep only keys of live bookings; the manifest is an upload, so its key set is
-    # usually small: broadcast it (filter map-side, then aggregate map-side) when a
-    # count shows at most ``broadcast_keys`` keys, else a shuffle join on the key
-    live = manifest.select("key")
-    if live.count() <= broadcast_keys:
-        live = F.broadcast(live)
     if summary is None:
-        per_key = summarize_events(event_df, manifest.columns, live=live)
+        # keep only events of live bookings. Uploads are small beside the event log: their keys are
+        # broadcast (filter map-side, then aggregate map-side) when they measure at most
+        # ``broadcast_bytes``, else a shuffle join on the key
+        live = manifest.select("key").distinct() if by else manifest.select("key")
+        size = live.agg(F.sum(F.octet_length("key") + F.lit(32))).first()[0] or 0
+        per_key = summarize_events(event_df, manifest.columns, live=F.broadcast(live) if size <= broadcast_bytes else live)
     else:
-        per_key = summary.join(live, "key", "left_semi")
+        per_key = summary  # one row per key of the log; the join below keeps the live ones
 
     df = per_key.join(manifest.drop(ORD), "key", "inner")
     sc = C.create_voyage_code(sc, "vessel_code", "voyage_number")
@@ -177,21 +183,25 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     ensure_checkpoint_dir(df.sparkSession)
     if one_hot_categories is None or history_strategy == "split":
         df = df.checkpoint(eager=True)
-    model = (OneHotModel(dict(one_hot_categories)) if one_hot_categories is not None
-             else fit_one_hot(df, ONE_HOT_COLUMNS, max_categories))
-    df = model.transform(df)
-    df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
-                                             hot_rows=hot_rows, chunk_rows=chunk_rows,
-                                             materialized=history_strategy == "split")
+    df = _one_hot(df, one_hot_categories, max_categories, upload)
+    df = H.engineer_customer_pickup_features(df, group=[*by, "consignee_name"], carry_over=carry_over, strategy=history_strategy)
     return df if keep_order else df.drop(ORD)
 
 
+def _one_hot(df: DataFrame, categories: dict[str, list[str]] | None, max_categories: int, upload: str | None) -> DataFrame:
+    if categories is not None:
+        return OneHotModel(dict(categories)).transform(df)
+    if upload:
+        return one_hot_per_group(df, ONE_HOT_COLUMNS, upload, max_categories)
+    return fit_one_hot(df, ONE_HOT_COLUMNS, max_categories).transform(df)
+
+
 def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                          one_hot_categories: dict[str, list[str]] | None = None,
                          early_prune: bool = True, checkpoint_before_fit: bool = True,
                          carry_over: bool = False, keep_order: bool = False,
-                         history_strategy: str = "split", hot_rows: int = 2_000_000,
-                         chunk_rows: int | None = None, max_categories: int = 1024) -> DataFrame:
+                         history_strategy: str = "split", max_categories: int = 1024,
+                         upload: str | None = None) -> DataFrame:
     """Run the whole cleaning job; returns the cleaned rows (lazy except for the one-hot fit).
 
     ``one_hot_categories`` pins the dummy columns (required for streams, and it
@@ -206,9 +216,8 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
     manifest's, NULL on a miss) and per-key features never mix keys, so the
     result is unchanged; it removes the hot ``nan_<NA>`` key early.
 
-    ``history_strategy="split"`` (default) processes consignees with more than
-    ``hot_rows`` rows as ordered chunks, so no task holds a whole huge consignee
-    (except for the running median, see :mod:`berthline.operators.history_split`).
+    ``history_strategy="split"`` (default) deals the history's rows by position, so no task holds a
+    whole huge consignee (see :mod:`berthline.operators.history_split`).
     """
     event_df = ensure_order(event_df)
     vessel_df = ensure_order(vessel_df)
@@ -222,8 +231,9 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
     vessel_df = C.create_key_feature(vessel_df)
 
     # b
-    manifest = L.first_per_key(vessel_df, "key", ORD)
-    if early_prune and "booking_number" in manifest.columns:
+    by = [upload] if upload else []
+    manifest = L.first_per_key(vessel_df, [*by, "key"], ORD)
+    if upload or early_prune and "booking_number" in manifest.columns:
         # lookup and prune in one join: only keys whose manifest row has a booking number live
         live = manifest.where(F.col("booking_number").isNotNull())
         df = L.map_on_key(event_df, live, "key", deduplicated=True, how="inner")
@@ -246,14 +256,14 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
     # every duration is constant per key, the filter keeps or drops whole keys, and the
     # latest LTV date of the surviving rows equals that of all rows of the key.
     per_key_arrival = all(c in vessel_df.columns for c in ("vessel_code", "voyage", "direction_seq"))
-    df = EV.key_event_features(df, with_load_date=per_key_arrival)
+    df = EV.key_event_features(df, key=[*by, "key"], with_load_date=per_key_arrival)
 
     # f
     df = Q.remove_negative_values(df, NON_NEGATIVE_COLUMNS)
 
     # g
     if not per_key_arrival:
-        df = EV.add_load_date(df)
+        df = EV.add_load_date(df, [*by, "key"])
     df = C.create_binary_feature(df, "arrival_to_pickup_time", ONE_DAY_HOURS, "one_day_pickup")
 
     # h
@@ -261,26 +271,18 @@ def _row_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
     df = EV.calculate_journey_length(df)
     for col, value in NULL_FILLS:
         df = C.fill_null_values(df, col, value)
-    if one_hot_categories is None:
-        if checkpoint_before_fit:
-            ensure_checkpoint_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
-        model = fit_one_hot(df, ONE_HOT_COLUMNS, max_categories)
-    else:
-        model = OneHotModel(dict(one_hot_categories))
-    df = model.transform(df)
+    if one_hot_categories is None and checkpoint_before_fit:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    df = _one_hot(df, one_hot_categories, max_categories, upload)
 
     # i
     df = Q.remove_duplicates(df, ORD)
-    df = Q.keep_last_per_key(df, "key", ORD)
-    materialized = False
+    df = Q.keep_last_per_key(df, [*by, "key"], ORD)
     if history_strategy == "split":
         # one row per shipment: far smaller than the event log, and the split history
-        # reads it more than once (hot-consignee counts, then the windows)
+        # reads it more than once (range boundaries, then the rows)
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-        materialized = True
-    df = H.engineer_customer_pickup_features(df, carry_over=carry_over, strategy=history_strategy,
-                                             hot_rows=hot_rows, chunk_rows=chunk_rows,
-                                             materialized=materialized)
+    df = H.engineer_customer_pickup_features(df, group=[*by, "consignee_name"], carry_over=carry_over, strategy=history_strategy)
     return df if keep_order else df.drop(ORD)

@@ -38,7 +38,7 @@ def _history(spark, sf_dir, **kw) -> DataFrame:
         _picked_up(spark, sf_dir), group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), **kw)
 
 
-_FLAGSHIP_SQL = _PICKED_SQL + f"""
+_FLAGSHIP_SELECT = f"""
 SELECT {_KEYS},
   round(arrival_to_pickup_time, 4) AS arrival_to_pickup_time, one_day_pickup,
   CAST(row_number() OVER w - 1 AS BIGINT) AS consignee_history_count,
@@ -61,6 +61,7 @@ WINDOW w AS ({_W}),
        r5 AS ({_W} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
        r10 AS ({_W} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)
 """
+_FLAGSHIP_SQL = _PICKED_SQL + _FLAGSHIP_SELECT
 
 
 @register("history_features", _FLAGSHIP_SQL)
@@ -70,14 +71,29 @@ def q_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
 
 
-def q_history_features_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship features through the skew-safe path: every consignee with more than
-    16 rows is processed as ordered chunks of about 8 rows with exact carry-ins."""
-    out = _history(spark, sf_dir, median=False, decayed=False, strategy="split", hot_rows=16, chunk_rows=8)
-    return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
+ALL_COLS = [*HISTORY_COLS, "lifetime_median_pickup", "weighted_avg_pickup"]
+
+
+def _all_features_sql(picked: str) -> str:
+    """Every feature, the decayed mean as a sum over earlier values (0.9 ** 500 is below 1e-22)."""
+    return picked + f"""
+, k AS (SELECT *, count(arrival_to_pickup_time) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k FROM f),
+d AS (SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey, r.consignee, r.arrival_time, r.l_shipdate, r.l_quantity,
+             r.l_extendedprice, r.l_discount, r.l_tax, r.l_returnflag, r.l_linestatus, r.arrival_to_pickup_time, r.one_day_pickup,
+             sum(v.arrival_to_pickup_time * pow(0.9, r.k - 1 - v.k)) / nullif(sum(pow(0.9, r.k - 1 - v.k)), 0) AS decayed
+      FROM k r LEFT JOIN k v ON v.consignee = r.consignee AND v.k < r.k AND v.k >= r.k - 500
+      GROUP BY ALL)
+""" + _FLAGSHIP_SELECT.replace("FROM f\n", "FROM d\n").replace("one_day_pickup,\n", """one_day_pickup,
+  round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup,
+  round(coalesce(decayed, -1), 4) AS weighted_avg_pickup,
+""", 1)
 
 
-register("history_features_split", _FLAGSHIP_SQL)(q_history_features_split)
+@register("history_features_split", _all_features_sql(_PICKED_SQL))
+def q_history_features_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature through the skew-safe path: rows dealt by position to 24 ranges with exact carry-ins."""
+    out = _history(spark, sf_dir, strategy="split", partitions=24)
+    return rounded(out.select(*_KEYS_SPARK, *ALL_COLS))
 
 
 @register("history_median", _PICKED_SQL + f"""
@@ -128,21 +144,22 @@ def q_history_carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # One consignee holds a third of all shipments: every order of a customer whose key is a
-# multiple of 3 is booked to consignee 0. The split strategy processes it as ordered chunks.
-_HOT_SQL = _FLAGSHIP_SQL.replace(
+# multiple of 3 is booked to consignee 0.
+_HOT_PICKED_SQL = _PICKED_SQL.replace(
     "o.o_custkey AS consignee", "CASE WHEN o.o_custkey % 3 = 0 THEN 0 ELSE o.o_custkey END AS consignee")
 
 
-@register("history_hot_consignee", _HOT_SQL)
-def q_history_hot_consignee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship features when one consignee owns a third of the rows (skew-safe path:
-    consignees above 2,000 rows are cut into chunks of about 1,000 rows)."""
-    base = _picked_up(spark, sf_dir).withColumn(
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _picked_up(spark, sf_dir).withColumn(
         "consignee", F.when(F.col("consignee") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("consignee")))
+
+
+@register("history_hot_consignee", _all_features_sql(_HOT_PICKED_SQL))
+def q_history_hot_consignee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature when one consignee owns a third of the rows (it spans several ranges)."""
     out = history.engineer_customer_pickup_features(
-        base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=False, decayed=False,
-        strategy="split", hot_rows=2000, chunk_rows=1000)
-    return rounded(out.select(*_KEYS_SPARK, *HISTORY_COLS))
+        _hot(spark, sf_dir), group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), strategy="split", partitions=12)
+    return rounded(out.select(*_KEYS_SPARK, *ALL_COLS))
 
 
 # A tenth of the customers are booked to consignee 0, and some of its pickup times are missing:
@@ -168,12 +185,12 @@ def q_history_decayed_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("arrival_to_pickup_time", F.when(F.col("l_linenumber") != 3, v))
     out = history.engineer_customer_pickup_features(
         base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=False, decayed=True,
-        strategy="split", hot_rows=2000, chunk_rows=1000)
+        strategy="split", partitions=12)
     return rounded(out.select(*_KEYS_SPARK, "weighted_avg_pickup"))
 
 
-_MEDIAN_HOT_SQL = _PICKED_SQL.replace(
-    "o.o_custkey AS consignee", "CASE WHEN o.o_custkey % 3 = 0 THEN 0 ELSE o.o_custkey END AS consignee") + f"""
+# Pickup times are whole hours or days, so most values are ties.
+_MEDIAN_HOT_SQL = _HOT_PICKED_SQL + f"""
 SELECT {_KEYS},
   round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup
 FROM f WINDOW p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -182,10 +199,32 @@ FROM f WINDOW p AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 
 @register("history_median_hot", _MEDIAN_HOT_SQL)
 def q_history_median_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running median when one consignee owns a third of the rows, in chunks of about 1,000 rows."""
-    base = _picked_up(spark, sf_dir).withColumn(
-        "consignee", F.when(F.col("consignee") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("consignee")))
+    """Running median when one consignee owns a third of the rows."""
     out = history.engineer_customer_pickup_features(
-        base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=True, decayed=False,
-        strategy="split", hot_rows=2000, chunk_rows=1000)
+        _hot(spark, sf_dir), group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), median=True, decayed=False,
+        strategy="split", partitions=12)
     return rounded(out.select(*_KEYS_SPARK, "lifetime_median_pickup"))
+
+
+# Shipments whose order key is a multiple of 5 have no arrival time: they come last in their
+# consignee's history, in the order of the tie-breakers.
+_UNDATED_SQL = _PICKED_SQL + f"""
+, u AS (SELECT * REPLACE (CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE arrival_time END AS arrival_time) FROM f)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, consignee, arrival_time,
+  CAST(row_number() OVER w - 1 AS BIGINT) AS consignee_history_count,
+  round(coalesce(avg(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_avg_pickup,
+  round(coalesce(median(arrival_to_pickup_time) OVER p, -1), 4) AS lifetime_median_pickup,
+  round(coalesce(CAST(lag(one_day_pickup) OVER w AS DOUBLE), -1), 4) AS last_one_day_pickup
+FROM u WINDOW w AS ({_W.replace("arrival_time,", "arrival_time NULLS LAST,")}),
+              p AS ({_W.replace("arrival_time,", "arrival_time NULLS LAST,")} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+"""
+
+
+@register("history_undated", _UNDATED_SQL)
+def q_history_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History when arrival times are missing: undated shipments come last."""
+    base = _picked_up(spark, sf_dir).withColumn("arrival_time", F.when(F.col("l_orderkey") % 5 != 0, F.col("arrival_time")))
+    out = history.engineer_customer_pickup_features(
+        base, group="consignee", tiebreak=list(SHIPMENT_TIEBREAK), decayed=False, strategy="split", partitions=12)
+    return rounded(out.select(*_KEYS_SPARK, "consignee_history_count", "lifetime_avg_pickup", "lifetime_median_pickup",
+                              "last_one_day_pickup"))

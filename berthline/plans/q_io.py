@@ -12,7 +12,9 @@ from ..operators.columns import create_binary_feature, create_key_feature, stand
 from ..operators.score import priority_stub, score_batch, score_requests
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
+from ..sources.paths import cleaned_path, prediction_path
 from ..sources.records import read_records, write_records
+from ..streaming.arrival import WaitingFiles, run_once
 from .cleaning_sql import CATEGORIES, CLEAN_CONTAINER_SQL, UPLOAD_SCORE_SQL
 from .cleaning import clean_container_data
 from .inputs import event_log, manifest, schedule
@@ -203,3 +205,50 @@ def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
              "stowage_priority double"
     preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")
     return rounded(preds.select(*SCORED_COLUMNS))
+
+
+@register("prediction_paths", """
+SELECT o_orderkey, 'cleaned/' || o_orderstatus || '-' || CAST(o_orderkey AS VARCHAR) || '.json' AS cleaned_file,
+       'predictions/' || o_orderstatus || '-' || CAST(o_orderkey AS VARCHAR) || '_predictions.json' AS prediction_file
+FROM orders
+""")
+def q_prediction_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the cleaned and the scored file of every upload (one upload per order)."""
+    name = F.concat(F.lit("store://uploads/raw/clean_input/"), "o_orderstatus", F.lit("-"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    cleaned = cleaned_path(name)
+    return table(spark, sf_dir, "orders").select("o_orderkey", cleaned.alias("cleaned_file"), prediction_path(cleaned).alias("prediction_file"))
+
+
+@register("upload_ledger", """
+SELECT o_orderstatus AS upload, 'done' AS state, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS attempt, count(*) AS n_rows
+FROM orders GROUP BY 1, 3
+UNION ALL
+SELECT 'N', 'bad', 0, 0
+""")
+def q_upload_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every upload when the store fails in the middle: the orders land as one upload per
+    status, and an upload without order columns among them. The first attempt at status ``P`` meets a
+    store that is away; it is taken up again, the upload without the columns is bad."""
+    root = scratch_path(spark, "upload-ledger")
+    o = table(spark, sf_dir, "orders")
+    for status in ("F", "O", "P"):
+        write_csv(o.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus").coalesce(1), f"{root}/in/{status}")
+    write_csv(table(spark, sf_dir, "nation").coalesce(1), f"{root}/in/N")
+    upload = F.regexp_extract("source_file", "([^/]+)/[^/]+$", 1)
+    away = {"P"}
+
+    def keep(batch: DataFrame) -> DataFrame:
+        names = {r["upload"] for r in batch.select(upload.alias("upload")).distinct().collect()}
+        if names & away:
+            away.difference_update(names)
+            raise ConnectionError("the store is away")
+        return batch.select("o_orderkey", "source_file")
+
+    try:
+        status = run_once(spark, f"{root}/in", f"{root}/out", keep)
+    except WaitingFiles:
+        status = run_once(spark, f"{root}/in", f"{root}/out", keep)
+    rows = spark.read.option("recursiveFileLookup", True).schema("o_orderkey string, source_file string").json(f"{root}/out")
+    rows = rows.groupBy(upload.alias("upload")).agg(F.count(F.lit(1)).alias("n_rows"))
+    status = status.select(upload.alias("upload"), "state", "attempt")
+    return status.join(rows, "upload", "left").select("upload", "state", "attempt", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

@@ -29,28 +29,27 @@ from .cleaning import clean_container_data, collapsible, summarize_events
 
 
 def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable[[DataFrame], DataFrame],
-                upload_glob: str = "*.csv", max_files: int = 1) -> None:
-    """Stage 1 with any per-file cleaning function (``source_file`` is kept by ``clean``)."""
+                upload_glob: str = "*.csv", max_files: int | None = 1) -> DataFrame:
+    """Stage 1 with any cleaning function (``source_file`` is kept by ``clean``); the files' statuses."""
     def stage(batch: DataFrame) -> DataFrame:
         out = to_records(clean(batch))
         return out.withColumn("cleaned_file", cleaned_path(F.col("source_file"))).drop("source_file")
 
-    run_once(spark, uploads, cleaned, stage, fmt="csv", glob=upload_glob, partition_by="cleaned_file",
-             max_files=max_files)
+    return run_once(spark, uploads, cleaned, stage, fmt="csv", glob=upload_glob, partition_by="cleaned_file",
+                    max_files=max_files)
 
 
 def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataFrame, schedule: DataFrame,
-                  upload_glob: str = "*.csv", max_files: int = 1, **clean_kw) -> None:
+                  upload_glob: str = "*.csv", max_files: int | None = None, **clean_kw) -> DataFrame:
     """C2: each uploaded manifest file is cleaned on its own (history never spans uploads).
 
-    With one file per micro-batch (the default) the batch *is* the upload and its
-    ``source_file`` travels through the job as a manifest column (constant per key).
-    Batches of several files are cleaned file by file.
+    The uploads of a micro-batch that share a header are one plan with ``source_file`` as part of every
+    key, so the cost does not grow with their number; ``max_files`` bounds a batch.
 
     When the upload schema allows the collapsed plan, the static event log is
     summarised to one row per key **once** per header, written as a table in the shared
     folder, and every upload joins its keys against that table instead of re-reading and
-    re-aggregating the whole log.
+    re-aggregating the whole log. Returns the files' statuses.
     """
     summaries: dict[tuple, DataFrame] = {}
 
@@ -65,21 +64,10 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
             summaries[owned] = spark.read.parquet(path)
         return {**clean_kw, "plan": "collapsed", "summary": summaries[owned]}
 
-    def per_upload(batch: DataFrame) -> DataFrame:
-        if max_files == 1:
-            return clean_container_data(events, batch, schedule, **options(batch.columns))
-        src = batch.select("source_file").distinct().collect()  # one row per file of this micro-batch
-        outs = []
-        for r in src:
-            manifest = batch.where(F.col("source_file") == r["source_file"]).drop("source_file")
-            out = clean_container_data(events, manifest, schedule, **options(manifest.columns))
-            outs.append(out.withColumn("source_file", F.lit(r["source_file"])))
-        res = outs[0]
-        for o in outs[1:]:
-            res = res.unionByName(o, allowMissingColumns=True)
-        return res
+    def clean(batch: DataFrame) -> DataFrame:
+        return clean_container_data(events, batch, schedule, upload="source_file", **options(batch.columns))
 
-    clean_files(spark, uploads, cleaned, per_upload, upload_glob, max_files)
+    return clean_files(spark, uploads, cleaned, clean, upload_glob, max_files)
 
 
 def _cleaned_name(source: F.Column) -> F.Column:
@@ -89,7 +77,7 @@ def _cleaned_name(source: F.Column) -> F.Column:
 
 
 def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_factory: Callable[[], ModelFn],
-                  cleaned_schema: T.StructType | str | None = None, max_files: int | None = None) -> None:
+                  cleaned_schema: T.StructType | str | None = None, max_files: int | None = None) -> DataFrame:
     """C3: score every cleaned record file; keep the scored-output columns.
 
     Scoring is row by row and names its output from each row's source file, so one
@@ -105,8 +93,8 @@ def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_fac
         scored = score_batch(named, model_factory, project=None)
         return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns], "prediction_file")
 
-    run_once(spark, cleaned, predictions, stage, fmt="json", glob="*.json", schema=schema,
-             partition_by="prediction_file", recursive=True, max_files=max_files)
+    return run_once(spark, cleaned, predictions, stage, fmt="json", glob="*.json", schema=schema,
+                    partition_by="prediction_file", recursive=True, max_files=max_files)
 
 
 def score_cleaned_files(spark: SparkSession, uploads: str, cleaned: str, predictions: str,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..constants import NA_TOKENS
 from ..operators.ordering import with_input_order
+from .paths import literal, plain_name
 
 
 def null_tokens(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
@@ -34,7 +34,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """
     if by_header:
         groups = files_by_header(spark, [path] if isinstance(path, str) else list(path))
-        parts = [read_csv(spark, [unquote(f) for f in files], schema, multiline, tokens, input_order, source_file) for files in groups]
+        parts = [read_csv(spark, list(map(literal, files)), schema, multiline, tokens, input_order, source_file) for files in groups]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p, allowMissingColumns=True)
@@ -57,14 +57,14 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files below ``paths``, as URLs, grouped by their first line (one row per file reaches
-    the driver)."""
-    lines = spark.read.text([unquote(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("f"),
+    """The names of the files below ``paths``, grouped by their first line (one row per file reaches
+    the driver). Files without any line are left out."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("f"),
                                           F.col("_metadata.file_block_start").alias("b"),
                                           F.monotonically_increasing_id().alias("i")).where("b = 0")
     groups: dict[str, list[str]] = {}
     for r in lines.groupBy("f").agg(F.min_by("value", "i").alias("head")).orderBy("f").collect():
-        groups.setdefault(r["head"], []).append(r["f"])
+        groups.setdefault(r["head"], []).append(plain_name(r["f"]))
     return list(groups.values())
 
 

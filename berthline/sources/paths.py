@@ -1,7 +1,10 @@
-"""Output naming rule for scored files."""
+"""Output naming rule for scored files, and file names as paths."""
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,3 +19,13 @@ def cleaned_path(source: Column) -> Column:
     """Upload name -> ``cleaned/<name>.json`` (``.csv`` replaced)."""
     name = F.regexp_extract(source, r"([^/]+)$", 1)
     return F.concat(F.lit("cleaned/"), F.replace(name, F.lit(".csv"), F.lit(".json")))
+
+
+def literal(path: str) -> str:
+    """A file's name as a path without wildcards."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def plain_name(url: str) -> str:
+    """A file's URL (``_metadata.file_path``) as the name that the file index gives it."""
+    return re.sub(r"^(\w+):///+", r"\1:/", unquote(url))

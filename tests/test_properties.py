@@ -38,7 +38,7 @@ def _frame(spark, rows):
 @given(rows=rows_st, split=st.booleans())
 def test_history_matches_pandas_model(spark, rows, split):
     df, data = _frame(spark, rows)
-    kw = dict(strategy="split", hot_rows=3, chunk_rows=2) if split else {}
+    kw = dict(strategy="split", partitions=9) if split else {}
     # a missing pickup time has flag 0 (the threshold flag never yields NULL)
     recs = [dict(consignee_name=g, _rank=i, arrival_time=pd.Timestamp(dt.datetime(1970, 1, 1) + dt.timedelta(hours=t)),
                  arrival_to_pickup_time=x, one_day_pickup=0 if y is None else y) for g, i, t, x, y in data]
