@@ -1,10 +1,12 @@
 """Categorical encoders as fit/transform pairs.
 
-Fitted statistics are small DataFrames (one row per category) joined back to
-the rows; under AQE a join whose fitted side measures below the broadcast
-threshold becomes a broadcast join, otherwise it stays a shuffle join.
-Only schema-defining facts reach the driver: one-hot category lists (bounded by
-``max_categories``, checked) and the bit width of a binary code.
+A fit is one scan of the table whatever the number of columns: all (column, value) pairs go through
+one aggregate, or one distinct and one range sort. Fitted statistics are tables of one row
+per category, written once and joined back to the rows; under AQE a join whose fitted side measures below
+the broadcast threshold becomes a broadcast join, otherwise it stays a shuffle join. Only
+schema-defining facts reach the driver: one-hot category lists (bounded by ``max_categories``,
+checked), the bit width of a binary code and global means. Models check the columns and types
+they were fitted on; :mod:`stored` keeps them.
 """
 
 from __future__ import annotations
@@ -17,17 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CONSIGNEE_PRIOR_WEIGHT, RARE_THRESHOLD, TARGET_ENCODE_ALPHA
+from ..session import materialize
 from .columns import bools_to_ints
-from .ordering import dense_codes
+from .ordering import global_index
 
 # ------------------------------------------------------------------ one-hot
 
 
 @dataclass
 class OneHotModel:
-    """Sorted categories per column; the first category of each is the dropped baseline."""
+    """Sorted categories per column; the first category of each is the dropped baseline. With ``types``
+    (set by a fit) a table whose columns have other types is refused."""
 
     categories: dict[str, list[str]] = field(default_factory=dict)
+    types: dict[str, str] = field(default_factory=dict)
 
     def dummy_names(self) -> list[str]:
         return [f"{c}_{v}" for c, vals in self.categories.items() for v in vals[1:]]
@@ -37,6 +42,7 @@ class OneHotModel:
 
         ``ints`` then turns every boolean column of the frame into 0/1.
         """
+        check_types(df, self.types)
         dummies = {}
         for c, vals in self.categories.items():
             s = F.col(c).cast("string")
@@ -76,7 +82,8 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = 102
     columns = list(columns)
     if not columns:
         return OneHotModel({})
-    return OneHotModel(_sorted_categories(df, columns, _categories(df, columns, max_categories), max_categories))
+    pairs = _categories(df, columns, max_categories)
+    return OneHotModel(_sorted_categories(df, columns, pairs, max_categories), _types(df, columns))
 
 
 def one_hot_per_group(df: DataFrame, columns: Sequence[str], by: str, max_categories: int = 1024) -> DataFrame:
@@ -116,36 +123,144 @@ def apply_one_hot_encoding(df: DataFrame, columns: Sequence[str],
     return model.transform(df)
 
 
+# ------------------------------------------------------------------ fitted tables
+
+
+def _types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise KeyError(f"columns not present: {missing}")
+    return {c: df.schema[c].dataType.simpleString() for c in columns}
+
+
+def check_types(df: DataFrame, fitted: dict[str, str]) -> None:
+    """Raise unless ``df`` has the columns that a model was fitted on, with their types."""
+    found = _types(df, list(fitted))
+    wrong = [f"{c}: fitted on {t}, got {found[c]}" for c, t in fitted.items() if found[c] != t]
+    if wrong:
+        raise ValueError("columns differ from those of the fit: " + "; ".join(wrong))
+
+
+def _exploded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per row and listed column: its place in the list, its value as text and as number (numeric columns)."""
+    def item(n: int, c: str):
+        number = F.col(c).cast("double") if isinstance(df.schema[c].dataType, T.NumericType) else F.lit(None).cast("double")
+        return F.struct(F.lit(n).alias("at"), number.alias("number"), F.col(c).cast("string").alias("category"))
+
+    return df.select(F.explode(F.array(*[item(n, c) for n, c in enumerate(columns)])).alias("p")).select("p.at", "p.number", "p.category")
+
+
+def _looked_up(df: DataFrame, column: str, table: DataFrame, at: int, value: str, name: str) -> DataFrame:
+    """Add ``name``: ``value`` of the column's row in a fitted table, NULL if there is none. AQE broadcasts the
+    fitted side when it measures below the broadcast threshold."""
+    side = table.where(F.col("at") == at).select(F.col("category").alias("_category"), F.col(value).alias(name))
+    return df.join(side, F.col(column).cast("string") == F.col("_category"), "left").drop("_category")
+
+
 # ------------------------------------------------------------------ target encoding
 
 
-def _global_mean(df: DataFrame, target: str) -> float | None:
-    """Mean of the target over all rows: a one-row aggregate, the only value sent to the driver."""
-    v = df.agg(F.avg(F.col(target).cast("double")).alias("m")).first()["m"]
-    return None if v is None else float(v)
+@dataclass
+class TargetModel:
+    """Smoothed target mean of every category of some columns: ``at`` (place of the column), ``category, enc``."""
 
+    types: dict[str, str]
+    table: DataFrame
+    global_mean: float | None
+
+    def transform(self, df: DataFrame, unseen_global: bool = False) -> DataFrame:
+        """Replace each column by its statistic. NULL stays NULL; an unseen category is NULL, or the global mean."""
+        check_types(df, self.types)
+        out = df
+        for n, c in enumerate(self.types):
+            out = _looked_up(out, c, self.table, n, "enc", "_enc")
+            unseen = F.when(F.col(c).isNotNull(), F.lit(self.global_mean)) if unseen_global else F.lit(None)
+            out = out.withColumn(c, F.coalesce("_enc", unseen.cast("double"))).drop("_enc")
+        return out.select(*df.columns)
 
-def target_encode(df: DataFrame, feature_list: Sequence[str], target_col: str,
-                  alpha: float = TARGET_ENCODE_ALPHA) -> DataFrame:
-    """Replace each feature by ``(n * mean + alpha * global) / (n + alpha)`` of its category.
 
-    ``n`` counts non-null targets of the category; a NULL category stays NULL.
+def fit_target(df: DataFrame, feature_list: Sequence[str], target_col: str, alpha: float = TARGET_ENCODE_ALPHA) -> TargetModel:
+    """``(n * mean + alpha * global) / (n + alpha)`` per category, ``n`` its non-null targets.
+
+    One scan and one aggregate for all features; the global mean is a row of the same aggregate.
     """
-    g = _global_mean(df, target_col)
-    out = df
-    t = F.col(target_col).cast("double")
-    for f in feature_list:
-        stats = (df.where(F.col(f).isNotNull()).groupBy(f)
-                 .agg(F.avg(t).alias("_m"), F.count(t).alias("_n"))
-                 .select(f, ((F.col("_n") * F.col("_m") + F.lit(alpha) * F.lit(g))
-                             / (F.col("_n") + F.lit(alpha))).alias("_enc")))
-        out = out.join(stats, f, "left").withColumn(f, F.col("_enc")).drop("_enc")
-    return out.select(*df.columns)
+    features = list(feature_list)
+    types = _types(df, features)
+    t = F.col(target_col).cast("double").alias("_t")
+    items = [F.struct(F.lit(-1).alias("at"), F.lit("").alias("category"))]  # all rows
+    items += [F.struct(F.lit(n).alias("at"), F.col(c).cast("string").alias("category")) for n, c in enumerate(features)]
+    rows = df.select(t, F.explode(F.array(*items)).alias("p")).select("_t", "p.at", "p.category").where(F.col("category").isNotNull())
+    stats = materialize(rows.groupBy("at", "category").agg(F.sum("_t").alias("_s"), F.count("_t").alias("_n")), "target")
+    g = stats.where("at = -1").select(F.col("_s") / F.nullif(F.col("_n"), F.lit(0))).first()
+    g = None if g is None else g[0]
+    enc = (F.col("_s") + F.lit(alpha) * F.lit(g).cast("double")) / (F.col("_n") + F.lit(alpha))
+    return TargetModel(types, stats.where("at >= 0").select("at", "category", enc.alias("enc")), g)
+
+
+def target_encode(df: DataFrame, feature_list: Sequence[str], target_col: str,
+                  alpha: float = TARGET_ENCODE_ALPHA) -> DataFrame:
+    """Replace each feature by the smoothed target mean of its category (:func:`fit_target` on the table itself)."""
+    return fit_target(df, feature_list, target_col, alpha).transform(df)
 
 
 # ------------------------------------------------------------------ ordinal and binary codes
 
 
+@dataclass
+class OrdinalModel:
+    """Sorted dictionaries of some columns: ``at`` (place of the column), ``column, code`` (from 0), ``category``."""
+
+    types: dict[str, str]
+    table: DataFrame
+
+    def mapping(self) -> DataFrame:
+        return self.table.select("column", "code", "category")
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        """Each column replaced by its code; NULL and unseen categories are -1."""
+        check_types(df, self.types)
+        out = df
+        for n, c in enumerate(self.types):
+            out = _looked_up(out, c, self.table, n, "code", "_code").withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
+        return out.select(*df.columns)
+
+    def bits(self, df: DataFrame) -> DataFrame:
+        """Each column replaced by MSB-first bit columns ``c_bin0..`` of its code ('0'/'1'), appended
+        last; NULL and unseen categories give NULL bits. Width = bit length of the largest code, at least 1."""
+        check_types(df, self.types)
+        largest = {r["column"]: r["m"] for r in self.table.groupBy("column").agg(F.max("code").alias("m")).collect()}  # a row per column
+        out, added = df, []
+        for n, c in enumerate(self.types):
+            width = max(1, int(largest.get(c, 0)).bit_length())
+            out = _looked_up(out, c, self.table, n, "code", "_code")
+            code = F.col("_code")
+            bits = {f"{c}_bin{i}": F.when(code.isNotNull(), F.shiftright(code, width - 1 - i).bitwiseAND(1).cast("string"))
+                    for i in range(width)}
+            out = out.withColumns(bits).drop("_code")
+            added += bits
+        return out.select(*[c for c in df.columns if c not in self.types], *added)
+
+
+def fit_ordinal(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> OrdinalModel:
+    """Dictionaries of all columns from one distinct and one range sort of (column, value).
+
+    Numbers sort as numbers, all else as text. A code is a value's global place less that of its column's first.
+    """
+    columns = list(columns)
+    types = _types(df, columns)
+    spark = df.sparkSession
+    schema = "at int, column string, code int, category string"
+    if not columns:
+        return OrdinalModel(types, spark.createDataFrame([], schema))
+    values = _exploded(df, columns).where(F.col("category").isNotNull()).distinct()
+    placed = global_index(values, ["at", "number", "category"], name="_place", partitions=partitions)
+    first = placed.groupBy("at").agg(F.min("_place").alias("_first"))
+    names = F.element_at(F.array(*map(F.lit, columns)), F.col("at") + 1)
+    table = placed.join(F.broadcast(first), "at").select(  # first: one row per column
+        "at", names.alias("column"), (F.col("_place") - F.col("_first")).cast("int").alias("code"), "category")
+    return OrdinalModel(types, materialize(table, "dictionary"))
+
+
 def convert_objects_to_ints(df: DataFrame, columns: Sequence[str] | None = None):
     """Each string column -> 0-based code of its sorted distinct values; NULL -> -1.
 
@@ -155,17 +270,8 @@ def convert_objects_to_ints(df: DataFrame, columns: Sequence[str] | None = None)
     """
     cols = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out, maps = df, []
-    for c in cols:
-        codes = dense_codes(df, c, code="_code").select(F.col(c), F.col("_code").cast("int").alias("_code"))
-        out = out.join(codes, c, "left").withColumn(c, F.coalesce(F.col("_code"), F.lit(-1))).drop("_code")
-        maps.append(codes.select(F.lit(c).alias("column"), F.col("_code").alias("code"),
-                                 F.col(c).cast("string").alias("category")))
-    mapping = maps[0] if maps else df.sparkSession.createDataFrame(
-        [], "column string, code int, category string")
-    for m in maps[1:]:
-        mapping = mapping.unionByName(m)
-    return out.select(*df.columns), mapping
+    model = fit_ordinal(df, cols)
+    return model.codes(df), model.mapping()
 
 
 def binary_encode(df: DataFrame, categorical_features: Sequence[str]) -> DataFrame:
@@ -173,77 +279,63 @@ def binary_encode(df: DataFrame, categorical_features: Sequence[str]) -> DataFra
 
     Width = bit length of the largest code, at least 1; a NULL category gives NULL bits.
     """
-    out = df
-    for f in categorical_features:
-        codes = dense_codes(df, f, code="_code")
-        n = codes.count()
-        width = max(1, (n - 1).bit_length())
-        out = out.join(codes, f, "left")
-        code = F.col("_code")
-        bits = {f"{f}_bin{i}": F.when(code.isNotNull(),
-                                      F.shiftright(code, width - 1 - i).bitwiseAND(1).cast("string"))
-                for i in range(width)}
-        out = out.withColumns(bits).drop("_code", f)
-    keep = [c for c in df.columns if c not in categorical_features]
-    added = [c for c in out.columns if c not in df.columns]
-    return out.select(*keep, *added)
+    return fit_ordinal(df, categorical_features).bits(df)
 
 
 # ------------------------------------------------------------------ consignee encoders
 
 
 @dataclass
-class ConsigneeTargetModel:
-    """Smoothed per-consignee target mean fitted on a training table."""
+class ConsigneeModel:
+    """Per consignee: occurrences in train and test together, and the smoothed target mean of its
+    training rows (NULL without any): ``at`` (always 0), ``category, consignee_freq, enc``."""
 
-    stats: DataFrame
+    types: dict[str, str]
+    table: DataFrame
     global_mean: float | None
-    name_col: str = "consignee_name"
-
-    def transform(self, df: DataFrame, unseen_global: bool = True,
-                  out_col: str = "consignee_target_enc") -> DataFrame:
-        """Unseen names get the global mean (``unseen_global``) or NULL."""
-        out = df.drop(out_col).join(self.stats, self.name_col, "left")
+    rare_thresh: int = RARE_THRESHOLD
+
+    def transform(self, df: DataFrame, unseen_global: bool = True) -> DataFrame:
+        """Add ``consignee_freq``, ``is_rare_consignee`` and ``consignee_target_enc``; a name that
+        training has not seen gets the global mean (``unseen_global``) or NULL."""
+        check_types(df, self.types)
+        name = next(iter(self.types))
+        side = self.table.select(F.col("category").alias("_category"), "consignee_freq", F.col("enc").alias("consignee_target_enc"))
+        out = df.drop("consignee_freq", "consignee_target_enc", "is_rare_consignee")
+        out = out.join(side, F.col(name).cast("string") == F.col("_category"), "left").drop("_category")
         if unseen_global:
-            out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(self.global_mean)))
-        return out
+            out = out.withColumn("consignee_target_enc", F.coalesce("consignee_target_enc", F.lit(self.global_mean).cast("double")))
+        return out.withColumn("is_rare_consignee", F.coalesce(F.col("consignee_freq") < self.rare_thresh, F.lit(False)))
 
 
-def fit_consignee_target(train: DataFrame, target_col: str = "one_day_pickup",
-                         name_col: str = "consignee_name",
-                         global_weight: float = CONSIGNEE_PRIOR_WEIGHT) -> ConsigneeTargetModel:
-    """``(mean * n + global * w) / (n + w)`` per name, on the training rows only."""
-    g = _global_mean(train, target_col)
-    t = F.col(target_col).cast("double")
-    stats = (train.where(F.col(name_col).isNotNull()).groupBy(name_col)
-             .agg(F.avg(t).alias("_m"), F.count(t).alias("_n"))
-             .select(name_col, ((F.col("_m") * F.col("_n") + F.lit(g) * F.lit(global_weight))
-                                / (F.col("_n") + F.lit(global_weight))).alias("consignee_target_enc")))
-    return ConsigneeTargetModel(stats, g, name_col)
+def fit_consignee(train: DataFrame, test: DataFrame | None = None, target_col: str = "one_day_pickup",
+                  name_col: str = "consignee_name", rare_thresh: int = RARE_THRESHOLD,
+                  global_weight: float = CONSIGNEE_PRIOR_WEIGHT) -> ConsigneeModel:
+    """Frequencies over both tables, ``(mean * n + global * w) / (n + w)`` per name on the training rows, in one
+    aggregate; the global mean is a row of it."""
+    t = F.col(target_col).cast("double").alias("_t")
+    name = F.col(name_col).cast("string").alias("category")
+    both = train.select(name, t)
+    if test is not None:
+        both = both.unionByName(test.select(name, F.lit(None).cast("double").alias("_t")))
+    items = F.array(F.struct(F.lit(-1).alias("at"), F.lit("").alias("category")), F.struct(F.lit(0).alias("at"), F.col("category")))
+    rows = both.select("_t", F.explode(items).alias("p")).select("_t", "p.at", "p.category").where(F.col("category").isNotNull())
+    stats = materialize(rows.groupBy("at", "category").agg(
+        F.count(F.lit(1)).alias("consignee_freq"), F.sum("_t").alias("_s"), F.count("_t").alias("_n")), "consignees")
+    g = stats.where("at = -1").select(F.col("_s") / F.nullif(F.col("_n"), F.lit(0))).first()
+    g = None if g is None else g[0]
+    enc = F.when(F.col("_n") > 0, (F.col("_s") + F.lit(g).cast("double") * F.lit(global_weight)) / (F.col("_n") + F.lit(global_weight)))
+    table = stats.where("at = 0").select("at", "category", "consignee_freq", enc.alias("enc"))
+    return ConsigneeModel(_types(train, [name_col]), table, g, rare_thresh)
 
 
 def encode_consignee_features(train: DataFrame, test: DataFrame, target_col: str = "one_day_pickup",
                               name_col: str = "consignee_name", rare_thresh: int = RARE_THRESHOLD,
                               global_weight: float = CONSIGNEE_PRIOR_WEIGHT):
-    """Frequency + rare flag from train ∪ test, target encoding fitted on train.
+    """Frequency + rare flag from train and test together, target encoding fitted on train.
 
     Returns ``(train, test)``; train names always match, test names unseen in
     train get the training global mean.
     """
-    g = _global_mean(train, target_col)
-    t = F.col(target_col).cast("double").alias("_t")
-    both = train.select(name_col, t).unionByName(test.select(name_col, F.lit(None).cast("double").alias("_t")))
-    n, prior = F.count("_t"), F.lit(global_weight)
-    # one aggregate per name; each side is joined with it once
-    stats = both.where(F.col(name_col).isNotNull()).groupBy(name_col).agg(
-        F.count(F.lit(1)).alias("consignee_freq"),
-        F.when(n > 0, (F.sum("_t") + F.lit(g) * prior) / (n + prior)).alias("consignee_target_enc"))
-
-    def enc(d: DataFrame, unseen_global: bool) -> DataFrame:
-        d = d.drop("consignee_freq", "consignee_target_enc").join(stats, name_col, "left").withColumn(
-            "is_rare_consignee", F.coalesce(F.col("consignee_freq") < rare_thresh, F.lit(False)))
-        if unseen_global:
-            d = d.withColumn("consignee_target_enc", F.coalesce(F.col("consignee_target_enc"), F.lit(g)))
-        return d
-
-    return enc(train, False), enc(test, True)
+    model = fit_consignee(train, test, target_col, name_col, rare_thresh, global_weight)
+    return model.transform(train, unseen_global=False), model.transform(test)

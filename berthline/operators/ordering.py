@@ -81,12 +81,6 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "_idx",
     return out.withColumn(name, (F.col("_off") + local).cast("bigint")).drop("_pid", "_off", "_mid")
 
 
-def dense_codes(df: DataFrame, column: str, code: str = "code", partitions: int | None = None) -> DataFrame:
-    """Sorted dictionary of the non-null values of ``column``: (value, 0-based code)."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return global_index(values, [column], name=code, partitions=partitions)
-
-
 def previous_row(df: DataFrame, order: str | Sequence[str], cols: Sequence[str], prefix: str = "prev_",
                  partitions: int | None = None) -> DataFrame:
     """Attach the values of the row that precedes each row in the total ``order``.

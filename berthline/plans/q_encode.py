@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.encode import (apply_one_hot_encoding, binary_encode, convert_objects_to_ints,
                                 encode_consignee_features, target_encode)
+from ..operators import stored
+from ..operators.encode import fit_ordinal, fit_target
+from ..session import scratch_path
 from .registry import register
 from .tables import rounded, table
 
@@ -105,3 +108,31 @@ def q_consignee_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             target_col="target", name_col="o_custkey")
     cols = ["o_orderkey", "split", "consignee_freq", "is_rare_consignee", "consignee_target_enc"]
     return rounded(train.select(*cols).unionByName(test.select(*cols)))
+
+
+@register("stored_encoders", """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderstatus = 'F' AS INTEGER) AS target,
+                  o_orderdate < TIMESTAMP '1996-01-01' AS train FROM orders),
+d AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS code FROM (SELECT DISTINCT o_custkey FROM o WHERE train)),
+p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS code
+      FROM (SELECT DISTINCT o_orderpriority FROM o WHERE train)),
+g AS (SELECT avg(target) AS gm FROM o WHERE train),
+c AS (SELECT o_custkey, (sum(target) + 10 * (SELECT gm FROM g)) / (count(target) + 10) AS enc FROM o WHERE train GROUP BY 1)
+SELECT o.o_orderkey, CAST(coalesce(d.code, -1) AS INTEGER) AS cust_code, CAST(coalesce(p.code, -1) AS INTEGER) AS priority_code,
+       round(coalesce(c.enc, (SELECT gm FROM g)), 4) AS cust_target
+FROM o LEFT JOIN d USING (o_custkey) LEFT JOIN p USING (o_orderpriority) LEFT JOIN c USING (o_custkey)
+""")
+def q_stored_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoders fitted on the orders before 1996, stored as versioned tables, loaded and applied to all orders."""
+    root = scratch_path(spark, "encoders")
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("target"),
+        (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).alias("train"))
+    train = o.where("train")
+    stored.save(spark, fit_ordinal(train, ["o_custkey", "o_orderpriority"]), f"{root}/codes")
+    stored.save(spark, fit_target(train, ["o_custkey"], "target"), f"{root}/target")
+    codes, target = (stored.load(spark, f"{root}/{name}") for name in ("codes", "target"))
+    coded = codes.codes(o).select("o_orderkey", F.col("o_custkey").cast("int").alias("cust_code"),
+                                  F.col("o_orderpriority").alias("priority_code"))
+    means = target.transform(o, unseen_global=True).select("o_orderkey", F.col("o_custkey").alias("cust_target"))
+    return rounded(coded.join(means, "o_orderkey"))
