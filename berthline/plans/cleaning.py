@@ -87,26 +87,23 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     return _row_plan(event_df, vessel_df, schedule_df, early_prune=early_prune, **kw)
 
 
-def summarize_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
-    """The per-key part of the collapsed cleaning job: one row per key of the event log.
-
-    Columns: ``key``, the event columns of the key's last distinct row (event columns
-    are those the manifest does not overwrite and the drop list keeps), its ``_ord``,
-    and ``hlp_count, pickup_date, avp_date, dfv_event_date, load_date``. It depends on
-    the manifest only through ``manifest_columns`` (normalised names), so a stream of
-    uploads can compute it once from the static event log and reuse it for every
-    upload. ``live`` (a one-column ``key`` table) filters the events first.
-    """
+def distinct_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
+    """Distinct event rows: ``key``, the event columns (those the manifest does not overwrite and the drop
+    list keeps), ``_first`` (position of the first copy) and ``_copies``. ``live`` (a one-column ``key``
+    table) filters the events first."""
     ev = C.create_key_feature(C.standardize_column_names(ensure_order(event_df)))
     owned = set(manifest_columns) | {"key"}
     ev_cols = [c for c in ev.columns if c not in owned and c not in DROP_COLUMNS and c != ORD]
     ev = C.standardize_datetime_columns(ev.select("key", *ev_cols, ORD), DATE_COLUMNS)
     if live is not None:
         ev = ev.join(live, "key", "left_semi")
+    return ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"), F.count(F.lit(1)).alias("_copies"))
 
+
+def per_key_events(distinct_rows: DataFrame) -> DataFrame:
+    """One row per key from :func:`distinct_events`."""
+    ev_cols = [c for c in distinct_rows.columns if c not in ("key", "_first", "_copies")]
     e, loc, d = F.col("event_type"), F.col("inventory_location_code"), F.col("event_date")
-    distinct_rows = ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"),
-                                                   F.count(F.lit(1)).alias("_copies"))
     pick = (e == EVENT_PICKUP) & loc.isin(*PICKUP_LOCATIONS) & d.isNotNull()
     avp = (e == EVENT_AVP) & d.isNotNull()
     per_key = distinct_rows.groupBy("key").agg(
@@ -120,6 +117,18 @@ def summarize_events(event_df: DataFrame, manifest_columns, live: DataFrame | No
                           "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date")
 
 
+def summarize_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
+    """The per-key part of the collapsed cleaning job: one row per key of the event log.
+
+    Columns: ``key``, the event columns of the key's last distinct row, its ``_ord``,
+    and ``hlp_count, pickup_date, avp_date, dfv_event_date, load_date``. It depends on
+    the manifest only through ``manifest_columns`` (normalised names), so a stream of
+    uploads can compute it once from the static event log and reuse it for every
+    upload (:mod:`event_summary` keeps it).
+    """
+    return per_key_events(distinct_events(event_df, manifest_columns, live))
+
+
 def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: DataFrame,
                     one_hot_categories=None, checkpoint_before_fit: bool = True,
                     carry_over: bool = False, keep_order: bool = False,

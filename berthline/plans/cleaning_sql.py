@@ -19,20 +19,25 @@ def _hours(a: str, b: str) -> str:
 
 # One row per surviving key, before the history features (step a to the last row per key).
 CLEANED_SQL = f"""
+  lines AS (
+    SELECT l.*, o_orderdate, unnest(types) AS event_type, unnest(range(len(types))) AS e_place
+    FROM (SELECT *, CASE l_linenumber WHEN 1 THEN ['AVP', 'DFV'] WHEN 2 THEN ['OGT', 'AVP'] WHEN 3 THEN ['DFV', 'OGT']
+                    WHEN 4 THEN ['HLP', 'DFV'] WHEN 5 THEN ['LTV', 'AVP'] WHEN 6 THEN ['OGT', 'AVP']
+                    WHEN 7 THEN ['HLP', 'OGT'] ELSE ['HLP'] END AS types FROM lineitem) l
+    LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
   ev AS (
-    SELECT l.l_orderkey AS ok,
+    SELECT l_orderkey AS ok,
            row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount,
-               l_tax, l_returnflag, l_linestatus) AS ord,
-           CASE l_linenumber WHEN 1 THEN 'AVP' WHEN 2 THEN 'OGT' WHEN 3 THEN 'DFV' WHEN 4 THEN 'HLP' WHEN 5 THEN 'LTV'
-                             WHEN 6 THEN 'OGT' ELSE 'HLP' END AS event_type,
-           CASE l_linenumber WHEN 1 THEN 2 WHEN 2 THEN 2 + CAST(trunc(l_quantity) AS INTEGER) WHEN 3 THEN 1 WHEN 5 THEN -24
-                             WHEN 6 THEN 2 + CAST(trunc(l_quantity) AS INTEGER) ELSE 5 END AS hours,
-           l_returnflag, l_shipdate, o_orderdate, 'STE' || CAST(l_suppkey % 3 AS VARCHAR) AS inventory_location_code
-    FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
+               l_tax, l_returnflag, l_linestatus, e_place) AS ord, event_type,
+           CASE event_type WHEN 'AVP' THEN 2 WHEN 'OGT' THEN 2 + CAST(trunc(l_quantity) AS INTEGER) WHEN 'DFV' THEN 1
+                           WHEN 'LTV' THEN -24 ELSE 5 END AS hours,
+           l_returnflag = 'R' AND l_linenumber = 5 AS raw, l_shipdate, o_orderdate,
+           'STE' || CAST(l_suppkey % 3 AS VARCHAR) AS inventory_location_code
+    FROM lines),
   ed AS (
     SELECT ok, ord, event_type, inventory_location_code,
-           date_trunc('second', CAST(CASE WHEN l_returnflag = 'R' THEN l_shipdate
-                                          ELSE o_orderdate + to_hours(hours) END AS TIMESTAMP)) AS event_date FROM ev),
+           date_trunc('second', CAST(CASE WHEN raw THEN l_shipdate ELSE o_orderdate + to_hours(hours) END AS TIMESTAMP)) AS event_date
+    FROM ev),
   sched AS (
     SELECT o_custkey % 5 AS vessel, year(o_orderdate) * 100 + week(o_orderdate) AS voyage,
            date_trunc('second', CAST(min(o_orderdate) AS TIMESTAMP)) AS arrival_time FROM orders GROUP BY 1, 2),

@@ -1,9 +1,9 @@
 """Shipment-domain inputs derived from the driver's tables (for the cleaning job and streams).
 
-* event log  <- ``lineitem`` ⋈ ``orders``: one container event per line item; the line
-  number picks the event type; the event time is the order date plus a per-type
+* event log  <- ``lineitem`` ⋈ ``orders``: two container events per line item; the line
+  number picks the event types; the event time is the order date plus a per-type
   offset (unload 1 h, AVP 2 h, pickup 2 h + quantity hours, HLP 5 h, load -24 h),
-  except for returned items (flag ``R``), whose raw ship date is used; the
+  except for returned items (flag ``R``) of line 5, whose raw ship date is used; the
   supplier picks the yard location.
 * manifest   <- ``orders`` ⋈ ``customer``: one booking per order on the voyage before
   the order's week; the customer name is the consignee; priority/status/segment
@@ -23,8 +23,9 @@ from ..operators.ordering import with_order
 from .tables import table
 
 _TS = "yyyy-MM-dd HH:mm:ss"
-# line number -> event type (fixed mapping of this derivation)
-_EVENT_BY_LINE = {1: "AVP", 2: "OGT", 3: "DFV", 4: "HLP", 5: "LTV", 6: "OGT", 7: "HLP"}
+# line number -> event types (fixed mapping of this derivation)
+_EVENTS_BY_LINE = {1: ("AVP", "DFV"), 2: ("OGT", "AVP"), 3: ("DFV", "OGT"), 4: ("HLP", "DFV"), 5: ("LTV", "AVP"),
+                   6: ("OGT", "AVP"), 7: ("HLP", "OGT")}
 
 
 def _txt(c):
@@ -44,17 +45,19 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
     ln = F.col("l_linenumber")
-    ev = F.lit("HLP")
-    for k, v in sorted(_EVENT_BY_LINE.items(), reverse=True):
-        ev = F.when(ln == k, F.lit(v)).otherwise(ev)
+    types = F.array(F.lit("HLP"))
+    for k, v in sorted(_EVENTS_BY_LINE.items(), reverse=True):
+        types = F.when(ln == k, F.array(*map(F.lit, v))).otherwise(types)
+    li = li.select("*", F.posexplode(types).alias("e_place", "e_type"))
+    ev = F.col("e_type")
     hours = F.lit(0)
     for k, v in _OFFSET_HOURS.items():
         hours = F.when(ev == k, F.lit(v)).otherwise(hours)
     hours = hours + F.when(ev == "OGT", F.col("l_quantity").cast("int")).otherwise(F.lit(0))
-    when = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).otherwise(
+    when = F.when((F.col("l_returnflag") == "R") & (ln == 5), F.col("l_shipdate")).otherwise(
         F.col("o_orderdate") + F.make_dt_interval(hours=hours))
     li = with_order(li, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-                    "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+                    "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "e_place")
     return li.select(
         F.concat(F.lit("EQ"), _txt(F.col("l_orderkey"))).alias("Equipment ID"),
         _txt(F.col("l_orderkey")).alias("Booking Number"),

@@ -15,8 +15,9 @@ from ..sources.csv import read_csv, write_csv
 from ..sources.paths import cleaned_path, prediction_path
 from ..sources.records import read_records, write_records
 from ..streaming.arrival import WaitingFiles, run_once
-from .cleaning_sql import CATEGORIES, CLEAN_CONTAINER_SQL, UPLOAD_SCORE_SQL
+from .cleaning_sql import CATEGORIES, CLEAN_CONTAINER_SQL, CLEANED_SQL, UPLOAD_SCORE_SQL
 from .cleaning import clean_container_data
+from .event_summary import EventSummary
 from .inputs import event_log, manifest, schedule
 from .registry import register
 from .scoring import clean_uploads, score_cleaned, score_cleaned_files
@@ -252,3 +253,23 @@ def q_upload_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.groupBy(upload.alias("upload")).agg(F.count(F.lit(1)).alias("n_rows"))
     status = status.select(upload.alias("upload"), "state", "attempt")
     return status.join(rows, "upload", "left").select("upload", "state", "attempt", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+_VERSIONED_SQL = CLEANED_SQL.replace("row(l_orderkey, l_linenumber", "row(e_place, l_orderkey, l_linenumber")
+
+
+@register("event_summary", f"""
+WITH {_VERSIONED_SQL}
+SELECT 'EQ' || CAST(ok AS VARCHAR) || '_' || CAST(ok AS VARCHAR) AS key, hlp_count, pickup_date, avp_date, dfv_event_date, load_date,
+       x.event_type, x.event_date, x.inventory_location_code
+FROM per_key JOIN lasts x USING (ok)
+""")
+def q_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log's kept summary after new events: the second events of all line items come in as
+    a new version of a summary made from the first ones."""
+    log = event_log(spark, sf_dir)
+    kept = EventSummary(spark, scratch_path(spark, "summaries"), manifest(spark, sf_dir).columns, buckets=8)
+    kept.create(log.where("_ord.e_place = 0"))
+    kept.add(log.where("_ord.e_place = 1"))
+    return kept.summary().select("key", "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date", "event_type",
+                                 "event_date", "inventory_location_code")

@@ -25,7 +25,8 @@ from ..sources.records import to_records
 from ..streaming.arrival import run_once
 from ..functions.text import normalise_header
 from ..session import scratch_path
-from .cleaning import clean_container_data, collapsible, summarize_events
+from .cleaning import clean_container_data, collapsible
+from .event_summary import EventSummary
 
 
 def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable[[DataFrame], DataFrame],
@@ -40,29 +41,30 @@ def clean_files(spark: SparkSession, uploads: str, cleaned: str, clean: Callable
 
 
 def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataFrame, schedule: DataFrame,
-                  upload_glob: str = "*.csv", max_files: int | None = None, **clean_kw) -> DataFrame:
+                  upload_glob: str = "*.csv", max_files: int | None = None, summaries: str | None = None, **clean_kw) -> DataFrame:
     """C2: each uploaded manifest file is cleaned on its own (history never spans uploads).
 
     The uploads of a micro-batch that share a header are one plan with ``source_file`` as part of every
     key, so the cost does not grow with their number; ``max_files`` bounds a batch.
 
-    When the upload schema allows the collapsed plan, the static event log is
-    summarised to one row per key **once** per header, written as a table in the shared
-    folder, and every upload joins its keys against that table instead of re-reading and
-    re-aggregating the whole log. Returns the files' statuses.
+    When the upload schema allows the collapsed plan, uploads join a summary of the event log by key
+    (:class:`EventSummary`, bucketed, so only the uploads are shuffled) instead of re-reading and
+    re-aggregating the whole log. ``summaries`` is the folder where summaries are kept: the
+    last version there is used, whatever ``events`` holds by then (``EventSummary.add`` brings new
+    events in), and one is made if there is none. Without it a summary is made once per
+    header for this call. Returns the files' statuses.
     """
-    summaries: dict[tuple, DataFrame] = {}
+    known: dict[tuple, DataFrame] = {}
 
     def options(columns: list[str]) -> dict:
         """The collapsed plan with the log's summary for this upload's columns, where it holds."""
         if not (collapsible(columns, events.columns) and clean_kw.get("plan", "auto") in ("auto", "collapsed")):
             return clean_kw
         owned = tuple(sorted({normalise_header(c) for c in columns if c != ORD}))
-        if owned not in summaries:
-            path = scratch_path(spark, "event-summary")
-            summarize_events(events, owned).write.parquet(path)
-            summaries[owned] = spark.read.parquet(path)
-        return {**clean_kw, "plan": "collapsed", "summary": summaries[owned]}
+        if owned not in known:
+            kept = EventSummary(spark, summaries or scratch_path(spark, "event-summary"), owned)
+            known[owned] = kept.summary(kept.latest() or kept.create(events))
+        return {**clean_kw, "plan": "collapsed", "summary": known[owned]}
 
     def clean(batch: DataFrame) -> DataFrame:
         return clean_container_data(events, batch, schedule, upload="source_file", **options(batch.columns))
