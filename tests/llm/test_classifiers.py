@@ -33,14 +33,91 @@ def test_quality_ranks_rows_it_was_not_fitted_on(spark):
     assert np.mean([got[r["doc_id"]]["keep"] for r in unseen if r["quality"] == 1 and not r["toxic"]]) > 0.9
 
 
-def test_views_hand_over_sure_rows():
+def _views(rng, n, noise):
+    """Words and metadata that both follow the truth, the metadata less so."""
+    truth = rng.integers(0, 2, n)
+    seen = np.where(rng.random(n) < noise, 1 - truth, truth)
+    words = (np.repeat(np.arange(n), 3), np.stack([truth + 10, np.full(n, 5), rng.integers(20, 40, n)], axis=1).ravel().astype(np.int32))
+    return truth, (*words, rng.random((n, 11)), np.repeat((seen + 3)[:, None], 5, axis=1).astype(np.int32))
+
+
+def _batched(features, size):
+    rows, cols, shapes, meta = features
+    for at in range(0, len(meta), size):
+        inside = (rows >= at) & (rows < at + size)
+        yield rows[inside] - at, cols[inside], shapes[at:at + size], meta[at:at + size]
+
+
+def _all(*parts):
+    return sum(quality._statistics(f) for f in parts)
+
+
+def test_both_views_hand_over_rows_of_all_unlabelled_ones():
     rng = np.random.default_rng(1)
-    y = np.where(np.arange(400) < 200, rng.integers(0, 2, 400), -1)
-    truth = np.where(y >= 0, y, rng.integers(0, 2, 400))
-    words = (np.repeat(np.arange(400), 2), np.stack([truth + 10, np.full(400, 5)], axis=1).ravel().astype(np.int32))
-    meta = np.repeat((truth + 3)[:, None], 5, axis=1).astype(np.int32)
-    m = quality.Model(words, rng.normal(size=(400, 11)), meta, y, np.arange(400) % 4 == 0)
-    assert min(m.handed) > 100
+    y, own = _views(rng, 400, 0.2)
+    truth, rest = _views(rng, 3000, 0.2)
+    seen = []
+
+    def unlabelled(per_batch, width):
+        seen.append(sum(len(f[3]) for f in _batched(rest, 170)))
+        return sum((per_batch(f) for f in _batched(rest, 170)), np.zeros(width))
+
+    m = quality.Model(own[:2], own[2], own[3], y, np.arange(400) % 8, _all(own, rest), 3400, unlabelled)
+    assert set(seen) == {3000} and len(seen) == quality.ROUNDS * (1 + quality.PASSES)
+    assert all(min(h) >= 0.9 * quality.HAND * 3000 for h in m.handed)
+
+
+def test_one_round_equals_a_plain_one():
+    """Rows handed over, gradients and curvatures of one round, against dense arithmetic over all rows."""
+    rng = np.random.default_rng(3)
+    y, own = _views(rng, 400, 0.3)
+    truth, rest = _views(rng, 900, 0.3)
+    m = quality.Model(own[:2], own[2], own[3], y, np.arange(400) % 8, _all(own, rest), 1300)
+    histograms = sum(m._score_histograms(f) for f in _batched(rest, 100))
+    hands = [quality.HandOver(h, 0.4) for h in histograms.reshape(2, -1)]
+    givers = m._givers(hands)
+    got = sum(m._gradients(givers)(f) for f in _batched(rest, 77))
+    dense = []
+    for (rows, cols), model in zip(m.columns(rest), m.models):
+        x = np.zeros((900, len(model.w)))
+        np.add.at(x, (rows, cols), 1)
+        dense.append(x)
+    p = [1 / (1 + np.exp(-((x @ k.w + k.b) * ab[0] + ab[1]))) for x, k, ab in zip(dense, m.models, m.ab)]
+    at, sizes = 2, []
+    for k in (0, 1):
+        giver = p[1 - k]
+        cell = np.floor(giver * quality.GRID)
+        order = np.sort(cell)
+        top = max(quality.GRID // 2, order[-36])
+        good, bad = cell >= top, cell < quality.GRID // 2
+        bad &= cell <= order[54 - 1]
+        weight = np.zeros(900)
+        for part in (good, bad):
+            weight += 0.5 * quality.PSEUDO * np.abs(2 * giver - 1) * part / max(part.sum(), 1)
+        r = weight * (p_raw(dense[k], m.models[k]) - good)
+        width = dense[k].shape[1]
+        each = dense[k].sum(axis=1)
+        np.testing.assert_allclose(got[at:at + width], dense[k].T @ r, atol=1e-12)
+        np.testing.assert_allclose(got[at + width:at + 2 * width], dense[k].T @ (0.25 * weight * np.sqrt(each + 1)), atol=1e-12)
+        np.testing.assert_allclose(got[at + 2 * width], r.sum(), atol=1e-12)
+        np.testing.assert_allclose(got[at + 2 * width + 1], 0.25 * weight.sum(), atol=1e-12)
+        at += 2 * width + 2
+        sizes.append(int((good | bad).sum()))
+    assert got[:2].astype(int).tolist() == sizes[::-1]
+
+
+def p_raw(x, model):
+    return 1 / (1 + np.exp(-(x @ model.w + model.b)))
+
+
+def test_sums_over_tasks_cover_every_unlabelled_row(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.select("doc_id", "text", *quality._with_meta(docs)).mapInArrow(
+        quality._features, "doc_id bigint, words binary, shape binary, meta binary").repartition(5)
+    got = quality.summed(rows, lambda f: np.array([len(f[3]), len(f[1]), f[2][:, 0].sum()]), 3)
+    assert got[0] == docs.count() and got[1] > 50 * got[0] and got[2] > got[0]
+    m = quality.fit(docs, labels, rounds=1)
+    assert len(m.handed) == quality.PASSES and min(min(h) for h in m.handed) > 0
 
 
 def test_quality_odd_rows(spark):
