@@ -186,6 +186,11 @@ def q_file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(preds.select(*SCORED_COLUMNS))
 
 
+#: What the stub model and the scored output take from a record.
+MODEL_COLUMNS = ("equipment_id string, booking_number bigint, consignee_name string, voyage_code string, "
+                 "one_day_pickup int, arrival_to_pickup_time double")
+
+
 @register("upload_clean_score", UPLOAD_SCORE_SQL)
 def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 + C3 end to end: the manifest derived from orders lands as one CSV upload per order
@@ -201,7 +206,7 @@ def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{root}/static/events")
     sched = spark.read.parquet(f"{root}/static/schedule")
     clean_uploads(spark, f"{root}/raw/clean_input", f"{root}/cleaned", events, sched)
-    score_cleaned(spark, f"{root}/cleaned", f"{root}/predictions", priority_stub)
+    score_cleaned(spark, f"{root}/cleaned", f"{root}/predictions", priority_stub, columns=MODEL_COLUMNS)
     schema = "equipment_id string, booking_number bigint, consignee_name string, voyage_code string, " \
              "stowage_priority double"
     preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")
@@ -273,3 +278,35 @@ def q_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.add(log.where("_ord.e_place = 1"))
     return kept.summary().select("key", "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date", "event_type",
                                  "event_date", "inventory_location_code")
+
+
+@register("mixed_records", """
+SELECT 'EQ' || CAST(o_custkey AS VARCHAR) AS equipment_id,
+       CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END AS booking_number, 'C' || CAST(o_custkey AS VARCHAR) AS consignee_name,
+       CASE WHEN o_orderstatus = 'F' THEN 'V' || CAST(o_custkey % 5 AS VARCHAR) END AS voyage_code,
+       round(0.5 * CAST(floor(o_totalprice) < 240000 AS INTEGER) + least(greatest(floor(o_totalprice) / 10000.0, 0), 240) / 480.0, 4)
+         AS stowage_priority
+FROM orders
+""")
+def q_mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned record files of three schemas, scored in one pass: whole records, records without the
+    booking whose numbers are text, and lists of records without the voyage."""
+    root = scratch_path(spark, "mixed-records")
+    hours = F.floor("o_totalprice") / 10000.0
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.concat(F.lit("EQ"), F.col("o_custkey").cast("string")).alias("equipment_id"), F.col("o_orderkey").alias("booking_number"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("consignee_name"),
+        F.concat(F.lit("V"), (F.col("o_custkey") % 5).cast("string")).alias("voyage_code"),
+        (hours < 24).cast("int").alias("one_day_pickup"), hours.alias("arrival_to_pickup_time"))
+    whole = o.where("o_orderstatus = 'F'").drop("o_orderstatus")
+    texts = o.where("o_orderstatus = 'O'").select("equipment_id", "consignee_name", F.col("one_day_pickup").cast("string").alias("one_day_pickup"),
+                                                  F.col("arrival_to_pickup_time").cast("string").alias("arrival_to_pickup_time"))
+    lists = o.where("o_orderstatus = 'P'").drop("o_orderstatus", "voyage_code")
+    lists = lists.groupBy(F.pmod("booking_number", F.lit(64)).alias("line")).agg(F.collect_list(F.struct(*lists.columns)).alias("r"))  # a list a line
+    write_records(whole, f"{root}/cleaned/cleaned_file=a")
+    write_records(texts, f"{root}/cleaned/cleaned_file=b")
+    lists.select(F.to_json("r").alias("value")).write.text(f"{root}/cleaned/cleaned_file=c")
+    score_cleaned(spark, f"{root}/cleaned", f"{root}/predictions", priority_stub, columns=MODEL_COLUMNS, glob="part-*")
+    schema = "equipment_id string, booking_number bigint, consignee_name string, voyage_code string, stowage_priority double"
+    preds = spark.read.option("recursiveFileLookup", True).schema(schema).json(f"{root}/predictions")
+    return rounded(preds.select(*SCORED_COLUMNS))

@@ -21,7 +21,7 @@ from ..constants import SCORED_COLUMNS
 from ..operators.ordering import ORD
 from ..operators.score import ModelFn, score_batch
 from ..sources.paths import cleaned_path, prediction_path
-from ..sources.records import to_records
+from ..sources.records import shred, to_records
 from ..streaming.arrival import run_once
 from ..functions.text import normalise_header
 from ..session import scratch_path
@@ -79,23 +79,27 @@ def _cleaned_name(source: F.Column) -> F.Column:
 
 
 def score_cleaned(spark: SparkSession, cleaned: str, predictions: str, model_factory: Callable[[], ModelFn],
-                  cleaned_schema: T.StructType | str | None = None, max_files: int | None = None) -> DataFrame:
-    """C3: score every cleaned record file; keep the scored-output columns.
+                  cleaned_schema: T.StructType | str | None = None, max_files: int | None = None,
+                  columns: T.StructType | str | None = None, glob: str = "*.json") -> DataFrame:
+    """C3: score every cleaned record file; keep the scored-output columns. Returns the files' statuses.
 
     Scoring is row by row and names its output from each row's source file, so one
-    micro-batch may hold many cleaned files (``max_files=None``).
+    micro-batch may hold many cleaned files (``max_files=None``). With ``columns`` (what the model
+    and the output need, typed) files of any and of different schemas are read once, as VARIANT
+    records from which these columns are taken. ``cleaned_schema`` gives the whole schema of the
+    files; with neither it is inferred, which reads all files once more.
     """
-    if cleaned_schema is None:
-        cleaned_schema = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-                          .json(cleaned).schema)
-    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) else T.StructType.fromDDL(cleaned_schema)
+    schema = cleaned_schema if isinstance(cleaned_schema, T.StructType) or cleaned_schema is None else T.StructType.fromDDL(cleaned_schema)
+    if schema is None and columns is None:
+        schema = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(cleaned).schema)
 
     def stage(batch: DataFrame) -> DataFrame:
-        named = batch.withColumn("prediction_file", prediction_path(_cleaned_name(F.col("source_file"))))
+        rows = batch if columns is None else shred(batch, columns)
+        named = rows.withColumn("prediction_file", prediction_path(_cleaned_name(F.col("source_file"))))
         scored = score_batch(named, model_factory, project=None)
         return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns], "prediction_file")
 
-    return run_once(spark, cleaned, predictions, stage, fmt="json", glob="*.json", schema=schema,
+    return run_once(spark, cleaned, predictions, stage, fmt="json", glob=glob, schema=None if columns is not None else schema,
                     partition_by="prediction_file", recursive=True, max_files=max_files)
 
 

@@ -42,3 +42,31 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str,
                  json_array: bool = False) -> DataFrame:
     """Read record JSON; ``json_array`` for files holding one JSON array (unsplittable)."""
     return spark.read.schema(schema).option("multiLine", json_array).json(path)
+
+
+def variant_reader(spark: SparkSession, multiline: bool = False):
+    """A JSON reader whose rows are one VARIANT column ``record``: no schema is needed or inferred, so
+    files and records may differ in columns and types. A malformed record is an error."""
+    return (spark.read.format("json").option("singleVariantColumn", "record").option("multiLine", multiline)
+            .option("mode", "FAILFAST"))
+
+
+def shred(df: DataFrame, columns: T.StructType | str, record: str = "record") -> DataFrame:
+    """Replace the VARIANT column by typed ``columns``: those that are asked for and nothing else.
+
+    A list of records (a whole file or line may be one) is a row per record. A column that a record lacks, or
+    whose value does not fit the type, is NULL; numbers given as text are numbers.
+    """
+    schema = columns if isinstance(columns, T.StructType) else T.StructType.fromDDL(columns)
+    clash = {f.name for f in schema.fields} & (set(df.columns) - {record})
+    if clash:
+        raise ValueError(f"columns are there already: {sorted(clash)}")
+    own = F.col(record)
+    rows = F.coalesce(F.try_variant_get(own, "$", "array<variant>"), F.array(own))
+    out = df.select(*[c for c in df.columns if c != record], F.explode(rows).alias(record)).where(F.col(record).isNotNull())
+
+    def field(f: T.StructField):
+        path = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        return F.try_variant_get(F.col(record), path, f.dataType.simpleString()).alias(f.name)
+
+    return out.select(*[c for c in out.columns if c != record], *map(field, schema.fields))

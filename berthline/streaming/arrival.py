@@ -31,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ordering import with_input_order
 from ..sources.csv import files_by_header, read_csv
 from ..sources.paths import literal
+from ..sources.records import variant_reader
 from .ledger import Ledger, failed_files, passing, statuses
 
 __all__ = ["Transform", "WaitingFiles", "failed_files", "run_once", "statuses", "watch"]
@@ -66,7 +67,8 @@ class _Job:
                 rows = rows.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in self.schema.fields
                                          if f.name in rows.columns})
             return rows
-        reader = self.spark.read.format(self.fmt).option("recursiveFileLookup", True)
+        reader = variant_reader(self.spark) if self.fmt == "json" and self.schema is None else self.spark.read.format(self.fmt)
+        reader = reader.option("recursiveFileLookup", True)
         if self.schema is not None:
             reader = reader.schema(self.schema)
         return with_input_order(reader.load(paths)).withColumn("source_file", F.col("_metadata.file_path"))
@@ -146,7 +148,8 @@ def watch(spark: SparkSession, source: str, sink: str, transform: Transform,
     needs a transform that keys on ``source_file``. Files in sub-folders count as uploads too.
 
     ``available_now`` processes what is there and stops (a scheduled run);
-    otherwise the query keeps watching. ``transform`` sees a batch DataFrame
+    otherwise the query keeps watching. JSON files without a ``schema`` come as one VARIANT column
+    ``record`` (see :func:`berthline.sources.records.shred`). ``transform`` sees a batch DataFrame
     with ``source_file`` and an ``_ord`` row order (file, split, position).
     """
     job = _job(spark, source, sink, transform, schema, fmt, sink_format, partition_by, max_files)

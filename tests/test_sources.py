@@ -3,6 +3,8 @@
 import os
 
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from berthline.operators.score import score_requests
@@ -54,3 +56,24 @@ def test_parsed_bodies_are_accepted(spark):
     req = spark.createDataFrame([(1, [("A", 1.0)])], schema)
     out = score_requests(req, REC, _picky_model, project=("equipment_id", "stowage_priority")).collect()
     assert [(r.equipment_id, r.stowage_priority, r.status) for r in out] == [("A", 2.0, 200)]
+
+
+def test_records_of_any_schema(spark):
+    from berthline.sources.records import shred, variant_reader
+    root = scratch_path(spark, "variant")
+    os.makedirs(root)
+    lines = {"a": '{"a": 1, "b": "x", "it\'s": 2}\n{"a": "2", "c": null}\n', "b": '[{"a": 3.7, "b": {"deep": 1}}, {"b": "y"}]\n', "c": "\n[]\n"}
+    for n, t in lines.items():
+        with open(f"{root}/{n}.json", "w") as f:
+            f.write(t)
+    df = variant_reader(spark).load(root).withColumn("file", F.col("_metadata.file_name"))
+    got = shred(df, "a int, b string, `it's` bigint")
+    assert got.columns == ["file", "a", "b", "it's"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [
+        ("a.json", 1, "x", 2), ("a.json", 2, None, None), ("b.json", 3, '{"deep":1}', None), ("b.json", None, "y", None)]))
+    with pytest.raises(ValueError, match="there already"):
+        shred(df, "file string")
+    with open(f"{root}/d.json", "w") as f:
+        f.write("{oops\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        shred(variant_reader(spark).load(root), "a int").collect()
