@@ -66,7 +66,8 @@ def shred(df: DataFrame, columns: T.StructType | str, record: str = "record") ->
     out = df.select(*[c for c in df.columns if c != record], F.explode(rows).alias(record)).where(F.col(record).isNotNull())
 
     def field(f: T.StructField):
-        path = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        quote = '"' if "'" in f.name else "'"
+        path = f"$[{quote}{f.name}{quote}]"
         return F.try_variant_get(F.col(record), path, f.dataType.simpleString()).alias(f.name)
 
     return out.select(*[c for c in out.columns if c != record], *map(field, schema.fields))
