@@ -2,14 +2,17 @@
 
 Candidates come from the four base patterns, which always hold, and from looser patterns that
 only propose. Labelers vote on every candidate: strict form, gazetteer, words before it that
-speak for or against it, its borders and its digits. Expectation-maximisation estimates how
-reliable each labeler is from the agreement of the votes, with base matches known to be right,
-and its posteriors train the final span classifier (logistic regression on votes, kind and
-shape). Candidates that it accepts are added to the base spans.
+speak for or against it, its borders and its digits. Expectation-maximisation estimates, per kind,
+how reliable each labeler is from the agreement of the votes on proposals. Base matches (right) and
+proposals whose checksum or number rules fail (wrong) are known, and anchor the estimate. The posteriors train the
+final span classifier (logistic regression on votes, kind and shape), which scores every
+proposal by its weights, also one whose votes the fit has not seen. Accepted proposals are added to the
+base spans; one with a failed checksum never is.
 
 Votes and shapes are discrete, so both models are fitted on counts of equal patterns over all
-documents: one aggregation, whose result is bounded by the number of patterns. Texts are read
-twice, for the counts and for the spans; nothing is written in between.
+documents: one aggregation, whose result is bounded by the number of patterns. Only the *shares* of
+the patterns of a kind count, as if every kind had ``EVIDENCE`` proposals, so that verdicts do not drift with
+the size of the corpus. Texts are read twice, for the counts and for the spans; nothing is written in between.
 
 Defined results: null texts are empty; spans are code points, end exclusive; an added span
 never overlaps a base span or an earlier added one; rows may repeat or have no id; an empty
@@ -31,7 +34,16 @@ from .common import slices
 
 KINDS = ("email", "ip", "card", "phone", "iban", "name", "secret", "ssn")
 LABELERS = ("form", "gazetteer", "cue", "counter", "border", "digits")
+#: Expected chances of a vote against, none and for, of each labeler on a wrong and on a right proposal:
+#: a failed form or a word against speaks loudest, a missing cue says little, borders and digits least.
+EXPECTED = {"form": ((0.60, 0.30, 0.10), (0.10, 0.30, 0.60)), "gazetteer": ((0.40, 0.50, 0.10), (0.10, 0.40, 0.50)),
+            "cue": ((0.05, 0.80, 0.15), (0.05, 0.45, 0.50)), "counter": ((0.50, 0.45, 0.05), (0.05, 0.90, 0.05)),
+            "border": ((0.40, 0.20, 0.40), (0.10, 0.30, 0.60)), "digits": ((0.35, 0.30, 0.35), (0.10, 0.35, 0.55))}
+CHECKED = ("card", "iban", "ssn")  # kinds whose form is a checksum or a rule: a failed one is wrong
 ACCEPT = 0.5
+EVIDENCE = 200    # proposals that a kind's shares stand for
+ANCHORS = 50      # base matches, and failed checksums, that their shares stand for
+PRIOR = 10        # proposals that a labeler's expected reliability stands for
 
 Span = tuple[int, int]
 
@@ -133,15 +145,34 @@ CUES = {
     "ssn": "ssn social security",
 }
 COUNTER = "version v section chapter page figure table isbn issn doi order item part invoice no nr id ref build release"
-TOP_DOMAINS = "com org net edu gov io co info de fr es uk eu ch at it nl be us ca"
-SECRET_STARTS = "ghp_ gho_ sk- pk- AKIA xoxb- xoxp- glpat- eyJ"
-FIRST_NAMES = ("james mary john anna maria peter paul laura michael sarah david julia thomas lisa daniel emma "
-               "hans karl klaus sabine pierre jean marie claire juan jose carlos carmen pedro ana luis sofia")
-IBAN_LANDS = "AT BE CH DE DK ES FI FR GB IE IT LU NL NO PL PT SE"
+TOP_DOMAINS = (
+    "com org net edu gov mil int info biz name pro mobi travel jobs tel cat asia post xyz online site shop club top app dev "
+    "blog cloud store tech live news space world email agency company group media network solutions systems today zone io ai "
+    "co me tv cc ws fm ly gg sh ac ad ae af ag al am ao ar as at au aw az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz "
+    "ca cd cf cg ch ci ck cl cm cn cr cu cv cy cz de dj dk dm do dz ec ee eg es et eu fi fj fr ga gd ge gh gi gl gm gn gr gt gy "
+    "hk hn hr ht hu id ie il in iq ir is it jm jo jp ke kg kh kr kw kz la lb li lk lt lu lv ma mc md mg mk ml mn mt mu mx my na ng "
+    "ni nl no np nz om pa pe ph pk pl pt py qa ro rs ru sa se sg si sk sn su sv sy th tn tr tw ua ug uk us uy uz ve vn za")
+SECRET_STARTS = "ghp_ gho_ ghs_ ghu_ github_pat_ glpat- sk- pk- sk_live_ sk_test_ rk_live_ AKIA ASIA AIza ya29. xoxb- xoxp- xoxa- xapp- SG. npm_ pypi- dop_v1_ shpat_ hf_ eyJ"
+FIRST_NAMES = (
+    "james mary john patricia robert jennifer michael linda david elizabeth william barbara richard susan joseph jessica thomas "
+    "sarah charles karen christopher lisa daniel nancy matthew betty anthony sandra mark ashley donald emily steven kimberly paul "
+    "donna andrew michelle joshua laura kenneth amanda kevin melissa brian deborah george stephanie emma olivia sophia lucas "
+    "hans karl klaus sabine peter anna maria monika ursula petra stefan andreas wolfgang martin markus julia katharina heike "
+    "jens uwe dieter ralf birgit claudia christian matthias frank jan lukas lena lea hannah felix jonas "
+    "pierre jean marie claire jacques philippe alain nicolas isabelle nathalie sylvie catherine francois michel louis camille "
+    "chloe hugo manon antoine juliette guillaume benoit sophie helene luc "
+    "juan jose carlos carmen pedro ana luis sofia antonio manuel francisco javier miguel isabel pilar dolores lucia elena "
+    "rafael pablo diego alejandro fernando sergio raquel marta cristina jorge alvaro")
+#: Countries of account numbers and their lengths.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 "
+    "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 "
+    "MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 "
+    "VA22 VG24 XK20")
 
 _CUES = {k: frozenset(v.split()) for k, v in CUES.items()}
 _COUNTER, _TOP, _NAMES = (frozenset(x.split()) for x in (COUNTER, TOP_DOMAINS, FIRST_NAMES))
-_STARTS, _LANDS = tuple(SECRET_STARTS.split()), frozenset(IBAN_LANDS.split())
+_STARTS, _LANDS = tuple(SECRET_STARTS.split()), {x[:2]: int(x[2:]) for x in IBAN_LENGTHS.split()}
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 _VALUE = re.compile(r"[=:] ?[\"']?([A-Za-z0-9_+/-]{8,})$")
 
@@ -174,7 +205,7 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> tuple[int,
     if kind == "email":
         gazetteer = 1 if re.split(r"[. \])]+", span.lower())[-1] in _TOP else 0
     elif kind == "iban":
-        gazetteer = 1 if span[:2] in _LANDS else -1
+        gazetteer = 1 if _LANDS.get(span[:2]) == len(span.replace(" ", "")) else -1
     elif kind == "secret":
         gazetteer = 1 if value and value.group(1).startswith(_STARTS) else 0
     elif kind == "name":
@@ -219,58 +250,106 @@ def _pattern(kind: str, text: str, start: int, end: int, base: bool) -> str:
 
 # --------------------------------------------------------------------------- models
 
+def _read(patterns: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kind, base flag, votes (0 against, 1 none, 2 for) and shape numbers of patterns."""
+    rows = [p.split() for p in patterns]
+    return (np.array([KINDS.index(r[0]) for r in rows], dtype=int), np.array([r[1] == "1" for r in rows], dtype=bool),
+            np.array([[int(x) for x in r[2:8]] for r in rows], dtype=int).reshape(-1, len(LABELERS)) + 1,
+            np.array([[int(x) for x in r[8:]] for r in rows], dtype=int).reshape(-1, 2))
+
+
+def _failed(kind: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Patterns whose checksum or number rule fails."""
+    return np.isin(kind, [KINDS.index(k) for k in CHECKED]) & (v[:, LABELERS.index("form")] == 0)
+
+
+def _design(kind: np.ndarray, v: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.ones((len(kind), 1)), np.eye(len(KINDS))[kind], v == 2, v == 0, np.eye(4)[shape[:, 0]],
+                           np.eye(4)[np.minimum(shape[:, 1], 3)]], axis=1).astype(float)
+
+
+def _regression(x: np.ndarray, q: np.ndarray, weight: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Weighted logistic regression towards ``q`` with a ridge around ``start``; Newton steps, halved until they help."""
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((weight * (np.logaddexp(0, z) - q * z)).sum() + 0.5 * ((w - start) ** 2).sum())
+
+    w, now = start, loss(start)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (weight * (p - q)) + (w - start))
+        size = 1.0
+        while (new := loss(w - size * step)) > now and size > 1e-6:
+            size /= 2
+        if now - new < 1e-10:
+            break
+        w, now = w - size * step, new
+    return w
+
+
 class Models:
-    """Reliabilities and the span classifier, fitted on ``{pattern: count}``."""
-
-    def __init__(self, counts: dict[str, int], rounds: int = 100) -> None:
-        rows = sorted(counts)
-        self.accepted: dict[str, bool] = {}
-        if not rows:
-            return
-        kinds = [r.split()[0] for r in rows]
-        base = np.array([r.split()[1] == "1" for r in rows])
-        v = np.array([[int(x) for x in r.split()[2:8]] for r in rows]) + 1  # 0 against, 1 none, 2 for
-        shape = np.array([[int(x) for x in r.split()[8:]] for r in rows])
-        weight = np.array([counts[r] for r in rows], dtype=float)
-        which = np.array([KINDS.index(k) for k in kinds])
-        q = np.where(base, 1.0, 1 / (1 + np.exp(-(v - 1).sum(axis=1))))
+    """Reliabilities and the span classifier, fitted on ``{pattern: count}``.
+
+    ``tables[kind, wrong or right, labeler]`` has the chances of a vote against, none and for;
+    ``reliability`` is their mean over the kinds that occur, by labeler.
+    """
+
+    def __init__(self, counts: dict[str, int], rounds: int = 200) -> None:
+        patterns = sorted(counts)
+        kind, base, v, shape = _read(patterns)
+        count = np.array([counts[p] for p in patterns], dtype=float)
+        failed = _failed(kind, v) & ~base
+        weight = np.zeros(len(patterns))  # shares of a kind's open proposals, base matches and failed ones
+        for part, total in ((~base & ~failed, EVIDENCE), (base, ANCHORS), (failed, ANCHORS)):
+            for k in range(len(KINDS)):
+                own = part & (kind == k)
+                if own.any():
+                    weight[own] = total * count[own] / count[own].sum()
+        known = base | failed
+        form = LABELERS.index("form")
+        expected = np.array([EXPECTED[n] for n in LABELERS]).transpose(1, 0, 2)  # wrong or right, labeler, vote
+        lift = np.log(expected[1] / expected[0])
+        first = lift[np.arange(len(LABELERS)), v].sum(axis=1)
+        q = np.where(base, 1.0, np.where(failed, 0.0, 1 / (1 + np.exp(-first))))
+        self.tables = np.broadcast_to(expected[None], (len(KINDS), *expected.shape)).copy()
         for _ in range(rounds):
-            # reliabilities: chance of each vote for right and wrong candidates
-            table = np.ones((2, v.shape[1], 3)) * 0.5
-            table[1, :, 2] += 1   # a labeler is rather right than wrong
-            table[0, :, 0] += 1
-            for k in range(v.shape[1]):
-                for x in range(3):
-                    table[1, k, x] += (weight * q)[v[:, k] == x].sum()
-                    table[0, k, x] += (weight * (1 - q))[v[:, k] == x].sum()
-            table /= table.sum(axis=2, keepdims=True)
-            prior = np.array([((weight * q)[which == k].sum() + 1) / (weight[which == k].sum() + 2)
-                              for k in range(len(KINDS))])[which]
-            prior = np.clip(prior, 0.05, 0.95)
-            odds = np.log(prior / (1 - prior))
-            for k in range(v.shape[1]):
-                odds = odds + np.log(table[1, k, v[:, k]] / table[0, k, v[:, k]])
-            new = np.where(base, 1.0, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
-            done = np.abs(new - q).max() < 1e-6
+            table = PRIOR * np.broadcast_to(expected[None], self.tables.shape).copy()
+            for k in range(len(LABELERS)):
+                use = ~known if k == form else np.ones(len(q), dtype=bool)  # the form is what makes the anchors known
+                np.add.at(table, (kind[use], 1, k, v[use, k]), (weight * q)[use])
+                np.add.at(table, (kind[use], 0, k, v[use, k]), (weight * (1 - q))[use])
+            self.tables = table / table.sum(axis=3, keepdims=True)
+            right, total = np.full(len(KINDS), PRIOR / 2), np.full(len(KINDS), float(PRIOR))
+            np.add.at(right, kind[~known], (weight * q)[~known])
+            np.add.at(total, kind[~known], weight[~known])
+            odds = np.log(right / (total - right))[kind]
+            for k in range(len(LABELERS)):
+                odds = odds + np.log(self.tables[kind, 1, k, v[:, k]] / self.tables[kind, 0, k, v[:, k]])
+            new = np.where(known, q, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+            done = np.abs(new - q).max(initial=0) < 1e-9
             q = new
             if done:
                 break
-        self.reliability = {name: table[:, k].tolist() for k, name in enumerate(LABELERS)}
-        x = np.concatenate([np.ones((len(rows), 1)), np.eye(len(KINDS))[which], v == 2, v == 0,
-                            np.eye(4)[shape[:, 0]], np.eye(4)[np.minimum(shape[:, 1], 3)]], axis=1).astype(float)
-        w = np.zeros(x.shape[1])
-        per = weight / weight.sum() * min(weight.sum(), 1e4)  # counts as evidence against the ridge
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            grad = x.T @ (per * (p - q)) + 1e-2 * w
-            hess = (x * (per * p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-2 * np.eye(len(w))
-            step = np.linalg.solve(hess, grad)
-            w -= step
-            if np.abs(step).max() < 1e-8:
-                break
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        self.weights = w
-        self.accepted = {r: bool(b or y >= ACCEPT) for r, b, y in zip(rows, base, p)}
+        seen = np.unique(kind) if len(kind) else np.arange(len(KINDS))
+        self.reliability = {name: self.tables[seen][:, :, k].mean(axis=0).tolist() for k, name in enumerate(LABELERS)}
+        x = _design(kind, v, shape)
+        # votes without evidence in the corpus keep the direction of the expected reliabilities
+        start = np.zeros(1 + len(KINDS) + 2 * len(LABELERS) + 8)
+        start[1 + len(KINDS):1 + len(KINDS) + len(LABELERS)] = lift[:, 2]
+        start[1 + len(KINDS) + len(LABELERS):1 + len(KINDS) + 2 * len(LABELERS)] = lift[:, 0]
+        self.weights = _regression(x, q, weight, start)
+
+    def score(self, patterns: list[str]) -> np.ndarray:
+        """Probability that a proposal is right; 0 after a failed checksum, 1 for base matches."""
+        if not patterns:
+            return np.zeros(0)
+        kind, base, v, shape = _read(patterns)
+        p = 1 / (1 + np.exp(-np.clip(_design(kind, v, shape) @ self.weights, -30, 30)))
+        return np.where(base, 1.0, np.where(_failed(kind, v), 0.0, p))
+
+    def accepts(self, pattern: str) -> bool:
+        return bool(self.score([pattern])[0] >= ACCEPT)
 
 
 # --------------------------------------------------------------------------- Spark
@@ -306,18 +385,25 @@ def find_personal_data(docs: DataFrame, models: Models, keep: list[str] | None =
     """
     made = _MADE if mask else _MADE[:-1]
     names = [c for c in (keep if keep is not None else docs.columns) if c not in made]
-    accepted = docs.sparkSession.sparkContext.broadcast(models.accepted)
+    held = docs.sparkSession.sparkContext.broadcast(models)
     types = [pa.int64()] * 4 + [pa.string()] * (len(made) - 4)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good, order = accepted.value, {k: n for n, k in enumerate(KINDS)}
+        known: dict[str, bool] = {}  # as many as there are patterns
+        order = {k: n for n, k in enumerate(KINDS)}
+
+        def good(pattern: str) -> bool:
+            if pattern not in known:
+                known[pattern] = held.value.accepts(pattern)
+            return known[pattern]
+
         for b in slices(source):
             rows = []
             for t in b.column(len(names)).to_pylist():
                 t = t or ""
                 base = base_spans(t)
                 found = sorted((order[c[0]], c[1], c[2]) for c in candidates(t, base)
-                               if c[3] or good.get(_pattern(c[0], t, *c[1:]), False))
+                               if c[3] or good(_pattern(c[0], t, *c[1:])))
                 spans = ",".join(f"{KINDS[k]}:{x}:{y}" for k, x, y in found)
                 row = [*(len(base[k]) for k in KINDS[:4]),
                        ",".join(f"{k}:{x}:{y}" for k in KINDS[:4] for x, y in base[k]), spans]

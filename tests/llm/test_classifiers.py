@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from berthline.llm import langid, license_scan, pii, quality, queries
 
@@ -181,6 +182,72 @@ def test_labelers_that_agree_add_spans_and_others_do_not(spark):
     assert models.reliability["form"][1][2] > models.reliability["form"][0][2]
 
 
+def _iban(rng):
+    body = "".join(rng.choices("0123456789", k=18))
+    check = 98 - int(body + "131400") % 97  # D is 13, E is 14
+    s = f"DE{check:02d}{body}"
+    return " ".join(s[k:k + 4] for k in range(0, 22, 4))
+
+
+def _planted_spans(rng, n):
+    """Texts with one planted string each, its kind (None: no personal data) and place."""
+    digits = lambda k: "".join(rng.choices("0123456789", k=k))
+
+    def bad_card():
+        while True:
+            d = rng.choice("4523") + digits(15)
+            if not pii.luhn(d):
+                return d
+
+    make = [
+        ("iban", lambda: f"my account {_iban(rng)}"), (None, lambda: f"my account DE00 {digits(4)} {digits(4)} {digits(4)} {digits(4)} 00"),
+        ("ssn", lambda: f"social security {rng.randint(100, 599)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"),
+        (None, lambda: f"part 000-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"),
+        ("email", lambda: f"mail {rng.choice(['kim', 'lee', 'ray'])}{digits(2)} [at] host{digits(2)} [dot] {rng.choice(['com', 'org', 'de'])}"),
+        ("name", lambda: f"signed Dr. {rng.choice(['Maria', 'Peter', 'Claire', 'Pablo'])} {rng.choice(['Stone', 'Weber', 'Roux'])}"),
+        ("secret", lambda: f"export api_key=ghp_{''.join(rng.choices('abcdefXYZ', k=12))}{digits(8)}"),
+        (None, lambda: f"the password: {''.join(rng.choices('abcdef', k=9))} is a word"),
+        ("phone", lambda: f"call (0{digits(2)}) 5{digits(2)} 7{digits(3)}"), (None, lambda: f"order 555 1{digits(2)} 4{digits(3)}"),
+        (None, lambda: f"number {bad_card()}"),
+    ]
+    for k in range(n):
+        kind, text = make[k % len(make)][0], make[k % len(make)][1]()
+        yield k, f"{prose(rng, 20)} {text} {prose(rng, 20)}", kind
+
+
+@pytest.mark.parametrize("n", [400, 4000])
+def test_planted_spans_are_found_and_others_left(spark, n):
+    rows = list(_planted_spans(random.Random(n), n))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    models = pii.fit(docs)
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs, models).collect()}
+    hit = sum(k is not None and f"{k}:" in got[i] for i, _, k in rows)
+    wrong = sum(k is None and got[i] != "" for i, _, k in rows)
+    planted = sum(k is not None for *_, k in rows)
+    assert hit >= 0.9 * planted, (hit, planted)
+    assert wrong <= 0.05 * (hit + wrong), (wrong, hit)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
+    """The same shares of patterns give the same verdicts, and a failed checksum is never accepted."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    counts = {r["pattern"]: r["n"] for r in docs.select("text").mapInArrow(pii._patterns, "pattern string, n bigint")
+              .groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
+    one, many = pii.Models(counts), pii.Models({p: 1000 * c for p, c in counts.items()})
+    large = pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    every = sorted(counts)
+    np.testing.assert_allclose(one.score(every), many.score(every), atol=1e-6)
+    assert [large.accepts(p) for p in every] == [one.accepts(p) for p in every]
+    assert not any(m.accepts("card 0 -1 0 0 0 1 1 1 3") for m in (one, many, large))
+
+
+def test_a_model_from_other_documents_scores_unseen_patterns(spark):
+    docs = spark.createDataFrame([(1, f"my iban is {_iban(random.Random(1))}, ok")], "doc_id bigint, text string")
+    other = pii.fit(spark.createDataFrame([(1, "call +1 555 123 4567"), (2, "nothing")], "doc_id bigint, text string"))
+    for m in (other, pii.fit(docs), pii.Models({})):
+        assert "iban:11:38" in pii.find_personal_data(docs, m).first()["spans"]
+
+
 def test_personal_data_odd_rows(spark):
     docs = odd_documents(spark)
     got = pii.find_personal_data(docs, pii.fit(docs), mask=True).collect()
