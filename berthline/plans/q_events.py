@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import add_day_of_week, add_time_parts
-from ..operators.events import EventStat, add_stage_durations, calculate_journey_length, event_pivot
+from ..operators.events import (EventStat, add_load_date, add_pickup_date, add_stage_durations, add_time_to_unload_feature,
+                                calculate_journey_length, calculate_storage_time, count_hlp_occurrences, event_pivot)
 from ..operators.ordering import with_order
 from .registry import register
 from .tables import SHIPMENTS_SQL, rounded, shipments, table
@@ -44,8 +45,7 @@ SELECT event_id, user_id,
 FROM events
 """)
 def q_event_count_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
-    out = event_pivot(e, "user_id", [EventStat("hlp_count", F.col("event_type") == "error", "count", "ts")])
+    out = count_hlp_occurrences(_events(spark, sf_dir), key="user_id", event_type="error")
     return out.select("event_id", "user_id", "hlp_count")
 
 
@@ -119,3 +119,28 @@ def q_journey_length(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.col("arrival_time").alias("sail_date"),
                                         F.col("pickup_date").alias("avp_date"))
     return rounded(calculate_journey_length(s))
+
+
+@register("event_operators", f"""
+WITH k AS (
+  SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS hlp_count,
+    arg_min(ts, event_id) FILTER (WHERE {PICKUP_SQL} AND ts IS NOT NULL) AS pickup_date,
+    arg_min(ts, event_id) FILTER (WHERE event_type = 'view' AND ts IS NOT NULL) AS avp_date,
+    max(ts) FILTER (WHERE event_type = 'click') AS dfv_event_date, max(ts) FILTER (WHERE event_type = 'signup') AS load_date
+  FROM events GROUP BY user_id)
+SELECT e.event_id, e.user_id, hlp_count, pickup_date, avp_date, dfv_event_date, load_date,
+  round(date_diff('microsecond', avp_date, pickup_date) / 3.6e9, 4) AS storage_time,
+  round(date_diff('microsecond', e.ts, dfv_event_date) / 3.6e9, 4) AS time_to_unload
+FROM events e JOIN k USING (user_id)
+""")
+def q_event_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five single-purpose event operators one after the other (an event of value 10 or more is at a pickup yard)."""
+    e = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", "_ord", F.col("ts").alias("arrival_time"),
+                                      F.when(F.col("value") >= 10, "STE1").otherwise("STE9").alias("yard"))
+    e = count_hlp_occurrences(e, key="user_id", event_type="error")
+    e = add_pickup_date(e, key="user_id", location_col="yard", event_type="purchase", date_col="ts")
+    e = calculate_storage_time(e, key="user_id", event_type="view", date_col="ts")
+    e = add_time_to_unload_feature(e, "user_id", event_type="click", event_date_col="ts")
+    e = add_load_date(e, "user_id", event_type="signup", event_date_col="ts")
+    return rounded(e.select("event_id", "user_id", "hlp_count", "pickup_date", "avp_date", "dfv_event_date", "load_date",
+                            "storage_time", "time_to_unload"))

@@ -6,12 +6,25 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 
-from berthline.constants import (DROP_COLUMNS, NON_NEGATIVE_COLUMNS, NULL_FILLS, ONE_HOT_COLUMNS,
-                                 REQUIRED_COLUMNS)
+# Fixed values, stated here a second time so that a wrong constant of the library shows.
+DROP_COLUMNS = """
+check_digit event_record_type_code booking_number_y priority_stow_code vessel_code_y voyage_y direction_seq_y equipment_id_y
+empty_full_code_y equipment_voyage equipment_direction_seq load_port_code_y discharge_port_code_y destination_port_code_y
+previous_load_port_code previous_load_vessel_code mounted_to_equipment_id life_cycle_status current_direction_seq
+actual_temperature actual_temperature_scale ingate_trucker_code create_user create_date last_update_user last_update_date
+auto_cfs_code b_p_bol_origin_port_code b_p_bol_destination_port_code
+""".split()
+NON_NEGATIVE_COLUMNS = "port_to_ste_time arrival_to_pickup_time time_to_unload time_til_avp storage_time".split()
+REQUIRED_COLUMNS = "consignee_name shipper_name booking_number storage_time arrival_time carrier_code".split()
+NULL_FILLS = [("hazard_type_code", "Unknown"), ("current_damage_code", "Unknown"), ("equipment_type_height_code", "Unkown"),
+              ("commodity", "Unkown"), ("life_cycle_status_code", "Unknown"), ("pds_code", "Unknown"),
+              ("discharge_port_code", "Unknown")]
+ONE_HOT_COLUMNS = "empty_full_code trade_route pds_code plan_equip_type_code".split()
 
 TS_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -159,11 +172,13 @@ def clean(events: pd.DataFrame, manifest: pd.DataFrame, schedule: pd.DataFrame)
     return pd.DataFrame(_history(rows))
 
 
-def _decayed(vals, decay=0.9):
+def _decayed(vals):
+    """Exact decayed mean: with ages from the newest value, weights are (9/10) ** age as fractions."""
     if not vals:
         return None
-    w = np.array([decay ** (len(vals) - 1 - i) for i in range(len(vals))])
-    return float(np.dot(np.array(vals), w) / w.sum())
+    nine_tenths = Fraction(9, 10)
+    weighted = sum(Fraction(v) * nine_tenths ** age for age, v in enumerate(reversed(vals)))
+    return float(weighted / sum(nine_tenths ** age for age in range(len(vals))))
 
 
 def _history(rows):
