@@ -93,7 +93,7 @@ def tables_for(joined: int, dim: int, threshold: float, probes: int = PROBES) ->
 
 
 def _usable(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors that can be compared: ``vec_id, label, dim, digest, v`` (v as doubles)."""
+    """Vectors that can be compared: ``vec_id, label, dim, digest, v`` (v in single precision where that is exact)."""
     for b in slices(source, 2000):
         rows = []
         for i, label, v in zip(*(b.column(k).to_pylist() for k in range(3))):
@@ -103,15 +103,22 @@ def _usable(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not np.isfinite(x).all() or not x.any():
                 continue
             data = (x + 0.0).tobytes()
-            rows.append((i, label, len(v), blake2b(data, digest_size=16).digest(), data))
+            single = x.astype(np.float32)
+            held = (single + np.float32(0)).tobytes() if (single == x).all() else data  # half the bytes, the same numbers
+            rows.append((i, label, len(v), blake2b(data, digest_size=16).digest(), held))
         cols = list(zip(*rows)) or [()] * 5
         kinds = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                          names=["vec_id", "label", "dim", "digest", "v"])
 
 
-def _unit(data: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(data), dtype=np.float64).reshape(len(data), -1)
+def _unit(data: list[bytes], dim: int) -> np.ndarray:
+    """Unit vectors in double precision."""
+    x = np.empty((len(data), dim))
+    wide = np.array([len(d) == 8 * dim for d in data])
+    for part, kind in ((wide, np.float64), (~wide, np.float32)):
+        if part.any():
+            x[part] = np.frombuffer(b"".join([data[k] for k in np.flatnonzero(part)]), dtype=kind).reshape(-1, dim)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # against overflow
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -122,7 +129,7 @@ def _hashed(tables: int, joined: int, probes: int):
             dims = b.column("dim").to_numpy()
             for d in np.unique(dims).tolist():
                 part = b.take(pa.array(np.flatnonzero(dims == d)))
-                codes = buckets(_unit(part.column("v").to_pylist()), tables, joined, probes)
+                codes = buckets(_unit(part.column("v").to_pylist(), d), tables, joined, probes)
                 at = np.arange(len(codes) + 1, dtype=np.int32) * codes.shape[1]
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(codes.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "codes"])
@@ -130,15 +137,26 @@ def _hashed(tables: int, joined: int, probes: int):
     return run
 
 
-def _compare(threshold: float):
+def _first_shared(codes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least code that rows ``i`` and ``j`` share; ``codes`` is rows x tables x codes of a table (codes of
+    different tables differ)."""
+    out = np.empty(len(i), dtype=np.int64)
+    for at in range(0, len(i), 8192):
+        a, b = codes[i[at:at + 8192]], codes[j[at:at + 8192]]
+        both = (a[..., :, None] == b[..., None, :]).any(axis=3)
+        out[at:at + 8192] = np.where(both, a, np.iinfo(np.int64).max).min(axis=(1, 2))
+    return out
+
+
+def _compare(threshold: float, tables: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
 
         def done() -> list[tuple]:
             if at is None or len(rows) < 2:
                 return []
-            code, lo, hi = at[2:]
-            x = _unit([r[3] for r in rows])
+            dim, code, lo, hi = at[1:]
+            x = _unit([r[3] for r in rows], dim)
             blk, rep, many = np.array([r[0] for r in rows]), [r[1] for r in rows], np.array([r[2] for r in rows])
             a, b = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
             near = np.argwhere(x[a] @ x[b].T >= threshold - 1e-9)
@@ -147,9 +165,8 @@ def _compare(threshold: float):
                 i, j = i[i < j], j[i < j]
             exact = (x[i] * x[j]).sum(axis=1) >= threshold
             i, j = i[exact], j[exact]
-            codes = [np.array(r[4]) for r in rows]
-            own = [np.intersect1d(codes[p], codes[q])[0] == code for p, q in zip(i.tolist(), j.tolist())]
-            own = np.array(own, dtype=bool)
+            codes = np.array([r[4] for r in rows], dtype=np.int64).reshape(len(rows), tables, -1)
+            own = _first_shared(codes, i, j) == code
             i, j = i[own], j[own]
             n = np.zeros(len(rows), dtype=np.int64)
             np.add.at(n, i, many[j])
@@ -211,7 +228,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int | None
                       "blk", "rep", "many", "v", "codes"))
     keys = ["label", "dim", "code", "lo", "hi"]
     found = materialize(blocks.repartition(*keys).sortWithinPartitions(*keys)
-                        .mapInArrow(_compare(threshold), "rep bigint, n bigint, other bigint"), "links")
+                        .mapInArrow(_compare(threshold, tables), "rep bigint, n bigint, other bigint"), "links")
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     members = (usable.join(classes.select("label", "digest", "rep", "many"), ["label", "digest"])
                .join(counts, "rep", "left")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from berthline.llm import embed_dedup, fingerprint, jaccard_join, queries, substring_dedup
 from berthline.llm.common import Forest, components
@@ -259,3 +260,34 @@ def test_links_at_the_threshold_with_more_rotations(spark, joined):
     df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>, label int")
     got = rows(embed_dedup.near_vectors(df, 0.93, joined=joined), "vec_id", "n_links", "component_id", "kept")
     assert sorted(got) == _vector_links(data, 0.93)
+
+
+def test_ranges_of_equal_rows_do_not_grow_with_their_number(spark):
+    """One row of 60 words repeated 400 times: the span list of the text has its few ranges only once."""
+    text = prose(random.Random(5), 60)
+    docs = spark.createDataFrame([(1, text)] * 400 + [(2, "short")], "doc_id bigint, text string").repartition(4)
+    rows_ = docs.selectExpr("doc_id row_id", "xxhash64(doc_id, text) row_key", "text")
+    spans = substring_dedup.repeated_windows(rows_, 35).distinct()
+    assert spans.count() <= len(text.split())
+    got = substring_dedup.remove_repeated(docs, 35)
+    assert got.where("n_removed = 60").count() == 400
+
+
+def test_vectors_with_clashing_columns_and_of_any_precision(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=64)
+    exact = base.astype(np.float32).astype(float).tolist()
+    rows = [(1, exact, "a"), (2, [x + 1e-9 for x in exact], "a"), (3, (-base).tolist(), "a"), (4, base.tolist(), "a"), (5, exact, "b")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    for c in ("rep", "many", "v", "codes", "code", "lo", "hi", "blk", "root", "node", "links", "digest", "dim"):
+        df = df.withColumn(c, F.lit("old"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1), 5: (0, 5)}
+
+
+def test_first_shared_code_equals_sets():
+    rng = np.random.default_rng(6)
+    codes = rng.integers(0, 5, (200, 4, 3)) * 4 + np.arange(4)[None, :, None]
+    i, j = rng.integers(0, 200, (2, 3000))
+    want = [min(set(codes[a].ravel()) & set(codes[b].ravel()), default=np.iinfo(np.int64).max) for a, b in zip(i, j)]
+    assert embed_dedup._first_shared(codes, i, j).tolist() == want
