@@ -345,8 +345,10 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                         F.xxhash64("doc_id", "text").alias("__llm_key"))
     rows = named.select(F.col("__llm_id").alias("row_id"), F.col("__llm_key").alias("row_key"),
                         F.col("__llm_text").alias("text"))
-    spans = (repeated_windows(rows, window, gram).groupBy(F.col("row_id").alias("__llm_i"), F.col("row_key").alias("__llm_k"))
-             .agg(F.collect_list(F.struct("lo", "n")).alias("__llm_s")))  # as many as the row has windows at most
+    # copies of a row have equal ranges: distinct ones are at most as many as the text has windows
+    spans = (repeated_windows(rows, window, gram).distinct()
+             .groupBy(F.col("row_id").alias("__llm_i"), F.col("row_key").alias("__llm_k"))
+             .agg(F.collect_list(F.struct("lo", "n")).alias("__llm_s")))
     joined = named.join(spans, F.col("__llm_id").eqNullSafe(F.col("__llm_i"))
                         & (F.col("__llm_key") == F.col("__llm_k")), "left")
     flat = joined.select(*extra, "__llm_text", F.col("__llm_s.lo").alias("__llm_lo"), F.col("__llm_s.n").alias("__llm_n"))
