@@ -36,7 +36,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     _bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing reads any more."""
+    spark = df.sparkSession
+    path = getattr(df, "scratch", None)
+    if path is not None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def slices(source: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -112,7 +123,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         j = large.join(low, "u")
         small = j.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = materialize(small, "cc")
+        last, e = e, materialize(small, "cc")
+        discard(last)  # the new round stands on its own files
         now = e.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if before == (now["n"], now["h"]):

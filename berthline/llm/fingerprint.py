@@ -112,19 +112,6 @@ def as_text(p: Print) -> str:
     return rows.tobytes().hex()
 
 
-def fingerprint_column(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
-    """Add the fingerprint of ``text`` as a string column (an existing one is replaced)."""
-    names = [c for c in df.columns if c != out]
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in source:
-            prints = fingerprints([(t or "").encode() for t in b.column(text).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(map(as_text, prints), pa.string())],
-                                             names=[*names, out])
-
-    return df.mapInArrow(run, df.select(*names).withColumn(out, F.lit("")).schema)
-
-
 _LAST = -(1 << 63)  # place of rows without an id
 
 
