@@ -271,6 +271,33 @@ def test_language_kernel_is_the_shared_share():
     assert int(x[0].sum()) == len(grams("abc abd "))
 
 
+def test_predictions_equal_plain_kernel_ridge_regression():
+    """With every text a landmark the Nyström map is exact: scores equal kernel ridge regression on the
+    full kernel matrix of n-gram sets, up to single precision."""
+    rng = random.Random(4)
+    make = {"x": "abcde", "y": "defgh", "z": "ghabi"}
+    texts = [("".join(rng.choices(make[k] + " ", k=rng.randint(5, 60))), k) for k in "xyz" for _ in range(20)]
+    texts = [(t, k) for t, k in texts if t.strip()]
+    codes = [np.flatnonzero(r).astype(np.int32) for r in langid.presence([t for t, _ in texts])]
+    model = langid.Model(codes, [k for _, k in texts], landmarks=3 * len(texts))
+    sets = [set(c.tolist()) for c in codes]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    k = np.array([[kernel(a, b) for b in sets] for a in sets])
+    langs = "xyz"
+    y = np.array([langs.index(lang) for _, lang in texts])
+    target = np.where(y[:, None] == np.arange(3)[None, :], 1.0, -1.0)
+    weight = np.diag(1.0 / np.bincount(y)[y])
+    alpha = np.linalg.solve(weight @ k + langid.RIDGE / 3 * np.eye(len(sets)), weight @ target)  # weighted, in the dual
+    new = ["abc dea bcd", "hgf edh", "iabg hh a", "cab fgi"]
+    rows = [set(np.flatnonzero(r).tolist()) for r in langid.presence(new)]
+    z = np.array([[kernel(a, b) for b in sets] for a in rows]) @ alpha * model.scale
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    names, scores = model.predict(new)
+    assert names == [langs[i] for i in p.argmax(axis=1)]
+    np.testing.assert_allclose(scores, p.max(axis=1), atol=5e-3)
+
+
 def test_language_odd_rows(spark):
     docs = odd_documents(spark)
     model = langid.fit(docs.where(~langid.held_out()))

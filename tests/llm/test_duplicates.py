@@ -166,6 +166,19 @@ def test_chunks_equal_a_plain_gear_hash():
         assert sorted(p[1].tolist()) == sorted(map(len, chunks))
 
 
+def test_containment_equals_sets_of_plain_chunks():
+    """Likeness of texts from the bytes of plainly cut chunks, without digests."""
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randint(0, 250)) for _ in range(12)]
+    texts += [texts[3][:len(texts[3]) // 2] + texts[4], texts[5] + texts[5], "", "x"]
+    prints = fingerprint.fingerprints([t.encode() for t in texts])
+    sets = [set(_chunks(t.encode())) for t in texts]
+    for p, a in zip(prints, sets):
+        for q, b in zip(prints, sets):
+            want = sum(len(c) for c in a & b) / sum(map(len, a)) if a else float(not b)
+            assert fingerprint.containment(p, q) == pytest.approx(want, abs=1e-12)
+
+
 def test_fingerprints_resist_shifts():
     rng = random.Random(3)
     text = prose(rng, 3000)
