@@ -145,6 +145,12 @@ def test_odd_file_names(spark):
     assert sorted(r[2] for r in _out(spark, f"{root}/out")) == ["a b.csv", "c%41.csv", "d[1].csv", "é{x}.csv"]
 
 
+def _near(df):
+    """Rows with doubles to nine digits: where rows are cut into ranges, sums add up in another order."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    return sorted(map(repr, df.withColumns({c: F.round(c, 9) for c in doubles}).collect()))
+
+
 def test_uploads_cleaned_in_one_plan_equal_each_alone(spark):
     from berthline.plans.inputs import event_log, manifest, schedule
     from berthline.plans.scoring import clean_uploads
@@ -164,7 +170,7 @@ def test_uploads_cleaned_in_one_plan_equal_each_alone(spark):
             got = together.where(F.col("source_file") == f"u{k}")
             extra = set(got.columns) - set(alone.columns) - {"source_file"}
             assert all(got.where(F.col(c).isNotNull()).count() == 0 for c in extra)
-            assert sorted(map(repr, got.select(*alone.columns).collect())) == sorted(map(repr, alone.collect()))
+            assert _near(got.select(*alone.columns)) == _near(alone)
     root = scratch_path(spark, "many-uploads")
     for k, p in enumerate(parts):
         p.drop("_ord").coalesce(1).write.option("header", True).csv(f"{root}/in/u{k}")
