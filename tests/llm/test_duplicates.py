@@ -275,12 +275,45 @@ def test_links_at_the_threshold_with_more_rotations(spark, joined):
     assert sorted(got) == _vector_links(data, 0.93)
 
 
+@pytest.mark.parametrize("window", [8, 35])
+def test_factors_point_at_equal_words_and_cover_every_repeated_window(spark, window):
+    """The parse itself: every factor's words stand at its source too (somewhere else), factors are a
+    window long at least, and what they cover is exactly what brute force removes."""
+    rng = random.Random(window)
+    shared = [prose(rng, rng.randint(window - 3, 4 * window)) for _ in range(6)]
+    texts = []
+    for i in range(40):
+        parts = [prose(rng, rng.randint(0, 50))]
+        for _ in range(rng.randint(0, 3)):
+            w = rng.choice(shared).split()
+            at = rng.randint(0, max(0, len(w) - window))
+            parts += [" ".join(w[at:]), prose(rng, rng.randint(0, 30))]
+        texts.append((i, " ".join(parts)))
+    texts += [(100, texts[3][1]), (101, texts[3][1] + " " + texts[4][1])]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    got = substring_dedup.remove_repeated(docs, window, 4, factors=True).collect()
+    words = {i: t.split() for i, t in texts}
+    longest = 0
+    removed = {i: n for i, _, n, _ in _removed(texts, window)}
+    for r in got:
+        covered, last = set(), -1
+        for f in r["factors"]:
+            own = words[r["doc_id"]][f["start"]:f["start"] + f["words"]]
+            assert f["words"] >= window and f["start"] >= last
+            assert own == words[f["source_id"]][f["source_start"]:f["source_start"] + f["words"]]
+            assert (f["source_id"], f["source_start"]) != (r["doc_id"], f["start"])
+            covered |= set(range(f["start"], f["start"] + f["words"]))
+            longest, last = max(longest, f["words"]), f["start"]
+        assert len(covered) == r["n_removed"] == removed[r["doc_id"]]
+    assert longest >= 3 * window // 2
+
+
 def test_ranges_of_equal_rows_do_not_grow_with_their_number(spark):
     """One row of 60 words repeated 400 times: the span list of the text has its few ranges only once."""
     text = prose(random.Random(5), 60)
     docs = spark.createDataFrame([(1, text)] * 400 + [(2, "short")], "doc_id bigint, text string").repartition(4)
     rows_ = docs.selectExpr("doc_id row_id", "xxhash64(doc_id, text) row_key", "text")
-    spans = substring_dedup.repeated_windows(rows_, 35).distinct()
+    spans = substring_dedup.repeated_windows(rows_, 35).select("row_key", "lo", "n").distinct()
     assert spans.count() <= len(text.split())
     got = substring_dedup.remove_repeated(docs, 35)
     assert got.where("n_removed = 60").count() == 400
