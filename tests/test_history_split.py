@@ -142,3 +142,12 @@ def test_median_of_weighted_values():
         for k, v in enumerate(more):
             assert got.value() == (statistics.median(earlier + more[:k]) if n + k else None)
             got.add(v)
+
+
+@pytest.mark.parametrize("strategy", ["window", "split"])
+def test_empty_table_and_one_row(spark, strategy):
+    df = _history_rows(spark, [(("a",), 1)])
+    one = H.engineer_customer_pickup_features(df, strategy=strategy, carry_over=True)
+    assert [tuple(r[c] for c in ("consignee_history_count", "lifetime_median_pickup", "last_one_day_pickup")) for r in one.collect()] == [(0, -1.0, -1.0)]
+    none = H.engineer_customer_pickup_features(df.limit(0), strategy=strategy, carry_over=True)
+    assert none.count() == 0 and none.columns == one.columns
