@@ -59,9 +59,14 @@ def slices(source: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
         del b
-        pa.default_memory_pool().release_unused()
-        if _trim is not None:
-            _trim(0)
+        return_memory()
+
+
+def return_memory() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 class Forest:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, return_memory, slices
 from .words import U64, Words, batches
 
 LABELLED = 8000
@@ -195,13 +195,14 @@ class View:
 
     def __init__(self, rows: np.ndarray, cols: np.ndarray, ridge: np.ndarray) -> None:
         order = np.argsort(rows, kind="stable")
-        self.rows, self.cols, self.ridge = rows[order], cols[order], ridge
+        self.rows, self.cols, self.ridge = rows[order].astype(np.int32), cols[order].astype(np.int32), ridge
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first, last = np.searchsorted(self.rows, which), np.searchsorted(self.rows, which, side="right")
         n = last - first
-        at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(np.arange(len(which)), n), self.cols[at]
+        at = np.repeat((first - np.cumsum(n) + n).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
+        return np.repeat(np.arange(len(which), dtype=np.int32), n), self.cols[at]
 
 
 def _statistics(f: Features) -> np.ndarray:
@@ -420,11 +421,12 @@ def summed(rows: DataFrame, per_batch, width: int) -> np.ndarray:
         total = np.zeros(width)
         for b in source:
             for v in b.column("v").to_pylist():
-                total += np.frombuffer(v, dtype=np.float32)
+                total += np.frombuffer(v, dtype=np.float32 if len(v) == 4 * width else np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
 
     parts = rows.select("words", "shape", "meta").mapInArrow(partial, "v binary").repartition(TREE).mapInArrow(add, "v binary")
-    return sum((np.frombuffer(r["v"]) for r in parts.collect()), np.zeros(width))
+    last = parts.repartition(1).mapInArrow(add, "v binary").first()  # TREE rows meet in one task, one reaches the driver
+    return np.zeros(width) if last is None else np.frombuffer(last["v"])  # no row for a table without partitions
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model:
@@ -443,8 +445,12 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
     statistics = summed(rows, _statistics, (1 << WORD_BITS) + SHAPES * SHAPE_GRID)
     word_rows, words, shapes, meta = _read(*([r[c] for r in got] for c in ("words", "shape", "meta")))
     fold = np.array([xxhash.xxh64_intdigest(str(r["doc_id"])) % FOLDS for r in got])
-    return Model((word_rows, words), shapes, meta, np.array([r["y"] for r in got], dtype=int), fold, statistics, rows.count(),
-                 lambda per_batch, width: summed(rest, per_batch, width), rounds)
+    y = np.array([r["y"] for r in got], dtype=int)
+    del got
+    model = Model((word_rows, words), shapes, meta, y, fold, statistics, rows.count(),
+                  lambda per_batch, width: summed(rest, per_batch, width), rounds)
+    return_memory()
+    return model
 
 
 _MADE = ("score_text", "score_meta", "score", "keep")
