@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, components, materialize, slices
+from .common import components, materialize, slices
 from .words import U64, Words, batches, mix
 
 SPARE = 0.15          # segments beyond H + 1, as a part of them, and two more
@@ -47,7 +47,8 @@ SKETCH_PARTS = 16
 GRADE = 1.5           # ratio of the size grades
 FRAGMENTS = 16        # fragments in which the overlaps of a block pair are counted
 BLOCK_GRAMS = 1_500_000
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048  # a pair of blocks takes counts of 2048 x 2048 pairs, about 130 MB in all
+MEMBER_BYTES, BROADCAST_BYTES = 24, 32 << 20  # rows of candidate groups are broadcast up to this size
 PAIRS = 1_000_000     # meetings of equal n-grams counted at a time
 
 _WEIGHTS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -291,11 +292,15 @@ def _links(a: list[tuple], b: list[tuple] | None, num: int, den: int) -> list[tu
     linked = den * total >= num * (sa + sb - total)
     if b is None:
         linked = np.triu(linked, 1)
-    forest, out = Forest(), []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
-        u, v = a[i][0], ya[j][0]
-        if u != v and forest.union(u, v):
-            out.append((u, v))
+    nodes = [x[0] for x in a] + ([x[0] for x in b] if b is not None else [])
+    root, out = np.arange(len(nodes)), []
+    for i in range(len(a)):  # a link is kept where it joins two parts: at most one per row
+        near = np.flatnonzero(linked[i]) + (len(a) if b is not None else 0)
+        while len(near := near[root[near] != root[i]]):
+            j = int(near[0])
+            if nodes[i] != nodes[j]:
+                out.append((nodes[i], nodes[j]))
+            root[root == root[j]] = root[i]
     return out
 
 
@@ -365,6 +370,8 @@ def near_duplicates(docs: DataFrame, num: int = 90, den: int = 100, n: int = 3)
               .select("grp", F.greatest(F.ceil(F.col("g") / BLOCK_GRAMS), F.ceil(F.col("c") / BLOCK_ROWS))
                       .cast("int").alias("nb")))
     compared = members.join(blocks, "grp").select("grp", "node", "nb").distinct()
+    if members.count() * MEMBER_BYTES <= BROADCAST_BYTES:  # measured; else the texts are shuffled to their members
+        compared = F.broadcast(compared)
     texts = docs.join(compared, docs.doc_id == compared.node).select("grp", "node", "text", "nb")
     sets = texts.select("grp", "node", "text").mapInArrow(_with_grams(n), "grp bigint, node bigint, grams binary")
     placed = (sets.join(blocks, "grp")
