@@ -38,6 +38,7 @@ from .history_median import running_median
 from .ordering import LOCAL_BITS, ORD
 
 TAIL = max(RECENT_WINDOWS)
+RANGE_ROWS = 1 << 18  # rows of a range, about: a task sorts one range, in some hundred bytes a row
 
 
 @dataclass
@@ -146,15 +147,16 @@ def engineer_customer_pickup_features_split(
         partitions: int | None = None) -> DataFrame:
     """Same features as the plain window version, with rows dealt by position.
 
-    ``partitions`` (``spark.sql.shuffle.partitions`` by default) is the number of ranges. The
-    range boundaries are sampled from ``df``, which is therefore computed twice: pass a table
-    that is cheap to read.
+    ``partitions`` (``spark.sql.shuffle.partitions`` by default) is the number of ranges, of a table
+    with more than ``RANGE_ROWS`` rows for each the number that holds so many: a task's rows don't
+    grow with the table. ``df`` is computed three times (rows counted, range boundaries sampled,
+    rows dealt): pass a table that is cheap to read.
     """
     keys = keys_of(group)
     if tiebreak is None:
         tiebreak = [ORD] if ORD in df.columns else []
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     df = df.withColumn(time, coerce_timestamp(F.col(time), df.schema[time].dataType))
     given = df.columns
     order = [*map(F.col, keys), F.col(time).asc_nulls_last(), *map(F.col, tiebreak)]

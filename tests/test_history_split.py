@@ -104,6 +104,21 @@ def test_no_task_holds_a_hot_consignee_or_time(spark):
     assert sum(e.first_span is not None for e in seen[0]) >= 5
 
 
+def test_ranges_of_a_larger_table_are_more(spark, monkeypatch):
+    """``partitions`` is for tables whose ranges hold at most RANGE_ROWS rows: a task's rows don't grow with the table."""
+    from berthline.operators import history_split as S
+    df = _history_rows(spark, [(("hot",), 3000), (("b",), 900), (("c",), 100)])
+    seen, keep = [], S.edges
+    monkeypatch.setattr(S, "RANGE_ROWS", 400)
+    monkeypatch.setattr(S, "edges", lambda rows, keys: seen.append(keep(rows, keys)) or seen[-1])
+    kw = dict(median=True, decayed=True)
+    _compare(H.engineer_customer_pickup_features(df, **kw),
+             H.engineer_customer_pickup_features(df, strategy="split", partitions=2, **kw), ["consignee_name", "t"])
+    assert len(seen[0]) == 10 and max(e.rows for e in seen[0]) < 2 * 400
+    H.engineer_customer_pickup_features(df.limit(300), strategy="split", partitions=2)
+    assert len(seen[1]) <= 2
+
+
 def test_a_partition_gets_one_row_per_earlier_value(spark):
     """40,000 rows of 24 whole hours: the earlier values that reach a partition are (value, count) pairs."""
     from berthline.operators import history_median as M
