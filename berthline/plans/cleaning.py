@@ -87,17 +87,22 @@ def clean_container_data(event_df: DataFrame, vessel_df: DataFrame, schedule_df:
     return _row_plan(event_df, vessel_df, schedule_df, early_prune=early_prune, **kw)
 
 
-def distinct_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
-    """Distinct event rows: ``key``, the event columns (those the manifest does not overwrite and the drop
-    list keeps), ``_first`` (position of the first copy) and ``_copies``. ``live`` (a one-column ``key``
-    table) filters the events first."""
+def event_rows(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
+    """Event rows: ``key``, the event columns (those the manifest does not overwrite and the drop list
+    keeps) and the position. ``live`` (a one-column ``key`` table) filters the events."""
     ev = C.create_key_feature(C.standardize_column_names(ensure_order(event_df)))
     owned = set(manifest_columns) | {"key"}
     ev_cols = [c for c in ev.columns if c not in owned and c not in DROP_COLUMNS and c != ORD]
     ev = C.standardize_datetime_columns(ev.select("key", *ev_cols, ORD), DATE_COLUMNS)
     if live is not None:
         ev = ev.join(live, "key", "left_semi")
-    return ev.groupBy("key", *ev_cols).agg(F.min(ORD).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    return ev
+
+
+def distinct_events(event_df: DataFrame, manifest_columns, live: DataFrame | None = None) -> DataFrame:
+    """Distinct event rows of :func:`event_rows` with ``_first`` (position of the first copy) and ``_copies``."""
+    ev = event_rows(event_df, manifest_columns, live)
+    return ev.groupBy(*[c for c in ev.columns if c != ORD]).agg(F.min(ORD).alias("_first"), F.count(F.lit(1)).alias("_copies"))
 
 
 def per_key_events(distinct_rows: DataFrame) -> DataFrame:

@@ -272,7 +272,9 @@ FROM per_key JOIN lasts x USING (ok)
 def q_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log's kept summary after new events: the second events of all line items come in as
     a new version of a summary made from the first ones."""
-    log = event_log(spark, sf_dir)
+    path = scratch_path(spark, "event-log")
+    event_log(spark, sf_dir).write.option("compression", "zstd").parquet(path)  # made once: both parts are read from it
+    log = spark.read.parquet(path)
     kept = EventSummary(spark, scratch_path(spark, "summaries"), manifest(spark, sf_dir).columns, buckets=8)
     kept.create(log.where("_ord.e_place = 0"))
     kept.add(log.where("_ord.e_place = 1"))

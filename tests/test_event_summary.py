@@ -70,3 +70,40 @@ def test_uploads_use_the_kept_summary(spark):
     alone = clean_container_data(log, m, sched)
     assert read(1).count() == read(2).count() == alone.count() > 300
     assert {r["key"] for r in read(2).select("key").collect()} == {r["key"] for r in alone.select("key").collect()}
+
+
+def _log(spark, rows):
+    """Events ``(booking, type, day, place)`` of one container each; the place is the position in the log."""
+    return spark.createDataFrame([(f"E{b}", str(b), t, f"2024-01-{d:02d} 00:00:00", "STE1", at) for b, t, d, at in rows],
+                                 "`Equipment ID` string, `Booking Number` string, `Event Type` string, `Event Date` string, "
+                                 "`Inventory Location Code` string, at long").selectExpr("* except (at)", "struct(at as x) as _ord")
+
+
+def test_state_keeps_the_place_in_the_key_and_one_position(spark):
+    owned = ["Equipment ID", "Booking Number"]
+    kept = EventSummary(spark, scratch_path(spark, "places"), owned, buckets=4)
+    kept.create(_log(spark, [(1, "AVP", 3, 7), (1, "OGT", 4, 2), (1, "OGT", 4, 9), (2, "AVP", 1, 1)]))
+    kept.add(_log(spark, [(1, "OGT", 4, 0), (2, "DFV", 2, 5), (2, "AVP", 2, 4)]))  # only copies for the first key
+
+    def state(version):
+        return sorted((r["key"], r["event_type"], r["_first"]["version"], r["_first"]["place"], r["_first"]["at"] and r["_first"]["at"]["x"],
+                       r["_copies"]) for r in kept.state(version).collect())
+
+    assert state(1) == [("E1_1", "AVP", 1, 2, 7, 1), ("E1_1", "OGT", 1, 1, None, 2), ("E2_2", "AVP", 1, 1, 1, 1)]
+    assert state(2) == [("E1_1", "AVP", 1, 2, 7, 1), ("E1_1", "OGT", 1, 1, None, 3), ("E2_2", "AVP", 1, 1, None, 1),
+                        ("E2_2", "AVP", 2, 2, None, 1), ("E2_2", "DFV", 2, 3, 5, 1)]
+    last = {r["key"]: (r["event_type"], r["_ord"]["version"], r["_ord"]["at"]["x"], r["avp_date"].day) for r in kept.summary().collect()}
+    assert last == {"E1_1": ("AVP", 1, 7, 3), "E2_2": ("DFV", 2, 5, 1)}
+
+
+def test_events_are_shuffled_once(spark):
+    """Distinct rows, state and merge lie in the buckets of the event rows; there are as many as shuffle partitions."""
+    kept = EventSummary(spark, scratch_path(spark, "once"), ["Equipment ID", "Booking Number"], buckets=3)
+    assert kept.buckets == 6  # of 4 partitions
+    log = _log(spark, [(b, "AVP", 1 + b % 9, b) for b in range(50)])
+    kept.create(log)
+    merged = kept._placed(kept._distinct(kept.state().unionByName(kept._rows(log, 2))))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Bucketed: true") == 1
+    files = kept.state().select("_metadata.file_path").distinct().count()
+    assert files <= kept.buckets  # one a bucket
