@@ -165,6 +165,8 @@ def _collapsed_plan(event_df: DataFrame, vessel_df: DataFrame, schedule_df: Data
     mf = C.create_key_feature(mf)
 
     by = [upload] if upload else []
+    if summary is not None:  # dealt once, for the first row per key and for the join with the summary's buckets
+        mf = mf.repartition(int(mf.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     manifest = L.first_per_key(mf, [*by, "key"], ORD)
     if "booking_number" in manifest.columns:
         manifest = manifest.where(F.col("booking_number").isNotNull())

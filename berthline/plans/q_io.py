@@ -201,7 +201,7 @@ def q_upload_clean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     for status in ("F", "O", "P"):
         write_csv(m.where(F.col("Carrier Code") == status).drop("_ord"), f"{root}/raw/clean_input", mode="append")
     # the static side tables are files, as in the surveyed job (written once, read per upload)
-    event_log(spark, sf_dir).write.parquet(f"{root}/static/events")
+    event_log(spark, sf_dir).write.option("compression", "zstd").parquet(f"{root}/static/events")
     schedule(spark, sf_dir).write.parquet(f"{root}/static/schedule")
     events = spark.read.parquet(f"{root}/static/events")
     sched = spark.read.parquet(f"{root}/static/schedule")

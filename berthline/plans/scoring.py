@@ -52,7 +52,7 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
     re-aggregating the whole log. ``summaries`` is the folder where summaries are kept: the
     last version there is used, whatever ``events`` holds by then (``EventSummary.add`` brings new
     events in), and one is made if there is none. Without it a summary is made once per
-    header for this call. Returns the files' statuses.
+    header for this call, without the state that only later events would need. Returns the files' statuses.
     """
     known: dict[tuple, DataFrame] = {}
 
@@ -63,7 +63,7 @@ def clean_uploads(spark: SparkSession, uploads: str, cleaned: str, events: DataF
         owned = tuple(sorted({normalise_header(c) for c in columns if c != ORD}))
         if owned not in known:
             kept = EventSummary(spark, summaries or scratch_path(spark, "event-summary"), owned)
-            known[owned] = kept.summary(kept.latest() or kept.create(events))
+            known[owned] = kept.summary(kept.latest() or kept.create(events, keep=summaries is not None))
         return {**clean_kw, "plan": "collapsed", "summary": known[owned]}
 
     def clean(batch: DataFrame) -> DataFrame:

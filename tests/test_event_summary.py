@@ -107,3 +107,24 @@ def test_events_are_shuffled_once(spark):
     assert plan.count("Exchange ") == 1 and plan.count("Bucketed: true") == 1
     files = kept.state().select("_metadata.file_path").distinct().count()
     assert files <= kept.buckets  # one a bucket
+
+
+def test_summary_without_state(spark):
+    kept = EventSummary(spark, scratch_path(spark, "no-state"), ["Equipment ID", "Booking Number"])
+    log = _log(spark, [(b % 20, t, 1 + b % 9, b) for b, t in enumerate(["AVP", "OGT", "HLP", "DFV"] * 30)])
+    alone = EventSummary(spark, scratch_path(spark, "with-state"), ["Equipment ID", "Booking Number"])
+    alone.create(log)
+    kept.create(log, keep=False)
+    assert sorted(map(repr, kept.summary().collect())) == sorted(map(repr, alone.summary().collect()))
+    with pytest.raises(FileNotFoundError):
+        kept.add(log)
+
+
+def test_uploads_without_kept_summaries_write_no_state(spark, monkeypatch):
+    root = scratch_path(spark, "unkept-uploads")
+    write_csv(manifest(spark, SF).drop("_ord").coalesce(1), f"{root}/in/a")
+    names, write = [], EventSummary._write
+    monkeypatch.setattr(EventSummary, "_write", lambda self, df, version, name: names.append(name) or write(self, df, version, name))
+    clean_uploads(spark, f"{root}/in", f"{root}/cleaned", event_log(spark, SF), schedule(spark, SF))
+    assert names == ["summary"]
+    assert spark.read.json(f"{root}/cleaned/batch=*/*/*.json").count() > 300
