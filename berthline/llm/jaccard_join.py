@@ -4,15 +4,17 @@ All n-grams have one global order, that of their 64-bit hashes. The order is cut
 of equal width, so each document's sorted set falls into segments, one per fragment.
 
 *Candidates.* Sets whose Jaccard similarity reaches the threshold differ in at most ``H``
-n-grams, with ``H`` bounded by their sizes. Cut into ``H + 1 + E`` fragments, at least
-``1 + E`` of their segments are equal, so documents that share no segment can't be linked.
-Sizes are graded so that both documents use the same cut. N-grams that very many documents
-share (boilerplate) are found beforehand by a count sketch of fixed size over all documents and
-are left out of the segments, which only removes differences; where that leaves a document more
-than ``E`` empty segments, it also shows the segments of its whole set, and two such documents
-meet there. The sketch decides how many documents meet, never which are linked. Documents that
-share segments form a candidate group (connected components over one edge per document and
-segment, never over pairs).
+n-grams, with ``H`` bounded by their sizes, so at most ``H`` of a document's segments differ
+from the other one's. Segments have one order of strength that follows from their n-grams alone:
+first by the number of rare ones, then by that of all, then by their key. Each document shows its
+``H + 1`` strongest segments. The strongest segment that linked documents have in common has at
+most ``H`` stronger ones in either, those that differ, so both show it: documents that share no
+shown segment can't be linked. Weak segments, empty ones or those of one n-gram or of boilerplate,
+would bring unlike documents together; more fragments than needed leave them room to stay unshown.
+Sizes are graded so that both documents use the same cut. N-grams that many documents share
+are found beforehand by a count sketch of fixed size over all documents. The sketch decides how
+many documents meet, never which are linked. Documents that share segments form a candidate
+group (connected components over one edge per document and segment, never over pairs).
 
 *Overlaps.* Each document's set is sent once to its candidate group. There the partial overlaps
 are counted fragment by fragment and summed per pair, and the sum decides exactly. Large
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import components, materialize, slices
 from .words import U64, Words, batches, mix
 
-SPARE = 0.15          # segments beyond H + 1, as a part of them, and two more
-SKETCH_BITS = 20      # cells of the count sketch
+SPARE = 0.15          # fragments beyond H + 1, as a part of them, and two more
+SKETCH_CELLS = 1 << 18  # cells of a part of the count sketch
 SKETCH_PARTS = 16
 GRADE = 1.5           # ratio of the size grades
 FRAGMENTS = 16        # fragments in which the overlaps of a block pair are counted
@@ -104,97 +106,113 @@ class Grades:
             out.append(g)
         return out
 
-    def parts(self, grade: int) -> tuple[int, int]:
-        """Number of fragments of a grade, and how many of their segments may be empty."""
+    def parts(self, grade: int) -> int:
+        """Number of fragments of a grade."""
         least = self.differences(self.caps[grade]) + 1
-        spare = int(SPARE * least) + 2
-        return least + spare, spare
+        return least + int(SPARE * least) + 2
 
     @staticmethod
-    def _segments(grams: np.ndarray, parts: int, space: int) -> tuple[np.ndarray, np.ndarray]:
+    def _segments(grams: np.ndarray, rare: np.ndarray, parts: int, space: int) -> tuple[np.ndarray, np.ndarray]:
+        """Key of each segment, and its strength: its rare n-grams first, then all of them."""
         sums = np.zeros(len(grams) + 1, dtype=U64)
         np.cumsum(mix(grams ^ U64(0x6A09E667F3BCC909)), out=sums[1:])
+        weight = np.zeros(len(grams) + 1, dtype=np.int64)
+        np.cumsum(rare * (1 << 32) + 1, out=weight[1:])
         bounds = np.arange(1, parts, dtype=U64) * U64((1 << 64) // parts + 1)
         at = np.concatenate([[0], np.searchsorted(grams, bounds), [len(grams)]])
         key = mix(sums[at[1:]] - sums[at[:-1]] + np.arange(parts, dtype=U64) * U64(0x9FB21C651E98DF25) + U64(space))
-        return key, at[1:] > at[:-1]
+        return key, weight[at[1:]] - weight[at[:-1]]
 
     def keys(self, grams: np.ndarray, rare: np.ndarray) -> np.ndarray:
-        """Segment keys of a sorted set of n-gram hashes; ``rare`` marks those not frequent."""
-        out = []
-        for g in self.of(len(grams)) if len(grams) else ():
-            parts, spare = self.parts(g)
-            key, full = self._segments(grams[rare], parts, g << 8)
-            out.append(key[full])
-            if (~full).sum() > spare:  # too few rare ones: the whole set, with its empty segments if need be
-                key, full = self._segments(grams, parts, g << 8 | 1)
-                out.append(key if (~full).sum() > spare else key[full])
+        """Keys of the segments that a sorted set of n-gram hashes shows; ``rare`` marks those not frequent."""
+        out, size = [], len(grams)
+        for k, g in enumerate(self.of(size) if size else ()):
+            key, strength = self._segments(grams, rare, self.parts(g), g)
+            partner = self.caps[g] if k else size * self.den // self.num  # the largest set that may be linked here
+            most = (self.den - self.num) * (size + partner) // (self.den + self.num)
+            out.append(key[np.lexsort((key, strength))[-1 - most:]])
         return np.concatenate(out) if out else np.zeros(0, dtype=U64)
 
 
 def _cells(grams: np.ndarray) -> np.ndarray:
-    return (mix(grams ^ U64(0xBB67AE8584CAA73B)) >> U64(64 - SKETCH_BITS)).astype(np.int64)
+    return (mix(grams ^ U64(0xBB67AE8584CAA73B)) % U64(SKETCH_CELLS * SKETCH_PARTS)).astype(np.int64)
 
 
-def frequent_grams(docs: DataFrame, n: int) -> np.ndarray:
-    """Cells of a count sketch that hold clearly more n-grams than the average one.
+def _packed(cells: np.ndarray) -> bytes:
+    return zlib.compress(cells.astype(np.min_scalar_type(int(cells.max()))).tobytes(), 1)
 
-    Each task sends its counts in ``SKETCH_PARTS`` compressed parts; the result has
-    ``2 ** SKETCH_BITS`` bits, however large the table.
-    """
-    size = (1 << SKETCH_BITS) // SKETCH_PARTS
 
-    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+def _unpacked(data: bytes) -> np.ndarray:
+    data = zlib.decompress(data)
+    return np.frombuffer(data, dtype=f"u{len(data) // SKETCH_CELLS}").astype(np.int64)
+
+
+def count_grams(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id, n_shingles, digest`` of each row of ``docs(doc_id, text)``; besides, rows with a
+    ``part`` hold what each task has counted for the sketch, in ``SKETCH_PARTS`` compressed parts."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(SKETCH_CELLS * SKETCH_PARTS, dtype=np.int64)
         for b in slices(source):
-            got = list(gram_sets([(t or "").encode() for t in b.column(0).to_pylist()], n))
+            got = list(gram_sets([(t or "").encode() for t in b.column(1).to_pylist()], n))
             if got:
                 cells += np.bincount(_cells(np.concatenate(got)), minlength=len(cells))
-        data = [zlib.compress(cells[k * size:(k + 1) * size].tobytes(), 1) for k in range(SKETCH_PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(data, pa.binary())],
-                                         names=["part", "data"])
+            digests = [blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None for g in got]
+            none = pa.nulls(b.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(g) for g in got], pa.int64()), pa.array(digests, pa.binary()),
+                 pa.nulls(b.num_rows, pa.int32()), none], names=names)
+        if cells.any():
+            none = pa.nulls(SKETCH_PARTS, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, pa.nulls(SKETCH_PARTS, pa.binary()), pa.array(range(SKETCH_PARTS), pa.int32()),
+                 pa.array([_packed(x) for x in np.split(cells, SKETCH_PARTS)], pa.binary())], names=names)
+
+    names = ["doc_id", "n_shingles", "digest", "part", "data"]
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, digest binary, part int, data binary")
+
 
+def frequent_grams(counted: DataFrame) -> np.ndarray:
+    """Cells of the count sketch that hold clearly more n-grams than the average one.
+
+    The result has ``SKETCH_CELLS * SKETCH_PARTS`` bits, however large the table.
+    """
     def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
-        for b in source:
+        for b in slices(source, 20):
             for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.frombuffer(zlib.decompress(x), dtype=np.int64)
-                total[k] = total[k] + x if k in total else x
+                total[k] = total.get(k, 0) + _unpacked(x)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                          pa.array([zlib.compress(x.tobytes(), 1) for x in total.values()], pa.binary())],
+                                          pa.array([_packed(x) for x in total.values()], pa.binary())],
                                          names=["part", "data"])
 
-    kind = "part int, data binary"
-    rows = docs.select("text").mapInArrow(count, kind).repartition(SKETCH_PARTS, "part").mapInArrow(add, kind).collect()
-    cells = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    rows = (counted.where("part is not null").select("part", "data").repartition(SKETCH_PARTS, "part")
+            .mapInArrow(add, "part int, data binary").collect())
+    cells = np.zeros((SKETCH_PARTS, SKETCH_CELLS), dtype=np.int64)
     for r in rows:
-        cells[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(zlib.decompress(r["data"]), dtype=np.int64)
+        cells[r["part"]] = _unpacked(r["data"])
     usual = float(np.median(cells))
-    return np.packbits(cells > usual + 8 * np.sqrt(usual) + 16)
+    return np.packbits(cells.ravel() > usual + 2 * np.sqrt(usual) + 2)
 
 
-def gram_table(docs: DataFrame, num: int, den: int, n: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, keys`` of each row of ``docs(doc_id, text)``."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, n))  # 128 KB
+def segment_keys(docs: DataFrame, frequent: np.ndarray, num: int, den: int, n: int) -> DataFrame:
+    """``doc_id, keys`` of each row of ``docs(doc_id, text)`` with an id and words."""
+    marks = docs.sparkSession.sparkContext.broadcast(frequent)  # 512 KB
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grades, often = Grades(num, den), np.unpackbits(frequent.value).astype(bool)
+        grades, often = Grades(num, den), np.unpackbits(marks.value).astype(bool)
         for b in slices(source, 2000):
-            texts = [(t or "").encode() for t in b.column(1).to_pylist()]
-            sizes, digests, keys = [], [], []
-            for g in gram_sets(texts, n):
-                sizes.append(len(g))
-                digests.append(blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
-                keys.append(grades.keys(g, ~often[_cells(g)]))
+            keys = [grades.keys(g, ~often[_cells(g)])
+                    for g in gram_sets([(t or "").encode() for t in b.column(1).to_pylist()], n)]
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, dtype=U64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))],
-                names=["doc_id", "n_shingles", "digest", "keys"])
+                [b.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))],
+                names=["doc_id", "keys"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>")
+    return (docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id is not null and text is not null")
+            .mapInArrow(run, "doc_id bigint, keys array<bigint>"))
 
 
 def _meet_locally(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,13 +260,13 @@ def _meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(np.concatenate([e1[1], e2[1]]))], names=["u", "v"])
 
 
-def candidate_edges(grams: DataFrame) -> DataFrame:
+def candidate_edges(keys: DataFrame) -> DataFrame:
     """``(u, v)``: a document and another one with an equal segment; one edge per row and key.
 
     Rows of one key are first combined inside each batch, so that a key common to very many
     documents sends few rows to the shuffle.
     """
-    local = (grams.where("doc_id is not null and size(keys) > 0").select("doc_id", "keys")
+    local = (keys.where("size(keys) > 0")
              .mapInArrow(_meet_locally, "key bigint, u bigint, v bigint"))
     return (local.repartition("key").sortWithinPartitions("key", "u")
             .mapInArrow(_meet, "u bigint, v bigint"))
@@ -339,9 +357,9 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def _with_grams(n: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(source):
-            sets = [g.tobytes() for g in gram_sets([(t or "").encode() for t in b.column(2).to_pylist()], n)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())],
-                                             names=["grp", "node", "grams"])
+            sets = [g.tobytes() for g in gram_sets([(t or "").encode() for t in b.column(3).to_pylist()], n)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, pa.binary())],
+                                             names=["grp", "node", "nb", "grams"])
 
     return run
 
@@ -353,13 +371,14 @@ def near_duplicates(docs: DataFrame, num: int = 90, den: int = 100, n: int = 3)
     n-grams (A-Z in lower case); ``component_id`` is the smallest id reachable by links.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    grams = materialize(gram_table(docs, num, den, n), "grams")
+    counted = materialize(count_grams(docs, n), "grams")
+    grams = counted.where("part is null").select("doc_id", "n_shingles", "digest")
     known = grams.where("doc_id is not null and digest is not null")
     first = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     copies = (known.select("doc_id", "digest").join(first, "digest").where("doc_id <> rep")
               .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
 
-    groups = components(candidate_edges(grams))
+    groups = components(candidate_edges(segment_keys(docs, frequent_grams(counted), num, den, n)))
     sizes = known.select("doc_id", "digest", "n_shingles").distinct()
     # one row per distinct text of a candidate group
     members = (groups.join(sizes, groups.node == sizes.doc_id).join(first, "digest").where("doc_id = rep")
@@ -372,10 +391,9 @@ def near_duplicates(docs: DataFrame, num: int = 90, den: int = 100, n: int = 3)
     compared = members.join(blocks, "grp").select("grp", "node", "nb").distinct()
     if members.count() * MEMBER_BYTES <= BROADCAST_BYTES:  # measured; else the texts are shuffled to their members
         compared = F.broadcast(compared)
-    texts = docs.join(compared, docs.doc_id == compared.node).select("grp", "node", "text", "nb")
-    sets = texts.select("grp", "node", "text").mapInArrow(_with_grams(n), "grp bigint, node bigint, grams binary")
-    placed = (sets.join(blocks, "grp")
-              .withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    texts = docs.join(compared, docs.doc_id == compared.node).select("grp", "node", "nb", "text")
+    sets = texts.mapInArrow(_with_grams(n), "grp bigint, node bigint, nb int, grams binary")
+    placed = (sets.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
               .select("grp", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"),
                       "blk", "node", "grams"))

@@ -90,6 +90,32 @@ def test_sets_that_may_be_linked_share_a_key():
                     assert np.intersect1d(grades.keys(a, rare(a)), grades.keys(b, rare(b))).size
 
 
+def test_few_documents_meet_by_a_shared_passage_alone():
+    """Unlike sets that share a twentieth of their n-grams, which the sketch takes for rare."""
+    rng, grades = np.random.default_rng(3), jaccard_join.Grades(80, 100)
+    passage = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    shown = []
+    for _ in range(60):
+        g = np.unique(np.concatenate([passage, rng.integers(0, 2**64, 3800, dtype=np.uint64)]))
+        shown.append(set(grades.keys(g, np.ones(len(g), dtype=bool)).tolist()))
+    met = sum(bool(shown[i] & shown[j]) for i in range(60) for j in range(i))
+    assert met <= 0.15 * 60 * 59 / 2
+
+
+def test_sketch_counts_every_text_and_marks_shared_ngrams(spark):
+    rng = random.Random(11)
+    passage = prose(rng, 30)
+    texts = [(i, prose(rng, 40) + " " + passage) for i in range(60)] + [(None, passage), (60, None), (61, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    counted = jaccard_join.count_grams(docs, 5)
+    got = Counter(rows(counted.where("part is null"), "doc_id", "n_shingles"))
+    assert got == Counter((i, n) for (i, n, _), k in _jaccard(texts, 80, 100, 5).items() for _ in range(k))
+    often = np.unpackbits(jaccard_join.frequent_grams(counted)).astype(bool)
+    shared, = jaccard_join.gram_sets([passage.encode()], 5)
+    alone, = jaccard_join.gram_sets([prose(rng, 2000).encode()], 5)
+    assert often[jaccard_join._cells(shared)].all() and often[jaccard_join._cells(alone)].mean() < 0.01
+
+
 def test_jaccard_join_odd_rows(spark):
     docs = odd_documents(spark)
     got = Counter(rows(jaccard_join.near_duplicates(docs), "doc_id", "n_shingles", "component_id"))
